@@ -17,6 +17,18 @@ from numprof.functions.columns import round_all
 from numprof.operators.categories import category_stats
 from numprof.operators.profile import flavour_diff, profile
 from numprof.operators.standardize import standardize
+from numprof.operators.arrays import array_stats, standardize_arrays, standardize_arrays_long
+from numprof.operators.jobs import (
+    LARGE_RECORDS,
+    analyze_flat, chart_series, nested_results, recommendations, results_long, speedup_report,
+)
+from numprof.operators.matrix import array_rows_to_coo, matmul_coo, matmul_tiled
+from numprof.operators.results import job_results, receipts
+from numprof.plans import fixtures as fx
+from numprof.plans.jobs import run_profile_job
+from numprof.plans.stats_join import scratch_path
+from numprof.sinks.results import write_results
+from numprof.sources.files import read_numeric_csv, read_numeric_text, read_requests, read_results, uniform_values
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -170,6 +182,318 @@ def flavour_diff_orders(spark, d):
     return round_all(flavour_diff(table(spark, d, "orders"), "o_totalprice", ["o_orderstatus"]))
 
 
+
+# --- nested job records (flattened back to rows for comparison) ------------
+
+def _flat_list(rec: DataFrame) -> DataFrame:
+    return round_all(rec.select("job_id", "record_count", "avg_value", "max_value", "min_value",
+                                "std_dev", "processing_type", F.explode("category_stats").alias("c"))
+                     .select("*", "c.*").drop("c"))
+
+
+def _flat_map(rec: DataFrame) -> DataFrame:
+    return round_all(rec.select("job_id", "record_count", "avg_value", "max_value", "min_value",
+                                "processing_type", F.explode("category_stats").alias("category", "c"))
+                     .select("*", "c.*").drop("c"))
+
+
+_K1_SQL = f"""
+, s AS (SELECT {{key}} AS job_id, count(value) AS record_count, avg(value) AS mu,
+                  max(value) AS mx, min(value) AS mn, stddev_samp(value) AS sd
+           FROM r GROUP BY 1),
+z AS (SELECT s.job_id, r.value, (r.value - s.mu) / nullif(s.sd, 0) AS z
+      FROM r JOIN s ON {{key}} IS NOT DISTINCT FROM s.job_id),
+c AS (SELECT job_id, {_BAND_SQL} AS category, count(*) AS count, avg(z) AS an, avg(value) AS ao
+      FROM z GROUP BY 1, 2)
+SELECT s.job_id, s.record_count, round(s.mu, 6) AS avg_value, round(s.mx, 6) AS max_value,
+       round(s.mn, 6) AS min_value, round(s.sd, 6) AS std_dev, 'DataFrame' AS processing_type,
+       c.category, c.count, round(c.an, 6) AS avg_normalized, round(c.ao, 6) AS avg_original
+FROM s JOIN c ON s.job_id IS NOT DISTINCT FROM c.job_id
+"""
+
+_K2_SQL = f"""
+, s AS (SELECT {{key}} AS job_id, count(value) AS record_count, avg(value) AS mu,
+                  max(value) AS mx, min(value) AS mn, stddev_pop(value) AS sd
+           FROM r GROUP BY 1),
+z AS (SELECT s.job_id, r.value, (r.value - s.mu) / nullif(s.sd, 0) AS z
+      FROM r JOIN s ON {{key}} IS NOT DISTINCT FROM s.job_id),
+c AS (SELECT job_id, CASE WHEN isnan(z) THEN 'medium' ELSE {_BAND_SQL} END AS category,
+             count(*) AS count, avg(z) AS av
+      FROM z GROUP BY 1, 2)
+SELECT s.job_id, s.record_count, round(s.mu, 6) AS avg_value, round(s.mx, 6) AS max_value,
+       round(s.mn, 6) AS min_value, 'RDD' AS processing_type,
+       c.category, c.count, round(c.av, 6) AS average
+FROM s JOIN c ON s.job_id IS NOT DISTINCT FROM c.job_id
+"""
+
+_LINES_SQL = f"SELECT CASE WHEN event_type = '{fx.BAD_EVENT_TYPE}' THEN NULL ELSE value END AS value FROM events"
+
+
+@register("category_list", "WITH r AS (SELECT event_type, value FROM events) "
+          + _K1_SQL.format(key="r.event_type").replace("SELECT r.event_type AS job_id", "SELECT event_type AS job_id"))
+def category_list_q(spark, d):
+    rows = table(spark, d, "events").select("event_type", "value")
+    return _flat_list(job_results(rows, "value", job_col="event_type"))
+
+
+@register("category_map", "WITH r AS (SELECT event_type, value FROM events WHERE value IS NOT NULL) "
+          + _K2_SQL.format(key="r.event_type"))
+def category_map_q(spark, d):
+    rows = table(spark, d, "events").select("event_type", "value")
+    return _flat_map(job_results(rows, "value", job_col="event_type", kind="rdd"))
+
+
+@register("csv_scan", f"WITH r AS ({_LINES_SQL}) " + _K1_SQL.format(key="'events'"))
+def csv_scan(spark, d):
+    rows = read_numeric_csv(spark, fx.events_lines(spark, d))
+    return _flat_list(job_results(rows, "value", job_id="events"))
+
+
+@register("text_scan", f"WITH r AS (SELECT value FROM ({_LINES_SQL}) WHERE value IS NOT NULL) "
+          + _K2_SQL.format(key="'events'"))
+def text_scan(spark, d):
+    rows = read_numeric_text(spark, fx.events_lines(spark, d), on_malformed="drop")
+    return _flat_map(job_results(rows, "value", job_id="events", kind="rdd"))
+
+
+# --- arrays and matrices ---------------------------------------------------
+
+@register("array_requests", f"""
+SELECT CASE WHEN label = {fx.NO_DATA_LABEL} OR label = {fx.BAD_TYPE_LABEL} THEN 'error' ELSE 'success' END AS status,
+       CASE WHEN label = {fx.NO_JOB_LABEL} THEN 'unknown' ELSE CAST(vec_id AS VARCHAR) END AS job_id,
+       CASE WHEN label = {fx.NO_DATA_LABEL} OR label = {fx.BAD_TYPE_LABEL} THEN NULL
+            ELSE CAST(len(embedding) AS INTEGER) END AS processed_count,
+       CASE WHEN label = {fx.NO_DATA_LABEL} OR label = {fx.BAD_TYPE_LABEL} THEN NULL
+            ELSE 'results/engine=gpu_processed/job_id='
+                 || CASE WHEN label = {fx.NO_JOB_LABEL} THEN 'unknown' ELSE CAST(vec_id AS VARCHAR) END
+       END AS storage_path,
+       CASE WHEN label = {fx.NO_DATA_LABEL} THEN 'No data provided'
+            WHEN label = {fx.BAD_TYPE_LABEL} THEN 'Processing failed: unsupported type {fx.BAD_TYPE}' END AS error,
+       CASE WHEN label = {fx.NO_DATA_LABEL} THEN 400 WHEN label = {fx.BAD_TYPE_LABEL} THEN 500 ELSE 200 END AS http_status
+FROM embeddings
+""")
+def array_requests(spark, d):
+    return receipts(read_requests(spark, fx.requests_file(spark, d)), "results")
+
+
+@register("array_stats", """
+SELECT vec_id, CAST(len(embedding) AS INTEGER) AS size, round(list_avg(embedding), 6) AS mean,
+       round(list_aggregate(embedding, 'var_pop'), 6) AS variance,
+       round(list_aggregate(embedding, 'stddev_pop'), 6) AS std_dev
+FROM embeddings
+""")
+def array_stats_q(spark, d):
+    e = table(spark, d, "embeddings").select("vec_id", "embedding")
+    return round_all(array_stats(e, "embedding").drop("embedding"))
+
+
+_ARRAY_Z_SQL = """
+WITH e AS (SELECT vec_id, embedding, list_avg(embedding) AS mu,
+                  list_aggregate(embedding, 'stddev_pop') AS sd FROM embeddings),
+u AS (SELECT vec_id, mu, sd, generate_subscripts(embedding, 1) - 1 AS pos,
+             CAST(unnest(embedding) AS DOUBLE) AS x FROM e)
+"""
+
+
+@register("array_standardize", _ARRAY_Z_SQL + """
+SELECT vec_id, CAST(pos AS INTEGER) AS pos, round((x - mu) / nullif(sd, 0), 6) AS value FROM u
+""")
+def array_standardize(spark, d):
+    e = table(spark, d, "embeddings").select("vec_id", "embedding")
+    out = standardize_arrays(e, "embedding", "result")
+    return round_all(out.select("vec_id", F.posexplode("result").alias("pos", "value")))
+
+
+@register("array_standardize_long", _ARRAY_Z_SQL + """
+SELECT vec_id, CAST(pos AS INTEGER) AS pos, round(x, 6) AS value,
+       round((x - mu) / nullif(sd, 0), 6) AS normalized_value FROM u
+""")
+def array_standardize_long(spark, d):
+    e = table(spark, d, "embeddings").select("vec_id", "embedding")
+    return round_all(standardize_arrays_long(e, ["vec_id"], "embedding"))
+
+
+_GRAM_SQL = """
+WITH a AS (SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS pos,
+                  CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)
+SELECT CAST(a1.pos AS BIGINT) AS row_id, CAST(a2.pos AS BIGINT) AS col_id, round(sum(a1.v * a2.v), 6) AS v
+FROM a a1 JOIN a a2 ON a1.vec_id = a2.vec_id GROUP BY 1, 2
+"""
+
+
+def _gram_inputs(spark, d):
+    e = table(spark, d, "embeddings").select("vec_id", "embedding")
+    return array_rows_to_coo(e, "vec_id", "embedding", transpose=True), array_rows_to_coo(e, "vec_id", "embedding")
+
+
+@register("matrix_multiply", _GRAM_SQL)
+def matrix_multiply(spark, d):
+    """Eᵀ·E over the whole embeddings table (inner dimension = vectors)."""
+    a, b = _gram_inputs(spark, d)
+    return round_all(matmul_coo(a, b))
+
+
+@register("matrix_multiply_tiled", _GRAM_SQL)
+def matrix_multiply_tiled(spark, d):
+    a, b = _gram_inputs(spark, d)
+    return round_all(matmul_tiled(a, b, block=16))
+
+
+# --- job-result analytics ----------------------------------------------------
+
+_JOBS_CTE = f"""
+WITH r AS (SELECT CAST(l_suppkey AS VARCHAR) AS job_id,
+                  CAST(sum(l_quantity) AS BIGINT) // {fx.RDD_TIME_DIVISOR} AS rt,
+                  CAST(sum(l_quantity) AS BIGINT) * {fx.RECORD_MULTIPLIER} AS rn
+           FROM lineitem GROUP BY l_suppkey),
+d AS (SELECT CAST(l_partkey AS VARCHAR) AS job_id, CAST(sum(l_quantity) AS BIGINT) AS dt
+      FROM lineitem GROUP BY l_partkey),
+g AS (SELECT CAST(vec_id AS VARCHAR) AS job_id, CAST(len(embedding) AS INTEGER) AS gn FROM embeddings),
+j AS (SELECT job_id FROM r UNION SELECT job_id FROM d UNION SELECT job_id FROM g),
+a AS (SELECT j.job_id, g.gn, g.job_id IS NOT NULL AS has_gpu, r.job_id IS NOT NULL AND d.job_id IS NOT NULL AS ok,
+             coalesce(r.rt, 0) AS rt, r.rn, coalesce(d.dt, 0) AS dt
+      FROM j LEFT JOIN r ON j.job_id = r.job_id LEFT JOIN d ON j.job_id = d.job_id
+             LEFT JOIN g ON j.job_id = g.job_id),
+f AS (SELECT job_id,
+             CASE WHEN has_gpu THEN 'completed' ELSE 'failed' END AS gpu_status,
+             coalesce(gn, 0) AS gpu_processed_count,
+             CASE WHEN NOT ok THEN 'Missing results for comparison' END AS error,
+             CASE WHEN ok THEN rt END AS rdd_time_ms,
+             CASE WHEN ok THEN dt END AS dataframe_time_ms,
+             CASE WHEN ok THEN (CASE WHEN dt > 0 THEN round(rt / dt, 2) ELSE 0.0 END) END AS speedup,
+             CASE WHEN ok THEN (CASE WHEN dt < rt THEN 'DataFrame' ELSE 'RDD' END) END AS faster_method,
+             CASE WHEN ok THEN round(abs(rt - dt) / nullif(greatest(rt, dt), 0) * 100, 1) END
+                 AS performance_improvement_pct,
+             rn AS rdd_record_count, ok, rt, dt
+      FROM a)
+"""
+
+
+def _analysis(spark, d):
+    rdd, df = fx.lineitem_results(spark, d)
+    gpu = fx.embeddings_array_results(spark, d)
+    return analyze_flat(results_long(rdd=rdd, df=df, gpu=gpu))
+
+
+@register("job_analysis", _JOBS_CTE + """
+SELECT job_id, gpu_status, gpu_processed_count, error, rdd_time_ms, dataframe_time_ms, speedup,
+       faster_method, performance_improvement_pct, rdd_record_count FROM f
+""")
+def job_analysis(spark, d):
+    return _analysis(spark, d).drop("recommendations")
+
+
+@register("job_recommendations", _JOBS_CTE + f"""
+, s AS (SELECT job_id, ok, rdd_record_count AS rn,
+               CASE WHEN dt < rt THEN 'Use DataFrame API for '
+                         || CAST(round((rt - dt) / nullif(rt, 0) * 100, 1) AS VARCHAR) || '% better performance'
+                    ELSE 'RDD API showed '
+                         || CAST(round((dt - rt) / nullif(dt, 0) * 100, 1) AS VARCHAR)
+                         || '% better performance for this dataset' END AS sentence
+        FROM f)
+SELECT job_id, 0 AS position, 'Unable to generate recommendations due to missing results' AS recommendation
+FROM s WHERE NOT ok
+UNION ALL SELECT job_id, 0, sentence FROM s WHERE ok AND sentence IS NOT NULL
+UNION ALL SELECT job_id, CASE WHEN sentence IS NULL THEN 0 ELSE 1 END,
+                 'Consider using more partitions for large datasets'
+          FROM s WHERE ok AND coalesce(rn, 0) > {LARGE_RECORDS}
+UNION ALL SELECT job_id, CASE WHEN sentence IS NULL THEN 1 ELSE 2 END,
+                 'Enable adaptive query execution for better resource utilization'
+          FROM s WHERE ok AND coalesce(rn, 0) > {LARGE_RECORDS}
+""")
+def job_recommendations(spark, d):
+    return recommendations(_analysis(spark, d))
+
+
+@register("chart_series", _JOBS_CTE + """
+SELECT job_id, substr(job_id, 1, 8) AS job_label, 'time_comparison' AS chart, 1 AS position,
+       'RDD' AS label, CAST(rt AS DOUBLE) AS value, rt <= dt AS is_winner, format('{:,}', rt) || 'ms' AS caption
+FROM f WHERE ok
+UNION ALL
+SELECT job_id, substr(job_id, 1, 8), 'time_comparison', 2, 'DataFrame', CAST(dt AS DOUBLE), dt < rt,
+       format('{:,}', dt) || 'ms'
+FROM f WHERE ok
+UNION ALL
+SELECT job_id, substr(job_id, 1, 8), 'speedup', 1, 'Baseline', 1.0, false, NULL
+FROM f WHERE ok AND speedup > 0
+UNION ALL
+SELECT job_id, substr(job_id, 1, 8), 'speedup', 2, faster_method, speedup, true, printf('%.2f', speedup) || 'x'
+FROM f WHERE ok AND speedup > 0
+""")
+def chart_series_q(spark, d):
+    return chart_series(_analysis(spark, d))
+
+
+@register("speedup_report", _JOBS_CTE + """
+, h AS (SELECT job_id, rdd_time_ms, dataframe_time_ms,
+               CASE WHEN dt < rt THEN 'DataFrame' ELSE 'RDD' END AS winner,
+               CASE WHEN dt < rt THEN 'RDD' ELSE 'DataFrame' END AS loser,
+               CASE WHEN dt < rt THEN (rt * 100) // nullif(dt, 0) ELSE (dt * 100) // nullif(rt, 0) END AS q
+        FROM f WHERE ok)
+SELECT job_id, rdd_time_ms, dataframe_time_ms, winner, q / 100 AS ratio,
+       CAST(q // 100 AS VARCHAR) || '.' || lpad(CAST(q % 100 AS VARCHAR), 2, '0') AS ratio_text,
+       winner || ' is ' || CAST(q // 100 AS VARCHAR) || '.' || lpad(CAST(q % 100 AS VARCHAR), 2, '0')
+              || 'x faster than ' || loser AS message
+FROM h
+""")
+def speedup_report_q(spark, d):
+    return speedup_report(_analysis(spark, d))
+
+
+def _stored_results(spark, d) -> str:
+    """Write the three result kinds below a fresh root; return the root."""
+    root = scratch_path(spark, "results")
+    rdd, df = fx.lineitem_results(spark, d)
+    write_results(rdd, root, "spark_rdd")
+    write_results(df, root, "spark_dataframe")
+    write_results(fx.embeddings_array_results(spark, d), root, "gpu_processed")
+    return root
+
+
+@register("job_results_nested", _JOBS_CTE + """
+SELECT j.job_id, r.rt AS rdd_time_ms, r.rn AS rdd_record_count, d.dt AS dataframe_time_ms,
+       g.gn AS gpu_processed_count
+FROM j LEFT JOIN r ON j.job_id = r.job_id LEFT JOIN d ON j.job_id = d.job_id LEFT JOIN g ON j.job_id = g.job_id
+""")
+def job_results_nested(spark, d):
+    n = nested_results(read_results(spark, _stored_results(spark, d)))
+    return n.select("job_id",
+                    F.col("results.spark_rdd.processing_time_ms").alias("rdd_time_ms"),
+                    F.col("results.spark_rdd.record_count").alias("rdd_record_count"),
+                    F.col("results.spark_dataframe.processing_time_ms").alias("dataframe_time_ms"),
+                    F.col("results.gpu_processed.processed_count").alias("gpu_processed_count"))
+
+
+@register("result_roundtrip", "WITH r AS (SELECT event_type, value FROM events) "
+          + _K1_SQL.format(key="r.event_type").replace("SELECT r.event_type AS job_id", "SELECT event_type AS job_id")
+          .replace("'DataFrame' AS processing_type,", "'DataFrame' AS processing_type, 'spark_dataframe' AS engine,"))
+def result_roundtrip(spark, d):
+    """K1 records written to the JSON sink and read back with the results reader."""
+    root = scratch_path(spark, "roundtrip")
+    rows = table(spark, d, "events").select("event_type", "value")
+    write_results(job_results(rows, "value", job_col="event_type"), root, "spark_dataframe")
+    back = read_results(spark, root, engines=["spark_dataframe"])
+    return round_all(back.select("job_id", "record_count", "avg_value", "max_value", "min_value", "std_dev",
+                                 "processing_type", "engine", F.explode("category_list").alias("c"))
+                     .select("*", "c.*").drop("c"))
+
+
+# --- rows-only (no SQL equivalent) ------------------------------------------
+
+@register("timed_profile")
+def timed_profile(spark, d):
+    """Full DataFrame-kind job over the events lines, with its measured run time."""
+    rec = run_profile_job(spark, fx.events_lines(spark, d), "events", kind="dataframe")
+    return rec.select("job_id", "processing_time_ms", "record_count", "avg_value", "std_dev")
+
+
+@register("uniform_input")
+def uniform_input(spark, d):
+    """One uniform value in [-100, 100) per lineitem row, profiled."""
+    vals = uniform_values(table(spark, d, "lineitem").select("l_orderkey"))
+    return profile(vals, "value")
+
+
 def queries() -> dict[str, Builder]:
     return dict(QUERIES)
 
