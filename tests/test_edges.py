@@ -178,3 +178,13 @@ def test_identity_product(spark):
     want = sorted(tuple(r) for r in a.collect())
     assert sorted(tuple(r) for r in matmul_coo(a, eye).collect()) == want
     assert sorted(tuple(r) for r in matmul_tiled(a, eye, block=3).collect()) == want
+
+
+def test_run_profile_job_cached_and_written(spark, tmp_path):
+    from numprof.plans.jobs import run_profile_job
+    path = lines_file(tmp_path, ["1.0", "abc", "3.0"])
+    out = str(tmp_path / "res")
+    rec = run_profile_job(spark, path, "007", kind="dataframe", output_root=out, cache_input=True).collect()[0]
+    assert rec["record_count"] == 2 and rec["processing_time_ms"] >= 0
+    back = read_results(spark, out).collect()[0]
+    assert back["job_id"] == "007" and back["avg_value"] == 2.0
