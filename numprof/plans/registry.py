@@ -336,7 +336,7 @@ def matrix_multiply(spark, d):
 @register("matrix_multiply_tiled", _GRAM_SQL)
 def matrix_multiply_tiled(spark, d):
     a, b = _gram_inputs(spark, d)
-    return round_all(matmul_tiled(a, b, block=16))
+    return round_all(matmul_tiled(a, b, block=32))
 
 
 # --- job-result analytics ----------------------------------------------------
