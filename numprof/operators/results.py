@@ -70,12 +70,16 @@ def array_results(requests: DataFrame) -> DataFrame:
     return done.filter(F.col("status") == "success").select("job_id", "result")
 
 
-def receipts(requests: DataFrame, storage_root: str) -> DataFrame:
+def receipts(requests: DataFrame, storage_root: str, per_job_files: bool = False) -> DataFrame:
     """One receipt per request: status, job_id, processed_count,
-    storage_path (success) or error and http_status (failure)."""
+    storage_path (success) or error and http_status (failure).
+
+    ``storage_path`` is the folder that holds the job's array result under
+    the sink layout (per engine, or per engine and job)."""
     done = process_requests(requests)
     ok = F.col("status") == "success"
-    path = F.concat(F.lit(storage_root.rstrip("/") + "/engine=gpu_processed/job_id="), F.col("job_id"))
+    folder = storage_root.rstrip("/") + "/engine=gpu_processed"
+    path = F.concat(F.lit(folder + "/job_id="), F.col("job_id")) if per_job_files else F.lit(folder)
     return done.select(
         "status", "job_id",
         F.when(ok, F.size("result")).alias("processed_count"),

@@ -63,13 +63,14 @@ def run_profile_job(spark: SparkSession, input_path: str, job_id: str, kind: str
     return out
 
 
-def run_array_job(spark: SparkSession, requests_path: str, output_root: str | None = None) -> DataFrame:
+def run_array_job(spark: SparkSession, requests_path: str, output_root: str | None = None,
+                  per_job_files: bool = False) -> DataFrame:
     """Standardise every request's array; write the array results and
     return one receipt per request."""
     requests = read_requests(spark, requests_path)
     if output_root:
-        write_results(array_results(requests), output_root, "gpu_processed")
-    return receipts(requests, output_root or "")
+        write_results(array_results(requests), output_root, "gpu_processed", per_job_files)
+    return receipts(requests, output_root or "", per_job_files)
 
 
 def run_analysis(spark: SparkSession, results_root: str, job_ids: DataFrame | None = None) -> DataFrame:

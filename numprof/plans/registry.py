@@ -273,7 +273,7 @@ SELECT CASE WHEN label = {fx.NO_DATA_LABEL} OR label = {fx.BAD_TYPE_LABEL} THEN
 FROM embeddings
 """)
 def array_requests(spark, d):
-    return receipts(read_requests(spark, fx.requests_file(spark, d)), "results")
+    return receipts(read_requests(spark, fx.requests_file(spark, d)), "results", per_job_files=True)
 
 
 @register("array_stats", """

@@ -163,7 +163,7 @@ def test_size_advice(spark):
 def test_request_without_data(spark):
     req = spark.createDataFrame([("j1", None, None), (None, "normalize", [1.0, 3.0])],
                                 "job_id string, type string, data array<double>")
-    got = {r["job_id"]: r for r in receipts(req, "out").collect()}
+    got = {r["job_id"]: r for r in receipts(req, "out", per_job_files=True).collect()}
     assert got["j1"]["error"] == "No data provided" and got["j1"]["http_status"] == 400
     ok = got["unknown"]
     assert ok["status"] == "success" and ok["processed_count"] == 2
@@ -188,3 +188,30 @@ def test_run_profile_job_cached_and_written(spark, tmp_path):
     assert rec["record_count"] == 2 and rec["processing_time_ms"] >= 0
     back = read_results(spark, out).collect()[0]
     assert back["job_id"] == "007" and back["avg_value"] == 2.0
+
+
+def test_array_job_receipts_point_at_written_results(spark, tmp_path):
+    import json
+    from numprof.plans.jobs import run_array_job
+    src = tmp_path / "req.json"
+    src.write_text("\n".join(json.dumps(r) for r in [
+        {"job_id": "001", "data": [1.0, 2.0, 3.0]}, {"job_id": "x", "type": "normalize"}]) + "\n")
+    out = str(tmp_path / "res")
+    got = {r["job_id"]: r for r in run_array_job(spark, str(src), out, per_job_files=True).collect()}
+    assert got["x"]["error"] == "No data provided"
+    back = read_results(spark, out).collect()
+    assert [(r["job_id"], r["engine"]) for r in back] == [("001", "gpu_processed")]
+    assert [round(v, 6) for v in back[0]["result"]] == [-1.224745, 0.0, 1.224745]
+    import os
+    assert os.path.isdir(got["001"]["storage_path"])
+
+
+def test_analysis_for_given_job_ids(spark):
+    rdd = spark.createDataFrame([("a", 10, 1)], "job_id string, processing_time_ms long, record_count long")
+    df = spark.createDataFrame([("a", 5)], "job_id string, processing_time_ms long")
+    ids = spark.createDataFrame([("a",), ("ghost",)], "job_id string")
+    got = {r["job_id"]: r for r in analyze_flat(results_long(rdd=rdd, df=df), ids).collect()}
+    assert set(got) == {"a", "ghost"}
+    assert got["a"]["faster_method"] == "DataFrame" and got["a"]["speedup"] == 2.0
+    assert got["ghost"]["error"] == "Missing results for comparison"
+    assert got["ghost"]["gpu_status"] == "failed"
