@@ -71,9 +71,9 @@ def matmul_tiled(a: DataFrame, b: DataFrame, block: int = 64) -> DataFrame:
     """C = A·B in tiles of ``block`` × ``block`` (see module docstring).
 
     A tile holds at most ``block``² cells whatever the matrix size, so no
-    group grows with the data.  Keep ``block``² ×
-    ``spark.sql.execution.arrow.maxRecordsPerBatch`` within Python worker
-    memory.
+    group grows with the data, and the tile pairs reach numpy in Arrow
+    batches bounded by ``spark.sql.execution.arrow.maxBytesPerBatch``
+    (64 MB by default), so Python worker memory stays bounded too.
     """
     ta = _tiles(a, "bi", "bk", block)
     tb = _tiles(b, "bk", "bj", block)

@@ -20,23 +20,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
-    Read from the session (``spark.checkpoint.dir`` or the SparkContext).
-    Only when neither is set and the master is local (tests) is a private
-    folder created; on a cluster an unset folder is an error, since a
-    machine-local folder would not survive the loss of an executor.
+    Read from the session (the SparkContext's folder, else
+    ``spark.checkpoint.dir``).  Only when neither is set and the master is
+    local (tests) is a private folder created; on a cluster an unset folder
+    is an error, since a machine-local folder would not survive the loss of
+    an executor.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         configured = tempfile.mkdtemp(prefix="numprof-ckpt-")
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
