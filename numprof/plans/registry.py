@@ -464,18 +464,48 @@ def job_results_nested(spark, d):
                     F.col("results.gpu_processed.processed_count").alias("gpu_processed_count"))
 
 
-@register("result_roundtrip", "WITH r AS (SELECT event_type, value FROM events) "
-          + _K1_SQL.format(key="r.event_type").replace("SELECT r.event_type AS job_id", "SELECT event_type AS job_id")
-          .replace("'DataFrame' AS processing_type,", "'DataFrame' AS processing_type, 'spark_dataframe' AS engine,"))
+_K1_EVENTS_SQL = ("WITH r AS (SELECT event_type, value FROM events) "
+                  + _K1_SQL.format(key="r.event_type").replace("SELECT r.event_type AS job_id",
+                                                               "SELECT event_type AS job_id"))
+_K2_EVENTS_SQL = ("WITH r AS (SELECT event_type, value FROM events WHERE value IS NOT NULL) "
+                  + _K2_SQL.format(key="r.event_type"))
+
+
+@register("result_roundtrip", f"""
+SELECT job_id, 'spark_dataframe' AS engine, processing_type, record_count, avg_value, std_dev,
+       category, count, avg_normalized AS category_avg, CAST(NULL AS INTEGER) AS result_size
+FROM ({_K1_EVENTS_SQL}) k1
+UNION ALL
+SELECT job_id, 'spark_rdd', processing_type, record_count, avg_value, CAST(NULL AS DOUBLE),
+       category, count, average, CAST(NULL AS INTEGER)
+FROM ({_K2_EVENTS_SQL}) k2
+UNION ALL
+SELECT CAST(vec_id AS VARCHAR), 'gpu_processed', CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT),
+       CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT),
+       CAST(NULL AS DOUBLE), CAST(len(embedding) AS INTEGER)
+FROM embeddings
+""")
 def result_roundtrip(spark, d):
-    """K1 records written to the JSON sink and read back with the results reader."""
+    """All three result kinds written to one JSON sink root and read back
+    with the one results reader (each kind decoded from its raw text)."""
     root = scratch_path(spark, "roundtrip")
     rows = table(spark, d, "events").select("event_type", "value")
     write_results(job_results(rows, "value", job_col="event_type"), root, "spark_dataframe")
-    back = read_results(spark, root, engines=["spark_dataframe"])
-    return round_all(back.select("job_id", "record_count", "avg_value", "max_value", "min_value", "std_dev",
-                                 "processing_type", "engine", F.explode("category_list").alias("c"))
-                     .select("*", "c.*").drop("c"))
+    write_results(job_results(rows, "value", job_col="event_type", kind="rdd"), root, "spark_rdd")
+    write_results(fx.embeddings_array_results(spark, d), root, "gpu_processed")
+    back = read_results(spark, root)
+    base = ["job_id", "engine", "processing_type", "record_count", "avg_value", "std_dev"]
+    k1 = (back.filter(F.col("engine") == "spark_dataframe")
+          .select(*base, F.explode("category_list").alias("c"))
+          .select(*base, "c.category", "c.count", F.col("c.avg_normalized").alias("category_avg")))
+    k2 = (back.filter(F.col("engine") == "spark_rdd")
+          .select(*base, F.explode("category_map").alias("category", "c"))
+          .select(*base, "category", "c.count", F.col("c.average").alias("category_avg")))
+    k3 = (back.filter(F.col("engine") == "gpu_processed")
+          .select(*base, F.lit(None).cast("string").alias("category"), F.lit(None).cast("long").alias("count"),
+                  F.lit(None).cast("double").alias("category_avg"), F.size("result").alias("result_size")))
+    no_size = F.lit(None).cast("int").alias("result_size")
+    return round_all(k1.select("*", no_size).unionByName(k2.select("*", no_size)).unionByName(k3))
 
 
 # --- rows-only (no SQL equivalent) ------------------------------------------
