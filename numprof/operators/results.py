@@ -44,12 +44,13 @@ def job_results(df: DataFrame, value: str = "value", job_col: str | None = None,
     else:
         raise ValueError("kind must be 'dataframe' or 'rdd'")
     stats = materialize(profile(df, value, keys, ddof))
-    std = standardize(df, value, keys, ddof, nan_is_medium=nan_medium, stats=stats)
+    n_jobs = stats.count() if keys else 1
+    std = standardize(df, value, keys, ddof, nan_is_medium=nan_medium, stats=stats, stats_rows=n_jobs)
     long = category_stats(std, keys, value, shape)
     nested = category_list(long, keys) if shape == "dataframe" else category_map(long, keys)
     if keys:
         # ``stats`` is materialised, so it is the side whose size is checked.
-        rec = attach_by_keys(nested, stats, keys)
+        rec = attach_by_keys(nested, stats, keys, stats_rows=n_jobs)
     else:
         rec = stats.crossJoin(F.broadcast(nested))
     empty = (F.array() if shape == "dataframe" else F.create_map()).cast(

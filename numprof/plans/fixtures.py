@@ -24,9 +24,14 @@ NO_JOB_LABEL = 7                  # ... with this label: job id omitted (default
 BAD_TYPE = "histogram"
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    from numprof.plans.registry import table
+    return table(spark, sf_dir, name)
+
+
 def events_lines(spark: SparkSession, sf_dir: str) -> str:
     """events.value as text lines, error events as their type text; returns the path."""
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    ev = _table(spark, sf_dir, "events")
     line = F.when(F.col("event_type") == BAD_EVENT_TYPE, F.col("event_type")) \
             .otherwise(F.col("value").cast("string"))
     path = scratch_path(spark, "events-lines")
@@ -35,7 +40,7 @@ def events_lines(spark: SparkSession, sf_dir: str) -> str:
 
 
 def requests_from_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    e = _table(spark, sf_dir, "embeddings")
     lab = F.col("label")
     return e.select(
         F.when(lab != NO_JOB_LABEL, F.col("vec_id").cast("string")).alias("job_id"),
@@ -53,7 +58,7 @@ def requests_file(spark: SparkSession, sf_dir: str) -> str:
 def lineitem_results(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Two result tables from lineitem quantities: the RDD kind per
     supplier and the DataFrame kind per part (ids overlap partially)."""
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    li = _table(spark, sf_dir, "lineitem")
     total = F.sum("l_quantity").cast("long")
     rdd = li.groupBy("l_suppkey").agg(
         F.col("l_suppkey").cast("string").alias("job_id"),
@@ -66,7 +71,7 @@ def lineitem_results(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
 
 
 def embeddings_array_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    e = _table(spark, sf_dir, "embeddings")
     req = e.select(F.col("vec_id").cast("string").alias("job_id"), F.lit("normalize").alias("type"),
                    F.col("embedding").cast("array<double>").alias("data"))
     return array_results(req)

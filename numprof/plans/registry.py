@@ -8,6 +8,7 @@ floating-point addition cannot change a value hash.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,8 +46,17 @@ def register(name: str, sql: str | None = None):
     return wrap
 
 
+_TABLES: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table, its file listing and schema resolved once per session
+    (as a catalog table would be) rather than on every read."""
+    per_session = _TABLES.setdefault(spark, {})
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in per_session:
+        per_session[path] = spark.read.parquet(path)
+    return per_session[path]
 
 
 # --- global profiles -------------------------------------------------------

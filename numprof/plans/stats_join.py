@@ -90,19 +90,21 @@ def estimated_row_bytes(schema) -> int:
 
 
 def attach_by_keys(rows: DataFrame, stats: DataFrame, keys: tuple[str, ...] | list[str],
-                   how: str = "left") -> DataFrame:
+                   how: str = "left", stats_rows: int | None = None) -> DataFrame:
     """Join per-key ``stats`` onto ``rows`` (key columns compared null-safe).
 
     With no keys, ``stats`` must hold exactly one row (a global aggregate)
     and is broadcast.  With keys, ``stats`` should already be materialised
-    (see :func:`materialize`) so that counting it is cheap.
+    (see :func:`materialize`) so that counting it is cheap; a caller that
+    already knows its row count passes ``stats_rows``.
     """
     keys = list(keys)
     if not keys:
         return rows.crossJoin(F.broadcast(stats))
     renamed = stats.select(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)],
                            *[c for c in stats.columns if c not in keys])
-    small = renamed.count() <= broadcast_row_limit(renamed)
+    n = renamed.count() if stats_rows is None else stats_rows
+    small = n <= broadcast_row_limit(renamed)
     right = F.broadcast(renamed) if small else renamed
     cond = reduce(lambda a, b: a & b,
                   [rows[k].eqNullSafe(right[f"__key{i}"]) for i, k in enumerate(keys)])
