@@ -12,21 +12,23 @@ from numprof.plans.stats_join import attach_by_keys, materialize
 
 def standardize(df: DataFrame, value: str = "value", keys=(), ddof: int = 1,
                 nan_is_medium: bool = False, stats: DataFrame | None = None,
-                low: float = -1.0, high: float = 1.0, checkpoint: bool = True,
+                low: float = -1.0, high: float = 1.0, checkpoint: bool | None = None,
                 stats_rows: int | None = None) -> DataFrame:
     """Add ``normalized_value`` = (x - mean) / sd and ``category``.
 
     Statistics are those of ``profile(df, value, keys, ddof)`` unless a
     ``stats`` table (with ``avg_value`` and ``std_dev`` per key) is given.
-    They are materialised once (two scans of the input in total, the minimum
-    for a z-score) and attached with a size-checked broadcast, so the data
-    rows are never shuffled for the standardisation itself.  ``stats_rows``
-    is the row count of a given ``stats`` table, if known.
+    The input is scanned twice in total, the minimum for a z-score, and the
+    data rows are never shuffled for the standardisation itself.  Global
+    statistics are one row and are broadcast straight from the aggregate;
+    per-key statistics are materialised by default (``checkpoint``) so their
+    row count can be checked before they are broadcast.  ``stats_rows`` is
+    the row count of a given ``stats`` table, if known.
     """
     keys = list(keys)
     if stats is None:
         stats = profile(df, value, keys, ddof)
-        if checkpoint:
+        if checkpoint if checkpoint is not None else bool(keys):
             stats = materialize(stats)
     s = stats.select(*keys, F.col("avg_value").alias("__mu"), F.col("std_dev").alias("__sd"))
     joined = attach_by_keys(df, s, keys, stats_rows=stats_rows)

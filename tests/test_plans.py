@@ -11,10 +11,18 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def _single_partition_inputs_are_partial(plan):
+    """Every SinglePartition exchange carries partial aggregates only."""
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            assert "partial_" in lines[i + 1], "\n".join(lines[i:i + 3])
+
+
 def test_global_zscore_keeps_fact_side_unshuffled(spark):
     plan = _plan(registry.zscore_categories(spark, SF01))
     assert "BroadcastNestedLoopJoin" in plan
-    assert "SinglePartition" not in plan
+    _single_partition_inputs_are_partial(plan)
     assert "partial_count" in plan and "partial_avg" in plan
     assert "ReadSchema: struct<value:double>" in plan
 
@@ -25,6 +33,11 @@ def test_keyed_zscore_broadcasts_checked_stats(spark):
     assert "SinglePartition" not in plan
 
 
+def test_no_query_funnels_rows_into_one_task(spark):
+    for name, build in registry.queries().items():
+        _single_partition_inputs_are_partial(_plan(build(spark, SF01)))
+
+
 def test_large_stats_are_not_broadcast(spark):
     rows = spark.range(1000).selectExpr("id AS k", "cast(id AS double) AS value")
     stats = spark.range(1000).selectExpr("id AS k", "1.0 AS s")
