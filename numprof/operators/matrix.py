@@ -30,8 +30,8 @@ def matmul_coo(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def _tiles(m: DataFrame, row_tile: str, col_tile: str, block: int) -> DataFrame:
     local = (F.col("row_id") % block) * block + (F.col("col_id") % block)
-    return (m.select(F.floor(F.col("row_id") / block).alias(row_tile),
-                     F.floor(F.col("col_id") / block).alias(col_tile),
+    return (m.select(F.expr(f"row_id div {int(block)}").alias(row_tile),
+                     F.expr(f"col_id div {int(block)}").alias(col_tile),
                      F.struct(local.cast("int").alias("i"), F.col("v").cast("double").alias("v")).alias("e"))
             .groupBy(row_tile, col_tile)
             .agg(F.collect_list("e").alias("cells"))
