@@ -10,7 +10,7 @@ from numprof.operators.arrays import process_requests
 from numprof.operators.categories import category_list, category_map, category_stats
 from numprof.operators.profile import profile
 from numprof.operators.standardize import standardize
-from numprof.plans.stats_join import attach_by_keys, materialize
+from numprof.plans.stats_join import attach_by_keys, materialize, table_size
 
 RESULT_FIELDS = ["job_id", "processing_time_ms", "record_count", "avg_value", "max_value",
                  "min_value", "std_dev", "processing_type", "category_stats"]
@@ -44,13 +44,14 @@ def job_results(df: DataFrame, value: str = "value", job_col: str | None = None,
     else:
         raise ValueError("kind must be 'dataframe' or 'rdd'")
     stats = materialize(profile(df, value, keys, ddof))
-    n_jobs = stats.count() if keys else 1
-    std = standardize(df, value, keys, ddof, nan_is_medium=nan_medium, stats=stats, stats_rows=n_jobs)
+    stats_bytes = table_size(stats) if keys else None
+    std = standardize(df, value, keys, ddof, nan_is_medium=nan_medium, stats=stats,
+                      stats_bytes=stats_bytes)
     long = category_stats(std, keys, value, shape)
     nested = category_list(long, keys) if shape == "dataframe" else category_map(long, keys)
     if keys:
         # ``stats`` is materialised, so it is the side whose size is checked.
-        rec = attach_by_keys(nested, stats, keys, stats_rows=n_jobs)
+        rec = attach_by_keys(nested, stats, keys, stats_bytes=stats_bytes)
     else:
         rec = stats.crossJoin(F.broadcast(nested))
     empty = (F.array() if shape == "dataframe" else F.create_map()).cast(

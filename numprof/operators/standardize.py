@@ -13,7 +13,7 @@ from numprof.plans.stats_join import attach_by_keys, materialize
 def standardize(df: DataFrame, value: str = "value", keys=(), ddof: int = 1,
                 nan_is_medium: bool = False, stats: DataFrame | None = None,
                 low: float = -1.0, high: float = 1.0, checkpoint: bool | None = None,
-                stats_rows: int | None = None) -> DataFrame:
+                stats_bytes: int | None = None) -> DataFrame:
     """Add ``normalized_value`` = (x - mean) / sd and ``category``.
 
     Statistics are those of ``profile(df, value, keys, ddof)`` unless a
@@ -22,8 +22,8 @@ def standardize(df: DataFrame, value: str = "value", keys=(), ddof: int = 1,
     data rows are never shuffled for the standardisation itself.  Global
     statistics are one row and are broadcast straight from the aggregate;
     per-key statistics are materialised by default (``checkpoint``) so their
-    row count can be checked before they are broadcast.  ``stats_rows`` is
-    the row count of a given ``stats`` table, if known.
+    size can be measured before they are broadcast.  ``stats_bytes`` is the
+    measured size of a given ``stats`` table, if known.
     """
     keys = list(keys)
     if stats is None:
@@ -31,7 +31,7 @@ def standardize(df: DataFrame, value: str = "value", keys=(), ddof: int = 1,
         if checkpoint if checkpoint is not None else bool(keys):
             stats = materialize(stats)
     s = stats.select(*keys, F.col("avg_value").alias("__mu"), F.col("std_dev").alias("__sd"))
-    joined = attach_by_keys(df, s, keys, stats_rows=stats_rows)
+    joined = attach_by_keys(df, s, keys, stats_bytes=stats_bytes)
     return (joined
             .withColumn("normalized_value", zscore(value, "__mu", "__sd"))
             .withColumn("category", band("normalized_value", low, high, nan_is_medium))

@@ -61,51 +61,67 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_row_limit(df: DataFrame) -> int:
-    """Largest row count of ``df`` that stays under the broadcast threshold."""
-    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    raw = raw.strip().lower()
+def broadcast_threshold(spark: SparkSession) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (0 when disabled)."""
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
     units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
     factor = 1
     for suffix in sorted(units, key=len, reverse=True):
         if raw.endswith(suffix):
             factor, raw = units[suffix], raw[: -len(suffix)]
             break
-    threshold = int(float(raw)) * factor
-    if threshold <= 0:
-        return 0
-    return threshold // estimated_row_bytes(df.schema)
-
-
-def estimated_row_bytes(schema) -> int:
-    """Rough size of one row in a broadcast hash relation (Spark's own
-    per-type defaults: 8 for fixed-width numbers, 20 for strings)."""
-    fixed = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "float": 4,
-             "long": 8, "double": 8, "date": 4, "timestamp": 8}
-    size = 16
-    for f in schema.fields:
+    return max(int(float(raw)) * factor, 0)
+
+
+# Bytes of fixed-width values in Spark's row format.
+_FIXED_BYTES = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "float": 4,
+                "long": 8, "double": 8, "date": 4, "timestamp": 8, "timestamp_ntz": 8}
+
+
+def table_size(df: DataFrame) -> int:
+    """Size of ``df`` as rows in a broadcast relation, measured in one pass.
+
+    Per row: a 16-byte header and an 8-byte slot per field, plus the actual
+    byte length of every variable-width value (strings and binaries by
+    ``octet_length``, nested values by the length of their JSON text).
+    Run it on a materialised table: it is one cheap job over it.
+    """
+    fixed = 16
+    var = []
+    for f in df.schema.fields:
         name = f.dataType.typeName()
-        size += 8 + (fixed.get(name, 20 if name == "string" else 64))
-    return size
+        fixed += 8
+        if name in ("string", "binary"):
+            var.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
+        elif name in ("array", "map", "struct"):
+            var.append(F.coalesce(F.octet_length(F.to_json(F.col(f.name))), F.lit(0)))
+        elif name not in _FIXED_BYTES:
+            var.append(F.lit(16))
+    total_var = F.sum(reduce(lambda a, b: a + b, var)) if var else F.lit(0)
+    row = df.agg(F.count(F.lit(1)).alias("n"), total_var.alias("v")).collect()[0]
+    return int(row["n"]) * fixed + int(row["v"] or 0)
 
 
 def attach_by_keys(rows: DataFrame, stats: DataFrame, keys: tuple[str, ...] | list[str],
-                   how: str = "left", stats_rows: int | None = None) -> DataFrame:
+                   how: str = "left", stats_bytes: int | None = None) -> DataFrame:
     """Join per-key ``stats`` onto ``rows`` (key columns compared null-safe).
 
     With no keys, ``stats`` must hold exactly one row (a global aggregate)
-    and is broadcast.  With keys, ``stats`` should already be materialised
-    (see :func:`materialize`) so that counting it is cheap; a caller that
-    already knows its row count passes ``stats_rows``.
+    and is broadcast.  With keys, ``stats`` is broadcast only when its
+    measured size (:func:`table_size`, or ``stats_bytes`` from a caller that
+    measured it already) is within the broadcast threshold; otherwise the
+    join is left to the planner (sort-merge, with AQE's skew split).
+    ``stats`` should be materialised (see :func:`materialize`) so that
+    measuring it is cheap.
     """
     keys = list(keys)
     if not keys:
         return rows.crossJoin(F.broadcast(stats))
     renamed = stats.select(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)],
                            *[c for c in stats.columns if c not in keys])
-    n = renamed.count() if stats_rows is None else stats_rows
-    small = n <= broadcast_row_limit(renamed)
-    right = F.broadcast(renamed) if small else renamed
+    size = table_size(renamed) if stats_bytes is None else stats_bytes
+    threshold = broadcast_threshold(rows.sparkSession)
+    right = F.broadcast(renamed) if 0 < threshold and size <= threshold else renamed
     cond = reduce(lambda a, b: a & b,
                   [rows[k].eqNullSafe(right[f"__key{i}"]) for i, k in enumerate(keys)])
     joined = rows.join(right, cond, how)

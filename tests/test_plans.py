@@ -2,7 +2,7 @@
 
 from numprof.operators.arrays import standardize_arrays
 from numprof.plans import registry
-from numprof.plans.stats_join import attach_by_keys, broadcast_row_limit
+from numprof.plans.stats_join import attach_by_keys, table_size
 
 from conftest import SF01
 
@@ -44,11 +44,19 @@ def test_large_stats_are_not_broadcast(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1024")
-        assert broadcast_row_limit(stats) < 1000
         plan = attach_by_keys(rows, stats, ["k"])._jdf.queryExecution().sparkPlan().toString()
         assert "BroadcastHashJoin" not in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    plan = attach_by_keys(rows, stats, ["k"])._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan
+
+
+def test_table_size_measures_long_strings(spark):
+    short = spark.createDataFrame([("a", 1.0)] * 10, "k string, v double")
+    long = spark.createDataFrame([("x" * 1000, 1.0)] * 10, "k string, v double")
+    assert table_size(short) == 10 * (16 + 16) + 10
+    assert table_size(long) == 10 * (16 + 16) + 10 * 1000
 
 
 def test_no_python_udfs_outside_tiled_matmul(spark):
