@@ -22,6 +22,7 @@ LARGE_ADVICE = ("Consider using more partitions for large datasets",
                 "Enable adaptive query execution for better resource utilization")
 LARGE_RECORDS = 100000
 LABEL_CHARS = 8
+TIME_CHART, SPEEDUP_CHART, BASELINE = "time_comparison", "speedup", "Baseline"
 
 
 def results_long(rdd: DataFrame | None = None, df: DataFrame | None = None,
@@ -162,13 +163,13 @@ def chart_series(analysis_flat: DataFrame) -> DataFrame:
                         winner.alias("is_winner"), caption.alias("caption"))
 
     times = F.array(
-        item("time_comparison", 1, F.lit(RDD_NAME), rdd_t, rdd_t <= df_t,
+        item(TIME_CHART, 1, F.lit(RDD_NAME), rdd_t, rdd_t <= df_t,
              F.concat(F.format_number(rdd_t, 0), F.lit("ms"))),
-        item("time_comparison", 2, F.lit(DATAFRAME_NAME), df_t, df_t < rdd_t,
+        item(TIME_CHART, 2, F.lit(DATAFRAME_NAME), df_t, df_t < rdd_t,
              F.concat(F.format_number(df_t, 0), F.lit("ms"))))
     speed = F.array(
-        item("speedup", 1, F.lit("Baseline"), F.lit(1.0), F.lit(False), F.lit(None).cast("string")),
-        item("speedup", 2, F.col("faster_method"), F.col("speedup"), F.lit(True),
+        item(SPEEDUP_CHART, 1, F.lit(BASELINE), F.lit(1.0), F.lit(False), F.lit(None).cast("string")),
+        item(SPEEDUP_CHART, 2, F.col("faster_method"), F.col("speedup"), F.lit(True),
              F.concat(F.format_string("%.2f", F.col("speedup")), F.lit("x"))))
     empty = F.array().cast("array<struct<chart:string,position:int,label:string,value:double,"
                            "is_winner:boolean,caption:string>>")

@@ -12,10 +12,6 @@ from numprof.operators.profile import profile
 from numprof.operators.standardize import standardize
 from numprof.plans.stats_join import attach_by_keys, materialize, table_size
 
-RESULT_FIELDS = ["job_id", "processing_time_ms", "record_count", "avg_value", "max_value",
-                 "min_value", "std_dev", "processing_type", "category_stats"]
-
-
 def _job_id(job_col: str | None, job_id: str | None) -> Column:
     if job_col is not None:
         return F.col(job_col).cast("string")
