@@ -19,9 +19,10 @@ DEFAULT_LOW_EDGE = -1.0
 DEFAULT_HIGH_EDGE = 1.0
 
 # Java's Double.parseDouble accepts only these exact spellings of the
-# special values; try_cast also takes other cases and "inf".
-_SPECIAL_ANY_CASE = r"(?i)^[+-]?(inf|infinity|nan)$"
-_SPECIAL_JAVA = r"^[+-]?(Infinity|NaN)$"
+# special values; try_cast also takes other cases and "inf".  Surrounding
+# characters up to U+0020 are what Java's String.trim removes.
+_SPECIAL_ANY_CASE = r"(?i)^[\x00-\x20]*[+-]?(inf|infinity|nan)[\x00-\x20]*$"
+_SPECIAL_JAVA = r"^[\x00-\x20]*[+-]?(Infinity|NaN)[\x00-\x20]*$"
 
 
 def col_of(c: str | Column) -> Column:
@@ -45,9 +46,11 @@ def parse_double(text: str | Column, strict: bool = False) -> Column:
     parsed = t.try_cast("double")
     if not strict:
         return parsed
-    trimmed = F.trim(t)
-    rejected = trimmed.rlike(_SPECIAL_ANY_CASE) & ~trimmed.rlike(_SPECIAL_JAVA)
-    return F.when(rejected, F.lit(None).cast("double")).otherwise(parsed)
+    # Only a NaN or infinite result can come from a special spelling, so the
+    # spelling is checked for those rows alone (1e400 is infinite and stays).
+    special = F.isnan(parsed) | (F.abs(parsed) == F.lit(float("inf")))
+    rejected = t.rlike(_SPECIAL_ANY_CASE) & ~t.rlike(_SPECIAL_JAVA)
+    return F.when(special & rejected, F.lit(None).cast("double")).otherwise(parsed)
 
 
 def zscore(value: str | Column, mean: str | Column, sd: str | Column) -> Column:
