@@ -19,10 +19,18 @@ from pyspark.sql import functions as F
 _CELLS = "row_id long, col_id long, v double"
 
 
-def matmul_coo(a: DataFrame, b: DataFrame) -> DataFrame:
+def _right_side(df: DataFrame, small_right: bool) -> DataFrame:
+    """Broadcast only on the caller's word that the right matrix is small;
+    otherwise a sort-merge join, so no static size estimate can turn a large
+    matrix into a broadcast."""
+    return F.broadcast(df) if small_right else df.hint("merge")
+
+
+def matmul_coo(a: DataFrame, b: DataFrame, small_right: bool = False) -> DataFrame:
     """C = A·B with C[r, c] = sum_k A[r, k]·B[k, c] (rectangular allowed)."""
     left = a.select(F.col("row_id").alias("__r"), F.col("col_id").alias("__k"), F.col("v").alias("__a"))
-    right = b.select(F.col("row_id").alias("__k2"), F.col("col_id").alias("__c"), F.col("v").alias("__b"))
+    right = _right_side(b.select(F.col("row_id").alias("__k2"), F.col("col_id").alias("__c"),
+                                 F.col("v").alias("__b")), small_right)
     return (left.join(right, left["__k"] == right["__k2"])
             .groupBy(F.col("__r").alias("row_id"), F.col("__c").alias("col_id"))
             .agg(F.sum(F.col("__a") * F.col("__b")).alias("v")))
@@ -67,7 +75,7 @@ def _tile_products(block: int):
     return run
 
 
-def matmul_tiled(a: DataFrame, b: DataFrame, block: int = 64) -> DataFrame:
+def matmul_tiled(a: DataFrame, b: DataFrame, block: int = 64, small_right: bool = False) -> DataFrame:
     """C = A·B in tiles of ``block`` × ``block`` (see module docstring).
 
     A tile holds at most ``block``² cells whatever the matrix size, so no
@@ -76,7 +84,7 @@ def matmul_tiled(a: DataFrame, b: DataFrame, block: int = 64) -> DataFrame:
     (64 MB by default), so Python worker memory stays bounded too.
     """
     ta = _tiles(a, "bi", "bk", block)
-    tb = _tiles(b, "bk", "bj", block)
+    tb = _right_side(_tiles(b, "bk", "bj", block), small_right)
     pairs = ta.join(tb, "bk").select("bi", "bj", "bi_bk_i", "bi_bk_v", "bk_bj_i", "bk_bj_v")
     cells = pairs.mapInPandas(_tile_products(block), _CELLS)
     return cells.groupBy("row_id", "col_id").agg(F.sum("v").alias("v"))

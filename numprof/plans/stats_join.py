@@ -62,8 +62,11 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def broadcast_threshold(spark: SparkSession) -> int:
-    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (0 when disabled)."""
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
+    """Broadcast limit in bytes for a size measured at run time (0 when
+    disabled): ``spark.sql.adaptive.autoBroadcastJoinThreshold`` when set,
+    else ``spark.sql.autoBroadcastJoinThreshold``."""
+    raw = (spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+           or spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
     units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
     factor = 1
     for suffix in sorted(units, key=len, reverse=True):
@@ -109,10 +112,12 @@ def attach_by_keys(rows: DataFrame, stats: DataFrame, keys: tuple[str, ...] | li
     With no keys, ``stats`` must hold exactly one row (a global aggregate)
     and is broadcast.  With keys, ``stats`` is broadcast only when its
     measured size (:func:`table_size`, or ``stats_bytes`` from a caller that
-    measured it already) is within the broadcast threshold; otherwise the
-    join is left to the planner (sort-merge, with AQE's skew split).
-    ``stats`` should be materialised (see :func:`materialize`) so that
-    measuring it is cheap.
+    measured it already) is within the broadcast threshold.  Otherwise it is
+    a shuffled hash join that builds on the statistics side: each task hashes
+    its slice of the statistics and streams its rows through unsorted, and
+    AQE splits a hot key's partition.  The hint also keeps the planner from
+    broadcasting on a static estimate.  ``stats`` should be materialised
+    (see :func:`materialize`) so that measuring it is cheap.
     """
     keys = list(keys)
     if not keys:
@@ -121,7 +126,7 @@ def attach_by_keys(rows: DataFrame, stats: DataFrame, keys: tuple[str, ...] | li
                            *[c for c in stats.columns if c not in keys])
     size = table_size(renamed) if stats_bytes is None else stats_bytes
     threshold = broadcast_threshold(rows.sparkSession)
-    right = F.broadcast(renamed) if 0 < threshold and size <= threshold else renamed
+    right = F.broadcast(renamed) if 0 < threshold and size <= threshold else renamed.hint("shuffle_hash")
     cond = reduce(lambda a, b: a & b,
                   [rows[k].eqNullSafe(right[f"__key{i}"]) for i, k in enumerate(keys)])
     joined = rows.join(right, cond, how)

@@ -18,7 +18,7 @@ def _skewed(spark, n=30000):
         (F.sin(F.col("id")) * 100).alias("value"))
 
 
-def test_sort_merge_path_matches_broadcast_path(spark):
+def test_shuffled_path_matches_broadcast_path(spark):
     df = _skewed(spark)
     fast = {(r["k"], r["category"]): (r["count"], r["avg_normalized"])
             for r in category_stats(standardize(df, "value", ["k"]), ["k"]).collect()}
@@ -27,7 +27,7 @@ def test_sort_merge_path_matches_broadcast_path(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         std = standardize(df, "value", ["k"])
         plan = std._jdf.queryExecution().sparkPlan().toString()
-        assert "BroadcastHashJoin" not in plan
+        assert "BroadcastHashJoin" not in plan and "ShuffledHashJoin" in plan
         slow = {(r["k"], r["category"]): (r["count"], r["avg_normalized"])
                 for r in category_stats(std, ["k"]).collect()}
     finally:
