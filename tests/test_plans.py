@@ -74,3 +74,17 @@ def test_array_moments_evaluated_once_per_row(spark):
     # the element lambda must not contain a nested aggregate over the array
     transform_part = plan[plan.index("transform("):]
     assert transform_part.count("aggregate(") == 0
+
+
+def test_adaptive_threshold_governs_measured_broadcasts(spark):
+    rows = spark.range(100).selectExpr("id % 5 AS k", "cast(id AS double) AS value")
+    stats = spark.range(5).selectExpr("id AS k", "1.0 AS s")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10m")
+        plan = attach_by_keys(rows, stats, ["k"])._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
