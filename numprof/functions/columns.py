@@ -11,12 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The three band labels and the default band edges.
-HIGH = "high"
-LOW = "low"
-MEDIUM = "medium"
-DEFAULT_LOW_EDGE = -1.0
-DEFAULT_HIGH_EDGE = 1.0
+from numprof.functions.fixed import DEFAULT_HIGH_EDGE, DEFAULT_LOW_EDGE, HIGH, LOW, MEDIUM
 
 # Java's Double.parseDouble accepts only these exact spellings of the
 # special values; try_cast also takes other cases and "inf".  Surrounding

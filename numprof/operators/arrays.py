@@ -17,11 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from numprof.functions.columns import col_of, safe_div
+from numprof.functions.fixed import (
+    ERROR, NO_DATA_ERROR, NORMALIZE, SUCCESS, UNKNOWN_JOB, UNSUPPORTED_TYPE_ERROR,
+)
 from numprof.operators.profile import profile
 from numprof.plans.stats_join import attach_by_keys, materialize
 
-# Fixed value: the only processing type with an implementation.
-NORMALIZE = "normalize"
 
 
 def with_moments(arr: str | Column, fn: Callable[[Column, Column, Column], Column]) -> Column:
@@ -90,11 +91,11 @@ def process_requests(requests: DataFrame, out: str = "result") -> DataFrame:
     missing = F.col("data").isNull()
     supported = typ == F.lit(NORMALIZE)
     return (requests
-            .withColumn("job_id", F.coalesce(F.col("job_id"), F.lit("unknown")))
+            .withColumn("job_id", F.coalesce(F.col("job_id"), F.lit(UNKNOWN_JOB)))
             .withColumn("type", typ)
             .withColumn(out, F.when(~missing & supported, standardized_array("data")))
-            .withColumn("status", F.when(missing | ~supported, F.lit("error")).otherwise(F.lit("success")))
-            .withColumn("error", F.when(missing, F.lit("No data provided"))
-                        .when(~supported, F.concat(F.lit("Processing failed: unsupported type "), typ)))
+            .withColumn("status", F.when(missing | ~supported, F.lit(ERROR)).otherwise(F.lit(SUCCESS)))
+            .withColumn("error", F.when(missing, F.lit(NO_DATA_ERROR))
+                        .when(~supported, F.concat(F.lit(UNSUPPORTED_TYPE_ERROR), typ)))
             .withColumn("http_status", F.when(missing, F.lit(400)).when(~supported, F.lit(500))
                         .otherwise(F.lit(200))))

@@ -13,16 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Result key spaces, method names and the texts of the analysis.
-GPU, RDD, DATAFRAME = "gpu_processed", "spark_rdd", "spark_dataframe"
-RDD_NAME, DATAFRAME_NAME = "RDD", "DataFrame"
-MISSING_ERROR = "Missing results for comparison"
-MISSING_ADVICE = "Unable to generate recommendations due to missing results"
-LARGE_ADVICE = ("Consider using more partitions for large datasets",
-                "Enable adaptive query execution for better resource utilization")
-LARGE_RECORDS = 100000
-LABEL_CHARS = 8
-TIME_CHART, SPEEDUP_CHART, BASELINE = "time_comparison", "speedup", "Baseline"
+from numprof.functions.fixed import (
+    BASELINE, COMPLETED, DATAFRAME, DATAFRAME_ADVICE, DATAFRAME_NAME, FAILED, GPU, LABEL_CHARS,
+    LARGE_ADVICE, LARGE_RECORDS, MISSING_ADVICE, MISSING_ERROR, RDD, RDD_ADVICE, RDD_NAME,
+    SPEEDUP_CHART, TIME_CHART,
+)
 
 
 def results_long(rdd: DataFrame | None = None, df: DataFrame | None = None,
@@ -84,12 +79,12 @@ def _compare_columns() -> dict[str, Column]:
     speedup = F.when(df_t > 0, F.round(rdd_t / F.nullif(df_t, F.lit(0)), 2)).otherwise(F.lit(0.0))
     pct = F.round(F.abs(rdd_t - df_t) / F.nullif(F.greatest(rdd_t, df_t), F.lit(0)) * 100, 1)
     df_wins = df_t < rdd_t
-    sentence = (F.when(df_wins, F.concat(F.lit("Use DataFrame API for "),
+    sentence = (F.when(df_wins, F.concat(F.lit(DATAFRAME_ADVICE[0]),
                                          _one_decimal((rdd_t - df_t) / F.nullif(rdd_t, F.lit(0)) * 100),
-                                         F.lit("% better performance")))
-                .otherwise(F.concat(F.lit("RDD API showed "),
+                                         F.lit(DATAFRAME_ADVICE[1])))
+                .otherwise(F.concat(F.lit(RDD_ADVICE[0]),
                                     _one_decimal((df_t - rdd_t) / F.nullif(df_t, F.lit(0)) * 100),
-                                    F.lit("% better performance for this dataset"))))
+                                    F.lit(RDD_ADVICE[1]))))
     large = F.coalesce(F.col("rdd_records"), F.lit(0)) > F.lit(LARGE_RECORDS)
     advice = F.concat(
         F.filter(F.array(sentence), lambda s: s.isNotNull()),
@@ -117,7 +112,7 @@ def analyze_flat(results: DataFrame, job_ids: DataFrame | None = None) -> DataFr
     cmp = _compare_columns()
     return a.select(
         "job_id",
-        F.when(F.col("has_gpu"), F.lit("completed")).otherwise(F.lit("failed")).alias("gpu_status"),
+        F.when(F.col("has_gpu"), F.lit(COMPLETED)).otherwise(F.lit(FAILED)).alias("gpu_status"),
         F.coalesce(F.col("gpu_count"), F.lit(0)).alias("gpu_processed_count"),
         *[c.alias(n) for n, c in cmp.items()],
         F.col("rdd_records").alias("rdd_record_count"),

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from numprof.functions.fixed import DATAFRAME_NAME, GPU, RDD_NAME, SUCCESS, UNKNOWN_JOB
 from numprof.operators.arrays import process_requests
 from numprof.operators.categories import category_list, category_map, category_stats
 from numprof.operators.profile import profile
@@ -15,7 +16,7 @@ from numprof.plans.stats_join import attach_by_keys, materialize, table_size
 def _job_id(job_col: str | None, job_id: str | None) -> Column:
     if job_col is not None:
         return F.col(job_col).cast("string")
-    return F.lit(job_id if job_id is not None else "unknown")
+    return F.lit(job_id if job_id is not None else UNKNOWN_JOB)
 
 
 def job_results(df: DataFrame, value: str = "value", job_col: str | None = None,
@@ -57,7 +58,7 @@ def job_results(df: DataFrame, value: str = "value", job_col: str | None = None,
         F.lit(processing_time_ms).cast("long").alias("processing_time_ms"),
         F.col("record_count"), F.col("avg_value"), F.col("max_value"), F.col("min_value"),
         (F.col("std_dev") if shape == "dataframe" else F.lit(None).cast("double")).alias("std_dev"),
-        F.lit("DataFrame" if shape == "dataframe" else "RDD").alias("processing_type"),
+        F.lit(DATAFRAME_NAME if shape == "dataframe" else RDD_NAME).alias("processing_type"),
         F.coalesce(F.col("category_stats"), empty).alias("category_stats"),
     )
 
@@ -65,7 +66,7 @@ def job_results(df: DataFrame, value: str = "value", job_col: str | None = None,
 def array_results(requests: DataFrame) -> DataFrame:
     """Array-kind records ``(job_id, result)`` of the successful requests."""
     done = process_requests(requests)
-    return done.filter(F.col("status") == "success").select("job_id", "result")
+    return done.filter(F.col("status") == SUCCESS).select("job_id", "result")
 
 
 def receipts(requests: DataFrame, storage_root: str, per_job_files: bool = False) -> DataFrame:
@@ -75,8 +76,8 @@ def receipts(requests: DataFrame, storage_root: str, per_job_files: bool = False
     ``storage_path`` is the folder that holds the job's array result under
     the sink layout (per engine, or per engine and job)."""
     done = process_requests(requests)
-    ok = F.col("status") == "success"
-    folder = storage_root.rstrip("/") + "/engine=gpu_processed"
+    ok = F.col("status") == SUCCESS
+    folder = storage_root.rstrip("/") + f"/engine={GPU}"
     path = F.concat(F.lit(folder + "/job_id="), F.col("job_id")) if per_job_files else F.lit(folder)
     return done.select(
         "status", "job_id",

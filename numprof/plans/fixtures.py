@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from numprof.functions.fixed import NORMALIZE
 from numprof.operators.results import array_results
 from numprof.plans.stats_join import scratch_path
 from numprof.sinks.results import write_lines
@@ -45,7 +46,7 @@ def requests_from_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         F.when(lab != NO_JOB_LABEL, F.col("vec_id").cast("string")).alias("job_id"),
         F.when(lab == BAD_TYPE_LABEL, F.lit(BAD_TYPE))
-         .when(lab != NO_TYPE_LABEL, F.lit("normalize")).alias("type"),
+         .when(lab != NO_TYPE_LABEL, F.lit(NORMALIZE)).alias("type"),
         F.when(lab != NO_DATA_LABEL, F.col("embedding").cast("array<double>")).alias("data"))
 
 
@@ -72,6 +73,6 @@ def lineitem_results(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
 
 def embeddings_array_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _table(spark, sf_dir, "embeddings")
-    req = e.select(F.col("vec_id").cast("string").alias("job_id"), F.lit("normalize").alias("type"),
+    req = e.select(F.col("vec_id").cast("string").alias("job_id"), F.lit(NORMALIZE).alias("type"),
                    F.col("embedding").cast("array<double>").alias("data"))
     return array_results(req)

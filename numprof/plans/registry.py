@@ -19,8 +19,8 @@ from numprof.operators.categories import category_stats
 from numprof.operators.profile import flavour_diff, profile
 from numprof.operators.standardize import standardize
 from numprof.operators.arrays import array_stats, standardize_arrays, standardize_arrays_long
+from numprof.functions.fixed import LARGE_RECORDS
 from numprof.operators.jobs import (
-    LARGE_RECORDS,
     analyze_flat, chart_series, nested_results, recommendations, results_long, speedup_report,
 )
 from numprof.operators.matrix import array_rows_to_coo, matmul_coo, matmul_tiled

@@ -12,8 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The three result key spaces.
-ENGINES = ("gpu_processed", "spark_rdd", "spark_dataframe")
+from numprof.functions.fixed import ENGINES
 
 
 def write_results(df: DataFrame, root: str, engine: str, per_job_files: bool = False) -> None:
