@@ -24,3 +24,27 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def cluster_conf(input_bytes: int, total_cores: int, split_bytes: int = 256 << 20,
+                 shuffle_target_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input.
+
+    Scan splits of ``split_bytes`` (so a 100 TB scan is ~400k tasks of a
+    size that fits executor memory); the initial shuffle partition count is
+    large enough for a full shuffle of the input at ``shuffle_target_bytes``
+    per partition (the shuffled-hash path and the matrix joins move fact
+    rows), and AQE coalesces it down where only partial aggregates move.
+    Statistics are broadcast only on sizes measured at run time.
+    """
+    shuffle_parts = max(total_cores * 2, -(-input_bytes // shuffle_target_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_target_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }

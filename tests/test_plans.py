@@ -88,3 +88,11 @@ def test_adaptive_threshold_governs_measured_broadcasts(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_cluster_conf_scales_with_input():
+    from numprof.session import cluster_conf
+    big = cluster_conf(100 << 40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (128 << 20)
+    assert big["spark.sql.autoBroadcastJoinThreshold"] == "-1"
+    assert int(cluster_conf(1 << 20, 16)["spark.sql.shuffle.partitions"]) == 32
