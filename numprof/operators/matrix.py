@@ -58,9 +58,10 @@ def _tile_products(block: int):
                 a_on = np.zeros(block * block)
                 b = np.zeros(block * block)
                 b_on = np.zeros(block * block)
-                a[ai] = av
+                # summed, so repeated coordinates count as the join form counts them
+                np.add.at(a, ai, av)
                 a_on[ai] = 1.0
-                b[bi_idx] = bv
+                np.add.at(b, bi_idx, bv)
                 b_on[bi_idx] = 1.0
                 prod = a.reshape(block, block) @ b.reshape(block, block)
                 touched = (a_on.reshape(block, block) @ b_on.reshape(block, block)) > 0

@@ -215,3 +215,11 @@ def test_analysis_for_given_job_ids(spark):
     assert got["a"]["faster_method"] == "DataFrame" and got["a"]["speedup"] == 2.0
     assert got["ghost"]["error"] == "Missing results for comparison"
     assert got["ghost"]["gpu_status"] == "failed"
+
+
+def test_repeated_coordinates_sum_in_both_forms(spark):
+    a = spark.createDataFrame([(0, 0, 1.0), (0, 0, 2.0), (1, 1, 4.0)], "row_id long, col_id long, v double")
+    b = spark.createDataFrame([(0, 0, 10.0), (1, 1, 1.0)], "row_id long, col_id long, v double")
+    want = {(0, 0): 30.0, (1, 1): 4.0}
+    assert {(r[0], r[1]): r[2] for r in matmul_coo(a, b).collect()} == want
+    assert {(r[0], r[1]): r[2] for r in matmul_tiled(a, b, block=2).collect()} == want
