@@ -37,9 +37,11 @@ def matmul_coo(a: DataFrame, b: DataFrame, small_right: bool = False) -> DataFra
 
 
 def _tiles(m: DataFrame, row_tile: str, col_tile: str, block: int) -> DataFrame:
-    local = (F.col("row_id") % block) * block + (F.col("col_id") % block)
-    return (m.select(F.expr(f"row_id div {int(block)}").alias(row_tile),
-                     F.expr(f"col_id div {int(block)}").alias(col_tile),
+    b = int(block)
+    # floor division and a non-negative offset, also for negative indices
+    local = F.expr(f"pmod(row_id, {b}) * {b} + pmod(col_id, {b})")
+    return (m.select(F.expr(f"(row_id - pmod(row_id, {b})) div {b}").alias(row_tile),
+                     F.expr(f"(col_id - pmod(col_id, {b})) div {b}").alias(col_tile),
                      F.struct(local.cast("int").alias("i"), F.col("v").cast("double").alias("v")).alias("e"))
             .groupBy(row_tile, col_tile)
             .agg(F.collect_list("e").alias("cells"))

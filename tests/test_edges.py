@@ -223,3 +223,11 @@ def test_repeated_coordinates_sum_in_both_forms(spark):
     want = {(0, 0): 30.0, (1, 1): 4.0}
     assert {(r[0], r[1]): r[2] for r in matmul_coo(a, b).collect()} == want
     assert {(r[0], r[1]): r[2] for r in matmul_tiled(a, b, block=2).collect()} == want
+
+
+def test_negative_indices_in_tiles(spark):
+    a = spark.createDataFrame([(-3, -1, 2.0), (-3, 4, 1.0)], "row_id long, col_id long, v double")
+    b = spark.createDataFrame([(-1, -5, 3.0), (4, -5, 5.0), (4, 2, 7.0)], "row_id long, col_id long, v double")
+    want = {(r[0], r[1]): r[2] for r in matmul_coo(a, b).collect()}
+    assert want == {(-3, -5): 11.0, (-3, 2): 7.0}
+    assert {(r[0], r[1]): r[2] for r in matmul_tiled(a, b, block=3).collect()} == want
