@@ -231,3 +231,16 @@ def test_negative_indices_in_tiles(spark):
     want = {(r[0], r[1]): r[2] for r in matmul_coo(a, b).collect()}
     assert want == {(-3, -5): 11.0, (-3, 2): 7.0}
     assert {(r[0], r[1]): r[2] for r in matmul_tiled(a, b, block=3).collect()} == want
+
+
+def test_two_key_columns(spark):
+    df = spark.createDataFrame([("x", 1, 1.0), ("x", 1, 3.0), ("x", 2, 10.0), ("x", 2, 30.0),
+                                (None, 1, 5.0), (None, 1, 7.0)], "a string, b int, value double")
+    std = standardize(df, keys=["a", "b"], ddof=0)
+    got = sorted((r["a"], r["b"], r["value"], r["normalized_value"]) for r in std.collect()
+                 if r["a"] is not None)
+    assert got == [("x", 1, 1.0, -1.0), ("x", 1, 3.0, 1.0), ("x", 2, 10.0, -1.0), ("x", 2, 30.0, 1.0)]
+    nulls = [r["normalized_value"] for r in std.collect() if r["a"] is None]
+    assert sorted(nulls) == [-1.0, 1.0]
+    cats = category_stats(std, ["a", "b"]).collect()
+    assert sum(r["count"] for r in cats) == 6 and {r["category"] for r in cats} == {"medium"}
