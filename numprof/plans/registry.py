@@ -26,7 +26,7 @@ from numprof.operators.jobs import (
 from numprof.operators.matrix import array_rows_to_coo, matmul_coo, matmul_tiled
 from numprof.operators.results import job_results, receipts
 from numprof.plans import fixtures as fx
-from numprof.plans.jobs import run_profile_job
+from numprof.plans.jobs import run_analysis, run_profile_job
 from numprof.plans.stats_join import scratch_path
 from numprof.sinks.results import write_results
 from numprof.sources.files import read_numeric_csv, read_numeric_text, read_requests, read_results, uniform_values
@@ -527,6 +527,18 @@ def timed_profile(spark, d):
     return rec.select("job_id", "processing_time_ms", "record_count", "avg_value", "std_dev")
 
 
+@register("timed_comparison")
+def timed_comparison(spark, d):
+    """The original workflow end to end: the same events lines profiled by
+    both kinds (CSV reader / text reader), each timed and stored, then the
+    stored results analysed (J10 + S1/S2 + K1/K2 + S4 + J1-J6)."""
+    lines = fx.events_lines(spark, d)
+    root = scratch_path(spark, "timed")
+    run_profile_job(spark, lines, "events", kind="dataframe", output_root=root)
+    run_profile_job(spark, lines, "events", kind="rdd", output_root=root)
+    return run_analysis(spark, root)
+
+
 @register("uniform_input")
 def uniform_input(spark, d):
     """One uniform value in [-100, 100) per lineitem row, profiled."""
