@@ -26,12 +26,15 @@ def job_id_from_path(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+?)(\.[^./]*)?$", 1)
 
 
-def _stream(spark: SparkSession, input_dir: str, kind: str) -> DataFrame:
+def _stream(spark: SparkSession, input_dir: str, kind: str, max_files: int | None) -> DataFrame:
+    reader = spark.readStream
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", int(max_files))
     if kind == "dataframe":
-        rows = (spark.readStream.schema(VALUE_SCHEMA).option("header", "false")
+        rows = (reader.schema(VALUE_SCHEMA).option("header", "false")
                 .option("mode", "PERMISSIVE").csv(input_dir))
     elif kind == "rdd":
-        lines = spark.readStream.text(input_dir)
+        lines = reader.text(input_dir)
         rows = lines.select(parse_double("value", strict=True).alias("value"))
     else:
         raise ValueError("kind must be 'dataframe' or 'rdd'")
@@ -41,14 +44,17 @@ def _stream(spark: SparkSession, input_dir: str, kind: str) -> DataFrame:
 def profile_files_stream(spark: SparkSession, input_dir: str, output_root: str,
                          kind: str = "dataframe", checkpoint_location: str | None = None,
                          available_now: bool = False,
-                         processing_time: str | None = None) -> StreamingQuery:
+                         processing_time: str | None = None,
+                         max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start a streaming query that profiles every file arriving in
     ``input_dir`` and writes one result record per file below
     ``output_root`` (engine ``spark_dataframe`` or ``spark_rdd``).
 
-    ``available_now=True`` processes what is there and stops.  The
-    streaming checkpoint defaults to a fresh folder below the session's
-    shared checkpoint folder.
+    ``available_now=True`` processes what is there and stops.
+    ``max_files_per_trigger`` bounds each micro-batch, so a backlog of
+    files is worked off in batches of bounded size.  The streaming
+    checkpoint defaults to a fresh folder below the session's shared
+    checkpoint folder.
     """
     engine = "spark_dataframe" if kind == "dataframe" else "spark_rdd"
     ckpt = checkpoint_location or scratch_path(spark, "stream-ckpt")
@@ -57,7 +63,7 @@ def profile_files_stream(spark: SparkSession, input_dir: str, output_root: str,
         rec = job_results(batch, "value", job_col="job_id", kind=kind)
         write_results(rec, output_root, engine, per_job_files=True)
 
-    writer = _stream(spark, input_dir, kind).writeStream.foreachBatch(run_batch) \
+    writer = _stream(spark, input_dir, kind, max_files_per_trigger).writeStream.foreachBatch(run_batch) \
         .option("checkpointLocation", ckpt)
     if available_now:
         writer = writer.trigger(availableNow=True)

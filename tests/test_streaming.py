@@ -13,7 +13,8 @@ def test_files_stream_one_job_per_file(spark, tmp_path):
     (src / "b.csv").write_text("10.0\nabc\n30.0\n")
     out = str(tmp_path / "out")
     q = profile_files_stream(spark, str(src), out, kind="dataframe",
-                             checkpoint_location=str(tmp_path / "ck"), available_now=True)
+                             checkpoint_location=str(tmp_path / "ck"), available_now=True,
+                             max_files_per_trigger=1)
     q.awaitTermination(120)
     got = {r["job_id"]: r for r in read_results(spark, out).collect()}
     assert set(got) == {"001", "b"}
