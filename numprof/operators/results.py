@@ -11,7 +11,7 @@ from numprof.operators.arrays import process_requests
 from numprof.operators.categories import category_list, category_map, category_stats
 from numprof.operators.profile import profile
 from numprof.operators.standardize import standardize
-from numprof.plans.stats_join import attach_by_keys, materialize, table_size
+from numprof.plans.stats_join import attach_by_keys, materialize, table_size, with_scalar_row
 
 def _job_id(job_col: str | None, job_id: str | None) -> Column:
     if job_col is not None:
@@ -50,7 +50,7 @@ def job_results(df: DataFrame, value: str = "value", job_col: str | None = None,
         # ``stats`` is materialised, so it is the side whose size is checked.
         rec = attach_by_keys(nested, stats, keys, stats_bytes=stats_bytes)
     else:
-        rec = stats.crossJoin(F.broadcast(nested))
+        rec = with_scalar_row(stats, nested)
     empty = (F.array() if shape == "dataframe" else F.create_map()).cast(
         nested.schema["category_stats"].dataType)
     return rec.select(

@@ -105,12 +105,24 @@ def table_size(df: DataFrame) -> int:
     return int(row["n"]) * fixed + int(row["v"] or 0)
 
 
+def with_scalar_row(rows: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Add the columns of a one-row table (a global aggregate) to every row.
+
+    The table becomes a single scalar subquery returning a struct; Spark
+    runs it once and reuses it for every field, so this is neither a join
+    nor a shuffle of ``rows``.
+    """
+    packed = one_row.select(F.struct(*one_row.columns).alias("__row")).scalar()
+    return rows.withColumns({c: packed.getField(c) for c in one_row.columns})
+
+
 def attach_by_keys(rows: DataFrame, stats: DataFrame, keys: tuple[str, ...] | list[str],
                    how: str = "left", stats_bytes: int | None = None) -> DataFrame:
     """Join per-key ``stats`` onto ``rows`` (key columns compared null-safe).
 
-    With no keys, ``stats`` must hold exactly one row (a global aggregate)
-    and is broadcast.  With keys, ``stats`` is broadcast only when its
+    With no keys, ``stats`` must hold exactly one row (a global aggregate);
+    its columns become one scalar subquery, computed once and read by every
+    task, so the rows are neither joined nor shuffled.  With keys, ``stats`` is broadcast only when its
     measured size (:func:`table_size`, or ``stats_bytes`` from a caller that
     measured it already) is within the broadcast threshold.  Otherwise it is
     a shuffled hash join that builds on the statistics side: each task hashes
@@ -121,7 +133,7 @@ def attach_by_keys(rows: DataFrame, stats: DataFrame, keys: tuple[str, ...] | li
     """
     keys = list(keys)
     if not keys:
-        return rows.crossJoin(F.broadcast(stats))
+        return with_scalar_row(rows, stats)
     renamed = stats.select(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)],
                            *[c for c in stats.columns if c not in keys])
     size = table_size(renamed) if stats_bytes is None else stats_bytes
