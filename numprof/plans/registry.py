@@ -89,7 +89,7 @@ _BAND_SQL = "CASE WHEN z > 1.0 THEN 'high' WHEN z < -1.0 THEN 'low' ELSE 'medium
 
 @register("zscore_categories", f"""
 WITH s AS (SELECT avg(value) AS mu, stddev_samp(value) AS sd FROM events),
-z AS (SELECT e.value, (e.value - s.mu) / nullif(s.sd, 0) AS z FROM events e CROSS JOIN s)
+z AS (SELECT value, (value - (SELECT mu FROM s)) / nullif((SELECT sd FROM s), 0) AS z FROM events)
 SELECT {_BAND_SQL} AS category, count(*) AS count,
        round(avg(z), 6) AS avg_normalized, round(avg(value), 6) AS avg_original
 FROM z GROUP BY 1
@@ -102,8 +102,8 @@ def zscore_categories(spark, d):
 
 @register("zscore_categories_pop", f"""
 WITH s AS (SELECT avg(value) AS mu, stddev_pop(value) AS sd FROM events WHERE value IS NOT NULL),
-z AS (SELECT e.value, (e.value - s.mu) / nullif(s.sd, 0) AS z
-      FROM events e CROSS JOIN s WHERE e.value IS NOT NULL)
+z AS (SELECT value, (value - (SELECT mu FROM s)) / nullif((SELECT sd FROM s), 0) AS z
+      FROM events WHERE value IS NOT NULL)
 SELECT CASE WHEN isnan(z) THEN 'medium' ELSE {_BAND_SQL} END AS category,
        count(*) AS count, round(avg(z), 6) AS average
 FROM z GROUP BY 1
@@ -116,8 +116,8 @@ def zscore_categories_pop(spark, d):
 
 @register("zscore_rows", f"""
 WITH s AS (SELECT avg(c_acctbal) AS mu, stddev_samp(c_acctbal) AS sd FROM customer),
-z AS (SELECT c_custkey, c_acctbal, (c_acctbal - s.mu) / nullif(s.sd, 0) AS z
-      FROM customer CROSS JOIN s)
+z AS (SELECT c_custkey, c_acctbal, (c_acctbal - (SELECT mu FROM s)) / nullif((SELECT sd FROM s), 0) AS z
+      FROM customer)
 SELECT c_custkey, round(c_acctbal, 6) AS c_acctbal, round(z, 6) AS normalized_value,
        {_BAND_SQL} AS category
 FROM z
