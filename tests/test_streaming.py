@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from conftest import values_df
 from numprof.operators.profile import profile
