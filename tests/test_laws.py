@@ -75,3 +75,20 @@ def test_list_and_map_kinds_agree_on_counts(spark):
           k2.select("job_id", F.explode("category_stats").alias("category", "c")).select("job_id", "category", "c.count").collect()}
     assert sum(c1.values()) == sum(c2.values()) == 10000
     assert set(c1) == set(c2)
+
+
+def test_smoke_flow_uniform_values_as_one_request(spark):
+    """1000 uniform values in [-100, 100) sent as one array request; the
+    standardised result has mean 0 and population deviation 1."""
+    from numprof.operators.arrays import process_requests
+    from numprof.sources.files import uniform_values
+    vals = uniform_values(spark.range(1000), seed=3)
+    req = vals.agg(F.collect_list("value").alias("data")).select(
+        F.lit(None).cast("string").alias("job_id"), F.lit(None).cast("string").alias("type"), "data")
+    out = process_requests(req).collect()[0]
+    assert out["status"] == "success" and out["job_id"] == "unknown" and out["type"] == "normalize"
+    res = out["result"]
+    assert len(res) == 1000 and all(-100 <= v < 100 for v in out["data"])
+    mean = sum(res) / len(res)
+    sd = (sum((x - mean) ** 2 for x in res) / len(res)) ** 0.5
+    assert abs(mean) < 1e-9 and abs(sd - 1) < 1e-9
