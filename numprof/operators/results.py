@@ -21,7 +21,7 @@ def _job_id(job_col: str | None, job_id: str | None) -> Column:
 
 def job_results(df: DataFrame, value: str = "value", job_col: str | None = None,
                 job_id: str | None = None, kind: str = "dataframe",
-                processing_time_ms: int | None = None) -> DataFrame:
+                processing_time_ms: int | None = None, broadcast: str = "auto") -> DataFrame:
     """One result record per job.
 
     ``kind="dataframe"``: sample deviation, NULL rows kept and counted in the
@@ -30,7 +30,8 @@ def job_results(df: DataFrame, value: str = "value", job_col: str | None = None,
     ``category_stats`` a map; ``std_dev`` is NULL (not part of that kind).
     Jobs are the values of ``job_col`` (NULL is a job of its own) or, without
     it, the whole input is the single job ``job_id``.  Statistics are
-    materialised once and reused for the z-scores and the record.
+    materialised once and reused for the z-scores and the record;
+    ``broadcast`` is as in :func:`numprof.plans.stats_join.attach_by_keys`.
     """
     keys = [job_col] if job_col else []
     if kind == "rdd":
@@ -41,14 +42,14 @@ def job_results(df: DataFrame, value: str = "value", job_col: str | None = None,
     else:
         raise ValueError("kind must be 'dataframe' or 'rdd'")
     stats = materialize(profile(df, value, keys, ddof))
-    stats_bytes = table_size(stats) if keys else None
+    stats_bytes = table_size(stats) if keys and broadcast == "auto" else None
     std = standardize(df, value, keys, ddof, nan_is_medium=nan_medium, stats=stats,
-                      stats_bytes=stats_bytes)
+                      stats_bytes=stats_bytes, broadcast=broadcast)
     long = category_stats(std, keys, value, shape)
     nested = category_list(long, keys) if shape == "dataframe" else category_map(long, keys)
     if keys:
         # ``stats`` is materialised, so it is the side whose size is checked.
-        rec = attach_by_keys(nested, stats, keys, stats_bytes=stats_bytes)
+        rec = attach_by_keys(nested, stats, keys, stats_bytes=stats_bytes, broadcast=broadcast)
     else:
         rec = with_scalar_row(stats, nested)
     empty = (F.array() if shape == "dataframe" else F.create_map()).cast(

@@ -117,7 +117,8 @@ def with_scalar_row(rows: DataFrame, one_row: DataFrame) -> DataFrame:
 
 
 def attach_by_keys(rows: DataFrame, stats: DataFrame, keys: tuple[str, ...] | list[str],
-                   how: str = "left", stats_bytes: int | None = None) -> DataFrame:
+                   how: str = "left", stats_bytes: int | None = None,
+                   broadcast: str = "auto") -> DataFrame:
     """Join per-key ``stats`` onto ``rows`` (key columns compared null-safe).
 
     With no keys, ``stats`` must hold exactly one row (a global aggregate);
@@ -130,15 +131,25 @@ def attach_by_keys(rows: DataFrame, stats: DataFrame, keys: tuple[str, ...] | li
     AQE splits a hot key's partition.  The hint also keeps the planner from
     broadcasting on a static estimate.  ``stats`` should be materialised
     (see :func:`materialize`) so that measuring it is cheap.
+
+    ``broadcast="always"`` broadcasts without measuring (the caller knows
+    the statistics are small); ``"never"`` takes the shuffled path without
+    measuring, so nothing runs eagerly.
     """
     keys = list(keys)
     if not keys:
         return with_scalar_row(rows, stats)
     renamed = stats.select(*[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)],
                            *[c for c in stats.columns if c not in keys])
-    size = table_size(renamed) if stats_bytes is None else stats_bytes
-    threshold = broadcast_threshold(rows.sparkSession)
-    right = F.broadcast(renamed) if 0 < threshold and size <= threshold else renamed.hint("shuffle_hash")
+    if broadcast == "auto":
+        size = table_size(renamed) if stats_bytes is None else stats_bytes
+        threshold = broadcast_threshold(rows.sparkSession)
+        small = 0 < threshold and size <= threshold
+    elif broadcast in ("always", "never"):
+        small = broadcast == "always"
+    else:
+        raise ValueError("broadcast must be 'auto', 'always' or 'never'")
+    right = F.broadcast(renamed) if small else renamed.hint("shuffle_hash")
     cond = reduce(lambda a, b: a & b,
                   [rows[k].eqNullSafe(right[f"__key{i}"]) for i, k in enumerate(keys)])
     joined = rows.join(right, cond, how)

@@ -57,3 +57,16 @@ def test_profile_and_bands_match_numpy(spark, xs):
         if clear.all():
             assert cats.get("high", 0) == int((z > 1).sum())
             assert cats.get("low", 0) == int((z < -1).sum())
+
+
+def test_broadcast_modes(spark):
+    df = _skewed(spark, 3000)
+    want = {(r["k"], r["category"]): r["count"]
+            for r in category_stats(standardize(df, "value", ["k"]), ["k"]).collect()}
+    for mode, join in (("always", "BroadcastHashJoin"), ("never", "ShuffledHashJoin")):
+        std = standardize(df, "value", ["k"], broadcast=mode)
+        assert join in std._jdf.queryExecution().sparkPlan().toString()
+        # no statistics were materialised: the stats aggregate is part of the plan
+        assert "ExistingRDD" not in std._jdf.queryExecution().sparkPlan().toString()
+        got = {(r["k"], r["category"]): r["count"] for r in category_stats(std, ["k"]).collect()}
+        assert got == want
