@@ -1,12 +1,11 @@
-"""Materialise small statistics tables and attach them back onto rows.
-
-Statistics (one row globally, one row per key otherwise) are computed once,
-written to the cluster's shared checkpoint folder, and joined back onto the
-data rows.  The join is a broadcast only when the materialised table's row
-count proves it fits under ``spark.sql.autoBroadcastJoinThreshold``;
-otherwise it is a plain equi-join that Spark plans as a sort-merge join,
-where adaptive execution splits hot keys (skew join) or still converts to a
-broadcast if the runtime size allows it.
+"""Attach statistics back onto the rows they were computed from.
+
+One-row (global) statistics enter the row scan as a single scalar subquery:
+no join, no shuffle.  Per-key statistics are materialised in the cluster's
+shared checkpoint folder (cutting lineage), measured in one cheap job, and
+broadcast only when the measured size fits the broadcast threshold;
+otherwise they meet the rows in a shuffled hash join built on the
+statistics side, where adaptive execution splits hot keys.
 """
 
 from __future__ import annotations
@@ -123,9 +122,10 @@ def attach_by_keys(rows: DataFrame, stats: DataFrame, keys: tuple[str, ...] | li
 
     With no keys, ``stats`` must hold exactly one row (a global aggregate);
     its columns become one scalar subquery, computed once and read by every
-    task, so the rows are neither joined nor shuffled.  With keys, ``stats`` is broadcast only when its
-    measured size (:func:`table_size`, or ``stats_bytes`` from a caller that
-    measured it already) is within the broadcast threshold.  Otherwise it is
+    task, so the rows are neither joined nor shuffled.  With keys, ``stats``
+    is broadcast only when its measured size (:func:`table_size`, or
+    ``stats_bytes`` from a caller that measured it already) is within the
+    broadcast threshold.  Otherwise it is
     a shuffled hash join that builds on the statistics side: each task hashes
     its slice of the statistics and streams its rows through unsorted, and
     AQE splits a hot key's partition.  The hint also keeps the planner from
