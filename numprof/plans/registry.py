@@ -70,6 +70,7 @@ SELECT count(value) AS record_count, round(avg(value), 6) AS avg_value,
 FROM events
 """)
 def profile_events(spark, d):
+    """One-pass profile of events.value (sample deviation)."""
     return round_all(profile(table(spark, d, "events"), "value"))
 
 
@@ -81,6 +82,7 @@ SELECT count(value) AS record_count, round(avg(value), 6) AS avg_value,
 FROM events
 """)
 def profile_events_pop(spark, d):
+    """Count, sum, mean, extremes, population variance and deviation."""
     return round_all(profile(table(spark, d, "events"), "value", ddof=0, extended=True))
 
 
@@ -111,6 +113,7 @@ SELECT CASE WHEN isnan(z) THEN 'medium' ELSE {_BAND_SQL} END AS category,
 FROM z GROUP BY 1
 """)
 def zscore_categories_pop(spark, d):
+    """Population z-scores, NaN z in medium, band count and mean."""
     rows = table(spark, d, "events").select("value").filter(F.col("value").isNotNull())
     std = standardize(rows, "value", ddof=0, nan_is_medium=True)
     return round_all(category_stats(std, shape="rdd"))
@@ -125,6 +128,7 @@ SELECT c_custkey, round(c_acctbal, 6) AS c_acctbal, round(z, 6) AS normalized_va
 FROM z
 """)
 def zscore_rows(spark, d):
+    """P3, P5 at row level over customer balances (negative values included)."""
     rows = table(spark, d, "customer").select("c_custkey", "c_acctbal")
     return round_all(standardize(rows, "c_acctbal"))
 
@@ -138,6 +142,7 @@ SELECT event_type, count(value) AS record_count, round(avg(value), 6) AS avg_val
 FROM events GROUP BY event_type
 """)
 def profile_by_job(spark, d):
+    """Population profile per event type, one pass."""
     return round_all(profile(table(spark, d, "events"), "value", ["event_type"], ddof=0))
 
 
@@ -148,6 +153,7 @@ SELECT l_returnflag, count(l_extendedprice) AS record_count,
 FROM lineitem GROUP BY l_returnflag
 """)
 def profile_lineitem_by_flag(spark, d):
+    """R1 over lineitem.l_extendedprice per return flag."""
     li = table(spark, d, "lineitem")
     return round_all(profile(li, "l_extendedprice", ["l_returnflag"]))
 
@@ -162,6 +168,7 @@ SELECT event_type, {_BAND_SQL} AS category, count(*) AS count,
 FROM z GROUP BY 1, 2
 """)
 def categories_by_job(spark, d):
+    """Per-job z-scores and band statistics (events per event type)."""
     rows = table(spark, d, "events").select("event_type", "value")
     std = standardize(rows, "value", ["event_type"])
     return round_all(category_stats(std, ["event_type"]))
@@ -177,6 +184,7 @@ SELECT l_returnflag, {_BAND_SQL} AS category, count(*) AS count,
 FROM z GROUP BY 1, 2
 """)
 def categories_lineitem_by_flag(spark, d):
+    """R2, R3 over lineitem.l_extendedprice per return flag."""
     rows = table(spark, d, "lineitem").select("l_returnflag", "l_extendedprice")
     std = standardize(rows, "l_extendedprice", ["l_returnflag"])
     return round_all(category_stats(std, ["l_returnflag"], value="l_extendedprice"))
@@ -191,6 +199,7 @@ SELECT o_orderstatus, count(o_totalprice) AS record_count,
 FROM orders GROUP BY o_orderstatus
 """)
 def flavour_diff_orders(spark, d):
+    """Sample and population deviation side by side per order status."""
     return round_all(flavour_diff(table(spark, d, "orders"), "o_totalprice", ["o_orderstatus"]))
 
 
@@ -244,6 +253,7 @@ _LINES_SQL = f"SELECT CASE WHEN event_type = '{fx.BAD_EVENT_TYPE}' THEN NULL ELS
 @register("category_list", "WITH r AS (SELECT event_type, value FROM events) "
           + _K1_SQL.format(key="r.event_type").replace("SELECT r.event_type AS job_id", "SELECT event_type AS job_id"))
 def category_list_q(spark, d):
+    """A4, K1: DataFrame-kind job records per event type, list exploded back to rows."""
     rows = table(spark, d, "events").select("event_type", "value")
     return _flat_list(job_results(rows, "value", job_col="event_type"))
 
@@ -251,12 +261,14 @@ def category_list_q(spark, d):
 @register("category_map", "WITH r AS (SELECT event_type, value FROM events WHERE value IS NOT NULL) "
           + _K2_SQL.format(key="r.event_type"))
 def category_map_q(spark, d):
+    """A4, K2: RDD-kind job records per event type, map exploded back to rows."""
     rows = table(spark, d, "events").select("event_type", "value")
     return _flat_map(job_results(rows, "value", job_col="event_type", kind="rdd"))
 
 
 @register("csv_scan", f"WITH r AS ({_LINES_SQL}) " + _K1_SQL.format(key="'events'"))
 def csv_scan(spark, d):
+    """S1 + K1: events lines (error events unparseable) read as CSV, NULL rows kept."""
     rows = read_numeric_csv(spark, fx.events_lines(spark, d))
     return _flat_list(job_results(rows, "value", job_id="events"))
 
@@ -264,6 +276,7 @@ def csv_scan(spark, d):
 @register("text_scan", f"WITH r AS (SELECT value FROM ({_LINES_SQL}) WHERE value IS NOT NULL) "
           + _K2_SQL.format(key="'events'"))
 def text_scan(spark, d):
+    """S2, P1, P2 + K2: the same lines read as text, bad lines dropped."""
     rows = read_numeric_text(spark, fx.events_lines(spark, d), on_malformed="drop")
     return _flat_map(job_results(rows, "value", job_id="events", kind="rdd"))
 
@@ -285,6 +298,7 @@ SELECT CASE WHEN label = {fx.NO_DATA_LABEL} OR label = {fx.BAD_TYPE_LABEL} THEN
 FROM embeddings
 """)
 def array_requests(spark, d):
+    """S3, M5, K4, K5: embeddings as JSON requests (some without data or with a bad type), receipts."""
     return receipts(read_requests(spark, fx.requests_file(spark, d)), "results", per_job_files=True)
 
 
@@ -295,6 +309,7 @@ SELECT vec_id, CAST(len(embedding) AS INTEGER) AS size, round(list_avg(embedding
 FROM embeddings
 """)
 def array_stats_q(spark, d):
+    """M1, M4: size, mean, population variance and deviation of every embedding."""
     e = table(spark, d, "embeddings").select("vec_id", "embedding")
     return round_all(array_stats(e, "embedding").drop("embedding"))
 
@@ -311,6 +326,7 @@ u AS (SELECT vec_id, mu, sd, generate_subscripts(embedding, 1) - 1 AS pos,
 SELECT vec_id, CAST(pos AS INTEGER) AS pos, round((x - mu) / nullif(sd, 0), 6) AS value FROM u
 """)
 def array_standardize(spark, d):
+    """Every embedding standardised in place, exploded for comparison."""
     e = table(spark, d, "embeddings").select("vec_id", "embedding")
     out = standardize_arrays(e, "embedding", "result")
     return round_all(out.select("vec_id", F.posexplode("result").alias("pos", "value")))
@@ -321,6 +337,7 @@ SELECT vec_id, CAST(pos AS INTEGER) AS pos, round(x, 6) AS value,
        round((x - mu) / nullif(sd, 0), 6) AS normalized_value FROM u
 """)
 def array_standardize_long(spark, d):
+    """M2 long form: elements as rows, per-array statistics joined back."""
     e = table(spark, d, "embeddings").select("vec_id", "embedding")
     return round_all(standardize_arrays_long(e, ["vec_id"], "embedding"))
 
@@ -347,6 +364,7 @@ def matrix_multiply(spark, d):
 
 @register("matrix_multiply_tiled", _GRAM_SQL)
 def matrix_multiply_tiled(spark, d):
+    """M3 tiled: the same product in 32 x 32 tiles multiplied with numpy in tasks."""
     a, b = _gram_inputs(spark, d)
     return round_all(matmul_tiled(a, b, block=32))
 
@@ -392,6 +410,7 @@ SELECT job_id, gpu_status, gpu_processed_count, error, rdd_time_ms, dataframe_ti
        faster_method, performance_improvement_pct, rdd_record_count FROM f
 """)
 def job_analysis(spark, d):
+    """Supplier vs part quantity totals as the two kinds' times, plus array results."""
     return _analysis(spark, d).drop("recommendations")
 
 
@@ -414,6 +433,7 @@ UNION ALL SELECT job_id, CASE WHEN sentence IS NULL THEN 1 ELSE 2 END,
           FROM s WHERE ok AND coalesce(rn, 0) > {LARGE_RECORDS}
 """)
 def job_recommendations(spark, d):
+    """One row per recommendation."""
     return recommendations(_analysis(spark, d))
 
 
@@ -433,6 +453,7 @@ SELECT job_id, substr(job_id, 1, 8), 'speedup', 2, faster_method, speedup, true,
 FROM f WHERE ok AND speedup > 0
 """)
 def chart_series_q(spark, d):
+    """Chart series rows."""
     return chart_series(_analysis(spark, d))
 
 
@@ -449,6 +470,7 @@ SELECT job_id, rdd_time_ms, dataframe_time_ms, winner, q / 100 AS ratio,
 FROM h
 """)
 def speedup_report_q(spark, d):
+    """Symmetric, truncated speedup with the winner's sentence."""
     return speedup_report(_analysis(spark, d))
 
 
@@ -468,6 +490,7 @@ SELECT j.job_id, r.rt AS rdd_time_ms, r.rn AS rdd_record_count, d.dt AS datafram
 FROM j LEFT JOIN r ON j.job_id = r.job_id LEFT JOIN d ON j.job_id = d.job_id LEFT JOIN g ON j.job_id = g.job_id
 """)
 def job_results_nested(spark, d):
+    """J9 + S4: stored results of all three kinds read back and nested per job."""
     n = nested_results(read_results(spark, _stored_results(spark, d)))
     return n.select("job_id",
                     F.col("results.spark_rdd.processing_time_ms").alias("rdd_time_ms"),
