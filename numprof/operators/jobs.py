@@ -204,14 +204,12 @@ def nested_results(results: DataFrame) -> DataFrame:
     summary = F.struct("processing_time_ms", "record_count", "avg_value", "max_value",
                        "min_value", "std_dev", "processing_type")
 
-    # collect_list runs as a hash aggregate (a max over structs with
-    # strings would need a sort); each list holds the job's one result of
-    # that engine, and array_max keeps the choice deterministic.
-    def pick_struct(engine: str, c: Column) -> Column:
-        return F.array_max(F.collect_list(F.when(F.col("engine") == F.lit(engine), c)))
-
+    # max over a struct is deterministic and combines map-side, so repeated
+    # copies of a job's result collapse before the shuffle (a collect_list
+    # would carry every copy into one list).  With a string field it runs
+    # as a sort-based aggregate; the input is one row per job and engine.
     g = results.groupBy("job_id").agg(
-        pick_struct(RDD, summary).alias(RDD), pick_struct(DATAFRAME, summary).alias(DATAFRAME),
-        pick_struct(GPU, F.struct(F.coalesce(F.size("result"), F.lit(0)).alias("processed_count")))
+        _pick(RDD, summary).alias(RDD), _pick(DATAFRAME, summary).alias(DATAFRAME),
+        _pick(GPU, F.struct(F.coalesce(F.size("result"), F.lit(0)).alias("processed_count")))
         .alias(GPU))
     return g.select("job_id", F.struct(RDD, DATAFRAME, GPU).alias("results"))

@@ -37,6 +37,9 @@ def matmul_coo(a: DataFrame, b: DataFrame, small_right: bool = False) -> DataFra
 
 
 def _tiles(m: DataFrame, row_tile: str, col_tile: str, block: int) -> DataFrame:
+    # Repeated coordinates are summed first (map-side), so a tile holds at
+    # most block² cells whatever the input repeats.
+    m = m.groupBy("row_id", "col_id").agg(F.sum("v").alias("v"))
     b = int(block)
     # floor division and a non-negative offset, also for negative indices
     local = F.expr(f"pmod(row_id, {b}) * {b} + pmod(col_id, {b})")
@@ -60,10 +63,9 @@ def _tile_products(block: int):
                 a_on = np.zeros(block * block)
                 b = np.zeros(block * block)
                 b_on = np.zeros(block * block)
-                # summed, so repeated coordinates count as the join form counts them
-                np.add.at(a, ai, av)
+                a[ai] = av
                 a_on[ai] = 1.0
-                np.add.at(b, bi_idx, bv)
+                b[bi_idx] = bv
                 b_on[bi_idx] = 1.0
                 prod = a.reshape(block, block) @ b.reshape(block, block)
                 touched = (a_on.reshape(block, block) @ b_on.reshape(block, block)) > 0

@@ -64,3 +64,17 @@ def test_results_reader_prunes_engine_partitions(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[isnotnull\(engine#\d+\), \(engine#\d+ = spark_rdd\)\]", plan)
     got = {r["job_id"]: r for r in only.collect()}
     assert got["a"]["category_map"]["medium"]["count"] == 2 and got["a"]["category_list"] is None
+
+
+def test_nested_results_collapse_repeated_copies(spark):
+    from numprof.operators.jobs import nested_results
+    row = ("hot", "spark_rdd", 10, 5, 1.0, 2.0, 0.0, None, "RDD", None)
+    other = ("cold", "spark_dataframe", 7, 3, 1.0, 2.0, 0.0, 0.5, "DataFrame", None)
+    schema = ("job_id string, engine string, processing_time_ms long, record_count long, avg_value double, "
+              "max_value double, min_value double, std_dev double, processing_type string, result array<double>")
+    res = spark.createDataFrame([row] * 500 + [other], schema)
+    got = {r["job_id"]: r["results"] for r in nested_results(res).collect()}
+    assert got["hot"]["spark_rdd"]["processing_time_ms"] == 10 and got["hot"]["spark_dataframe"] is None
+    assert got["cold"]["spark_dataframe"]["processing_type"] == "DataFrame"
+    plan = nested_results(res)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "partial_max" in plan
