@@ -11,7 +11,7 @@ from numprof.operators.arrays import process_requests
 from numprof.operators.categories import category_list, category_map, category_stats
 from numprof.operators.profile import profile
 from numprof.operators.standardize import standardize
-from numprof.plans.stats_join import attach_by_keys, materialize, table_size, with_scalar_row
+from numprof.plans.stats_join import attach_by_keys, materialize, measure, with_scalar_row
 
 def _job_id(job_col: str | None, job_id: str | None) -> Column:
     if job_col is not None:
@@ -42,14 +42,14 @@ def job_results(df: DataFrame, value: str = "value", job_col: str | None = None,
     else:
         raise ValueError("kind must be 'dataframe' or 'rdd'")
     stats = materialize(profile(df, value, keys, ddof))
-    stats_bytes = table_size(stats) if keys and broadcast == "auto" else None
+    stats_size = measure(stats, keys) if keys and broadcast == "auto" else None
     std = standardize(df, value, keys, ddof, nan_is_medium=nan_medium, stats=stats,
-                      stats_bytes=stats_bytes, broadcast=broadcast)
+                      stats_size=stats_size, broadcast=broadcast)
     long = category_stats(std, keys, value, shape)
     nested = category_list(long, keys) if shape == "dataframe" else category_map(long, keys)
     if keys:
         # ``stats`` is materialised, so it is the side whose size is checked.
-        rec = attach_by_keys(nested, stats, keys, stats_bytes=stats_bytes, broadcast=broadcast)
+        rec = attach_by_keys(nested, stats, keys, stats_size=stats_size, broadcast=broadcast)
     else:
         rec = with_scalar_row(stats, nested)
     empty = (F.array() if shape == "dataframe" else F.create_map()).cast(

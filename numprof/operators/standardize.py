@@ -13,7 +13,7 @@ from numprof.plans.stats_join import attach_by_keys, materialize
 def standardize(df: DataFrame, value: str = "value", keys=(), ddof: int = 1,
                 nan_is_medium: bool = False, stats: DataFrame | None = None,
                 low: float = -1.0, high: float = 1.0, checkpoint: bool | None = None,
-                stats_bytes: int | None = None, broadcast: str = "auto") -> DataFrame:
+                stats_size=None, broadcast: str = "auto") -> DataFrame:
     """Add ``normalized_value`` = (x - mean) / sd and ``category``.
 
     Statistics are those of ``profile(df, value, keys, ddof)`` unless a
@@ -22,8 +22,9 @@ def standardize(df: DataFrame, value: str = "value", keys=(), ddof: int = 1,
     data rows are never shuffled for the standardisation itself.  Global
     statistics are one row and are broadcast straight from the aggregate;
     per-key statistics are materialised by default (``checkpoint``) so their
-    size can be measured before they are broadcast.  ``stats_bytes`` is the
-    measured size of a given ``stats`` table, if known.  ``broadcast``
+    size can be measured before they are broadcast.  ``stats_size`` is the
+    :func:`~numprof.plans.stats_join.measure` result of a given ``stats``
+    table, if known.  ``broadcast``
     (``auto``, ``always``, ``never``) is passed to :func:`attach_by_keys`;
     with ``always`` or ``never`` nothing is measured, and by default nothing
     is materialised, so the whole plan stays lazy.
@@ -34,7 +35,7 @@ def standardize(df: DataFrame, value: str = "value", keys=(), ddof: int = 1,
         if checkpoint if checkpoint is not None else (bool(keys) and broadcast == "auto"):
             stats = materialize(stats)
     s = stats.select(*keys, F.col("avg_value").alias("__mu"), F.col("std_dev").alias("__sd"))
-    joined = attach_by_keys(df, s, keys, stats_bytes=stats_bytes, broadcast=broadcast)
+    joined = attach_by_keys(df, s, keys, stats_size=stats_size, broadcast=broadcast)
     return (joined
             .withColumn("normalized_value", zscore(value, "__mu", "__sd"))
             .withColumn("category", band("normalized_value", low, high, nan_is_medium))

@@ -96,3 +96,15 @@ def test_cluster_conf_scales_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (128 << 20)
     assert big["spark.sql.autoBroadcastJoinThreshold"] == "-1"
     assert int(cluster_conf(1 << 20, 16)["spark.sql.shuffle.partitions"]) == 32
+
+
+def test_plain_equality_join_when_no_key_is_null(spark):
+    from numprof.operators.standardize import standardize
+    clean = spark.createDataFrame([(1, 1.0), (1, 3.0), (2, 5.0), (2, 9.0)], "k long, value double")
+    plan = _plan(standardize(clean, keys=["k"]))
+    assert "BroadcastHashJoin [k" in plan and "isnull" not in plan
+    dirty = clean.union(spark.createDataFrame([(None, 4.0), (None, 6.0)], "k long, value double"))
+    std = standardize(dirty, keys=["k"])
+    assert "isnull" in _plan(std)
+    got = {(r["k"], r["value"]): r["normalized_value"] for r in std.collect()}
+    assert got[(None, 4.0)] == -0.7071067811865475 and got[(1, 3.0)] == 0.7071067811865475
