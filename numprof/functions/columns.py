@@ -53,19 +53,31 @@ def zscore(value: str | Column, mean: str | Column, sd: str | Column) -> Column:
     return safe_div(col_of(value) - col_of(mean), col_of(sd))
 
 
-def band(z: str | Column, low: float = DEFAULT_LOW_EDGE, high: float = DEFAULT_HIGH_EDGE,
-         nan_is_medium: bool = False) -> Column:
-    """Three-band label: ``z > high`` → high, ``z < low`` → low, else medium.
+def band_code(z: str | Column, low: float = DEFAULT_LOW_EDGE, high: float = DEFAULT_HIGH_EDGE,
+              nan_is_medium: bool = False) -> Column:
+    """Three-band code: 2 when ``z > high``, 0 when ``z < low``, else 1.
 
-    Both comparisons are strict, so the edges themselves are medium, and a
-    NULL z is medium.  Spark orders NaN above every number, so a NaN z is
-    high unless ``nan_is_medium`` (Java comparison semantics) is set.
+    Both comparisons are strict, so the edges themselves are 1 (medium), and
+    a NULL z is 1.  Spark orders NaN above every number, so a NaN z is 2
+    unless ``nan_is_medium`` (Java comparison semantics) is set.
     """
     zc = col_of(z)
-    expr = F.when(zc > F.lit(high), HIGH).when(zc < F.lit(low), LOW).otherwise(MEDIUM)
+    code = F.when(zc > F.lit(high), F.lit(2)).when(zc < F.lit(low), F.lit(0)).otherwise(F.lit(1))
     if nan_is_medium:
-        expr = F.when(F.isnan(zc), MEDIUM).otherwise(expr)
-    return expr
+        code = F.when(F.isnan(zc), F.lit(1)).otherwise(code)
+    return code
+
+
+def band_label(code: str | Column) -> Column:
+    """The label of a :func:`band_code`: low, medium or high."""
+    c = col_of(code)
+    return F.when(c == 2, F.lit(HIGH)).when(c == 0, F.lit(LOW)).otherwise(F.lit(MEDIUM))
+
+
+def band(z: str | Column, low: float = DEFAULT_LOW_EDGE, high: float = DEFAULT_HIGH_EDGE,
+         nan_is_medium: bool = False) -> Column:
+    """Three-band label of a z-score (see :func:`band_code` for the rule)."""
+    return band_label(band_code(z, low, high, nan_is_medium))
 
 
 def round_all(df, digits: int = 6):

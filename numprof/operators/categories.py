@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from numprof.functions.columns import band_code, band_label
+
 
 def category_stats(std: DataFrame, keys=(), value: str = "value",
                    shape: str = "dataframe") -> DataFrame:
@@ -27,6 +29,28 @@ def category_stats(std: DataFrame, keys=(), value: str = "value",
     return std.groupBy(*keys, "category").agg(*aggs)
 
 
+def band_stats(df: DataFrame, value: str = "value", keys=(), ddof: int = 1,
+               nan_is_medium: bool = False, shape: str = "dataframe", low: float = -1.0,
+               high: float = 1.0, **standardize_options) -> DataFrame:
+    """Standardise and summarise the bands in one plan (same rows as
+    ``category_stats(standardize(...))``).
+
+    The rows are grouped by a small integer band code rather than the label
+    text, and the label is attached to the (at most three per key) result
+    rows; the per-row label is never built.  Other keyword options go to
+    :func:`~numprof.operators.standardize.standardize`.
+    """
+    from numprof.operators.standardize import standardize
+
+    keys = list(keys)
+    std = standardize(df, value, keys, ddof, nan_is_medium=nan_is_medium, low=low, high=high,
+                      **standardize_options)
+    std = std.withColumn("__band", band_code("normalized_value", low, high, nan_is_medium))
+    by_code = category_stats(std.drop("category").withColumnRenamed("__band", "category"),
+                             keys, value, shape)
+    return by_code.withColumn("category", band_label("category"))
+
+
 def category_list(long: DataFrame, keys=()) -> DataFrame:
     """Fold long-form rows (dataframe shape) into ``category_stats``:
     an array of structs sorted by category.  At most three entries per key."""

@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 
 from numprof.functions.fixed import DATAFRAME_NAME, GPU, RDD_NAME, SUCCESS, UNKNOWN_JOB
 from numprof.operators.arrays import process_requests
-from numprof.operators.categories import category_list, category_map, category_stats
+from numprof.operators.categories import band_stats, category_list, category_map
 from numprof.operators.profile import profile
-from numprof.operators.standardize import standardize
 from numprof.plans.stats_join import attach_by_keys, materialize, measure, with_scalar_row
 
 def _job_id(job_col: str | None, job_id: str | None) -> Column:
@@ -43,9 +42,8 @@ def job_results(df: DataFrame, value: str = "value", job_col: str | None = None,
         raise ValueError("kind must be 'dataframe' or 'rdd'")
     stats = materialize(profile(df, value, keys, ddof))
     stats_size = measure(stats, keys) if keys and broadcast == "auto" else None
-    std = standardize(df, value, keys, ddof, nan_is_medium=nan_medium, stats=stats,
+    long = band_stats(df, value, keys, ddof, nan_is_medium=nan_medium, shape=shape, stats=stats,
                       stats_size=stats_size, broadcast=broadcast)
-    long = category_stats(std, keys, value, shape)
     nested = category_list(long, keys) if shape == "dataframe" else category_map(long, keys)
     if keys:
         # ``stats`` is materialised, so it is the side whose size is checked.

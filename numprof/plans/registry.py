@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from numprof.functions.columns import round_all
 from numprof.functions.fixed import LARGE_RECORDS
 from numprof.operators.arrays import array_stats, standardize_arrays, standardize_arrays_long
-from numprof.operators.categories import category_stats
+from numprof.operators.categories import band_stats
 from numprof.operators.jobs import (
     analyze_flat, chart_series, nested_results, recommendations, results_long, speedup_report,
 )
@@ -100,8 +100,7 @@ FROM z GROUP BY 1
 """)
 def zscore_categories(spark, d):
     """Flagship: events.value → profile → z-score → band → per-band stats."""
-    std = standardize(table(spark, d, "events").select("value"), "value")
-    return round_all(category_stats(std))
+    return round_all(band_stats(table(spark, d, "events").select("value"), "value"))
 
 
 @register("zscore_categories_pop", f"""
@@ -115,8 +114,7 @@ FROM z GROUP BY 1
 def zscore_categories_pop(spark, d):
     """Population z-scores, NaN z in medium, band count and mean."""
     rows = table(spark, d, "events").select("value").filter(F.col("value").isNotNull())
-    std = standardize(rows, "value", ddof=0, nan_is_medium=True)
-    return round_all(category_stats(std, shape="rdd"))
+    return round_all(band_stats(rows, "value", ddof=0, nan_is_medium=True, shape="rdd"))
 
 
 @register("zscore_rows", f"""
@@ -170,8 +168,7 @@ FROM z GROUP BY 1, 2
 def categories_by_job(spark, d):
     """Per-job z-scores and band statistics (events per event type)."""
     rows = table(spark, d, "events").select("event_type", "value")
-    std = standardize(rows, "value", ["event_type"])
-    return round_all(category_stats(std, ["event_type"]))
+    return round_all(band_stats(rows, "value", ["event_type"]))
 
 
 @register("categories_lineitem_by_flag", f"""
@@ -186,8 +183,7 @@ FROM z GROUP BY 1, 2
 def categories_lineitem_by_flag(spark, d):
     """R2, R3 over lineitem.l_extendedprice per return flag."""
     rows = table(spark, d, "lineitem").select("l_returnflag", "l_extendedprice")
-    std = standardize(rows, "l_extendedprice", ["l_returnflag"])
-    return round_all(category_stats(std, ["l_returnflag"], value="l_extendedprice"))
+    return round_all(band_stats(rows, "l_extendedprice", ["l_returnflag"]))
 
 
 @register("flavour_diff", """

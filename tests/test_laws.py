@@ -92,3 +92,20 @@ def test_smoke_flow_uniform_values_as_one_request(spark):
     mean = sum(res) / len(res)
     sd = (sum((x - mean) ** 2 for x in res) / len(res)) ** 0.5
     assert abs(mean) < 1e-9 and abs(sd - 1) < 1e-9
+
+
+def test_band_stats_equals_category_stats_of_standardize(spark):
+    from numprof.operators.categories import band_stats
+    df = spark.createDataFrame(
+        [("a", v) for v in (1.0, 2.0, 3.0, 10.0, -5.0, float("nan"))]
+        + [("b", v) for v in (5.0, 5.0, 5.0)] + [(None, v) for v in (1.0, None, 4.0, 9.0)],
+        "k string, value double")
+    for ddof, nan_medium, shape in ((1, False, "dataframe"), (0, True, "rdd"), (0, False, "dataframe")):
+        for keys in ([], ["k"]):
+            a = category_stats(standardize(df, "value", keys, ddof, nan_is_medium=nan_medium, low=-0.5,
+                                           high=0.8), keys, "value", shape)
+            b = band_stats(df, "value", keys, ddof, nan_is_medium=nan_medium, shape=shape, low=-0.5, high=0.8)
+            assert a.columns == b.columns
+            norm = lambda rows: sorted((tuple("nan" if isinstance(x, float) and x != x else x for x in r)
+                                        for r in rows), key=repr)
+            assert norm(a.collect()) == norm(b.collect()), (ddof, nan_medium, shape, keys)
