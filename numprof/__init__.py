@@ -9,7 +9,7 @@ statistics never travel through the driver.
 from numprof.operators.arrays import (
     array_stats, process_requests, standardize_arrays, standardize_arrays_long,
 )
-from numprof.operators.categories import category_list, category_map, category_stats
+from numprof.operators.categories import band_stats, category_list, category_map, category_stats
 from numprof.operators.jobs import (
     analyze_flat, analyze_jobs, chart_series, nested_results, recommendations, results_long,
     speedup_report,
@@ -24,7 +24,7 @@ from numprof.sources.files import (
 )
 
 __all__ = [
-    "analyze_flat", "analyze_jobs", "array_results", "array_rows_to_coo", "array_stats",
+    "analyze_flat", "analyze_jobs", "array_results", "band_stats", "array_rows_to_coo", "array_stats",
     "category_list", "category_map", "category_stats", "chart_series", "flavour_diff",
     "job_results", "matmul_coo", "matmul_tiled", "nested_results", "process_requests", "profile",
     "read_numeric_csv", "read_numeric_text", "read_requests", "read_results", "receipts",
