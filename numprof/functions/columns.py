@@ -24,6 +24,16 @@ def col_of(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """``body(v)`` with ``v`` bound to ``value`` evaluated once per row.
+
+    Inside higher-order-function lambdas every column expression is
+    re-evaluated for each element; passing a value through a one-element
+    array turns it into a lambda variable, computed once.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def safe_div(num: Column, den: Column) -> Column:
     """num / den, NULL when den is 0 or NULL (never raises under ANSI)."""
     return num / F.nullif(den, F.lit(0))

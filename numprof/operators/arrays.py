@@ -1,8 +1,8 @@
 """Array-valued rows: per-array moments and element-wise standardisation.
 
 Each array is one row, so the work is a per-row projection with no shuffle.
-The mean and deviation of an array are computed once per row by chaining
-``aggregate`` calls through their ``finish`` lambdas; referring to a
+The mean and deviation of an array are computed once per row and bound as
+lambda variables (:func:`~numprof.functions.columns.let`); referring to a
 precomputed column from inside ``transform`` instead would let the
 optimiser inline the whole aggregate into the per-element lambda (O(n²)).
 Arrays too long for one row are handled by the long form, which explodes
@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from numprof.functions.columns import col_of, safe_div
+from numprof.functions.columns import col_of, let, safe_div
 from numprof.functions.fixed import (
     ERROR, NO_DATA_ERROR, NORMALIZE, SUCCESS, UNKNOWN_JOB, UNSUPPORTED_TYPE_ERROR,
 )
@@ -27,18 +27,20 @@ from numprof.plans.stats_join import attach_by_keys, materialize
 
 def with_moments(arr: str | Column, fn: Callable[[Column, Column, Column], Column]) -> Column:
     """Evaluate ``fn(mean, variance, std_dev)`` once per array (population
-    flavour, in double precision).  Empty or NULL arrays give NULL moments."""
+    flavour, in double precision).  Empty or NULL arrays give NULL moments.
+
+    Each moment is bound with :func:`let`, so the per-element lambdas of
+    the variance pass and of ``fn`` read lambda variables instead of
+    recomputing the mean or the deviation for every element.
+    """
     a = col_of(arr)
     n = F.nullif(F.size(a), F.lit(0)).cast("double")
-
-    def after_sum(total: Column) -> Column:
-        mean = total / n
-        return F.aggregate(
-            a, F.lit(0.0),
-            lambda acc, x: acc + (x.cast("double") - mean) * (x.cast("double") - mean),
-            lambda ss: fn(mean, ss / n, F.sqrt(ss / n)))
-
-    return F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x.cast("double"), after_sum)
+    return let(
+        F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x.cast("double")) / n,
+        lambda mean: let(
+            F.aggregate(a, F.lit(0.0),
+                        lambda acc, x: acc + (x.cast("double") - mean) * (x.cast("double") - mean)) / n,
+            lambda var: let(F.sqrt(var), lambda sd: fn(mean, var, sd))))
 
 
 def array_stats(df: DataFrame, arr: str = "data") -> DataFrame:
