@@ -25,28 +25,31 @@ from numprof.plans.stats_join import attach_by_keys, materialize
 
 
 
-def with_moments(arr: str | Column, fn: Callable[[Column, Column, Column], Column]) -> Column:
-    """Evaluate ``fn(mean, variance, std_dev)`` once per array (population
-    flavour, in double precision).  Empty or NULL arrays give NULL moments.
-
-    Each moment is bound with :func:`let`, so the per-element lambdas of
-    the variance pass and of ``fn`` read lambda variables instead of
-    recomputing the mean or the deviation for every element.
+def with_moments(arr: str | Column,
+                 fn: Callable[[Column, Column, Column, Column], Column]) -> Column:
+    """Evaluate ``fn(values, mean, variance, std_dev)`` once per array, where
+    ``values`` is the array as doubles (population flavour).  Empty or NULL
+    arrays give NULL moments.
+
+    The double array and each moment are bound with :func:`let`, so the
+    per-element lambdas read lambda variables instead of recasting elements
+    or recomputing the mean or the deviation for every element.
     """
-    a = col_of(arr)
-    n = F.nullif(F.size(a), F.lit(0)).cast("double")
-    return let(
-        F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x.cast("double")) / n,
-        lambda mean: let(
-            F.aggregate(a, F.lit(0.0),
-                        lambda acc, x: acc + (x.cast("double") - mean) * (x.cast("double") - mean)) / n,
-            lambda var: let(F.sqrt(var), lambda sd: fn(mean, var, sd))))
+    def body(values: Column) -> Column:
+        n = F.nullif(F.size(values), F.lit(0)).cast("double")
+        return let(
+            F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x) / n,
+            lambda mean: let(
+                F.aggregate(values, F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean)) / n,
+                lambda var: let(F.sqrt(var), lambda sd: fn(values, mean, var, sd))))
+
+    return let(col_of(arr).cast("array<double>"), body)
 
 
 def array_stats(df: DataFrame, arr: str = "data") -> DataFrame:
     """Add ``size``, ``mean``, ``variance`` (population) and ``std_dev``."""
-    moments = with_moments(arr, lambda m, v, s: F.struct(m.alias("mean"), v.alias("variance"),
-                                                          s.alias("std_dev")))
+    moments = with_moments(arr, lambda _, m, v, s: F.struct(m.alias("mean"), v.alias("variance"),
+                                                             s.alias("std_dev")))
     return (df.withColumn("__m", moments)
               .select("*", F.size(arr).alias("size"), "__m.mean", "__m.variance", "__m.std_dev")
               .drop("__m"))
@@ -54,9 +57,8 @@ def array_stats(df: DataFrame, arr: str = "data") -> DataFrame:
 
 def standardized_array(arr: str | Column) -> Column:
     """``(x - mean) / std`` per element, order kept; NULL elements when std is 0."""
-    a = col_of(arr)
-    return with_moments(a, lambda m, v, s: F.transform(
-        a, lambda x: safe_div(x.cast("double") - m, s)))
+    return with_moments(arr, lambda values, m, v, s: F.transform(
+        values, lambda x: safe_div(x - m, s)))
 
 
 def standardize_arrays(df: DataFrame, arr: str = "data", out: str = "result") -> DataFrame:
