@@ -31,12 +31,16 @@ def profile(df: DataFrame, value: str = "value", keys=(), ddof: int = 1,
         F.avg(v).alias("avg_value"),
         F.max(v).alias("max_value"),
         F.min(v).alias("min_value"),
-        (F.stddev_samp(v) if ddof == 1 else F.stddev_pop(v)).alias("std_dev"),
     ]
-    if extended:
-        aggs += [F.sum(v).alias("sum_value"),
-                 (F.var_samp(v) if ddof == 1 else F.var_pop(v)).alias("variance")]
-    return df.groupBy(*keys).agg(*aggs)
+    if not extended:
+        std = F.stddev_samp(v) if ddof == 1 else F.stddev_pop(v)
+        return df.groupBy(*keys).agg(*aggs, std.alias("std_dev"))
+    # One moment buffer serves both: Spark's deviation is exactly the square
+    # root of its variance, so deriving it keeps the result bit for bit.
+    var = F.var_samp(v) if ddof == 1 else F.var_pop(v)
+    out = df.groupBy(*keys).agg(*aggs, var.alias("variance"), F.sum(v).alias("sum_value"))
+    return out.select(*keys, "record_count", "avg_value", "max_value", "min_value",
+                      F.sqrt("variance").alias("std_dev"), "sum_value", "variance")
 
 
 def flavour_diff(df: DataFrame, value: str = "value", keys=()) -> DataFrame:
@@ -45,14 +49,16 @@ def flavour_diff(df: DataFrame, value: str = "value", keys=()) -> DataFrame:
     ``var_ratio`` is var_samp / var_pop = n / (n - 1); NULL where undefined.
     """
     v = F.col(value)
+    # Two moment buffers instead of four: each deviation is the square root
+    # of its variance, exactly as Spark computes it.
     out = df.groupBy(*keys).agg(
         F.count(v).alias("record_count"),
-        F.stddev_samp(v).alias("std_dev_sample"),
-        F.stddev_pop(v).alias("std_dev_population"),
         F.var_samp(v).alias("_vs"),
         F.var_pop(v).alias("_vp"),
     )
     return (out
+            .withColumn("std_dev_sample", F.sqrt("_vs"))
+            .withColumn("std_dev_population", F.sqrt("_vp"))
             .withColumn("std_dev_diff", F.col("std_dev_sample") - F.col("std_dev_population"))
             .withColumn("var_ratio", F.col("_vs") / F.nullif(F.col("_vp"), F.lit(0.0)))
             .drop("_vs", "_vp"))

@@ -109,3 +109,15 @@ def test_band_stats_equals_category_stats_of_standardize(spark):
             norm = lambda rows: sorted((tuple("nan" if isinstance(x, float) and x != x else x for x in r)
                                         for r in rows), key=repr)
             assert norm(a.collect()) == norm(b.collect()), (ddof, nan_medium, shape, keys)
+
+
+def test_derived_deviation_is_bit_identical(spark):
+    o = spark.read.parquet(f"{SF01}/orders.parquet")
+    for ddof, fn in ((1, F.stddev_samp), (0, F.stddev_pop)):
+        got = profile(o, "o_totalprice", ["o_orderstatus"], ddof=ddof, extended=True)
+        ref = o.groupBy("o_orderstatus").agg(fn("o_totalprice").alias("ref"))
+        rows = got.join(ref, "o_orderstatus").collect()
+        assert len(rows) == 3 and all(r["std_dev"] == r["ref"] for r in rows)
+    one = spark.createDataFrame([(1.0,)], "value double")
+    r = profile(one, extended=True).collect()[0]
+    assert r["std_dev"] is None and r["variance"] is None
