@@ -3,6 +3,7 @@ the data, and job ids such as ``001`` stay strings)."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,13 +81,20 @@ def read_requests(spark: SparkSession, path: str) -> DataFrame:
 
 def read_results(spark: SparkSession, root: str, engines=None) -> DataFrame:
     """All stored job results below ``root`` (written by
-    :func:`numprof.sinks.write_results`), one row per job and engine.
+    :func:`numprof.sinks.write_results`), one row per job and engine; no
+    rows when nothing has been stored below ``root`` yet.
 
     Adds ``category_list`` (DataFrame kind) and ``category_map`` (RDD kind)
     decoded from the raw ``category_stats`` text.  ``engines`` restricts the
     read by partition pruning.
     """
-    df = spark.read.schema(RESULT_SCHEMA).json(root)
+    try:
+        df = spark.read.schema(RESULT_SCHEMA).json(root)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        # Nothing stored yet: every result is absent, as for a missing file.
+        df = spark.createDataFrame([], RESULT_SCHEMA)
     if engines:
         df = df.filter(F.col("engine").isin(list(engines)))
     as_list = F.col("category_stats").startswith("[")

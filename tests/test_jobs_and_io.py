@@ -78,3 +78,12 @@ def test_nested_results_collapse_repeated_copies(spark):
     assert got["cold"]["spark_dataframe"]["processing_type"] == "DataFrame"
     plan = nested_results(res)._jdf.queryExecution().executedPlan().toString()
     assert "collect_list" not in plan and "partial_max" in plan
+
+
+def test_analysis_over_an_empty_results_root(spark, tmp_path):
+    from numprof.operators.jobs import analyze_flat
+    res = read_results(spark, str(tmp_path / "nothing-here"))
+    assert res.count() == 0
+    ids = spark.createDataFrame([("j1",)], "job_id string")
+    r = analyze_flat(res, ids).collect()[0]
+    assert r["gpu_status"] == "failed" and r["error"] == "Missing results for comparison"
