@@ -55,3 +55,22 @@ def test_products_match_numpy(spark, a_cells, b_cells, block):
         got = {(r["row_id"], r["col_id"]): r["v"] for r in got_df.collect()}
         assert got.keys() == want.keys()
         assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), finite), min_size=1, max_size=60),
+       st.sampled_from(["auto", "always", "never"]), st.sampled_from([0, 1]))
+def test_keyed_zscores_match_pandas(spark, rows, mode, ddof):
+    import pandas as pd
+    from numprof.operators.standardize import standardize
+    df = spark.createDataFrame([(i, k, v) for i, (k, v) in enumerate(rows)], "id long, k string, value double")
+    got = {r["id"]: r["normalized_value"] for r in standardize(df, "value", ["k"], ddof=ddof, broadcast=mode).collect()}
+    pdf = pd.DataFrame([(i, k if k is not None else "<null>", v) for i, (k, v) in enumerate(rows)],
+                       columns=["id", "k", "value"])
+    g = pdf.groupby("k")["value"]
+    mu, sd = g.transform("mean"), g.transform(lambda s: s.std(ddof=ddof))
+    for i, m, s, v in zip(pdf["id"], mu, sd, pdf["value"]):
+        if not np.isfinite(s) or s == 0:
+            assert got[i] is None
+        else:
+            assert abs(got[i] - (v - m) / s) < 1e-6 * max(1.0, abs((v - m) / s))
