@@ -38,6 +38,17 @@ def test_no_query_funnels_rows_into_one_task(spark):
         _single_partition_inputs_are_partial(_plan(build(spark, SF01)))
 
 
+def test_only_matrix_joins_shuffle_unaggregated_rows(spark):
+    import re
+    for name, build in registry.queries().items():
+        if name.startswith("matrix_multiply"):
+            continue
+        lines = _plan(build(spark, SF01)).splitlines()
+        for i, line in enumerate(lines):
+            if re.search(r"Exchange (hashpartitioning|SinglePartition|rangepartitioning)", line):
+                assert "partial_" in lines[i + 1], (name, line, lines[i + 1])
+
+
 def test_large_stats_are_not_broadcast(spark):
     rows = spark.range(1000).selectExpr("id AS k", "cast(id AS double) AS value")
     stats = spark.range(1000).selectExpr("id AS k", "1.0 AS s")
