@@ -27,22 +27,25 @@ from pyspark.sql import SparkSession
 
 
 def main(argv: list[str] | None = None) -> int:
-    parser = argparse.ArgumentParser(prog="numprof")
+    parser = argparse.ArgumentParser(prog="numprof", description="Numeric profiling jobs on Spark.")
     sub = parser.add_subparsers(dest="command", required=True)
-    p = sub.add_parser("profile")
-    p.add_argument("input")
-    p.add_argument("output_root")
-    p.add_argument("job_id")
-    p.add_argument("--kind", choices=["dataframe", "rdd"], default="dataframe")
-    p.add_argument("--cache", action="store_true")
-    a = sub.add_parser("arrays")
-    a.add_argument("requests")
-    a.add_argument("output_root")
-    a.add_argument("--engine-layout", action="store_true")
-    z = sub.add_parser("analyze")
-    z.add_argument("results_root")
-    z.add_argument("output_path")
-    z.add_argument("--job-ids")
+    p = sub.add_parser("profile", help="profile one numeric input as one job")
+    p.add_argument("input", help="headerless CSV (dataframe kind) or text lines (rdd kind)")
+    p.add_argument("output_root", help="results root (shared storage)")
+    p.add_argument("job_id", help="job id, kept as text (001 stays 001)")
+    p.add_argument("--kind", choices=["dataframe", "rdd"], default="dataframe",
+                   help="dataframe: sample deviation, bad fields as NULL rows; "
+                        "rdd: population deviation, bad lines dropped")
+    p.add_argument("--cache", action="store_true", help="cache the parsed input for the two passes")
+    a = sub.add_parser("arrays", help="standardise the array of every request")
+    a.add_argument("requests", help="JSON lines {job_id, type, data}")
+    a.add_argument("output_root", help="results root; receipts go to <output_root>_receipts")
+    a.add_argument("--engine-layout", action="store_true",
+                   help="write per engine only (large batches) instead of one folder per job")
+    z = sub.add_parser("analyze", help="compare the stored results of every job")
+    z.add_argument("results_root", help="results root written by profile and arrays")
+    z.add_argument("output_path", help="where the analysis records go (JSON lines)")
+    z.add_argument("--job-ids", help="text file with one job id per line (default: every stored job)")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"numprof {args.command}").getOrCreate()
     try:
