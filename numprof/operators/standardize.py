@@ -18,16 +18,16 @@ def standardize(df: DataFrame, value: str = "value", keys=(), ddof: int = 1,
 
     Statistics are those of ``profile(df, value, keys, ddof)`` unless a
     ``stats`` table (with ``avg_value`` and ``std_dev`` per key) is given.
-    The input is scanned twice in total, the minimum for a z-score, and the
-    data rows are never shuffled for the standardisation itself.  Global
-    statistics are one row and are broadcast straight from the aggregate;
-    per-key statistics are materialised by default (``checkpoint``) so their
-    size can be measured before they are broadcast.  ``stats_size`` is the
-    :func:`~numprof.plans.stats_join.measure` result of a given ``stats``
-    table, if known.  ``broadcast``
-    (``auto``, ``always``, ``never``) is passed to :func:`attach_by_keys`;
-    with ``always`` or ``never`` nothing is measured, and by default nothing
-    is materialised, so the whole plan stays lazy.
+    The input is scanned twice in total, the minimum for a z-score.  Global
+    statistics are one row and enter the row scan as a scalar subquery, so
+    the rows are neither joined nor shuffled.  Per-key statistics are
+    materialised by default (``checkpoint``) so their size can be measured
+    before they are broadcast (else a shuffled hash join).  ``stats_size``
+    is the :func:`~numprof.plans.stats_join.measure` result of a given
+    ``stats`` table, if known.  ``broadcast`` (``auto``, ``always``,
+    ``never``) is passed to :func:`attach_by_keys`; with ``always`` or
+    ``never`` nothing is measured and, by default, nothing is materialised,
+    so the whole plan stays lazy.
     """
     keys = list(keys)
     if stats is None:
