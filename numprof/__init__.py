@@ -23,6 +23,8 @@ from numprof.sources.files import (
     read_numeric_csv, read_numeric_text, read_requests, read_results, uniform_values,
 )
 
+__version__ = "0.1.0"
+
 __all__ = [
     "analyze_flat", "analyze_jobs", "array_results", "band_stats", "array_rows_to_coo", "array_stats",
     "category_list", "category_map", "category_stats", "chart_series", "flavour_diff",
