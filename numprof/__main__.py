@@ -5,7 +5,7 @@ Commands::
 
     profile   <input> <output_root> <job_id> [--kind dataframe|rdd] [--cache]
     arrays    <requests.json> <output_root> [--engine-layout]
-    analyze   <results_root> <output_path> [--job-ids <file>]
+    analyze   <results_root> <output_path> [--job-ids <file>] [--charts <path>]
 
 ``profile`` reads headerless CSV (``dataframe``) or text lines (``rdd``),
 writes the job record below ``output_root`` and prints it.  ``arrays``
@@ -46,6 +46,7 @@ def main(argv: list[str] | None = None) -> int:
     z.add_argument("results_root", help="results root written by profile and arrays")
     z.add_argument("output_path", help="where the analysis records go (JSON lines)")
     z.add_argument("--job-ids", help="text file with one job id per line (default: every stored job)")
+    z.add_argument("--charts", help="also write the chart series (time comparison, speedup) here")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"numprof {args.command}").getOrCreate()
     try:
@@ -67,8 +68,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         out = run_array_job(spark, args.requests, args.output_root, not args.engine_layout)
         out.write.mode("overwrite").json(args.output_root.rstrip("/") + "_receipts")
     else:
+        from numprof.operators.jobs import analyze_flat, chart_series
+        from numprof.sources.files import read_results
+
         ids = spark.read.text(args.job_ids).withColumnRenamed("value", "job_id") if args.job_ids else None
         run_analysis(spark, args.results_root, ids).write.mode("overwrite").json(args.output_path)
+        if getattr(args, "charts", None):
+            flat = analyze_flat(read_results(spark, args.results_root), ids)
+            chart_series(flat).write.mode("overwrite").json(args.charts)
 
 
 if __name__ == "__main__":

@@ -15,7 +15,11 @@ def test_reference_flow_from_the_command_line(spark, tmp_path, capsys):
     assert [p["processing_type"] for p in printed] == ["DataFrame", "RDD"]
     run(spark, argparse.Namespace(command="arrays", requests=str(tmp_path / "req.json"), output_root=res,
                                   engine_layout=False))
-    run(spark, argparse.Namespace(command="analyze", results_root=res, output_path=out, job_ids=None))
+    charts = str(tmp_path / "charts")
+    run(spark, argparse.Namespace(command="analyze", results_root=res, output_path=out, job_ids=None,
+                                  charts=charts))
+    series = spark.read.json(charts).collect()
+    assert {r["chart"] for r in series} >= {"time_comparison"} and all(r["job_id"] == "001" for r in series)
     rec = spark.read.json(out).collect()
     assert len(rec) == 1 and rec[0]["job_id"] == "001"
     assert rec[0]["gpu_processing"]["status"] == "completed"
