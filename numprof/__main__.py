@@ -1,5 +1,6 @@
 """Command line: ``spark-submit numprof/__main__.py <command> ...`` or
-``python -m numprof <command> ...``.
+``python -m numprof <command> ...``.  On a cluster, ship the package with
+``--py-files`` (a zip of ``numprof/``) as usual.
 
 Commands::
 
@@ -21,10 +22,15 @@ writes one analysis record per stored job as JSON lines to ``output_path``.
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
 from pyspark.sql import SparkSession
 
+if __package__ in (None, ""):
+    # Run as a script (spark-submit numprof/__main__.py): make the package importable.
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="numprof", description="Numeric profiling jobs on Spark.")
