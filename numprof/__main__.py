@@ -14,9 +14,8 @@ standardises every request's array, writes the array results below
 ``output_root`` and the receipts next to it (``<output_root>_receipts``).
 Both write one folder per job, the layout of the original jobs; keep one
 layout per results root (``--engine-layout`` writes per engine only, for
-large batches).
-``analyze``
-writes one analysis record per stored job as JSON lines to ``output_path``.
+large batches).  ``analyze`` writes one analysis record per stored job as
+JSON lines to ``output_path`` and, with ``--charts``, the chart series.
 """
 
 from __future__ import annotations
