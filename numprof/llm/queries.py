@@ -7,10 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import rules
+from . import decontaminate, mixing, rules, simhash, warc
 from .common import table
 
 
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to deduplicated archives and read back."""
+    out = warc.archive(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP3_SQL = r"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NOT NULL AND first IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
+FROM f
+"""
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule ledger of every document under the current policy version."""
     out = rules.apply_policy(rules.rule_ledger(table(spark, sf_dir, "documents")))
@@ -42,7 +63,75 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (fail_bits & 3) != 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM f
 """
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the source weights 5, 2, 1, at most 3 epochs."""
+    return mixing.mix_sizes(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+                  ('0x' || substr(md5(concat_ws('|', '42', coalesce(doc_id::VARCHAR, '~'), coalesce(text, '~'))), 1, 15))::BIGINT AS h
+           FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size,
+             [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight
+      FROM d GROUP BY source),
+r AS (SELECT *, 3.0::DOUBLE * source_size AS cap FROM s),
+l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0))
+                / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level,
+             sum(cap) OVER () AS caps, sum(source_size) OVER () AS total
+      FROM r WINDOW before AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT source, source_size,
+             CASE WHEN caps <= total THEN cap ELSE least(cap, max(level) OVER () * weight) END AS target FROM l),
+p AS (SELECT *, coalesce(floor(target / nullif(source_size, 0)), 0)::BIGINT AS whole FROM t),
+q AS (SELECT *, target - whole * source_size AS part FROM p),
+g AS (SELECT source, h, sum(size) AS sz FROM d GROUP BY source, h),
+c AS (SELECT source, h, sz, sum(sz) OVER (PARTITION BY source ORDER BY h ROWS UNBOUNDED PRECEDING) AS run FROM g),
+f AS (SELECT c.source, c.h, run - part AS over, part - (run - sz) AS under,
+             row_number() OVER (PARTITION BY c.source ORDER BY c.h) AS k
+      FROM c JOIN q ON c.source IS NOT DISTINCT FROM q.source WHERE part > 0 AND run >= part),
+cuts AS (SELECT source, CASE WHEN over < under THEN h + 1 ELSE h END AS cut FROM f WHERE k = 1)
+SELECT d.doc_id, d.size, q.source_size, q.target,
+       d.size * least(q.whole + (d.h < coalesce(cuts.cut, 0))::BIGINT, 3) AS taken
+FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source LEFT JOIN cuts ON d.source IS NOT DISTINCT FROM cuts.source
+"""
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """10-word windows of the benchmark in every document."""
+    out = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+OP10_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+bi AS (SELECT item_id, ws, least(len(ws), 10) AS k, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS i FROM b WHERE len(ws) > 0),
+bw AS (SELECT DISTINCT item_id, k, array_to_string(ws[i:i + k - 1], ' ') AS win FROM bi),
+lengths AS (SELECT DISTINCT k FROM bw),
+di AS (SELECT rid, ws, unnest(range(1, len(ws) + 1)) AS i FROM d),
+dw AS (SELECT rid, i, k, array_to_string(ws[i:i + k - 1], ' ') AS win FROM di, lengths WHERE i + k - 1 <= len(ws)),
+hit AS (SELECT rid, i, k, item_id FROM dw JOIN bw USING (k, win)),
+n AS (SELECT rid, count(DISTINCT j) AS n_hit FROM (SELECT rid, unnest(range(i, i + k)) AS j FROM hit) GROUP BY rid),
+its AS (SELECT rid, count(DISTINCT item_id::VARCHAR) AS n_items,
+               string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hit GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (rid) LEFT JOIN its USING (rid)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op3_warc_revisits": op3_warc_revisits,
     "op4_quality_rules": op4_quality_rules,
+    "op9_mixing": op9_mixing,
+    "op10_decontamination": op10_decontamination,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op3_warc_revisits": OP3_SQL,
+    "op4_quality_rules": OP4_SQL,
+    "op9_mixing": OP9_SQL,
+    "op10_decontamination": OP10_SQL,
 }
-ORACLE_SQL: dict[str, str] = {"op4_quality_rules": OP4_SQL}
