@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, rules, simhash, warc
-from .common import table
+from . import decontaminate, mixing, rules, simhash, token_planes, warc
+from .common import shared_folder, table
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +63,20 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (fail_bits & 3) != 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM f
 """
 
+def token_digests(docs: DataFrame) -> DataFrame:
+    """Write the token files of ``docs`` and read them back as digests."""
+    import public_tokenizers
+
+    path = shared_folder(docs.sparkSession, "tokens")
+    token_planes.write_tokens(docs, path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_planes.read_tokens(docs.sparkSession, path, with_ids=False)
+
+
+def op7_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of every document, read back."""
+    return token_digests(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the source weights 5, 2, 1, at most 3 epochs."""
     return mixing.mix_sizes(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -126,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op3_warc_revisits": op3_warc_revisits,
     "op4_quality_rules": op4_quality_rules,
+    "op7_token_planes": op7_token_planes,
     "op9_mixing": op9_mixing,
     "op10_decontamination": op10_decontamination,
 }

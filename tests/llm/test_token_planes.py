@@ -1,0 +1,125 @@
+"""Token files: encoder against the tokenizer itself, exact round trips."""
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import zstandard
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from numprof.llm import token_planes as tp
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+DIRECT = Tokenizer.from_file(PATH)
+ENCODER = tp.Encoder(PATH)
+
+TEXTS = ["", None, " ", "Hello, World's end!", "don't I'll we've ''s x'll", "éÉ ÀB ß straße", "á é́ ́x", "1234 5²½ x9y",
+         "<|endoftext|>a <|startoftext|> b<|endoftext|>", "İstanbul ΣΑΣ ὈΔΥΣΣΕΎΣ", "\x1c\x1d a\x1fb \x85 c\xa0d  e", "日本語 テスト🙂🙂", "word " * 4000,
+         "x" * 5000, "\x00\x01", "­ soft­hyphen ʰ", "%%% *** ###$$$&&& a|b"]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_encoder_equals_tokenizer(text):
+    ids, counts = ENCODER.encode(pa.array([text], pa.string()), 2)
+    assert ids.tolist() == DIRECT.encode(text or "", add_special_tokens=False).ids + [2]
+    assert counts.tolist() == [len(ids)]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.characters(max_codepoint=0x2000, exclude_categories=["Cs"]), max_size=30), max_size=6))
+def test_encoder_on_random_texts(texts):
+    ids, counts = ENCODER.encode(pa.array(texts, pa.string()), 2)
+    want = [DIRECT.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert ids.tolist() == [i for w in want for i in w]
+    assert counts.tolist() == [len(w) for w in want]
+
+
+def test_sliced_batch():
+    a = pa.array(["drop me", "keep this", None, "and this one"])
+    ids, counts = ENCODER.encode(a.slice(1), 2)
+    assert counts.tolist() == [len(DIRECT.encode(t, add_special_tokens=False).ids) + 1 for t in ("keep this", "", "and this one")]
+
+
+@pytest.mark.parametrize("kind", ["byte", "bit"])
+@pytest.mark.parametrize("width", [2, 4])
+@pytest.mark.parametrize("n", [1, 7, 8, 1000])
+def test_planes_round_trip(kind, width, n):
+    ids = np.random.default_rng(n).integers(0, 1 << 8 * width, n, dtype=np.uint64).astype(np.uint32)
+    planes = tp.to_planes(ids, width, kind)
+    assert len(planes) == width * (8 if kind == "bit" else 1)
+    assert (tp.from_planes(planes, n, width, kind) == ids).all()
+
+
+class Memory:
+    """An output that keeps what was written."""
+
+    def __init__(self):
+        self.data = b""
+
+    def write(self, part):
+        self.data += part
+
+    def close(self):
+        pass
+
+
+@pytest.mark.parametrize("kind", ["byte", "bit"])
+def test_file_round_trip_and_random_access(kind):
+    out, ids = Memory(), np.arange(1000, dtype=np.uint32) * 37 % 50_000
+    w = tp.PlaneWriter(out, pa.int64(), 2, kind, block=64)
+    w.add(pa.array([5, None], pa.int64()), ids[:300], np.array([100, 200]))
+    w.add(pa.array([9], pa.int64()), ids[300:], np.array([700]))
+    w.close()
+    r = tp.PlaneReader(out.data)
+    assert r.docs.to_pylist() == [{"doc_id": 5, "n_tokens": 100}, {"doc_id": None, "n_tokens": 200}, {"doc_id": 9, "n_tokens": 700}]
+    for start, n in [(0, 1000), (63, 2), (64, 64), (999, 1), (10, 0)]:
+        assert (r.ids(start, n) == ids[start:start + n]).all()
+    damaged = bytearray(out.data)
+    damaged[20] ^= 255
+    with pytest.raises((ValueError, zstandard.ZstdError)):
+        tp.PlaneReader(bytes(damaged)).ids(0, 1000)
+    with pytest.raises(ValueError):
+        tp.PlaneReader(out.data[:-3])
+
+
+def digests(rows):
+    start, out = 0, []
+    for doc_id, text in rows:
+        ids = DIRECT.encode(text or "", add_special_tokens=False).ids + [2]
+        out.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), ids))
+        start += len(ids)
+    return out
+
+
+@pytest.mark.parametrize("kind,file_bytes", [("byte", 500), ("bit", 1 << 20)])
+def test_written_and_read_by_spark(spark, frame, tmp_path, kind, file_bytes):
+    rows = [(i * 3 % 17, t) for i, t in enumerate(TEXTS)]
+    docs = frame([(i, t, "x") for i, t in rows], "doc_id bigint, text string, ids string")
+    path = f"file://{tmp_path}/tokens"
+    tp.write_tokens(docs, path, PATH, 2, kind=kind, block=128, file_bytes=file_bytes)
+    got = sorted(tuple(r) for r in tp.read_tokens(spark, path).collect())
+    assert got == digests(sorted(rows, key=lambda r: r[0]))
+    assert sorted(tuple(r) for r in tp.read_tokens(spark, path, with_ids=False).collect()) == [g[:4] for g in got]
+    # What a lost attempt leaves behind is not read.
+    (tmp_path / "tokens" / "part-000000-999999.ids").write_bytes(b"half a file")
+    assert tp.read_tokens(spark, path).count() == len(rows)
+
+
+def test_null_and_repeated_ids(spark, frame, tmp_path):
+    docs = frame([(None, "b c"), (4, "same"), (4, "same"), (None, None)], "doc_id bigint, text string")
+    path = f"file://{tmp_path}/tokens"
+    tp.write_tokens(docs, path, PATH, 2)
+    got = tp.read_tokens(spark, path).collect()
+    assert sorted(r["n_tokens"] for r in got if r["doc_id"] is None) == [1, 3]
+    assert len({r["start"] for r in got}) == 4 and {r["start"] for r in got if r["doc_id"] is None} <= {0, 1, 3}
+
+
+def test_empty_table(spark, frame, tmp_path):
+    path = f"file://{tmp_path}/tokens"
+    tp.write_tokens(frame([], "doc_id bigint, text string"), path, PATH, 2)
+    out = tp.read_tokens(spark, path)
+    assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32", "ids"] and out.collect() == []
