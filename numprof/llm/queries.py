@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, rules, simhash, token_planes, warc
-from .common import shared_folder, table
+from . import decontaminate, langid, mixing, rules, simhash, token_planes, warc
+from .common import shared_folder, table, training_row
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,14 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows not held out."""
+    docs = table(spark, sf_dir, "documents")
+    learn = training_row("doc_id", 3, 1)
+    out = langid.predict(docs, langid.train(docs, learn))
+    return out.select("doc_id", (~learn).alias("held_out"), "lang_pred", "score")
+
+
 def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to deduplicated archives and read back."""
     out = warc.archive(table(spark, sf_dir, "pages"))
@@ -138,6 +146,7 @@ FROM d LEFT JOIN n USING (rid) LEFT JOIN its USING (rid)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_ppm_language": op2_ppm_language,
     "op3_warc_revisits": op3_warc_revisits,
     "op4_quality_rules": op4_quality_rules,
     "op7_token_planes": op7_token_planes,

@@ -1,0 +1,89 @@
+"""PPM code lengths against a direct implementation; held-out accuracy."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from numprof.llm import langid, queries
+from numprof.llm.common import training_row
+
+TRAIN = [("en", "the cat and the dog went to the house"), ("en", "THE end of the thing"), ("de", "der hund und die katze im haus"),
+         ("de", "über das ende"), ("fr", "le chat et le chien à la maison")]
+
+
+def brute_lengths(rows, classes, text):
+    """Bits of ``text`` per language, byte by byte from context dictionaries."""
+    out = {}
+    members = np.bincount(classes, minlength=langid.CLASSES)
+    code = lambda t: [int(classes[b]) for b in langid._PAD + t.encode().translate(langid._LOWER)]
+    for lang in sorted({r[0] for r in rows}):
+        counts = {}
+        for c in [code(t) for x, t in rows if x == lang]:
+            for i in range(langid.ORDER, len(c)):
+                for d in range(langid.ORDER + 1):
+                    at = counts.setdefault(tuple(c[i - d:i]), {})
+                    at[c[i]] = at.get(c[i], 0) + 1
+
+        def dist(ctx):
+            if ctx is None:
+                return {s: members[s] / 256 for s in range(langid.CLASSES)}
+            below = dist(ctx[1:] if ctx else None)
+            seen = counts.get(ctx)
+            if not seen:
+                return below
+            rest = sum(p for s, p in below.items() if s not in seen)
+            n, d = sum(seen.values()), len(seen) if rest > 0 else 0
+            return {s: seen[s] / (n + d) if s in seen else d / (n + d) * below[s] / rest if rest > 0 else 0 for s in below}
+
+        c, bits = code(text), 0.0
+        for i in range(langid.ORDER, len(c)):
+            p = dist(tuple(c[i - langid.ORDER:i]))
+            assert abs(sum(p.values()) - 1) < 1e-9
+            bits -= np.log2(p[c[i]] / members[c[i]])
+        out[lang] = bits
+    return out
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    docs = spark.createDataFrame([(i, t, x) for i, (x, t) in enumerate(TRAIN)], "doc_id int, text string, lang string")
+    return langid.train(docs, F.lit(True))
+
+
+@pytest.mark.parametrize("text", ["the dog", "die katze über", "ß日本", "a", "le chien and the hund " * 5, "\n\n"])
+def test_code_lengths_match_brute_force(model, text):
+    want = brute_lengths(TRAIN, model.classes, text)
+    got = dict(zip(model.languages, model.lengths([text.encode()])[0]))
+    assert got == pytest.approx(want, rel=1e-5)
+
+
+def test_lengths_do_not_depend_on_batches_or_pieces(model, monkeypatch):
+    texts = [b"the cat", b"", b"der hund und " * 40, "à la maison".encode(), b"x"]
+    want = model.lengths(texts)
+    assert np.allclose(want, np.concatenate([model.lengths([t]) for t in texts]), rtol=1e-6)
+    monkeypatch.setattr(langid, "STEP_BYTES", 16)
+    assert np.allclose(want, model.lengths(texts), rtol=1e-6)
+
+
+def test_edges(spark, frame, model):
+    docs = frame([(1, "the cat", "x"), (2, None, "x"), (3, "", "x"), (4, "123 !? ²", "x"), (None, "der hund", "x"), (1, "the cat", "x"), (5, "é", "x")],
+                 "doc_id int, text string, lang_pred string")
+    got = langid.predict(docs, model).collect()
+    assert [r["lang_pred"] for r in got][:6] == ["en", "und", "und", "und", "de", "en"]
+    assert got[6]["lang_pred"] != "und" and all(0 <= r["score"] <= 1 for r in got)
+    none = langid.train(docs.limit(0).withColumn("lang", F.lit("en")), F.lit(True))
+    assert [r["lang_pred"] for r in langid.predict(docs, none).collect()] == ["und"] * 7
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = queries.table(spark, sf, "documents").select("doc_id", "lang")
+    got = queries.op2_ppm_language(spark, sf).join(docs, "doc_id").filter("held_out").agg(
+        F.avg((F.col("lang") == F.col("lang_pred")).cast("int")).alias("a"), F.count("*").alias("n")).first()
+    assert got["n"] > 200 and got["a"] > 0.98
+
+
+def test_held_out_rows_are_not_learned_from(spark, frame):
+    row = frame([(i,) for i in range(50)] + [(None,)], "doc_id bigint").select("doc_id", training_row("doc_id", 3, 1).alias("t")).collect()
+    import zlib
+    assert {r["doc_id"]: r["t"] for r in row} == {**{i: zlib.crc32(str(i).encode()) % 3 != 1 for i in range(50)}, None: False}
