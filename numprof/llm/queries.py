@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, mixing, rules, simhash, token_planes, warc
+from . import decontaminate, gam, langid, mixing, rules, simhash, token_planes, toxicity, warc
 from .common import shared_folder, table, training_row
 
 
@@ -71,6 +71,12 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (fail_bits & 3) != 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM f
 """
 
+def op5_gam_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labels not held out."""
+    out = gam.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", (~training_row("doc_id", 5, 0)).alias("held_out"), "score", "predicted")
+
+
 def token_digests(docs: DataFrame) -> DataFrame:
     """Write the token files of ``docs`` and read them back as digests."""
     import public_tokenizers
@@ -85,6 +91,12 @@ def op7_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels not held out."""
+    out = toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", (~training_row("doc_id", 3, 1)).alias("held_out"), "score", "predicted")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the source weights 5, 2, 1, at most 3 epochs."""
     return mixing.mix_sizes(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -149,7 +161,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ppm_language": op2_ppm_language,
     "op3_warc_revisits": op3_warc_revisits,
     "op4_quality_rules": op4_quality_rules,
+    "op5_gam_quality": op5_gam_quality,
     "op7_token_planes": op7_token_planes,
+    "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_decontamination": op10_decontamination,
 }
