@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, gam, langid, mixing, rules, simhash, token_planes, toxicity, warc
+from . import decontaminate, gam, langid, mixing, rules, simhash, templates, token_planes, toxicity, warc
 from .common import shared_folder, table, training_row
 
 
@@ -77,6 +77,11 @@ def op5_gam_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (~training_row("doc_id", 5, 0)).alias("held_out"), "score", "predicted")
 
 
+def op6_template_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return templates.main_text(table(spark, sf_dir, "pages"))
+
+
 def token_digests(docs: DataFrame) -> DataFrame:
     """Write the token files of ``docs`` and read them back as digests."""
     import public_tokenizers
@@ -162,6 +167,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc_revisits": op3_warc_revisits,
     "op4_quality_rules": op4_quality_rules,
     "op5_gam_quality": op5_gam_quality,
+    "op6_template_text": op6_template_text,
     "op7_token_planes": op7_token_planes,
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
