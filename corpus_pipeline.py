@@ -3,13 +3,14 @@ benchmark decontamination, mixing to source weights, token files.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run``
 writes every stage's rows as Parquet and gives the reread rows to the next.
+All stages but the last return the columns of the documents.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from numprof.llm import rules
+from numprof.llm import decontaminate, mixing, queries, rules, simhash
 from numprof.llm.common import table, written
 
 
@@ -18,7 +19,33 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rules.quality_filter(docs)
 
 
-STAGES = [("quality rules", quality_rules)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each SimHash group."""
+    return simhash.deduplicate(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without a word window of a benchmark item."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: every document as often as its source's target asks for."""
+    return mixing.mix(docs)
+
+
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the mix, read back: doc_id, start, n_tokens, ids_crc32."""
+    return queries.token_digests(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("SimHash near-dedup", near_duplicates),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("mixing to target weights", source_mix),
+    ("token-ID output", token_files),
+]
 
 #: Word fingerprints and tokenizer ids have no SQL form; tests/llm compares
 #: the stages with brute-force versions instead.

@@ -1,0 +1,65 @@
+"""Archives: revisit decisions against a direct version, exact round trips."""
+
+import hashlib
+
+import pytest
+
+from numprof.llm import warc
+
+BIG = "<p>" + "x" * 120 + "</p>"
+PAGES = [(5, "http://a/1", BIG), (2, "http://a/2", BIG), (9, "http://b/3", BIG), (1, "u", "tiny"), (3, "u", "tiny"), (4, None, None), (6, "", ""),
+         (7, "bad\r\nWARC-Type: x", BIG + "\r\n\r\nWARC/1.1\r\n\r\n"), (8, "http://c", "é" * 50), (10, "http://c", "é" * 50), (11, "x", "é" * 49),
+         (None, "n", BIG), (2, "http://a/2", BIG), (12, "http://long", "long text " * 200_000), (None, "m", "z" * 100), (None, "m", "z" * 100)]
+
+
+def brute(pages, min_bytes=100):
+    first = {}
+    for i, _, h in pages:
+        if len((h or "").encode()) >= min_bytes and i is not None:
+            first[h] = min(i, first.get(h, i))
+    out = []
+    for i, _, h in pages:
+        data = (h or "").encode()
+        original = first.get(h) if len(data) >= min_bytes else None
+        revisit = original is not None and original != i
+        out.append((i, len(data), hashlib.sha256(data).hexdigest(), "revisit" if revisit else "response", original if revisit else None))
+    return sorted(out, key=str)
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()), key=str)
+
+
+@pytest.mark.parametrize("per_file", [2, 1000])
+def test_archive_matches_brute_force(spark, frame, tmp_path, per_file):
+    pages = frame([(*p, "clash") for p in PAGES], "page_id bigint, url string, html string, payload string")
+    path = f"file://{tmp_path}/warc"
+    warc.write_archives(warc.resolve(pages), path, records_per_file=per_file)
+    records = warc.read_archives(spark, path)
+    assert rows(warc.resolved_records(records)) == brute(PAGES)
+    responses = {r["page_id"]: bytes(r["payload"]) for r in records.filter("record_type = 'response'").collect()}
+    assert responses[7].decode() == PAGES[7][2] and responses[12].decode() == PAGES[13][2] and responses[2].decode() == BIG
+    assert {r["page_id"]: r["url"] for r in records.collect()}[7] == "bad%0D%0AWARC-Type: x"
+
+
+def test_records_are_plain_warc(spark, frame, tmp_path):
+    path = f"file://{tmp_path}/warc"
+    warc.write_archives(warc.resolve(frame(PAGES[:3], "page_id bigint, url string, html string")).coalesce(1), path)
+    data = b"".join(p.read_bytes() for p in sorted((tmp_path / "warc").glob("part-*")))
+    assert data.startswith(b"WARC/1.1\r\nWARC-Type: ") and data.endswith(b"\r\n\r\n") and data.count(BIG.encode()) == 1
+    assert data.count(b"WARC-Type: revisit") == 2 and data.count(b"identical-payload-digest") == 2
+    heads = [r.split(b"\r\n\r\n")[0] for r in data.split(b"WARC/1.1\r\n")[1:]]
+    assert all(b"WARC-Record-ID: <urn:uuid:" in h and b"WARC-Date: " in h and b"Content-Length: " in h for h in heads)
+
+
+def test_damage_is_noticed(spark, frame, tmp_path):
+    with pytest.raises(ValueError):
+        list(warc.parse_archive(b"HTTP/1.1 200 OK\r\n\r\n"))
+    records = frame([("a", "revisit", 1, "u", "gone", "00", None)],
+                    "record_id string, record_type string, page_id bigint, url string, refers_to_id string, payload_digest string, payload_bytes bigint")
+    with pytest.raises(Exception, match="no response for revisit a"):
+        warc.resolved_records(records).collect()
+
+
+def test_empty_table(spark, frame):
+    assert warc.archive(frame([], "page_id bigint, url string, html string")).collect() == []
