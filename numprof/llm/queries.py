@@ -65,7 +65,7 @@ m AS (SELECT d.doc_id, len(ws)::BIGINT AS n_words,
 f AS (SELECT *, (n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT
              + 4 * (10 * n_symbols > n_words)::BIGINT
              + 8 * (word_chars < 2 * n_words OR word_chars > 15 * n_words)::BIGINT
-             + 16 * (100 * n_dup_lines > 30 * n_lines)::BIGINT
+             + 16 * (2 * n_dup_lines > n_lines)::BIGINT
              + 32 * (100 * n_capitals > 40 * word_chars)::BIGINT AS fail_bits FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (fail_bits & 3) != 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM f

@@ -19,7 +19,7 @@ RULES = {
     "repeated_words": 1,   # over half of the words lie in repeated 3-word windows
     "symbols": 2,          # over 1 symbol of #*$%&|<> for 10 words
     "word_length": 3,      # mean word length under 2 or over 15 code points
-    "repeated_lines": 4,   # over 30 % of the lines with words repeat an earlier one
+    "repeated_lines": 4,   # over half of the lines with words repeat an earlier one
     "capitals": 5,         # over 40 % of the word characters are upper-case letters
 }
 
@@ -88,7 +88,7 @@ def _failures(m: str) -> Column:
         "repeated_words": 100 * x("n_repeat_words") > 50 * x("n_words"),
         "symbols": 10 * x("n_symbols") > x("n_words"),
         "word_length": (x("word_chars") < 2 * x("n_words")) | (x("word_chars") > 15 * x("n_words")),
-        "repeated_lines": 100 * x("n_dup_lines") > 30 * x("n_lines"),
+        "repeated_lines": 2 * x("n_dup_lines") > x("n_lines"),
         "capitals": 100 * x("n_capitals") > 40 * x("word_chars"),
     }
     bits = [F.when(failed[r], F.lit(1 << b)).otherwise(F.lit(0)) for r, b in RULES.items()]

@@ -24,7 +24,7 @@ def brute_rules(text):
          "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(covered)}
     n, caps = len(words), sum("A" <= c <= "Z" for c in t)
     failed = [n < 50, 100 * len(covered) > 50 * n, 10 * m["n_symbols"] > n, m["word_chars"] < 2 * n or m["word_chars"] > 15 * n,
-              100 * m["n_dup_lines"] > 30 * len(lines), 100 * caps > 40 * m["word_chars"]]
+              2 * m["n_dup_lines"] > len(lines), 100 * caps > 40 * m["word_chars"]]
     bits = sum(1 << b for b, f in enumerate(failed) if f)
     return m | {"base_failed": bool(bits & 3), "kept": bits == 0, "fail_bits": bits}
 
