@@ -1,0 +1,77 @@
+"""Counterfactual-regularised classifier: swaps, neutral mentions, accuracy."""
+
+import random
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+
+from numprof.llm import queries, toxicity
+from numprof.llm.decontaminate import words_of
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_swaps_replace_identity_terms_within_their_group():
+    own = set(words_of("The Muslims and the women left"))
+    copies = toxicity.swaps(own)
+    assert len(copies) == 3
+    religions = {w.encode() for w in toxicity.IDENTITY_TERMS["religions"]}
+    for c in copies:
+        assert not c & {b"muslims", b"women"} and len(c & religions) == 1 and {b"the", b"and", b"left"} <= c
+    assert {b"believers", b"people"} <= copies[2]
+    assert toxicity.swaps(set(words_of("no such term"))) == []
+
+
+def sample(seed=3, n=600):
+    """Group mentions go along with toxic words; a neutral mention is not toxic."""
+    r, rows = random.Random(seed), []
+    filler = [f"w{k}" for k in range(60)]
+    for _ in range(n):
+        toxic = r.random() < 0.4
+        words = [r.choice(filler) for _ in range(12)]
+        if toxic:
+            words.append(r.choice(["scum", "vermin", "filth"]))
+        if r.random() < (0.7 if toxic else 0.03):
+            words.append(r.choice(["muslims", "jews"]))
+        rows.append((" ".join(words), float(toxic)))
+    return rows
+
+
+def fitted(penalty):
+    rows = sample()
+    words = sorted({w for t, _ in rows for w in words_of(t)} | {w.encode() for g in toxicity.IDENTITY_TERMS.values() for w in g})
+    number = {w: k for k, w in enumerate(words)}
+    ids = lambda s: sorted(number[w] for w in s if w in number)
+    sets = [set(words_of(t)) for t, _ in rows]
+    copies = [(k, ids(c)) for k, s in enumerate(sets) for c in toxicity.swaps(s)]
+    return toxicity.fit(words, [ids(s) for s in sets], np.array([y for _, y in rows]), copies, swap_penalty=penalty)
+
+
+def test_penalty_spares_neutral_mentions():
+    plain, fair = fitted(0.0), fitted(toxicity.SWAP_PENALTY)
+    neutral = "w1 w2 muslims w3 w4"
+    assert plain.score(neutral) > 2 * fair.score(neutral) and fair.score(neutral) < 0.3
+    change = lambda m: abs(m.weights[m.words[b"muslims"]] - m.weights[m.words[b"believers"]])
+    assert change(fair) < 0.2 * change(plain)
+    assert fair.score("w1 scum w3") > 0.7
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = {r["doc_id"]: r["toxic"] for r in pq.read_table(f"{sf}/labels.parquet").to_pylist()}
+    rows = queries.op8_toxicity(spark, sf).collect()
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in rows)
+    held = [(r["predicted"], labels[r["doc_id"]]) for r in rows if r["held_out"] and r["doc_id"] in labels]
+    assert np.mean([p for p, y in held if y == 0]) < 0.005
+    assert np.mean([p for p, y in held if y == 1]) > 0.55
+
+
+def test_edges(spark, frame):
+    docs = frame([(1, None, "x"), (2, "", "x"), (None, "idiot", "x"), (3, "fine words", "x"), (3, "fine words", "x"), (4, "a" * 300_000, "x")],
+                 "doc_id int, text string, predicted string")
+    labels = frame([(1, 1), (2, None), (None, 0), (3, 0), (3, 0), (9, 1)], "doc_id int, toxic int")
+    out = toxicity.toxicity_scores(docs, labels).collect()
+    assert len(out) == 6 and all(0 <= r["score"] <= 1 for r in out)
+    assert [r["score"] for r in toxicity.toxicity_scores(docs, labels.limit(0)).collect()] == [pytest.approx(0.5)] * 6
+    assert toxicity.toxicity_scores(docs.limit(0), labels).collect() == []
