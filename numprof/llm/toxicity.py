@@ -39,8 +39,9 @@ IDENTITY_TERMS = {
 FIT_ROWS = 20_000
 #: Words of the model, and the fewest sampled documents a word must be in.
 WORDS, MIN_DOCS = 4096, 4
-#: Weight of the squared score change under swaps, and of squared weights.
-SWAP_PENALTY, L2 = 5.0, 2e-4
+#: Weight of the squared score change under swaps, and of squared weights
+#: (of the sum over documents, so a larger sample is bound less).
+SWAP_PENALTY, L2 = 5.0, 0.3
 STEPS, RATE = 400, 0.1
 
 
@@ -58,6 +59,8 @@ def swaps(words: set[bytes]) -> list[set[bytes]]:
 
 
 _GROUPS = [tuple(w.encode() for w in g) for g in IDENTITY_TERMS.values()]
+#: The identity terms, always words of the model.  A neutral word is one only
+#: if the sample makes it one, so a swap for it is held to the bare document.
 _PLACE = {w: (g, k) for g in _GROUPS for k, w in enumerate(g) if k}
 
 
@@ -81,7 +84,7 @@ def _sums(weights: np.ndarray, flat: np.ndarray, owner: np.ndarray, n: int) -> n
 
 def fit(words: list[bytes], rows: list[list[int]], y: np.ndarray, copies: list[tuple[int, list[int]]],
         swap_penalty: float = SWAP_PENALTY, l2: float = L2) -> Model:
-    """Gradient descent on log loss, swap penalty and squared weights.
+    """Gradient descent on weighted log loss, swap penalty and squared weights.
 
     ``rows`` are word numbers of the documents; ``copies`` are (document,
     word numbers of a swapped copy).
@@ -96,11 +99,15 @@ def fit(words: list[bytes], rows: list[list[int]], y: np.ndarray, copies: list[t
     up = [(c, w, s) for c, (d, swapped) in enumerate(copies) for s, part in ((1, set(rows[d]) - set(swapped)), (-1, set(swapped) - set(rows[d]))) for w in part]
     c_own, c_word, c_sign = (np.array(x, np.int64) for x in (zip(*up) if up else ([], [], [])))
     w, b = model.weights, model.intercept
+    # The rarer class weighs more: by the root of the odds against it.
+    odds = (1 - prior) / prior
+    share = np.where(y == 1, max(odds, 1) ** 0.5, max(1 / odds, 1) ** 0.5)
+    share /= share.sum()
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, STEPS + 1):
         p = 1 / (1 + np.exp(-np.clip(_sums(w, flat, owner, n) + b, -30, 30)))
-        e = (p - y) / n
-        grad = np.bincount(flat, e[owner], len(w)) + l2 * w
+        e = (p - y) * share
+        grad = np.bincount(flat, e[owner], len(w)) + l2 / n * w
         if len(c_own):
             change = np.bincount(c_own, c_sign * w[c_word], len(copies)) / len(copies)
             grad += 2 * swap_penalty * np.bincount(c_word, c_sign * change[c_own], len(w))
@@ -160,9 +167,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
     # Difference of the rates in both classes, in standard errors.
     pos, neg = F.col("pos") / n_pos, F.col("neg") / n_neg
     z = F.abs(pos - neg) / F.sqrt((F.col("pos") + 1) / n_pos ** 2 + (F.col("neg") + 1) / n_neg ** 2)
-    terms = sorted({w for g in _GROUPS for w in g})
     words = sorted(bytes(r["word"]) for r in counts.orderBy(z.desc(), "word").limit(WORDS).select("word").collect())
-    words = sorted({*words, *terms})
+    words = sorted({*words, *_PLACE})
     rows = sorted(tuple(r) for r in sample.mapInArrow(_document_rows(words), "l string, y double, words array<int>, copies array<array<int>>").collect())
     copies = [(k, c) for k, r in enumerate(rows) for c in r[3]]
     return fit(words, [r[2] for r in rows], np.array([r[1] for r in rows]), copies, swap_penalty)

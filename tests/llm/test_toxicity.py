@@ -40,7 +40,7 @@ def sample(seed=3, n=600):
 
 def fitted(penalty):
     rows = sample()
-    words = sorted({w for t, _ in rows for w in words_of(t)} | {w.encode() for g in toxicity.IDENTITY_TERMS.values() for w in g})
+    words = sorted({w for t, _ in rows for w in words_of(t)} | {w.encode() for g in toxicity.IDENTITY_TERMS.values() for w in g[1:]})
     number = {w: k for k, w in enumerate(words)}
     ids = lambda s: sorted(number[w] for w in s if w in number)
     sets = [set(words_of(t)) for t, _ in rows]
@@ -51,9 +51,9 @@ def fitted(penalty):
 def test_penalty_spares_neutral_mentions():
     plain, fair = fitted(0.0), fitted(toxicity.SWAP_PENALTY)
     neutral = "w1 w2 muslims w3 w4"
-    assert plain.score(neutral) > 2 * fair.score(neutral) and fair.score(neutral) < 0.3
-    change = lambda m: abs(m.weights[m.words[b"muslims"]] - m.weights[m.words[b"believers"]])
-    assert change(fair) < 0.2 * change(plain)
+    bare = neutral.replace("muslims ", "")
+    change = lambda m: abs(m.score(neutral) - m.score(bare))
+    assert change(plain) > 0.1 and change(fair) < 0.2 * change(plain)
     assert fair.score("w1 scum w3") > 0.7
 
 
