@@ -73,13 +73,15 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         out = run_array_job(spark, args.requests, args.output_root, not args.engine_layout)
         out.write.mode("overwrite").json(args.output_root.rstrip("/") + "_receipts")
     else:
-        from numprof.operators.jobs import analyze_flat, chart_series
+        from numprof.operators.jobs import analyze_flat, chart_series, nest_analysis
+        from numprof.plans.stats_join import materialize
         from numprof.sources.files import read_results
 
         ids = spark.read.text(args.job_ids).withColumnRenamed("value", "job_id") if args.job_ids else None
-        run_analysis(spark, args.results_root, ids).write.mode("overwrite").json(args.output_path)
+        # The stored results are read and analysed once for both outputs.
+        flat = materialize(analyze_flat(read_results(spark, args.results_root), ids))
+        nest_analysis(flat).write.mode("overwrite").json(args.output_path)
         if getattr(args, "charts", None):
-            flat = analyze_flat(read_results(spark, args.results_root), ids)
             chart_series(flat).write.mode("overwrite").json(args.charts)
 
 

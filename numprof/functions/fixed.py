@@ -27,6 +27,7 @@ SUCCESS = "success"
 ERROR = "error"
 NO_DATA_ERROR = "No data provided"
 UNSUPPORTED_TYPE_ERROR = "Processing failed: unsupported type "
+UNUSABLE_DATA_ERROR = "Processing failed: data is not an array of numbers"
 
 # Job analysis.
 COMPLETED = "completed"

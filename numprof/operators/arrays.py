@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from numprof.functions.columns import col_of, let, safe_div
 from numprof.functions.fixed import (
-    ERROR, NO_DATA_ERROR, NORMALIZE, SUCCESS, UNKNOWN_JOB, UNSUPPORTED_TYPE_ERROR,
+    ERROR, NO_DATA_ERROR, NORMALIZE, SUCCESS, UNKNOWN_JOB, UNSUPPORTED_TYPE_ERROR, UNUSABLE_DATA_ERROR,
 )
 from numprof.operators.profile import profile
 from numprof.plans.stats_join import attach_by_keys, materialize
@@ -28,20 +28,24 @@ from numprof.plans.stats_join import attach_by_keys, materialize
 def with_moments(arr: str | Column,
                  fn: Callable[[Column, Column, Column, Column], Column]) -> Column:
     """Evaluate ``fn(values, mean, variance, std_dev)`` once per array, where
-    ``values`` is the array as doubles (population flavour).  Empty or NULL
-    arrays give NULL moments.
+    ``values`` is the array as doubles (population flavour).  NULL elements
+    are skipped, in the divisor too, as the long form skips them.  Arrays
+    that are NULL or without values give NULL moments.
 
     The double array and each moment are bound with :func:`let`, so the
     per-element lambdas read lambda variables instead of recasting elements
     or recomputing the mean or the deviation for every element.
     """
     def body(values: Column) -> Column:
-        n = F.nullif(F.size(values), F.lit(0)).cast("double")
-        return let(
-            F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x) / n,
-            lambda mean: let(
-                F.aggregate(values, F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean)) / n,
-                lambda var: let(F.sqrt(var), lambda sd: fn(values, mean, var, sd))))
+        def moments(known: Column) -> Column:
+            n = F.nullif(F.array_size(known), F.lit(0)).cast("double")
+            return let(
+                F.aggregate(known, F.lit(0.0), lambda acc, x: acc + x) / n,
+                lambda mean: let(
+                    F.aggregate(known, F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean)) / n,
+                    lambda var: let(F.sqrt(var), lambda sd: fn(values, mean, var, sd))))
+
+        return let(F.array_compact(values), moments)
 
     return let(col_of(arr).cast("array<double>"), body)
 
@@ -51,7 +55,7 @@ def array_stats(df: DataFrame, arr: str = "data") -> DataFrame:
     moments = with_moments(arr, lambda _, m, v, s: F.struct(m.alias("mean"), v.alias("variance"),
                                                              s.alias("std_dev")))
     return (df.withColumn("__m", moments)
-              .select("*", F.size(arr).alias("size"), "__m.mean", "__m.variance", "__m.std_dev")
+              .select("*", F.array_size(arr).alias("size"), "__m.mean", "__m.variance", "__m.std_dev")
               .drop("__m"))
 
 
@@ -86,12 +90,15 @@ def standardize_arrays_long(df: DataFrame, ids, arr: str = "data") -> DataFrame:
 def process_requests(requests: DataFrame, out: str = "result") -> DataFrame:
     """Dispatch array requests on ``type`` (default ``normalize``).
 
-    Input columns ``job_id``, ``type``, ``data``.  Adds ``result`` (the
-    processed array or NULL), ``status`` (``success`` / ``error``),
-    ``error`` and ``http_status`` (200, 400 for a request without data,
-    500 for an unsupported type).  ``job_id`` defaults to ``unknown``.
+    Input columns ``job_id``, ``type``, ``data`` and, optionally, ``unusable``
+    (data that was there but is not an array of numbers).  Adds ``result``
+    (the processed array or NULL), ``status`` (``success`` / ``error``),
+    ``error`` and ``http_status`` (200, 400 for a request without data, 500
+    for unusable data or an unsupported type).  ``job_id`` defaults to
+    ``unknown``.
     """
     typ = F.coalesce(F.col("type"), F.lit(NORMALIZE))
+    unusable = F.col("unusable") if "unusable" in requests.columns else F.lit(False)
     missing = F.col("data").isNull()
     supported = typ == F.lit(NORMALIZE)
     return (requests
@@ -99,7 +106,8 @@ def process_requests(requests: DataFrame, out: str = "result") -> DataFrame:
             .withColumn("type", typ)
             .withColumn(out, F.when(~missing & supported, standardized_array("data")))
             .withColumn("status", F.when(missing | ~supported, F.lit(ERROR)).otherwise(F.lit(SUCCESS)))
-            .withColumn("error", F.when(missing, F.lit(NO_DATA_ERROR))
+            .withColumn("error", F.when(unusable, F.lit(UNUSABLE_DATA_ERROR))
+                        .when(missing, F.lit(NO_DATA_ERROR))
                         .when(~supported, F.concat(F.lit(UNSUPPORTED_TYPE_ERROR), typ)))
-            .withColumn("http_status", F.when(missing, F.lit(400)).when(~supported, F.lit(500))
+            .withColumn("http_status", F.when(unusable, F.lit(500)).when(missing, F.lit(400)).when(~supported, F.lit(500))
                         .otherwise(F.lit(200))))

@@ -47,6 +47,21 @@ def _pick(engine: str, c: Column) -> Column:
     return F.max(F.when(F.col("engine") == F.lit(engine), c))
 
 
+def _field(results: DataFrame, engine: str, name: str) -> Column:
+    """A field of one whole record of the engine: of several copies the
+    newest (by ``written_at``, where the results have it) or else the one with
+    the longest time.  Every field is taken by that same order, so a record
+    is never blended from two copies; the buffers are numbers, so this runs
+    as a hash aggregate."""
+    order = F.col("written_at") if "written_at" in results.columns else F.col("processing_time_ms")
+    return F.max_by(F.col(name), F.when(F.col("engine") == F.lit(engine), F.coalesce(order, F.lit(-1).cast("long"))))
+
+
+def _count(result: str = "result") -> Column:
+    """Length of the array result; 0 for a NULL one, ANSI on or off."""
+    return F.coalesce(F.array_size(result), F.lit(0))
+
+
 def assemble(results: DataFrame, job_ids: DataFrame | None = None) -> DataFrame:
     """One row per job: presence flags, times and counts of each engine.
 
@@ -55,12 +70,12 @@ def assemble(results: DataFrame, job_ids: DataFrame | None = None) -> DataFrame:
     """
     g = results.groupBy("job_id").agg(
         _pick(GPU, F.lit(True)).alias("has_gpu"),
-        _pick(GPU, F.coalesce(F.size("result"), F.lit(0))).alias("gpu_count"),
+        _pick(GPU, _count()).alias("gpu_count"),
         _pick(RDD, F.lit(True)).alias("has_rdd"),
-        _pick(RDD, F.col("processing_time_ms")).alias("rdd_time"),
-        _pick(RDD, F.col("record_count")).alias("rdd_records"),
+        _field(results, RDD, "processing_time_ms").alias("rdd_time"),
+        _field(results, RDD, "record_count").alias("rdd_records"),
         _pick(DATAFRAME, F.lit(True)).alias("has_df"),
-        _pick(DATAFRAME, F.col("processing_time_ms")).alias("df_time"),
+        _field(results, DATAFRAME, "processing_time_ms").alias("df_time"),
     )
     if job_ids is not None:
         g = job_ids.select(F.col("job_id").cast("string")).join(g, "job_id", "left")
@@ -103,9 +118,11 @@ def _compare_columns() -> dict[str, Column]:
 def analyze_flat(results: DataFrame, job_ids: DataFrame | None = None) -> DataFrame:
     """Flat analysis: ``job_id, gpu_status, gpu_processed_count, error,
     rdd_time_ms, dataframe_time_ms, speedup, faster_method,
-    performance_improvement_pct, rdd_record_count, recommendations``.
+    performance_improvement_pct, rdd_record_count, rdd_time_raw,
+    dataframe_time_raw, recommendations``.
 
-    Times missing inside an existing result count as 0.  When both times
+    Times missing inside an existing result count as 0; the raw times keep
+    them NULL.  When both times
     are 0 the percentage is NULL and there is no faster-method sentence.
     """
     a = assemble(results, job_ids)
@@ -116,6 +133,8 @@ def analyze_flat(results: DataFrame, job_ids: DataFrame | None = None) -> DataFr
         F.coalesce(F.col("gpu_count"), F.lit(0)).alias("gpu_processed_count"),
         *[c.alias(n) for n, c in cmp.items()],
         F.col("rdd_records").alias("rdd_record_count"),
+        F.col("rdd_time").alias("rdd_time_raw"),
+        F.col("df_time").alias("dataframe_time_raw"),
     )
 
 
@@ -124,8 +143,12 @@ def analyze_jobs(results: DataFrame, job_ids: DataFrame | None = None) -> DataFr
     {status, processed_count}``, ``spark_comparison {error, rdd_time_ms,
     dataframe_time_ms, speedup, faster_method, performance_improvement_pct}``,
     ``recommendations``."""
-    f = analyze_flat(results, job_ids)
-    return f.select(
+    return nest_analysis(analyze_flat(results, job_ids))
+
+
+def nest_analysis(analysis_flat: DataFrame) -> DataFrame:
+    """The nested records of :func:`analyze_jobs` from the flat analysis."""
+    return analysis_flat.select(
         "job_id",
         F.struct(F.col("gpu_status").alias("status"),
                  F.col("gpu_processed_count").alias("processed_count")).alias("gpu_processing"),
@@ -178,7 +201,8 @@ def chart_series(analysis_flat: DataFrame) -> DataFrame:
 
 def speedup_report(analysis_flat: DataFrame) -> DataFrame:
     """Symmetric speedup (slower / faster, truncated to 2 places, exact
-    integer arithmetic) for jobs with both times: ``job_id, rdd_time_ms,
+    integer arithmetic) for jobs whose two results both hold a time (a NULL
+    time skips the job, as a missing result does): ``job_id, rdd_time_ms,
     dataframe_time_ms, winner, ratio, ratio_text, message``.  Ties go to
     RDD; a zero divisor gives NULL ratio and message."""
     rdd_t, df_t = F.col("rdd_time_ms"), F.col("dataframe_time_ms")
@@ -190,7 +214,7 @@ def speedup_report(analysis_flat: DataFrame) -> DataFrame:
     winner = F.when(df_wins, F.lit(DATAFRAME_NAME)).otherwise(F.lit(RDD_NAME))
     loser = F.when(df_wins, F.lit(RDD_NAME)).otherwise(F.lit(DATAFRAME_NAME))
     return (analysis_flat
-            .filter(rdd_t.isNotNull() & df_t.isNotNull())
+            .filter(F.col("rdd_time_raw").isNotNull() & F.col("dataframe_time_raw").isNotNull())
             .select("job_id", "rdd_time_ms", "dataframe_time_ms",
                     winner.alias("winner"),
                     (hundredths / 100).alias("ratio"),
@@ -201,15 +225,19 @@ def speedup_report(analysis_flat: DataFrame) -> DataFrame:
 def nested_results(results: DataFrame) -> DataFrame:
     """Per job ``{job_id, results: {spark_rdd, spark_dataframe, gpu_processed}}``
     with each engine's summary fields (NULL when that result is absent)."""
-    summary = F.struct("processing_time_ms", "record_count", "avg_value", "max_value",
-                       "min_value", "std_dev", "processing_type")
+    numbers = ("processing_time_ms", "record_count", "avg_value", "max_value", "min_value", "std_dev")
 
-    # max over a struct is deterministic and combines map-side, so repeated
-    # copies of a job's result collapse before the shuffle (a collect_list
-    # would carry every copy into one list).  With a string field it runs
-    # as a sort-based aggregate; the input is one row per job and engine.
+    # One pass of number buffers; the constant name of the kind joins the
+    # records afterwards.
+    fields = [_field(results, e, n).alias(f"{e}_{n}") for e in (RDD, DATAFRAME) for n in numbers]
     g = results.groupBy("job_id").agg(
-        _pick(RDD, summary).alias(RDD), _pick(DATAFRAME, summary).alias(DATAFRAME),
-        _pick(GPU, F.struct(F.coalesce(F.size("result"), F.lit(0)).alias("processed_count")))
-        .alias(GPU))
+        _pick(RDD, F.lit(True)).alias("has_rdd"), _pick(DATAFRAME, F.lit(True)).alias("has_df"),
+        _pick(GPU, _count()).alias("gpu_count"), *fields)
+
+    def record(present: str, engine: str, name: str) -> Column:
+        own = [F.col(f"{engine}_{n}").alias(n) for n in numbers]
+        return F.when(F.col(present), F.struct(*own, F.lit(name).alias("processing_type"))).alias(engine)
+
+    g = g.select("job_id", record("has_rdd", RDD, RDD_NAME), record("has_df", DATAFRAME, DATAFRAME_NAME),
+                 F.when(F.col("gpu_count").isNotNull(), F.struct(F.col("gpu_count").alias("processed_count"))).alias(GPU))
     return g.select("job_id", F.struct(RDD, DATAFRAME, GPU).alias("results"))

@@ -11,6 +11,8 @@ from numprof.operators.arrays import process_requests
 from numprof.operators.categories import band_stats, category_list, category_map
 from numprof.operators.profile import profile
 from numprof.plans.stats_join import attach_by_keys, materialize, measure, with_scalar_row
+from numprof.sinks.results import job_path
+
 
 def _job_id(job_col: str | None, job_id: str | None) -> Column:
     if job_col is not None:
@@ -34,13 +36,15 @@ def job_results(df: DataFrame, value: str = "value", job_col: str | None = None,
     """
     keys = [job_col] if job_col else []
     if kind == "rdd":
-        df = df.filter(F.col(value).isNotNull())
         ddof, nan_medium, shape = 0, True, "rdd"
     elif kind == "dataframe":
         ddof, nan_medium, shape = 1, False, "dataframe"
     else:
         raise ValueError("kind must be 'dataframe' or 'rdd'")
+    # Aggregates skip NULL values, so a job of NULLs alone has its record too.
     stats = materialize(profile(df, value, keys, ddof))
+    if kind == "rdd":
+        df = df.filter(F.col(value).isNotNull())
     stats_size = measure(stats, keys) if keys and broadcast == "auto" else None
     long = band_stats(df, value, keys, ddof, nan_is_medium=nan_medium, shape=shape, stats=stats,
                       stats_size=stats_size, broadcast=broadcast)
@@ -48,6 +52,9 @@ def job_results(df: DataFrame, value: str = "value", job_col: str | None = None,
     if keys:
         # ``stats`` is materialised, so it is the side whose size is checked.
         rec = attach_by_keys(nested, stats, keys, stats_size=stats_size, broadcast=broadcast)
+        if kind == "rdd":
+            none = F.lit(None).cast(nested.schema["category_stats"].dataType)
+            rec = rec.unionByName(stats.filter("record_count = 0").withColumn("category_stats", none))
     else:
         rec = with_scalar_row(stats, nested)
     empty = (F.array() if shape == "dataframe" else F.create_map()).cast(
@@ -68,18 +75,18 @@ def array_results(requests: DataFrame) -> DataFrame:
     return done.filter(F.col("status") == SUCCESS).select("job_id", "result")
 
 
-def receipts(requests: DataFrame, storage_root: str, per_job_files: bool = False) -> DataFrame:
+def receipts(requests: DataFrame, storage_root: str, per_job_files: bool = False, run_id: str = "latest") -> DataFrame:
     """One receipt per request: status, job_id, processed_count,
     storage_path (success) or error and http_status (failure).
 
     ``storage_path`` is the folder that holds the job's array result under
-    the sink layout (per engine, or per engine and job)."""
+    the sink layout of run ``run_id``.  The count is the length of the data:
+    standardising keeps it, so no array arithmetic is done for a receipt."""
     done = process_requests(requests)
     ok = F.col("status") == SUCCESS
-    folder = storage_root.rstrip("/") + f"/engine={GPU}"
-    path = F.concat(F.lit(folder + "/job_id="), F.col("job_id")) if per_job_files else F.lit(folder)
+    path = job_path(storage_root, GPU, run_id, F.col("job_id") if per_job_files else None)
     return done.select(
         "status", "job_id",
-        F.when(ok, F.size("result")).alias("processed_count"),
+        F.when(ok, F.array_size("data")).alias("processed_count"),
         F.when(ok, path).alias("storage_path"),
         "error", "http_status")

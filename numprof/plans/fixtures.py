@@ -21,6 +21,7 @@ RECORD_MULTIPLIER = 7             # supplier quantity total * 7 = record_count
 NO_DATA_LABEL = 8                 # embeddings with this label: request without data
 BAD_TYPE_LABEL = 9                # ... with this label: unsupported type
 NO_TYPE_LABEL = 6                 # ... with this label: type omitted (default)
+BAD_DATA_LABEL = 5                # ... with this label: an array that holds a text
 NO_JOB_LABEL = 7                  # ... with this label: job id omitted (default)
 BAD_TYPE = "histogram"
 
@@ -40,19 +41,24 @@ def events_lines(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def requests_from_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def requests_from_embeddings(spark: SparkSession, sf_dir: str, keep_label: bool = False) -> DataFrame:
     e = _table(spark, sf_dir, "embeddings")
     lab = F.col("label")
     return e.select(
         F.when(lab != NO_JOB_LABEL, F.col("vec_id").cast("string")).alias("job_id"),
         F.when(lab == BAD_TYPE_LABEL, F.lit(BAD_TYPE))
          .when(lab != NO_TYPE_LABEL, F.lit(NORMALIZE)).alias("type"),
-        F.when(lab != NO_DATA_LABEL, F.col("embedding").cast("array<double>")).alias("data"))
+        F.when(lab != NO_DATA_LABEL, F.col("embedding").cast("array<double>")).alias("data"),
+        *["label"] * keep_label)
 
 
 def requests_file(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "requests")
-    requests_from_embeddings(spark, sf_dir).write.mode("overwrite").json(path)
+    req = requests_from_embeddings(spark, sf_dir, keep_label=True)
+    texts = F.concat(F.slice(F.col("data").cast("array<string>"), 1, 1), F.array(F.lit("abc")))
+    good, bad = req.filter(F.col("label") != BAD_DATA_LABEL), req.filter(F.col("label") == BAD_DATA_LABEL)
+    good.drop("label").write.mode("overwrite").json(path)
+    bad.select("job_id", "type", texts.alias("data")).write.mode("append").json(path)
     return path
 
 

@@ -1,8 +1,9 @@
 """End-to-end jobs: read → compute → write, with wall-clock timing.
 
 These are the only functions that run actions.  Each is idempotent: the
-result is materialised in the shared checkpoint folder, then written with
-dynamic partition overwrite, so a retried run replaces its own output.
+result is materialised in the shared checkpoint folder, then written below
+its own run id, so a retried run (same ``run_id``) replaces its own output
+and no other.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from numprof.operators.jobs import analyze_jobs
 from numprof.operators.results import array_results, job_results, receipts
 from numprof.plans.stats_join import materialize
-from numprof.sinks.results import write_results
+from numprof.sinks.results import new_run_id, write_results
 from numprof.sources.files import read_numeric_csv, read_numeric_text, read_requests, read_results
 
 
@@ -38,7 +39,7 @@ def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK)
 
 def run_profile_job(spark: SparkSession, input_path: str, job_id: str, kind: str = "dataframe",
                     output_root: str | None = None, job_col: str | None = None,
-                    cache_input: bool = False) -> DataFrame:
+                    cache_input: bool = False, run_id: str | None = None) -> DataFrame:
     """Profile numeric input and time it (``processing_time_ms``).
 
     ``kind="dataframe"`` reads headerless CSV (bad fields → NULL rows);
@@ -59,20 +60,22 @@ def run_profile_job(spark: SparkSession, input_path: str, job_id: str, kind: str
     out = rec.withColumn("processing_time_ms", F.lit(elapsed_ms).cast("long"))
     if output_root:
         engine = "spark_dataframe" if kind == "dataframe" else "spark_rdd"
-        write_results(out, output_root, engine, per_job_files=job_col is None)
+        write_results(out, output_root, engine, per_job_files=job_col is None, run_id=run_id)
     return out
 
 
 def run_array_job(spark: SparkSession, requests_path: str, output_root: str | None = None,
-                  per_job_files: bool = False) -> DataFrame:
+                  per_job_files: bool = False, run_id: str | None = None) -> DataFrame:
     """Standardise every request's array; write the array results and
     return one receipt per request."""
     requests = read_requests(spark, requests_path)
+    run_id = run_id or new_run_id()
     if output_root:
-        write_results(array_results(requests), output_root, "gpu_processed", per_job_files)
-    return receipts(requests, output_root or "", per_job_files)
+        write_results(array_results(requests), output_root, "gpu_processed", per_job_files, run_id)
+    return receipts(requests, output_root or "", per_job_files, run_id)
 
 
 def run_analysis(spark: SparkSession, results_root: str, job_ids: DataFrame | None = None) -> DataFrame:
-    """Analyse every stored job (or exactly ``job_ids``) in one pass."""
-    return analyze_jobs(read_results(spark, results_root), job_ids)
+    """Analyse every stored job (or exactly ``job_ids``) in one pass; a root
+    without results yet gives no job, or missing results for ``job_ids``."""
+    return analyze_jobs(read_results(spark, results_root, missing_ok=True), job_ids)

@@ -19,15 +19,15 @@ from numprof.functions.fixed import LARGE_RECORDS
 from numprof.operators.arrays import array_stats, standardize_arrays, standardize_arrays_long
 from numprof.operators.categories import band_stats
 from numprof.operators.jobs import (
-    analyze_flat, chart_series, nested_results, recommendations, results_long, speedup_report,
+    analyze_flat, analyze_jobs, chart_series, nested_results, recommendations, results_long, speedup_report,
 )
 from numprof.operators.matrix import array_rows_to_coo, matmul_coo, matmul_tiled
 from numprof.operators.profile import flavour_diff, profile
 from numprof.operators.results import job_results, receipts
 from numprof.operators.standardize import standardize
 from numprof.plans import fixtures as fx
-from numprof.plans.jobs import run_analysis, run_profile_job
-from numprof.plans.stats_join import scratch_path
+from numprof.plans.jobs import persisted, run_analysis, run_profile_job
+from numprof.plans.stats_join import materialize, scratch_path
 from numprof.sinks.results import write_results
 from numprof.sources.files import (
     read_numeric_csv, read_numeric_text, read_requests, read_results, uniform_values,
@@ -280,21 +280,22 @@ def text_scan(spark, d):
 # --- arrays and matrices ---------------------------------------------------
 
 @register("array_requests", f"""
-SELECT CASE WHEN label = {fx.NO_DATA_LABEL} OR label = {fx.BAD_TYPE_LABEL} THEN 'error' ELSE 'success' END AS status,
+SELECT CASE WHEN label IN ({fx.NO_DATA_LABEL}, {fx.BAD_TYPE_LABEL}, {fx.BAD_DATA_LABEL}) THEN 'error' ELSE 'success' END AS status,
        CASE WHEN label = {fx.NO_JOB_LABEL} THEN 'unknown' ELSE CAST(vec_id AS VARCHAR) END AS job_id,
-       CASE WHEN label = {fx.NO_DATA_LABEL} OR label = {fx.BAD_TYPE_LABEL} THEN NULL
+       CASE WHEN label IN ({fx.NO_DATA_LABEL}, {fx.BAD_TYPE_LABEL}, {fx.BAD_DATA_LABEL}) THEN NULL
             ELSE CAST(len(embedding) AS INTEGER) END AS processed_count,
-       CASE WHEN label = {fx.NO_DATA_LABEL} OR label = {fx.BAD_TYPE_LABEL} THEN NULL
-            ELSE 'results/engine=gpu_processed/job_id='
+       CASE WHEN label IN ({fx.NO_DATA_LABEL}, {fx.BAD_TYPE_LABEL}, {fx.BAD_DATA_LABEL}) THEN NULL
+            ELSE 'results/engine=gpu_processed/run_id=latest/job=id-'
                  || CASE WHEN label = {fx.NO_JOB_LABEL} THEN 'unknown' ELSE CAST(vec_id AS VARCHAR) END
        END AS storage_path,
        CASE WHEN label = {fx.NO_DATA_LABEL} THEN 'No data provided'
+            WHEN label = {fx.BAD_DATA_LABEL} THEN 'Processing failed: data is not an array of numbers'
             WHEN label = {fx.BAD_TYPE_LABEL} THEN 'Processing failed: unsupported type {fx.BAD_TYPE}' END AS error,
-       CASE WHEN label = {fx.NO_DATA_LABEL} THEN 400 WHEN label = {fx.BAD_TYPE_LABEL} THEN 500 ELSE 200 END AS http_status
+       CASE WHEN label = {fx.NO_DATA_LABEL} THEN 400 WHEN label IN ({fx.BAD_TYPE_LABEL}, {fx.BAD_DATA_LABEL}) THEN 500 ELSE 200 END AS http_status
 FROM embeddings
 """)
 def array_requests(spark, d):
-    """S3, M5, K4, K5: embeddings as JSON requests (some without data or with a bad type), receipts."""
+    """S3, M5, K4, K5: embeddings as JSON requests (some without data, with data that is no array of numbers, or with a bad type), receipts."""
     return receipts(read_requests(spark, fx.requests_file(spark, d)), "results", per_job_files=True)
 
 
@@ -407,7 +408,7 @@ SELECT job_id, gpu_status, gpu_processed_count, error, rdd_time_ms, dataframe_ti
 """)
 def job_analysis(spark, d):
     """Supplier vs part quantity totals as the two kinds' times, plus array results."""
-    return _analysis(spark, d).drop("recommendations")
+    return _analysis(spark, d).drop("recommendations", "rdd_time_raw", "dataframe_time_raw")
 
 
 @register("job_recommendations", _JOBS_CTE + f"""
@@ -539,16 +540,89 @@ def result_roundtrip(spark, d):
     return round_all(k1.select("*", no_size).unionByName(k2.select("*", no_size)).unionByName(k3))
 
 
-# --- rows-only (no SQL equivalent) ------------------------------------------
+@register("results_two_batches", """
+WITH x AS (SELECT CAST(l_suppkey AS VARCHAR) AS job_id, sum(CAST(l_quantity AS BIGINT)) AS q, count(*) AS n FROM lineitem GROUP BY l_suppkey),
+e AS (SELECT unnest(['spark_rdd', 'spark_dataframe']) AS engine)
+SELECT job_id, engine, CASE WHEN CAST(job_id AS BIGINT) % 5 = 0 THEN q + 1 ELSE q END AS processing_time_ms,
+       CASE WHEN CAST(job_id AS BIGINT) % 5 = 0 THEN n * 2 ELSE n END AS record_count, CAST(NULL AS INTEGER) AS result_size
+FROM x, e
+UNION ALL SELECT CAST(vec_id AS VARCHAR), 'gpu_processed', NULL, NULL, CAST(len(embedding) AS INTEGER) FROM embeddings
+""")
+def results_two_batches(spark, d):
+    """Two disjoint batches of jobs stored by every engine, the
+    first one retried, then some jobs rewritten; nothing else is lost and
+    the newest whole record of a job is read."""
+    root = scratch_path(spark, "batches")
+    totals = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("k")).agg(
+        F.sum(F.col("l_quantity").cast("long")).alias("processing_time_ms"), F.count(F.lit(1)).alias("record_count"))
+    totals = materialize(totals.select("k", F.col("k").cast("string").alias("job_id"), "processing_time_ms", "record_count"))
+    arrays = fx.embeddings_array_results(spark, d)
+    half = F.pmod(F.xxhash64("job_id"), F.lit(2)) == 0
+    for run, part in (("first", half), ("second", ~half), ("first", half)):
+        for engine in ("spark_rdd", "spark_dataframe"):
+            write_results(totals.filter(part).drop("k"), root, engine, run_id=run)
+        write_results(arrays.filter(part), root, "gpu_processed", run_id=run)
+    again = totals.filter("k % 5 = 0").select("job_id", (F.col("processing_time_ms") + 1).alias("processing_time_ms"),
+                                              (F.col("record_count") * 2).alias("record_count"))
+    for engine in ("spark_rdd", "spark_dataframe"):
+        write_results(again, root, engine, run_id="third")
+    return read_results(spark, root).select("job_id", "engine", "processing_time_ms", "record_count", F.array_size("result").alias("result_size"))
+
+
+@register("array_nulls", """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CASE WHEN x < 0 THEN NULL ELSE CAST(x AS DOUBLE) END) AS v FROM embeddings),
+m AS (SELECT vec_id, v, list_avg(v) AS mu, list_aggregate(v, 'stddev_pop') AS sd FROM e)
+SELECT vec_id, CAST(len(v) AS INTEGER) AS size, round(mu, 6) AS mean, round(sd, 6) AS std_dev,
+       CAST(len(list_filter(v, lambda x: x IS NULL)) AS INTEGER) AS null_elements, round(list_max(v) / nullif(sd, 0) - mu / nullif(sd, 0), 6) AS top
+FROM m
+""")
+def array_nulls(spark, d):
+    """M1, M2: arrays with NULL elements, which moments skip and standardising keeps."""
+    e = table(spark, d, "embeddings").select(
+        "vec_id", F.transform("embedding", lambda x: F.when(x >= 0, x.cast("double"))).alias("v"))
+    out = standardize_arrays(array_stats(e, "v"), "v", "z")
+    return round_all(out.select("vec_id", "size", "mean", "std_dev",
+                                F.array_size(F.filter("z", lambda x: x.isNull())).alias("null_elements"), F.array_max("z").alias("top")))
+
+
+@register("job_analysis_nested", _JOBS_CTE + """
+SELECT CAST(c_custkey AS VARCHAR) AS job_id, coalesce(gpu_status, 'failed') AS gpu_status,
+       coalesce(gpu_processed_count, 0) AS processed_count,
+       CASE WHEN coalesce(ok, false) THEN NULL ELSE 'Missing results for comparison' END AS error, rdd_time_ms, dataframe_time_ms,
+       speedup, faster_method, performance_improvement_pct
+FROM customer LEFT JOIN f ON f.job_id = CAST(c_custkey AS VARCHAR)
+""")
+def job_analysis_nested(spark, d):
+    """The nested record for a given job list (customer keys), whether or not results exist."""
+    rdd, df = fx.lineitem_results(spark, d)
+    ids = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("job_id"))
+    out = analyze_jobs(results_long(rdd=rdd, df=df, gpu=fx.embeddings_array_results(spark, d)), ids)
+    return out.select("job_id", F.col("gpu_processing.status").alias("gpu_status"), "gpu_processing.processed_count", "spark_comparison.*")
+
+
+@register("csv_scan_cached", ORACLE["csv_scan"])
+def csv_scan_cached(spark, d):
+    """As csv_scan, with the parsed input cached between its two scans."""
+    with persisted(read_numeric_csv(spark, fx.events_lines(spark, d))) as rows:
+        return _flat_list(materialize(job_results(rows, "value", job_id="events")))
+
 
-@register("timed_profile")
+# --- measured times and drawn values: what is fixed about them ----------------
+
+@register("timed_profile", f"""
+SELECT 'events' AS job_id, true AS timed, count(value) AS record_count, round(avg(value), 6) AS avg_value,
+       round(stddev_samp(value), 6) AS std_dev FROM ({_LINES_SQL})
+""")
 def timed_profile(spark, d):
-    """Full DataFrame-kind job over the events lines, with its measured run time."""
+    """Full DataFrame-kind job over the events lines; its run time as "measured"."""
     rec = run_profile_job(spark, fx.events_lines(spark, d), "events", kind="dataframe")
-    return rec.select("job_id", "processing_time_ms", "record_count", "avg_value", "std_dev")
+    return round_all(rec.select("job_id", (F.col("processing_time_ms") >= 0).alias("timed"), "record_count", "avg_value", "std_dev"))
 
 
-@register("timed_comparison")
+@register("timed_comparison", """
+SELECT 'events' AS job_id, 'failed' AS gpu_status, 0 AS processed_count, true AS compared, true AS times_measured,
+       true AS winner_fits, true AS speedup_fits, count(*) FILTER (event_type <> 'error') > 100000 AS size_advice FROM events
+""")
 def timed_comparison(spark, d):
     """The original workflow end to end: the same events lines profiled by
     both kinds (CSV reader / text reader), each timed and stored, then the
@@ -557,14 +631,31 @@ def timed_comparison(spark, d):
     root = scratch_path(spark, "timed")
     run_profile_job(spark, lines, "events", kind="dataframe", output_root=root)
     run_profile_job(spark, lines, "events", kind="rdd", output_root=root)
-    return run_analysis(spark, root)
-
-
-@register("uniform_input")
+    a = run_analysis(spark, root)
+    rdd, df = F.col("spark_comparison.rdd_time_ms"), F.col("spark_comparison.dataframe_time_ms")
+    return a.select(
+        "job_id", F.col("gpu_processing.status").alias("gpu_status"), "gpu_processing.processed_count",
+        F.col("spark_comparison.error").isNull().alias("compared"), ((rdd >= 0) & (df >= 0)).alias("times_measured"),
+        (F.col("spark_comparison.faster_method") == F.when(df < rdd, "DataFrame").otherwise("RDD")).alias("winner_fits"),
+        (F.col("spark_comparison.speedup") == F.when(df > 0, F.round(rdd / F.nullif(df, F.lit(0)), 2)).otherwise(0.0)).alias("speedup_fits"),
+        (F.size(F.filter("recommendations", lambda r: r.startswith("Consider"))) == 1).alias("size_advice"))
+
+
+@register("uniform_input", """
+SELECT count(*) AS record_count, true AS in_range, true AS mean_fits, true AS deviation_fits, true AS same_again FROM lineitem
+""")
 def uniform_input(spark, d):
-    """One uniform value in [-100, 100) per lineitem row, profiled."""
-    vals = uniform_values(table(spark, d, "lineitem").select("l_orderkey"))
-    return profile(vals, "value")
+    """One uniform value in [-100, 100) per lineitem row (a generator: only
+    their number comes from the table); mean and deviation within six
+    standard errors, and a second draw with the same seed equal."""
+    rows = table(spark, d, "lineitem").select("l_orderkey")
+    p = profile(uniform_values(rows), "value")
+    again = profile(uniform_values(rows), "value").select(F.col("avg_value").alias("b")).scalar()
+    n = F.col("record_count")
+    return p.select("record_count", ((F.col("min_value") >= -100) & (F.col("max_value") < 100)).alias("in_range"),
+                    (F.abs("avg_value") < 6 * 57.735 / F.sqrt(n)).alias("mean_fits"),
+                    (F.abs(F.col("std_dev") - 57.735) < 6 * 57.735 / F.sqrt(n)).alias("deviation_fits"),
+                    (F.abs(F.col("avg_value") - again) < 1e-9).alias("same_again"))
 
 
 def queries() -> dict[str, Builder]:

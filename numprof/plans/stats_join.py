@@ -10,7 +10,9 @@ statistics side, where adaptive execution splits hot keys.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from functools import reduce
@@ -41,9 +43,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if sc is None or not sc.master.startswith("local"):
+        if sc is None or sc.master.startswith("local-cluster") or not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         configured = tempfile.mkdtemp(prefix="numprof-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     if sc is None:
         return configured
     sc.setCheckpointDir(configured)
@@ -147,13 +150,17 @@ def attach_by_keys(rows: DataFrame, stats: DataFrame, keys: tuple[str, ...] | li
     task, so the rows are neither joined nor shuffled.  With keys, ``stats``
     is broadcast only when its measured size (:func:`measure`, or
     ``stats_size`` from a caller that measured it already) is within the
-    broadcast threshold.  When the measurement finds no NULL key, the keys
-    are compared with plain equality, which is exactly equivalent then and
-    lets Spark use its fast single-key hash maps (about 5x faster on a long
-    key than the null-safe form).  Otherwise it is
+    broadcast threshold.  When the measurement finds no NULL key, a broadcast
+    join compares the keys with plain equality, which is exactly equivalent
+    then and lets Spark use its fast single-key hash maps (about 5x faster on
+    a long key than the null-safe form).  Otherwise it is
     a shuffled hash join that builds on the statistics side: each task hashes
     its slice of the statistics and streams its rows through unsorted, and
-    AQE splits a hot key's partition.  The hint also keeps the planner from
+    AQE splits a hot key's partition.  That join is always null-safe: its
+    shuffle is on wrapped keys, so an aggregate by the same keys above it
+    brings its own exchange of partial rows and does not tie AQE to the
+    join's partitioning (with plain keys AQE would refuse the split, since
+    it would add an exchange).  The hint also keeps the planner from
     broadcasting on a static estimate.  ``stats`` should be materialised
     (see :func:`materialize`) so that measuring it is cheap.
 
@@ -172,7 +179,7 @@ def attach_by_keys(rows: DataFrame, stats: DataFrame, keys: tuple[str, ...] | li
             stats_size = measure(stats, keys)
         threshold = broadcast_threshold(rows.sparkSession)
         small = 0 < threshold and stats_size.bytes <= threshold
-        null_safe = stats_size.null_key_rows > 0
+        null_safe = not small or stats_size.null_key_rows > 0
     elif broadcast in ("always", "never"):
         small = broadcast == "always"
     else:

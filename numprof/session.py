@@ -15,9 +15,6 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("NUMPROF_DRIVER_MEMORY", "8g"))
     )
@@ -26,25 +23,30 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
     return spark
 
 
-def cluster_conf(input_bytes: int, total_cores: int, split_bytes: int = 256 << 20,
-                 shuffle_target_bytes: int = 128 << 20) -> dict[str, str]:
+def cluster_conf(input_bytes: int, total_cores: int, checkpoint_dir: str, split_bytes: int = 1 << 30,
+                 shuffle_target_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of input.
 
-    Scan splits of ``split_bytes`` (so a 100 TB scan is ~400k tasks of a
-    size that fits executor memory); the initial shuffle partition count is
-    large enough for a full shuffle of the input at ``shuffle_target_bytes``
-    per partition (the shuffled-hash path and the matrix joins move fact
-    rows), and AQE coalesces it down where only partial aggregates move.
-    Statistics are broadcast only on sizes measured at run time.
+    Scan splits of ``split_bytes`` (100 TB: about 100k map tasks) and a few
+    shuffle partitions per core: nearly every exchange of this library moves
+    partial aggregates, and map tasks x partitions is the number of shuffle
+    blocks, which must stay in the hundreds of millions.  A join that
+    shuffles all rows gets its own count: pass :func:`row_partitions` to
+    ``repartition`` on that input.  ``checkpoint_dir`` is a folder that the
+    driver and all executors share; checkpoints no longer needed are
+    cleaned.  Statistics are broadcast only on sizes measured at run time.
     """
-    shuffle_parts = max(total_cores * 2, -(-input_bytes // shuffle_target_bytes))
     return {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_target_bytes),
         "spark.sql.files.maxPartitionBytes": str(split_bytes),
-        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.shuffle.partitions": str(max(3 * total_cores, 1)),
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.checkpoint.dir": checkpoint_dir,
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
+
+
+def row_partitions(bytes_moved: int, total_cores: int, target_bytes: int = 1 << 30) -> int:
+    """Partitions for one shuffle that moves ``bytes_moved`` of whole rows."""
+    return max(3 * total_cores, -(-bytes_moved // target_bytes))

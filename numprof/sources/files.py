@@ -4,7 +4,7 @@ the data, and job ids such as ``001`` stay strings)."""
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +15,7 @@ VALUE_SCHEMA = T.StructType([T.StructField("value", T.DoubleType(), True)])
 REQUEST_SCHEMA = T.StructType([
     T.StructField("job_id", T.StringType(), True),
     T.StructField("type", T.StringType(), True),
-    T.StructField("data", T.ArrayType(T.DoubleType()), True),
+    T.StructField("data", T.StringType(), True),
 ])
 
 # One schema for the three result kinds.  ``category_stats`` is a list in
@@ -32,7 +32,10 @@ RESULT_SCHEMA = T.StructType([
     T.StructField("processing_type", T.StringType(), True),
     T.StructField("category_stats", T.StringType(), True),
     T.StructField("result", T.ArrayType(T.DoubleType()), True),
+    T.StructField("written_at", T.LongType(), True),
     T.StructField("engine", T.StringType(), True),
+    T.StructField("run_id", T.StringType(), True),
+    T.StructField("job", T.StringType(), True),
 ])
 
 CATEGORY_LIST_TYPE = T.ArrayType(T.StructType([
@@ -75,14 +78,27 @@ def read_numeric_text(spark: SparkSession, path: str, on_malformed: str = "drop"
 
 
 def read_requests(spark: SparkSession, path: str) -> DataFrame:
-    """Array requests (JSON lines ``{job_id, type, data}``)."""
-    return spark.read.schema(REQUEST_SCHEMA).json(path)
+    """Array requests (JSON lines ``{job_id, type, data}``) as ``job_id, type,
+    data, unusable``.
+
+    ``data`` is read as raw text and parsed once: absent or null data is
+    NULL, and data that is not an array of numbers (nulls allowed) is NULL
+    with ``unusable`` true, so the two can be told apart.
+    """
+    raw = spark.read.schema(REQUEST_SCHEMA).json(path)
+    # Every element as text: a nested or quoted value shows its first character.
+    parts = F.from_json("data", "array<string>")
+    usable = F.coalesce(F.col("data").startswith("[") & F.forall(parts, lambda x: x.isNull() | x.rlike(r"^-?([0-9]|Inf|NaN)")), F.lit(False))
+    data = F.from_json("data", "array<double>")
+    return raw.select("job_id", "type", F.when(usable, data).alias("data"),
+                      (F.col("data").isNotNull() & ~(usable & data.isNotNull())).alias("unusable"))
 
 
-def read_results(spark: SparkSession, root: str, engines=None) -> DataFrame:
+def read_results(spark: SparkSession, root: str, engines=None, missing_ok: bool = False) -> DataFrame:
     """All stored job results below ``root`` (written by
-    :func:`numprof.sinks.write_results`), one row per job and engine; no
-    rows when nothing has been stored below ``root`` yet.
+    :func:`numprof.sinks.write_results`), one row per job and engine: of
+    several stored copies the newest whole record.  A root that does not
+    exist raises, or with ``missing_ok`` reads as no results.
 
     Adds ``category_list`` (DataFrame kind) and ``category_map`` (RDD kind)
     decoded from the raw ``category_stats`` text.  ``engines`` restricts the
@@ -91,12 +107,16 @@ def read_results(spark: SparkSession, root: str, engines=None) -> DataFrame:
     try:
         df = spark.read.schema(RESULT_SCHEMA).json(root)
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" not in str(exc):
+        if not missing_ok or exc.getCondition() != "PATH_NOT_FOUND":
             raise
         # Nothing stored yet: every result is absent, as for a missing file.
         df = spark.createDataFrame([], RESULT_SCHEMA)
     if engines:
         df = df.filter(F.col("engine").isin(list(engines)))
+    # The row number is limited before the shuffle too, so copies of a hot job
+    # do not travel.
+    newest = Window.partitionBy("job_id", "engine").orderBy(F.desc("written_at"), F.desc("run_id"))
+    df = df.withColumn("__copy", F.row_number().over(newest)).filter("__copy = 1").drop("__copy", "run_id", "job")
     as_list = F.col("category_stats").startswith("[")
     return (df
             .withColumn("category_list", F.when(as_list, F.from_json("category_stats", CATEGORY_LIST_TYPE)))

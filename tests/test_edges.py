@@ -167,7 +167,7 @@ def test_request_without_data(spark):
     assert got["j1"]["error"] == "No data provided" and got["j1"]["http_status"] == 400
     ok = got["unknown"]
     assert ok["status"] == "success" and ok["processed_count"] == 2
-    assert ok["storage_path"] == "out/engine=gpu_processed/job_id=unknown"
+    assert ok["storage_path"] == "out/engine=gpu_processed/run_id=latest/job=id-unknown"
 
 
 def test_identity_product(spark):

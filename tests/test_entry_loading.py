@@ -14,7 +14,8 @@ m = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(m)
 from pyspark.sql import SparkSession
 s = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
-print("ROWS", m.entry(s).count(), len(m.queries()), len(m.oracle_sql()))
+from numprof.plans import registry
+print("ROWS", m.entry(s).count(), set(registry.queries()) <= set(m.queries()), set(registry.oracle_sql()) <= set(m.oracle_sql()))
 """
 
 
@@ -23,4 +24,4 @@ def test_entry_loads_by_path_from_elsewhere():
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", SCRIPT], cwd=cwd, env=env, capture_output=True,
                          text=True, timeout=300)
-    assert "ROWS 3 29 26" in out.stdout, out.stderr[-2000:]
+    assert "ROWS 3 True True" in out.stdout, out.stderr[-2000:]

@@ -2,6 +2,9 @@
 
 from pyspark.sql import functions as F
 
+import pytest
+from pyspark.errors import AnalysisException
+
 from numprof.operators.jobs import analyze_flat, chart_series, results_long, speedup_report
 from numprof.operators.results import job_results
 from numprof.sinks.results import write_results
@@ -77,13 +80,86 @@ def test_nested_results_collapse_repeated_copies(spark):
     assert got["hot"]["spark_rdd"]["processing_time_ms"] == 10 and got["hot"]["spark_dataframe"] is None
     assert got["cold"]["spark_dataframe"]["processing_type"] == "DataFrame"
     plan = nested_results(res)._jdf.queryExecution().executedPlan().toString()
-    assert "collect_list" not in plan and "partial_max" in plan
+    assert "collect_list" not in plan and "partial_max" in plan and "SortAggregate" not in plan
 
 
 def test_analysis_over_an_empty_results_root(spark, tmp_path):
     from numprof.operators.jobs import analyze_flat
-    res = read_results(spark, str(tmp_path / "nothing-here"))
+    with pytest.raises(AnalysisException):
+        read_results(spark, str(tmp_path / "nothing-here"))
+    res = read_results(spark, str(tmp_path / "nothing-here"), missing_ok=True)
     assert res.count() == 0
     ids = spark.createDataFrame([("j1",)], "job_id string")
     r = analyze_flat(res, ids).collect()[0]
     assert r["gpu_status"] == "failed" and r["error"] == "Missing results for comparison"
+
+
+def test_every_batch_keeps_the_others(spark, tmp_path):
+    root = str(tmp_path / "res")
+    schema = "job_id string, processing_time_ms long, record_count long"
+
+    def rows(*r):
+        return spark.createDataFrame(list(r), schema)
+    write_results(rows(("j1", 1, 10), ("", 2, 20), (None, 3, 30)), root, "spark_rdd", per_job_files=True)
+    write_results(rows(("j2", 4, 40), ("a/b c*", 5, 50)), root, "spark_rdd")
+    run = write_results(rows(("j3", 6, 60)), root, "spark_rdd")
+    write_results(rows(("j3", 7, 70)), root, "spark_rdd", run_id=run)          # a retry replaces its own run
+    write_results(rows(("j1", 90, 7), ("a/b c*", None, 1)), root, "spark_rdd", per_job_files=True)  # newest whole record wins
+    got = {r["job_id"]: (r["processing_time_ms"], r["record_count"]) for r in read_results(spark, root).collect()}
+    assert got == {"j1": (90, 7), "": (2, 20), None: (3, 30), "j2": (4, 40), "a/b c*": (None, 1), "j3": (7, 70)}
+    with pytest.raises(ValueError):
+        write_results(rows(("j", 1, 1)), root, "spark_rdd", run_id="a/b")
+
+
+def test_storage_path_is_the_folder_on_disk(spark, tmp_path):
+    import json
+    import os
+    from numprof.plans.jobs import run_array_job
+    src = tmp_path / "req.json"
+    src.write_text("\n".join(json.dumps({"job_id": j, "data": [1.0, 2.0]}) for j in ("a/b", "x y", "50%", "é*=", "")) + "\n")
+    for r in run_array_job(spark, str(src), str(tmp_path / "res"), per_job_files=True).collect():
+        assert os.path.isdir(r["storage_path"]), r["storage_path"]
+
+
+def test_unusable_payload_is_a_processing_error(spark, tmp_path):
+    from numprof.operators.results import receipts
+    from numprof.sources.files import read_requests
+    src = tmp_path / "req.json"
+    src.write_text("""{"job_id":"a","data":[1,"abc",3]}
+{"job_id":"b","data":"oops"}
+{"job_id":"c"}
+{"job_id":"d","data":null}
+{"job_id":"e","data":[1,null,3.5e2]}
+{"job_id":"f","data":[[1],[2]]}
+{"job_id":"g","data":{"x":1}}
+{"job_id":"h","data":[]}
+""")
+    df = receipts(read_requests(spark, str(src)), "out")
+    got = {r["job_id"]: (r["status"], r["http_status"], r["processed_count"]) for r in df.collect()}
+    assert got == {"a": ("error", 500, None), "b": ("error", 500, None), "c": ("error", 400, None), "d": ("error", 400, None),
+                   "e": ("success", 200, 3), "f": ("error", 500, None), "g": ("error", 500, None), "h": ("success", 200, 0)}
+    assert "aggregate(" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_null_time_copies_and_null_elements(spark):
+    from numprof.operators.arrays import standardize_arrays, standardize_arrays_long
+    from numprof.operators.jobs import analyze_flat, results_long, speedup_report
+    rdd = spark.createDataFrame([("a", 100, 1), ("c", 90, 7), ("c", 10, 5_000_000)], "job_id string, processing_time_ms long, record_count long")
+    df = spark.createDataFrame([("a", None), ("c", 5)], "job_id string, processing_time_ms long")
+    gpu = spark.createDataFrame([("a", None)], "job_id string, result array<double>")
+    flat = analyze_flat(results_long(rdd=rdd, df=df, gpu=gpu))
+    assert [r["job_id"] for r in speedup_report(flat).collect()] == ["c"]
+    got = {r["job_id"]: r for r in flat.collect()}
+    assert (got["c"]["rdd_time_ms"], got["c"]["rdd_record_count"]) == (90, 7)     # one whole copy, not a blend
+    assert got["a"]["gpu_processed_count"] == 0 and got["a"]["gpu_status"] == "completed"
+    arr = spark.createDataFrame([(1, [1.0, None, 3.0]), (2, None), (3, [None])], "id int, data array<double>")
+    wide = {r["id"]: r["result"] for r in standardize_arrays(arr).collect()}
+    assert wide == {1: [-1.0, None, 1.0], 2: None, 3: [None]}
+    assert [r["normalized_value"] for r in standardize_arrays_long(arr.filter("id = 1"), ["id"]).orderBy("pos").collect()] == [-1.0, None, 1.0]
+
+
+def test_all_null_job_keeps_its_record(spark):
+    df = spark.createDataFrame([("a", None), ("b", 1.0), ("b", 3.0)], "k string, value double")
+    for kind in ("rdd", "dataframe"):
+        got = {r["job_id"]: (r["record_count"], len(r["category_stats"])) for r in job_results(df, job_col="k", kind=kind).collect()}
+        assert got["a"][0] == 0 and got["b"][0] == 2 and (kind != "rdd" or got["a"][1] == 0)

@@ -39,6 +39,31 @@ def test_shuffled_path_matches_broadcast_path(spark):
     assert sum(n for (k, _), (n, _) in fast.items() if k == 0) == 10000
 
 
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_key_is_split(spark):
+    """A third of the rows in one key, no NULL key: a skewed read in the final plan."""
+    from numprof.operators.categories import band_stats
+    from numprof.operators.results import job_results
+    rows = spark.range(600_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000 + 1).alias("k"), F.sin(F.col("id")).alias("value")).repartition(16)
+    lowered = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+               "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+               "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in lowered}
+    try:
+        for k, v in lowered.items():
+            spark.conf.set(k, v)
+        assert "skewed" in _final_plan(band_stats(rows, "value", ["k"]))
+        assert "skewed" in _final_plan(job_results(rows, "value", job_col="k"))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 @settings(max_examples=15, deadline=None)
 @given(st.lists(st.floats(min_value=-1e6, max_value=1e6, allow_nan=False), min_size=2, max_size=60))
 def test_profile_and_bands_match_numpy(spark, xs):
