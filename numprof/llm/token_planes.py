@@ -15,9 +15,11 @@ the files lists those of finished tasks and the ids before each.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,9 +37,9 @@ MAGIC = b"IDPLANE1"
 BLOCK = 1 << 16
 LEVEL = 3
 #: Bytes of text for one file, and for one tokenising step within a task.
-FILE_BYTES, STEP_BYTES = 32 << 20, 16 << 20
-#: Words a process remembers; the memory is emptied when full.
-KNOWN_PIECES = 1 << 19
+FILE_BYTES, STEP_BYTES = 32 << 20, 8 << 20
+#: Pieces a process remembers; beyond that it starts anew.
+KNOWN_PIECES = 1 << 18
 
 
 # --- tokenising
@@ -48,41 +50,49 @@ class Encoder:
     This holds for tokenizers whose pieces never span white space (see
     ``splits_at_spaces``): the distinct white-space-free chunks of a batch
     are encoded once and their ids gathered.  Chunks of plain Latin letters,
-    digits and signs go piece by piece through the tokenizer's own model,
-    with the pieces remembered; every other chunk goes through the whole
-    tokenizer.  Other tokenizers encode each text as it is.
+    digits and signs are cut into pieces together, and each new piece goes
+    through the tokenizer's own model; every other chunk goes through the
+    whole tokenizer.  Other tokenizers encode each text as it is.
     """
 
-    PLAIN = regex.compile(r"[\x21-\x7E¡-˿]+")
+    #: Composed characters that lower-case one to one, and no white space.
+    PLAIN = "^[\x21-\x7E\u00A1-\u012F\u0131-\u02FF]+$"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        import json
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.pieces = splits_at_spaces(spec)
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
-        self.known: dict[str, tuple[int, ...]] = {}
         printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
         rest = [b for b in range(256) if b not in printable]
         self.byte_chars = [chr(b) if b in printable else chr(256 + rest.index(b)) for b in range(256)]
-
-    def chunk(self, chunk: str) -> tuple[int, ...] | None:
-        """Ids of a plain chunk, else None."""
-        if not self.PLAIN.fullmatch(chunk) or any(s in chunk for s in self.special):
-            return None
-        out: tuple[int, ...] = ()
-        for piece in self.pieces.findall(chunk.lower()):
-            ids = self.known.get(piece)
-            if ids is None:
-                if len(self.known) >= KNOWN_PIECES:
-                    self.known.clear()
-                mapped = piece if piece.isascii() else "".join(self.byte_chars[b] for b in piece.encode())
-                ids = self.known[piece] = tuple(t.id for t in self.tokenizer.model.tokenize(mapped))
-            out += ids
-        return out
+        self._forget()
+
+    def _forget(self) -> None:
+        # Piece 0 is the line break between two chunks and has no ids.
+        self.known, self.ids, self.sizes = {"\n": 0}, array("I"), array("i", [0])
+
+    def _learn(self, pieces: set[str]) -> None:
+        for piece in pieces:
+            mapped = piece if piece.isascii() else "".join(self.byte_chars[b] for b in piece.encode())
+            ids = [t.id for t in self.tokenizer.model.tokenize(mapped)]
+            self.known[piece] = len(self.sizes)
+            self.ids.extend(ids)
+            self.sizes.append(len(ids))
+
+    def _plain(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain chunks, one after the other, and their number per chunk."""
+        if not chunks:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        pieces = self.pieces.findall("\n".join(chunks).lower())
+        self._learn({p for p, k in zip(pieces, map(self.known.get, pieces)) if k is None})
+        number = np.fromiter(map(self.known.__getitem__, pieces), np.int32, len(pieces))
+        sizes = np.array(self.sizes)
+        chunk = np.cumsum(number == 0)
+        return gather(np.array(self.ids, np.uint32), sizes, number), np.bincount(chunk, sizes[number], len(chunks)).astype(np.int64)
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts``, ``end_id`` behind each text, and their number per text."""
@@ -90,29 +100,42 @@ class Encoder:
         if self.pieces is None:
             each = [e.ids + [end_id] for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
             return np.array([i for ids in each for i in ids], np.uint32), np.array([len(ids) for ids in each], np.int64)
+        if len(self.known) > KNOWN_PIECES:
+            self._forget()
         words = pc.ascii_split_whitespace(texts)
         coded = words.flatten().dictionary_encode()
-        ids = [self.chunk(w) for w in coded.dictionary.to_pylist()]
-        odd = [k for k, x in enumerate(ids) if x is None]
-        for k, e in zip(odd, self.tokenizer.encode_batch_fast([coded.dictionary[k].as_py() for k in odd], add_special_tokens=False)):
-            ids[k] = tuple(e.ids)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
-        first = np.cumsum(sizes) - sizes
-        word = coded.indices.to_numpy(zero_copy_only=False)
-        n = sizes[word]
-        ends = np.concatenate(([0], np.cumsum(n)))
-        at = np.arange(ends[-1]) + np.repeat(first[word] - ends[:-1], n)
+        chunks = coded.dictionary
+        plain = pc.match_substring_regex(chunks, self.PLAIN)
+        for s in self.special:
+            plain = pc.and_(plain, pc.invert(pc.match_substring(chunks, s)))
+        flat, sizes = self._plain(chunks.filter(plain).to_pylist())
+        odd = [e.ids for e in self.tokenizer.encode_batch_fast(chunks.filter(pc.invert(plain)).to_pylist(), add_special_tokens=False)]
+        flat = np.concatenate([flat, np.fromiter((i for ids in odd for i in ids), np.uint32)])
+        sizes = np.concatenate([sizes, np.fromiter(map(len, odd), np.int64, len(odd))])
+        # Plain chunks come first in ``flat``: renumber the words so.
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        place = np.where(is_plain, np.cumsum(is_plain) - 1, is_plain.sum() + np.cumsum(~is_plain) - 1).astype(np.int32)
+        word = place[coded.indices.to_numpy(zero_copy_only=False)]
+        ids = gather(flat, sizes, word)
         offsets = words.offsets.to_numpy()
-        offsets = offsets - offsets[0]
-        counts = np.diff(ends[offsets])
-        out = np.full(len(at) + len(counts), end_id, np.uint32)
-        out[np.arange(len(at)) + np.repeat(np.arange(len(counts)), counts)] = flat[at]
+        ends = np.concatenate(([0], np.cumsum(sizes[word])))
+        counts = np.diff(ends[offsets - offsets[0]])
+        out = np.full(len(ids) + len(counts), end_id, np.uint32)
+        out[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
         return out, counts + 1
 
 
+def gather(flat: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The runs numbered ``which`` of ``flat``, cut into runs of ``sizes``, joined."""
+    n = sizes[which]
+    shift = (np.cumsum(sizes) - sizes)[which] - (np.cumsum(n) - n)
+    at = np.repeat(shift, n)
+    at += np.arange(len(at))
+    return flat[at]
+
+
 def splits_at_spaces(spec: dict) -> regex.Pattern | None:
-    """The piece pattern of a tokenizer that composes (NFC), folds white space,
+    """The piece pattern, line breaks being pieces too, of a tokenizer that composes (NFC), folds white space,
     lower-cases, matches pieces and maps their bytes, else None."""
     norm, pre = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
     steps = [n.get("type") for n in norm.get("normalizers", [])]
@@ -122,7 +145,7 @@ def splits_at_spaces(spec: dict) -> regex.Pattern | None:
             and cut.get("invert") and cut.get("behavior") == "Removed" and norm["normalizers"][1]["pattern"] == {"Regex": r"\s+"}
             and norm["normalizers"][1]["content"] == " " and not pre["pretokenizers"][1].get("add_prefix_space")
             and spec.get("model", {}).get("type") == "BPE" and not any(" " in t["content"] for t in spec.get("added_tokens", [])))
-    return regex.compile(pattern) if same and pattern and pattern.endswith(r"[^\s\p{L}\p{N}]+") else None
+    return regex.compile(r"\n|" + pattern) if same and pattern and pattern.endswith(r"[^\s\p{L}\p{N}]+") else None
 
 
 _ENCODERS: dict[str, Encoder] = {}
