@@ -5,18 +5,25 @@
 right algorithm for sparse input.  ``matmul_tiled`` is the dense form: cells
 are grouped into square tiles of at most ``block``² entries, tiles meet by
 the inner tile index, each tile pair is multiplied with numpy inside the
-task, and partial result tiles are summed by a grouped aggregate.  Both
-emit exactly the cells that have at least one matching inner index.
+task, and the products are summed as strips of cells by a grouped aggregate.
+
+One rule for both: a cell whose value is NULL, or that is not there, takes
+part in no product; repeated cells add up; infinities and NaN follow IEEE
+arithmetic over the cells that are there.  Both emit exactly the cells with
+at least one matching inner index.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_CELLS = "row_id long, col_id long, v double"
+#: Cells of one strip: the columns that the sum of the tiled form works on.
+STRIP = 32
+
+
+def _present(m: DataFrame) -> DataFrame:
+    return m.filter(F.col("row_id").isNotNull() & F.col("col_id").isNotNull() & F.col("v").isNotNull())
 
 
 def _right_side(df: DataFrame, small_right: bool) -> DataFrame:
@@ -28,6 +35,7 @@ def _right_side(df: DataFrame, small_right: bool) -> DataFrame:
 
 def matmul_coo(a: DataFrame, b: DataFrame, small_right: bool = False) -> DataFrame:
     """C = A·B with C[r, c] = sum_k A[r, k]·B[k, c] (rectangular allowed)."""
+    a, b = _present(a), _present(b)
     left = a.select(F.col("row_id").alias("__r"), F.col("col_id").alias("__k"), F.col("v").alias("__a"))
     right = _right_side(b.select(F.col("row_id").alias("__k2"), F.col("col_id").alias("__c"),
                                  F.col("v").alias("__b")), small_right)
@@ -37,49 +45,86 @@ def matmul_coo(a: DataFrame, b: DataFrame, small_right: bool = False) -> DataFra
 
 
 def _tiles(m: DataFrame, row_tile: str, col_tile: str, block: int) -> DataFrame:
-    # Repeated coordinates are summed first (map-side), so a tile holds at
-    # most block² cells whatever the input repeats.
-    m = m.groupBy("row_id", "col_id").agg(F.sum("v").alias("v"))
+    """One row per tile: its indices and its cells, repeats added up.
+
+    Cells are shuffled once, by tile; the sum of repeats and the gathering
+    of at most block² cells both work on that partitioning.
+    """
     b = int(block)
     # floor division and a non-negative offset, also for negative indices
     local = F.expr(f"pmod(row_id, {b}) * {b} + pmod(col_id, {b})")
-    return (m.select(F.expr(f"(row_id - pmod(row_id, {b})) div {b}").alias(row_tile),
-                     F.expr(f"(col_id - pmod(col_id, {b})) div {b}").alias(col_tile),
-                     F.struct(local.cast("int").alias("i"), F.col("v").cast("double").alias("v")).alias("e"))
+    cells = _present(m).select(F.expr(f"(row_id - pmod(row_id, {b})) div {b}").alias(row_tile),
+                               F.expr(f"(col_id - pmod(col_id, {b})) div {b}").alias(col_tile),
+                               local.cast("int").alias("i"), F.col("v").cast("double").alias("v"))
+    return (cells.repartition(row_tile, col_tile)
+            .groupBy(row_tile, col_tile, "i").agg(F.sum("v").alias("v"))
             .groupBy(row_tile, col_tile)
-            .agg(F.collect_list("e").alias("cells"))
+            .agg(F.collect_list(F.struct("i", "v")).alias("cells"))
             .select(row_tile, col_tile,
-                    F.transform("cells", lambda e: e["i"]).alias(f"{row_tile}_{col_tile}_i"),
-                    F.transform("cells", lambda e: e["v"]).alias(f"{row_tile}_{col_tile}_v")))
-
+                    F.col("cells.i").alias(f"{row_tile}_{col_tile}_i"),
+                    F.col("cells.v").alias(f"{row_tile}_{col_tile}_v")))
+
+
+def _tile_products(block: int, width: int, strips: int):
+    """mapInArrow step: tile pairs to strips ``(row_id, strip, c0, c1, ...)``."""
+    import numpy as np
+    import pyarrow as pa
+
+    def dense(index, values):
+        cells, on = np.zeros(block * block), np.zeros(block * block, bool)
+        cells[index], on[index] = values, True
+        return cells.reshape(block, block), on.reshape(block, block)
+
+    def product(a, a_on, b, b_on):
+        if np.isfinite(a).all() and np.isfinite(b).all():
+            full = a_on.all() and b_on.all()
+            return a @ b, np.ones((block, block), bool) if full else a_on.astype(float) @ b_on > 0
+        # A zero that stands for an absent cell must not meet an infinity.
+        out, on = np.zeros((block, block)), np.zeros((block, block), bool)
+        for k in np.flatnonzero(a_on.any(axis=0) & b_on.any(axis=1)):
+            cell = np.ix_(a_on[:, k], b_on[k])
+            out[cell] += np.outer(a[a_on[:, k], k], b[k, b_on[k]])
+            on[cell] = True
+        return out, on
+
+    names = ["row_id", "strip", *[f"c{j}" for j in range(width)]]
 
-def _tile_products(block: int):
     def run(batches):
-        for pdf in batches:
-            rows, cols, vals = [], [], []
-            for bi, bj, ai, av, bi_idx, bv in zip(pdf["bi"], pdf["bj"], pdf["bi_bk_i"], pdf["bi_bk_v"],
-                                                 pdf["bk_bj_i"], pdf["bk_bj_v"]):
-                a = np.zeros(block * block)
-                a_on = np.zeros(block * block)
-                b = np.zeros(block * block)
-                b_on = np.zeros(block * block)
-                a[ai] = av
-                a_on[ai] = 1.0
-                b[bi_idx] = bv
-                b_on[bi_idx] = 1.0
-                prod = a.reshape(block, block) @ b.reshape(block, block)
-                touched = (a_on.reshape(block, block) @ b_on.reshape(block, block)) > 0
-                r, c = np.nonzero(touched)
-                rows.append(r + int(bi) * block)
-                cols.append(c + int(bj) * block)
-                vals.append(prod[r, c])
-            if rows:
-                yield pd.DataFrame({"row_id": np.concatenate(rows).astype("int64"),
-                                    "col_id": np.concatenate(cols).astype("int64"),
-                                    "v": np.concatenate(vals)})
+        for batch in batches:
+            col = {n: batch.column(n) for n in batch.schema.names}
+            for p in range(batch.num_rows):
+                sides = []
+                for side in ("bi_bk", "bk_bj"):
+                    sides += dense(col[f"{side}_i"][p].values.to_numpy(), col[f"{side}_v"][p].values.to_numpy())
+                with np.errstate(all="ignore"):
+                    values, on = product(*sides)
+                pad = ((0, 0), (0, strips * width - block))
+                values, on = (np.pad(x, pad).reshape(block * strips, width) for x in (values, on))
+                rows = np.repeat(np.arange(block) + col["bi"][p].as_py() * block, strips)
+                which = np.tile(np.arange(strips) + col["bj"][p].as_py() * strips, block)
+                some = on.any(axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows[some]), pa.array(which[some]),
+                     *[pa.array(values[some, j], mask=~on[some, j], from_pandas=False) for j in range(width)]], names=names)
+
     return run
 
 
+def _spread(a: DataFrame, b: DataFrame, block: int) -> tuple[int, bool]:
+    """(copies, whether the right side is the one copied): how often one side's
+    tiles must be repeated so that few inner tiles still fill all tasks.
+
+    One pass over the inner index of ``b``; only if that is short, also the
+    number of cells of both sides, to copy the smaller one.
+    """
+    tasks = 2 * a.sparkSession.sparkContext.defaultParallelism
+    low, high, cells = b.agg(F.min("row_id"), F.max("row_id"), F.count(F.lit(1))).first()
+    inner = 1 if low is None else (high - low) // block + 1
+    if inner >= tasks:
+        return 1, True
+    return -(-tasks // inner), cells <= a.count()
+
+
 def matmul_tiled(a: DataFrame, b: DataFrame, block: int = 128, small_right: bool = False) -> DataFrame:
     """C = A·B in tiles of ``block`` × ``block`` (see module docstring).
 
@@ -87,13 +132,26 @@ def matmul_tiled(a: DataFrame, b: DataFrame, block: int = 128, small_right: bool
     default 128 gives 16384 cells, about 0.4 MB per tile pair), so no
     group grows with the data, and the tile pairs reach numpy in Arrow
     batches bounded by ``spark.sql.execution.arrow.maxBytesPerBatch``
-    (64 MB by default), so Python worker memory stays bounded too.
+    (64 MB by default), so Python worker memory stays bounded too.  With few
+    inner tiles (a tall matrix times a small one) the smaller side's tiles
+    are copied and the other side's dealt over the copies, so that the
+    products fill all tasks.
     """
-    ta = _tiles(a, "bi", "bk", block)
-    tb = _right_side(_tiles(b, "bk", "bj", block), small_right)
-    pairs = ta.join(tb, "bk").select("bi", "bj", "bi_bk_i", "bi_bk_v", "bk_bj_i", "bk_bj_v")
-    cells = pairs.mapInPandas(_tile_products(block), _CELLS)
-    return cells.groupBy("row_id", "col_id").agg(F.sum("v").alias("v"))
+    width = min(STRIP, block)
+    strips = -(-block // width)
+    copies, copy_right = (1, True) if small_right else _spread(a, b, block)
+    ta, tb = _tiles(a, "bi", "bk", block), _tiles(b, "bk", "bj", block)
+    every = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("copy")
+    dealt = lambda c: F.pmod(F.hash(c), F.lit(copies)).alias("copy")
+    ta = ta.select("*", dealt("bi") if copy_right else every)
+    tb = tb.select("*", every if copy_right else dealt("bj"))
+    pairs = ta.join(_right_side(tb, small_right), ["bk", "copy"]).select("bi", "bj", "bi_bk_i", "bi_bk_v", "bk_bj_i", "bk_bj_v")
+    columns = [f"c{j}" for j in range(width)]
+    schema = "row_id long, strip long, " + ", ".join(f"{c} double" for c in columns)
+    sums = pairs.mapInArrow(_tile_products(block, width, strips), schema).groupBy("row_id", "strip").agg(*[F.sum(c).alias(c) for c in columns])
+    cells = sums.select("row_id", "strip", F.posexplode(F.array(*columns)).alias("j", "v")).filter(F.col("v").isNotNull())
+    col_id = F.expr(f"(strip - pmod(strip, {strips})) div {strips} * {block} + pmod(strip, {strips}) * {width} + j")
+    return cells.select("row_id", col_id.alias("col_id"), "v")
 
 
 def array_rows_to_coo(df: DataFrame, id_col: str, arr: str, transpose: bool = False) -> DataFrame:

@@ -1,6 +1,7 @@
 """Array and matrix operators against numpy on random inputs."""
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -74,3 +75,39 @@ def test_keyed_zscores_match_pandas(spark, rows, mode, ddof):
             assert got[i] is None
         else:
             assert abs(got[i] - (v - m) / s) < 1e-6 * max(1.0, abs((v - m) / s))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_tiled_equals_coordinate_on_hard_values(spark, seed):
+    """Infinity, NaN, NULL, repeats, sparse and full inputs, narrow last strips."""
+    rng = np.random.default_rng(seed)
+    odd = [float("inf"), float("-inf"), float("nan"), None, 0.0]
+
+    def cells(rows, cols, share):
+        out = []
+        for r in range(rows):
+            for c in range(cols):
+                if rng.random() < share:
+                    v = float(rng.integers(-4, 5)) if rng.random() < 0.9 or seed == 3 else odd[rng.integers(len(odd))]
+                    out += [(r - 3, c - 2, v)] * int(rng.integers(1, 3) if seed == 2 else 1)
+        return spark.createDataFrame(out, "row_id long, col_id long, v double")
+    share = 1.0 if seed == 3 else 0.4
+    a, b = cells(13, 9, share), cells(9, 41, share).selectExpr("row_id + 1 AS row_id", "col_id", "v")
+    key = lambda rows: {(r[0], r[1]): "nan" if r[2] != r[2] else r[2] for r in rows}
+    want = key(matmul_coo(a, b).collect())
+    assert want and key(matmul_tiled(a, b, block=5).collect()) == key(matmul_tiled(a, b, block=37).collect()) == want
+
+
+def test_tall_times_small_fills_the_tasks(spark):
+    tall = spark.range(2000).selectExpr("id AS row_id", "explode(sequence(0, 3)) AS col_id").selectExpr("row_id", "cast(col_id AS long) col_id", "cast(row_id + col_id AS double) v")
+    small = spark.range(4).selectExpr("id AS row_id", "explode(sequence(0, 3)) AS col_id").selectExpr("row_id", "cast(col_id AS long) col_id", "1.0D v")
+    from numprof.operators.matrix import _spread
+    copies, right = _spread(tall, small, 64)
+    assert right and copies >= spark.sparkContext.defaultParallelism
+    out = matmul_tiled(tall, small, block=64)
+    assert out.count() == 8000 and out.filter("v <> 4 * row_id + 6").count() == 0
+
+
+def test_empty_product(spark):
+    none = spark.createDataFrame([], "row_id long, col_id long, v double")
+    assert matmul_tiled(none, none).collect() == [] == matmul_coo(none, none).collect()
