@@ -29,9 +29,7 @@ ORDER = 3
 CLASSES = 64
 #: Labelled texts drawn for each language, on average at most.
 TRAIN_DOCS = 4000
-#: Bytes of one text that training reads; scoring reads all of every text.
-TRAIN_BYTES = 1 << 16
-#: Bytes scored by one array step.
+#: Bytes counted or scored by one array step; longer texts take several.
 STEP_BYTES = 1 << 19
 UNKNOWN = "und"
 
@@ -49,6 +47,13 @@ def _windows(data: bytes, classes: np.ndarray, order: int = ORDER) -> np.ndarray
     return w
 
 
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """A text in pieces of at most STEP_BYTES, each behind its context."""
+    text = _PAD + text.translate(_LOWER)
+    for at in range(ORDER, len(text), STEP_BYTES):
+        yield text[at - ORDER:at + STEP_BYTES]
+
+
 class Model:
     """Frozen statistics: ``cost[block * CLASSES + class, language]`` in bits,
     and ``block`` of every context of ORDER classes."""
@@ -61,9 +66,7 @@ class Model:
         total = np.zeros((len(texts), len(self.languages)))
         pending, owners, size = [], [], 0
         for k, text in enumerate(texts):
-            text = _PAD + text.translate(_LOWER)
-            for at in range(ORDER, len(text), STEP_BYTES):  # a long text in pieces, each with its context
-                piece = text[at - ORDER:at + STEP_BYTES]
+            for piece in _pieces(text):
                 pending.append(piece)
                 owners.append(k)
                 size += len(piece)
@@ -139,19 +142,27 @@ def _byte_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(256, np.int64)
     for batch in batches:
         for t in batch.column("text"):
-            total += np.bincount(np.frombuffer(t.as_py().encode()[:TRAIN_BYTES].translate(_LOWER), np.uint8), minlength=256)
+            total += np.bincount(np.frombuffer(t.as_py().encode().translate(_LOWER), np.uint8), minlength=256)
     yield pa.RecordBatch.from_pydict({"byte": pa.array(range(256), pa.int32()), "n": total})
 
 
 def _window_counts(classes: np.ndarray):
+    def counted(found: dict[str, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for lang, parts in found.items():
+            w, n = np.unique(np.concatenate(parts), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(w)), pa.array(w.astype(np.int32)), pa.array(n.astype(np.int64))], names=["lang", "w", "n"])
+
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, size = {}, 0
         for batch in batches:
-            found: dict[str, list[np.ndarray]] = {}
             for lang, t in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                found.setdefault(lang, []).append(_windows(_PAD + t.encode()[:TRAIN_BYTES].translate(_LOWER), classes))
-            for lang, parts in found.items():
-                w, n = np.unique(np.concatenate(parts), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(w)), pa.array(w.astype(np.int32)), pa.array(n.astype(np.int64))], names=["lang", "w", "n"])
+                for piece in _pieces(t.encode()):
+                    found.setdefault(lang, []).append(_windows(piece, classes))
+                    size += len(piece)
+                    if size >= 8 * STEP_BYTES:
+                        yield from counted(found)
+                        found, size = {}, 0
+        yield from counted(found)
     return step
 
 
