@@ -107,35 +107,41 @@ def fit(languages: list[str], classes: np.ndarray, lang: np.ndarray, window: np.
     n_lang = len(languages)
     n_in_class = np.bincount(classes, minlength=CLASSES).astype(float)
     # Probability of a class with no context at all: every byte equally likely.
-    base = n_in_class / 256
-    probs = [np.repeat(base[None, :, None], n_lang, axis=2)]  # per depth: (block, class, language)
+    prob = np.repeat((n_in_class / 256).astype(np.float32)[None, :, None], n_lang, axis=2)  # (block, class, language)
     block_of = np.zeros(1, np.int64)  # block of every context of this depth; unseen contexts share the shorter one's
-    blocks = [probs[0]]
-    offset = 1
     for depth in range(ORDER + 1):
         # Contexts are the last ``depth`` digits before the byte's own.
         ctx = (window // CLASSES) % CLASSES ** depth
-        seen = np.unique(ctx)
-        counts = np.zeros((len(seen), CLASSES, n_lang))
-        np.add.at(counts, (np.searchsorted(seen, ctx), window % CLASSES, lang), count)
+        order = np.argsort(ctx, kind="stable")
+        seen, first = np.unique(ctx[order], return_index=True)
+        first = np.append(first, len(order))
         shorter = block_of[seen % CLASSES ** (depth - 1)] if depth else np.zeros(len(seen), np.int64)
-        below = np.concatenate(blocks)[shorter]
-        total, distinct = counts.sum(axis=1, keepdims=True), (counts > 0).sum(axis=1, keepdims=True)
-        unseen = np.where(counts > 0, 0, below)
-        rest = unseen.sum(axis=1, keepdims=True)
-        escape = np.where(rest > 0, distinct / np.maximum(total + distinct, 1), 0)
-        own = np.where(counts > 0, counts / np.maximum(total + np.where(rest > 0, distinct, 0), 1), escape * unseen / np.where(rest > 0, rest, 1))
-        blocks.append(np.where(total > 0, own, below))
-        if depth:
-            block_of = np.tile(block_of, CLASSES)  # digit order: the new digit is the highest
-        else:
-            block_of = np.zeros(1, np.int64)
-        block_of[seen] = offset + np.arange(len(seen))
-        offset += len(seen)
-    prob = np.concatenate(blocks)
+        found = np.empty((len(seen), CLASSES, n_lang), np.float32)
+        for at in range(0, len(seen), 1024):
+            end = min(at + 1024, len(seen))
+            rows = order[first[at]:first[end]]
+            counts = np.zeros((end - at, CLASSES, n_lang))
+            np.add.at(counts, (np.searchsorted(seen[at:end], ctx[rows]), window[rows] % CLASSES, lang[rows]), count[rows])
+            found[at:end] = _distribution(counts, prob[shorter[at:end]].astype(float))
+        # Digit order: the new digit is the highest.
+        block_of = np.tile(block_of, CLASSES) if depth else np.zeros(1, np.int64)
+        block_of[seen] = len(prob) + np.arange(len(seen))
+        prob = np.concatenate([prob, found])
     # A shared class costs as much again as telling its bytes apart.
-    cost = -np.log2(np.maximum(prob / np.maximum(n_in_class, 1)[None, :, None], 1e-300))
-    return Model(languages, classes, block_of.astype(np.int32), cost.reshape(-1, n_lang).astype(np.float32))
+    prob /= np.maximum(n_in_class, 1).astype(np.float32)[None, :, None]
+    cost = -np.log2(np.maximum(prob, np.float32(1e-37)))
+    return Model(languages, classes, block_of.astype(np.int32), cost.reshape(-1, n_lang))
+
+
+def _distribution(counts: np.ndarray, below: np.ndarray) -> np.ndarray:
+    """Probabilities in contexts (first axis) with these counts, ``below``
+    being those in the next shorter context."""
+    total, distinct = counts.sum(axis=1, keepdims=True), (counts > 0).sum(axis=1, keepdims=True)
+    unseen = np.where(counts > 0, 0, below)
+    rest = unseen.sum(axis=1, keepdims=True)
+    escapes = np.where(rest > 0, distinct, 0)
+    own = np.where(counts > 0, counts, escapes * unseen / np.where(rest > 0, rest, 1)) / np.maximum(total + escapes, 1)
+    return np.where(total > 0, own, below)
 
 
 def _byte_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
