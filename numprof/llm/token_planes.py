@@ -121,16 +121,21 @@ class Encoder:
         ends = np.concatenate(([0], np.cumsum(sizes[word])))
         counts = np.diff(ends[offsets - offsets[0]])
         out = np.full(len(ids) + len(counts), end_id, np.uint32)
-        out[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
+        is_end = np.zeros(len(out), bool)
+        is_end[np.cumsum(counts + 1) - 1] = True
+        out[~is_end] = ids
         return out, counts + 1
 
 
 def gather(flat: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """The runs numbered ``which`` of ``flat``, cut into runs of ``sizes``, joined."""
+    """The runs numbered ``which`` of ``flat``, cut into runs of ``sizes``,
+    joined.  Positions take 32 bits where the result is that short."""
     n = sizes[which]
+    total = int(n.sum())
+    kind = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64
     shift = (np.cumsum(sizes) - sizes)[which] - (np.cumsum(n) - n)
-    at = np.repeat(shift, n)
-    at += np.arange(len(at))
+    at = np.repeat(shift.astype(kind), n)
+    at += np.arange(total, dtype=kind)
     return flat[at]
 
 
