@@ -1,16 +1,22 @@
 """Main text of web pages by template deduction over equivalence classes.
 
-Pages of one host are taken together, large hosts in groups of bounded size.
-Within a group every page is cut into tokens: elements, told apart by the
-chain of elements around them, and words, told apart by their element.
-Tokens that occur equally often on every page (the same occurrence vector)
-form a class; a class is valid if its tokens follow one another in the same
-order on all pages.  The class of tokens that every page has once is the
-template; classes with other vectors nest into the slot of it they lie in.
-What the slots hold is extracted, less menus, adverts and the like, which
-the template's element names and constant words give away.
-
-Only compressed pages are shuffled, once.
+Every page is cut into tokens: elements, told apart by the chain of elements
+around them, and texts (blocks), told apart by their element.  A token's
+occurrence vector says how often it stands on each page of its host; tokens
+with the same vector form a class.  A text is the template's if it stands on
+most of the pages that have its element, equally often on each or as often
+as the element does (in the element's own class).  What the slots between
+such tokens hold is the pages' own text.
+
+Of that, frames (menus, adverts, comments and the like) are left out, which
+element and class names give away, unless one wraps nearly all the text that
+varies between the pages.  ``article`` and ``main`` are taken alone where the
+other slots hold next to nothing.
+
+Vectors are kept as counts and a sum of hashes over the whole host, added up
+by Spark, so a host is never held or cut in pieces; pages meet the template
+of their host in a join, and are shuffled, compressed, only if the templates
+are too many to be broadcast.
 """
 
 from __future__ import annotations
@@ -19,18 +25,24 @@ import html
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
 
-#: Pages, and bytes of html, that one group of a host's pages holds on average.
+#: Pages, and bytes of html, whose tokens a task adds up before it passes them on.
 GROUP_PAGES, GROUP_BYTES = 64, 64 << 20
-#: Pages that a group needs before a word can count as template text.
-MIN_SUPPORT = 4
+#: Pages that a text of the template stands on at least, and their share of
+#: the host's pages that have its element.
+MIN_SUPPORT, SUPPORT = 4, 0.8
+#: Varying text of the slots to prefer over that of all others, in multiples.
+CLEAR = 4
 
 # Element and attribute names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -46,6 +58,14 @@ FRAME_WORDS = frozenset("ad ads advert adverts advertisement advertising banner
                         "header masthead comment comments disqus reply replies share sharing social related recommended newsletter subscribe signup "
                         "login search pagination pager toolbar copyright legal skip".split())
 
+COMMENT_WORDS = frozenset("comment comments disqus reply replies".split())
+#: First words of classes that say what an element has or lacks, not what it is.
+STATES = frozenset("no not has have with without is hide show".split())
+#: Elements whose text is not on the page.
+UNSEEN = frozenset("script style noscript template iframe object svg canvas head title textarea select audio video noembed noframes xmp".split())
+
+_MASK = (1 << 64) - 1
+_DIGITS = re.compile(r"\d+")
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _TAG = re.compile(r"""<[a-zA-Z](?:[^>"']|"[^"]*"|'[^']*')*>""")
 _ATTR = re.compile(r"""(?:^|\s)(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/]|$)""", re.I)
@@ -53,28 +73,58 @@ _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 
 
 class Contexts:
-    """Elements by the chain of elements around them; one number for each."""
+    """Elements by the chain of elements around them; one number for each, and
+    a key that is the same in every task.
+
+    ``frame`` and ``main`` are hints of element and class names.  ``soft``
+    elements are frames by a class or id alone, or forms: ``Template`` opens
+    one again that wraps the text of its host's pages.
+    """
 
     def __init__(self):
         self.number: dict[tuple[int, str], int] = {}
-        self.parent, self.name, self.frame, self.main = [-1], [""], [False], [False]
+        self.parent, self.name, self.key, self.label = [-1], [""], [0], [""]
+        self.own, self.soft, self.frame, self.main, self.shown = [False], [False], [False], [False], [True]
 
     def child(self, parent: int, name: str, attrs: str) -> int:
-        key = (parent, name + attrs)
-        found = self.number.get(key)
+        label = name + _DIGITS.sub("0", attrs)
+        found = self.number.get((parent, label))
         if found is None:
-            found = self.number[key] = len(self.name)
+            found = self.number[parent, label] = len(self.name)
             marks = [m.groups() for m in _ATTR.finditer(attrs)]
-            words = {w for k, a, b, c in marks for w in re.split(r"[^a-z0-9]+", (a or b or c or "").lower())}
+            named = [x for _, a, b, c in marks for x in (a or b or c or "").lower().split()]
+            words = {w for x in named for w in _frame_words(x)}
             own_main = name in MAIN or "main" in {(a or b or c or "").lower() for k, a, b, c in marks if k.lower() == "role"}
-            own_frame = not own_main and (name in FRAME or bool(words & FRAME_WORDS) or any(k.lower() == "hidden" for k, *_ in marks))
+            hidden = any(k.lower() == "hidden" for k, *_ in marks)
+            own = not own_main and (name in FRAME or hidden or bool(words & FRAME_WORDS))
             self.parent.append(parent)
             self.name.append(name)
+            self.label.append(label)
+            self.key.append(xxhash.xxh64_intdigest(label.encode(), self.key[parent] & _MASK) - (1 << 63))
+            self.own.append(own)
+            self.soft.append(own and not hidden and (name not in FRAME or name == "form") and not words & COMMENT_WORDS & set(named))
             # The innermost element that says anything decides.
-            self.frame.append(own_frame or (self.frame[parent] and not own_main))
-            self.main.append(own_main or (self.main[parent] and not own_frame))
+            self.frame.append(own or (self.frame[parent] and not own_main))
+            self.main.append(own_main or (self.main[parent] and not own))
+            self.shown.append(self.shown[parent] and not hidden and name not in UNSEEN)
         return found
 
+    def is_frame(self, context: int, opened: set[int]) -> bool:
+        """Whether a frame holds the context, those with keys ``opened`` not counting."""
+        if not opened or not self.frame[context]:
+            return self.frame[context]
+        while context > 0:
+            if self.own[context] and self.key[context] not in opened:
+                return True
+            context = self.parent[context]
+        return False
+
+
+def _frame_words(name: str) -> list[str]:
+    """The words of a class or id; none if it says what the element has or lacks."""
+    words = [w for w in re.split(r"[^a-z0-9]+", name) if w]
+    return words
+
 
 def _label(tag: str, name: str) -> str:
     """The attributes that tell elements of one name apart, as written."""
@@ -165,16 +215,16 @@ _LISTS = frozenset("ul ol menu".split())
 
 def blocks(page: list[tuple[int, str | None, bool]]) -> Iterator[tuple[int, str]]:
     """(context of its first text, text) of each non-empty block of a page."""
-    parts, where = [], 0
+    parts, where, blank = [], 0, True
     for context, text, ends in page:
         if ends:
             joined = " ".join(html.unescape("".join(parts)).split()) if parts else ""
             if joined:
                 yield where, joined
-            parts = []
+            parts, blank = [], True
         elif text:
-            if not parts or not "".join(parts).strip():
-                where = context
+            if blank:
+                where, blank = context, not text.strip()
             parts.append(text)
     joined = " ".join(html.unescape("".join(parts)).split()) if parts else ""
     if joined:
@@ -186,10 +236,108 @@ def pieces(page: list[tuple[int, str | None, bool]], wanted) -> list[tuple[int,
     return list(blocks([t for t in page if t[2] or t[1] is None or wanted(t[0])]))
 
 
+def _texts(page: list[tuple[int, str | None, bool]], contexts: Contexts) -> list[tuple[int, str]]:
+    """All blocks of a page, those in frames apart from the others."""
+    return (pieces(page, lambda c: contexts.shown[c] and not contexts.frame[c])
+            + pieces(page, lambda c: contexts.shown[c] and contexts.frame[c]))
+
+
+def _text_key(context_key: int, block: str) -> int:
+    return (xxhash.xxh64_intdigest(block.encode(), context_key & _MASK) - (1 << 63)) or 1
+
+
+#: A token on the pages of one host; text 0 is the element itself, and chars
+#: those of its blocks.  low and high: fewest and most times on a page that
+#: has it; vector: sum of a hash of page and times.
+TOKEN = pa.schema([("host", pa.string())] + [(n, pa.int64()) for n in ("context", "text", "parent")] + [("label", pa.string())]
+                  + [(n, pa.int64()) for n in ("pages", "total", "low", "high", "vector", "chars")])
+
+
+class Tokens:
+    """Occurrence vectors of the tokens of pages, by host."""
+
+    def __init__(self):
+        self.contexts = Contexts()
+        self.found: dict[tuple, list[int]] = {}
+
+    def add(self, host: str, uid: int, page: str) -> list[tuple[int, str | None, bool]]:
+        cut, key = tokens(page, self.contexts), self.contexts.key
+        counts: Counter = Counter((c, 0) for c, text, _ in cut if text is None)
+        chars: Counter = Counter()
+        counts[0, 0] = 1
+        for c, block in _texts(cut, self.contexts):
+            k = (c, _text_key(key[c], block))
+            counts[k] += 1
+            chars[k] += len(block)
+            chars[c, 0] += len(block)
+        hashes = {n: xxhash.xxh32_intdigest(f"{uid} {n}") for n in set(counts.values())}
+        for k, n in counts.items():
+            row = self.found.get((host, *k))
+            if row is None:
+                self.found[host, *k] = [1, n, n, n, hashes[n], chars[k]]
+            else:
+                row[0] += 1
+                row[1] += n
+                row[2] = min(row[2], n)
+                row[3] = max(row[3], n)
+                row[4] += hashes[n]
+                row[5] += chars[k]
+        return cut
+
+    def rows(self) -> list[tuple]:
+        """As ``TOKEN``; parent and label are those of elements."""
+        x = self.contexts
+        return [(host, x.key[c], text, None if text or not c else x.key[x.parent[c]], None if text or not c else x.label[c], *row)
+                for (host, c, text), row in self.found.items()]
+
+
+def opened_frames(elements: list[tuple[int, int | None, str | None, int]], fixed: dict[int, int]) -> set[int]:
+    """Keys of the soft frames that wrap the varying text of a host.
+
+    ``elements``: key, parent, label and chars; ``fixed``: chars of template
+    texts by element.
+    """
+    contexts, number, todo = Contexts(), {0: 0}, {}
+    for key, parent, label, _ in elements:
+        if label is not None:
+            todo.setdefault(parent, []).append((key, label))
+    queue = [0]
+    while queue:
+        parent = queue.pop()
+        for key, label in todo.get(parent, ()):
+            name = label.split(" ", 1)[0]
+            number[key] = contexts.child(number[parent], name, label[len(name):])
+            queue.append(key)
+    size = len(contexts.name)
+    everything, varying = [0] * size, [0] * size
+    for key, _, _, chars in elements:
+        everything[number[key]] += chars
+        varying[number[key]] += chars - fixed.get(key, 0)
+    mass = varying if sum(varying) else everything
+    below, wraps = list(mass), [False] * size
+    for c in range(size - 1, 0, -1):  # children have higher numbers
+        parent = contexts.parent[c]
+        below[parent] += below[c]
+        wraps[parent] |= below[c] > 0 and (wraps[c] or contexts.name[c] in BLOCKS)
+    return set()
+    opened: set[int] = set()
+    while True:
+        framed = [contexts.is_frame(c, opened) for c in range(size)]
+        clean = sum(m for m, f in zip(mass, framed) if not f)
+        outer = [c for c in range(1, size) if framed[c] and not framed[contexts.parent[c]] and contexts.soft[c] and wraps[c]]
+        best = max(outer, key=lambda c: below[c], default=0)
+        if not best or 2 * below[best] <= below[0] or CLEAR * clean > below[best]:
+            return opened
+        opened.add(contexts.key[best])
+
+
 class Template:
-    """Classes of a group's tokens: ``root``, the contexts that every page has
-    once, in page order; ``nested``, the other valid classes by the root
-    context they lie in; ``words``, the constant words of each context."""
+    """The template of one host's pages, held in memory.
+
+    ``root``: the contexts that every page has once, in page order;
+    ``nested``: the other valid classes by the root context they lie in;
+    ``mains``: the root's article and main elements.
+    """
 
     def __init__(self, pages: list[list[tuple[int, str | None, bool]]], contexts: Contexts):
         vectors: dict[int, dict[int, int]] = defaultdict(dict)
@@ -216,7 +364,6 @@ class Template:
                     slot = contexts.parent[slot]
                 self.nested[slot].append(members)
         self.mains = {c for c in self.root if contexts.main[c] and not contexts.frame[c] and contexts.name[c] in MAIN}
-        self.words: dict[int, set[str]] = {}
 
     @staticmethod
     def _ordered(members: list[int], first: list[dict[int, int]], on: Iterator[int]) -> list[int]:
@@ -234,37 +381,50 @@ class Template:
             order = kept
         return order
 
-    def find_words(self, texts: list[list[tuple[int, str]]]) -> None:
-        """Constant words: those that stand equally often, in one context, in
-        the blocks of every page of the group."""
-        if len(texts) < MIN_SUPPORT:
-            return
-        counts: Counter | None = None
-        for page in texts:
-            own = Counter((c, w) for c, block in page for w in block.split())
-            counts = own if counts is None else Counter({k: v for k, v in counts.items() if own.get(k) == v})
-        for c, w in counts or ():
-            self.words.setdefault(c, set()).add(w)
+
+def slots(page: list[tuple[int, str | None, bool]], contexts: Contexts, opened: set[int], fixed: set[int]) -> str:
+    """Main text of a page, given its host's opened frames and template texts."""
+    framed: dict[int, bool] = {}
+
+    def wanted(c: int) -> bool:
+        if c not in framed:
+            framed[c] = not contexts.shown[c] or contexts.is_frame(c, opened)
+        return not framed[c]
+
+    found = pieces(page, wanted)
+    own = [_text_key(contexts.key[c], b) not in fixed for c, b in found]
+    inside = sum(len(b) for (c, b), o in zip(found, own) if o and contexts.main[c])
+    outside = sum(len(b) for (c, b), o in zip(found, own) if o and not contexts.main[c])
+    mains = sum(text is None and contexts.main[c] and not contexts.main[contexts.parent[c]] and wanted(c) for c, text, _ in page)
+    # Several articles beside other text may be cards: one of them must outweigh it.
+    if mains and CLEAR * mains * outside <= inside:
+        return "\n".join(b for c, b in found if contexts.main[c])
+    return "\n".join(b for (_, b), o in zip(found, own) if o)
 
 
 def extract(pages: list[str | None]) -> list[str]:
-    """Main text of each page of one group of same-host pages."""
-    contexts = Contexts()
-    cut = [tokens(p or "", contexts) for p in pages]
-    template = Template(cut, contexts)
-    out, open_pages = [""] * len(pages), []
-    for k, page in enumerate(cut):
-        if template.mains or any(text is None and contexts.main[c] for c, text, _ in page):
-            out[k] = "\n".join(b for _, b in pieces(page, lambda c: contexts.main[c] and not contexts.frame[c]))
-        else:
-            open_pages.append(k)
-    # Pages that mark no main element: all slots that no frame element holds,
-    # less blocks made of the template's own words.
-    texts = [pieces(cut[k], lambda c: not contexts.frame[c]) for k in open_pages]
-    template.find_words(texts)
-    for k, found in zip(open_pages, texts):
-        out[k] = "\n".join(b for c, b in found if not set(b.split()) <= template.words.get(c, set()))
-    return out
+    """Main text of each of the pages, all of one host, held in memory."""
+    seen = Tokens()
+    cut = [seen.add("", k, p or "") for k, p in enumerate(pages)]
+    rows = [dict(zip(TOKEN.names, r)) for r in seen.rows()]
+    elements = {r["context"]: r for r in rows if not r["text"]}
+    fixed = [r for r in rows if r["text"] and _recurs(r, elements[r["context"]])]
+    opened, texts = _host_template(list(elements.values()), fixed)
+    return [slots(page, seen.contexts, opened, texts) for page in cut]
+
+
+def _recurs(text: dict, element: dict) -> bool:
+    """Whether a text is the template's; ``main_text`` says the same in SQL."""
+    return (text["pages"] >= max(MIN_SUPPORT, SUPPORT * element["pages"])
+            and (text["low"] == text["high"] or all(text[k] == element[k] for k in ("pages", "total", "vector"))))
+
+
+def _host_template(elements: list[dict], fixed: list[dict]) -> tuple[set[int], set[int]]:
+    """Opened frames and template texts of a host."""
+    chars: Counter = Counter()
+    for r in fixed:
+        chars[r["context"]] += r["chars"]
+    return opened_frames([(r["context"], r["parent"], r["label"], r["chars"]) for r in elements], chars), {r["text"] for r in fixed}
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,10 +434,43 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(c) for c in range(3)] + [packed], names=["page_id", "url", "host", "html"])
 
 
-def _group(table: pa.Table) -> pa.Table:
+def _tokens(group_pages: int, group_bytes: int):
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, count, size = Tokens(), 0, 0
+        for batch in batches:
+            for host, uid, page in zip(*(batch.column(c) for c in ("host", "uid", "html"))):
+                page = page.as_py() or ""
+                seen.add(host.as_py(), uid.as_py(), page)
+                count, size = count + 1, size + len(page)
+                if count >= group_pages or size >= group_bytes:
+                    yield _token_batch(seen)
+                    seen, count, size = Tokens(), 0, 0
+        if count:
+            yield _token_batch(seen)
+    return step
+
+
+def _token_batch(seen: Tokens) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*seen.rows()), TOKEN.types)], schema=TOKEN)
+
+
+def _hosts(table: pa.Table) -> pa.Table:
+    rows = table.to_pylist()
+    opened, texts = _host_template([r for r in rows if not r["text"]], [r for r in rows if r["text"]])
+    keys = [np.array(sorted(k), np.int64).tobytes() for k in (opened, texts)]
+    return pa.table({"h": pa.array([rows[0]["host"]]), "opened": pa.array(keys[:1], pa.binary()), "fixed": pa.array(keys[1:], pa.binary())})
+
+
+def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     unpress = zstandard.ZstdDecompressor()
-    texts = extract([None if x is None else unpress.decompress(x).decode() for x in table["html"].to_pylist()])
-    return pa.table([table["page_id"].combine_chunks(), table["url"].combine_chunks(), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
+    keys = lru_cache(1024)(lambda k: frozenset(np.frombuffer(k, np.int64).tolist()))
+    for whole in batches:
+        for at in range(0, whole.num_rows, GROUP_PAGES):
+            batch, contexts, texts = whole.slice(at, GROUP_PAGES), Contexts(), []
+            for x, opened, fixed in zip(*(batch.column(c) for c in ("html", "opened", "fixed"))):
+                page = unpress.decompress(x.as_py()).decode() if x.is_valid else ""
+                texts.append(slots(tokens(page, contexts), contexts, keys(opened.as_py() or b""), keys(fixed.as_py() or b"")))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -288,13 +481,26 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     A NULL or empty html has an empty text; pages with a NULL url, or one
     without a host, form a host of their own; repeated rows give repeated
     results; an empty table gives an empty result; other columns are ignored.
+    ``group_pages`` and ``group_bytes`` set the load of a step, not the result.
     """
-    host = F.regexp_extract(F.lower(F.coalesce(F.col(url_col), F.lit(""))), r"^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host.alias("host"), F.col(html_col).alias("html"))
-    groups = F.greatest(F.ceil(F.count(F.lit(1)) / group_pages), F.ceil(F.sum(F.octet_length("html")) / group_bytes))
-    large = written(rows.groupBy("host").agg(groups.alias("groups")).filter("groups > 1").withColumnRenamed("host", "h"), "large-hosts")
-    ids = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("page_id", "url"))
-    packed = rows.mapInArrow(_packed, f"{ids}, host string, html binary").join(large, F.col("host") == F.col("h"), "left")
-    salt = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("groups", F.lit(1)))
-    out = packed.select("page_id", "url", "host", salt.alias("salt"), "html").groupBy("host", "salt").applyInArrow(_group, f"{ids}, text string")
-    return out.select(F.col("page_id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("bigint").alias("n_chars"))
+    c = F.col
+    host = F.regexp_extract(F.lower(F.coalesce(c(url_col), F.lit(""))), r"^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
+    rows = pages.select(c(id_col).alias("page_id"), c(url_col).alias("url"), host.alias("host"), c(html_col).alias("html"))
+    found = rows.select("host", F.xxhash64("page_id", "url", "html").alias("uid"), "html").mapInArrow(
+        _tokens(group_pages, group_bytes),
+        "host string, context bigint, text bigint, parent bigint, label string, pages bigint, total bigint, low bigint, high bigint, vector bigint, chars bigint")
+    found = found.groupBy("host", "context", "text", "parent", "label").agg(
+        *[f(n).alias(n) for f, n in ((F.sum, "pages"), (F.sum, "total"), (F.min, "low"), (F.max, "high"), (F.sum, "vector"), (F.sum, "chars"))])
+    found = written(found.filter((c("text") == 0) | (c("pages") >= MIN_SUPPORT)), "page-tokens")
+    elements = found.filter("text = 0")
+    own = elements.select(*[c(n).alias("e_" + n) for n in ("host", "context", "pages", "total", "vector")])
+    fixed = found.filter("text <> 0").join(own, (c("host") == c("e_host")) & (c("context") == c("e_context")))
+    same = (c("pages") == c("e_pages")) & (c("total") == c("e_total")) & (c("vector") == c("e_vector"))
+    fixed = fixed.filter((c("pages") >= SUPPORT * c("e_pages")) & ((c("low") == c("high")) | same)).select(*found.columns)
+    hosts = elements.unionByName(fixed).select("host", "context", "text", "parent", "label", "chars").groupBy("host").applyInArrow(
+        _hosts, "h string, opened binary, fixed binary")
+    hosts = written(hosts, "host-templates")
+    ids = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in ("page_id", "url"))
+    packed = rows.mapInArrow(_packed, f"{ids}, host string, html binary").join(hosts, c("host") == c("h"), "left")
+    out = packed.select("page_id", "url", "html", "opened", "fixed").mapInArrow(_extracted, f"{ids}, text string")
+    return out.select(c("page_id").alias(id_col), c("url").alias(url_col), "text", F.length("text").cast("bigint").alias("n_chars"))

@@ -95,3 +95,33 @@ def test_groups_and_edges(spark, frame):
     got = sorted((r["page_id"] if r["page_id"] is not None else -1, r["text"]) for r in out.collect())
     assert got == [(-1, "")] + [(k, f"story {k}") for k in range(40)] + [(50, ""), (51, "plain text"), (51, "plain text")]
     assert templates.main_text(frame([], "page_id bigint, url string, html string")).collect() == []
+
+
+def mixed(k, wrap='<div id="wrap">'):
+    """A page whose story is in a div, with framework text around it."""
+    story = f"<h1>Headline {k}</h1><p>Story {k} tells at length of the {k} things that happened on day {k} of the year.</p>"
+    return (f'<html><body><header>Site</header>{wrap}<div><p>You are reading the Daily</p><p>Written by our staff</p></div>'
+            f'<div>{story}</div></div><footer>Us</footer></body></html>')
+
+
+def test_texts_of_most_pages_are_the_template():
+    """One odd page in twenty takes nothing from the classes of the others."""
+    pages = [mixed(k) for k in range(19)] + ["<html><body><div><p>Not found 404</p></div></body></html>"]
+    got = templates.extract(pages)
+    assert got == [f"Headline {k}\nStory {k} tells at length of the {k} things that happened on day {k} of the year." for k in range(19)] + ["Not found 404"]
+
+
+def test_texts_as_frequent_as_their_element_are_the_template():
+    items = ["".join(f'<div class="item"><i>{j} of {k}</i><b>Read more</b><br></div>' for j in range(k % 3 + 1)) for k in range(9)]
+    got = templates.extract([f"<html><body><div class='list'>{x}<div><u>Read more</u></div></div></body></html>".replace("</i><b>", "</i><br><b>") for x in items])
+    assert got == ["\n".join(f"{j} of {k}" for j in range(k % 3 + 1)) for k in range(9)]
+
+
+def test_template_text_counts_in_the_choice_of_slots():
+    """A long constant text beside the article does not open the page up, nor
+    does an article of constant text hide what varies beside it."""
+    constant = "<div><p>" + "This notice of the house stands on every page. " * 20 + "</p></div>"
+    pages = [f"<body>{constant}<article><p>Short {k}</p></article></body>" for k in range(6)]
+    assert templates.extract(pages) == [f"Short {k}" for k in range(6)]
+    pages = [f"<body><article><p>Subscribe to our letter</p></article><div><p>Story number {k}</p></div></body>" for k in range(6)]
+    assert templates.extract(pages) == [f"Story number {k}" for k in range(6)]
