@@ -96,16 +96,16 @@ class Contexts:
             words = {w for x in named for w in _frame_words(x)}
             own_main = name in MAIN or "main" in {(a or b or c or "").lower() for k, a, b, c in marks if k.lower() == "role"}
             hidden = any(k.lower() == "hidden" for k, *_ in marks)
-            own = not own_main and (name in FRAME or hidden or bool(words & FRAME_WORDS))
+            own = name in FRAME or hidden or (bool(words & FRAME_WORDS) and name not in ("html", "body"))
             self.parent.append(parent)
             self.name.append(name)
             self.label.append(label)
             self.key.append(xxhash.xxh64_intdigest(label.encode(), self.key[parent] & _MASK) - (1 << 63))
             self.own.append(own)
             self.soft.append(own and not hidden and (name not in FRAME or name == "form") and not words & COMMENT_WORDS & set(named))
-            # The innermost element that says anything decides.
-            self.frame.append(own or (self.frame[parent] and not own_main))
-            self.main.append(own_main or (self.main[parent] and not own))
+            # A frame around an article outranks it, and so does its own class.
+            self.frame.append(own or self.frame[parent])
+            self.main.append(own_main or self.main[parent])
             self.shown.append(self.shown[parent] and not hidden and name not in UNSEEN)
         return found
 
@@ -123,7 +123,7 @@ class Contexts:
 def _frame_words(name: str) -> list[str]:
     """The words of a class or id; none if it says what the element has or lacks."""
     words = [w for w in re.split(r"[^a-z0-9]+", name) if w]
-    return words
+    return [] if len(words) > 1 and words[0] in STATES else words
 
 
 def _label(tag: str, name: str) -> str:
@@ -319,7 +319,6 @@ def opened_frames(elements: list[tuple[int, int | None, str | None, int]], fixed
         parent = contexts.parent[c]
         below[parent] += below[c]
         wraps[parent] |= below[c] > 0 and (wraps[c] or contexts.name[c] in BLOCKS)
-    return set()
     opened: set[int] = set()
     while True:
         framed = [contexts.is_frame(c, opened) for c in range(size)]

@@ -125,3 +125,30 @@ def test_template_text_counts_in_the_choice_of_slots():
     assert templates.extract(pages) == [f"Short {k}" for k in range(6)]
     pages = [f"<body><article><p>Subscribe to our letter</p></article><div><p>Story number {k}</p></div></body>" for k in range(6)]
     assert templates.extract(pages) == [f"Story number {k}" for k in range(6)]
+
+
+@pytest.mark.parametrize("wrap", ['<div class="content no-comments">', '<div class="social-layout">', '<form id="login">', '<div class="has-sidebar">'])
+@pytest.mark.parametrize("copies", [1, 8])
+def test_wrappers_are_no_frames(wrap, copies):
+    pages = [mixed(k, wrap).replace("<body>", "<body class='home has-sidebar'>") for k in range(copies)]
+    for k, text in enumerate(templates.extract(pages)):
+        assert text.endswith(f"Headline {k}\nStory {k} tells at length of the {k} things that happened on day {k} of the year.")
+
+
+@pytest.mark.parametrize("copies", [1, 8])
+def test_reader_comments_in_articles_are_left_out(copies):
+    pages = [page(f"<p>Story {k}</p>").replace("<aside>", '<section class="comments">' + "".join(
+        f'<article class="comment"><p>I think that {j} is more than {k}</p></article>' for j in range(9)) + "</section><aside>") for k in range(copies)]
+    assert templates.extract(pages) == [f"Story {k}" for k in range(copies)]
+    nested = [x.replace("<article>", "<div>").replace("</article><section", "</div><section") for x in pages]
+    assert all(text.splitlines()[-1] == f"Story {k}" for k, text in enumerate(templates.extract(nested)))
+
+
+@pytest.mark.parametrize("copies", [1, 8])
+@pytest.mark.parametrize("around", ["aside", "div"])
+def test_teaser_articles_do_not_hide_the_story(copies, around):
+    cards = "".join(f"<article><p>Teaser {j} with a number of words of its own</p></article>" for j in range(8))
+    pages = [mixed(k).replace("<footer>", f"<{around}>{cards.replace('Teaser', f'Teaser {k}')}</{around}><footer>") for k in range(copies)]
+    for k, text in enumerate(templates.extract(pages)):
+        assert f"Headline {k}\nStory {k} tells at length" in text
+        assert ("Teaser" in text) == (around == "div")
