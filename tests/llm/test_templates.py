@@ -152,3 +152,14 @@ def test_teaser_articles_do_not_hide_the_story(copies, around):
     for k, text in enumerate(templates.extract(pages)):
         assert f"Headline {k}\nStory {k} tells at length" in text
         assert ("Teaser" in text) == (around == "div")
+
+
+def test_template_is_that_of_the_whole_host(spark, frame):
+    """However few pages or bytes a step takes, the result is the host's; a group of two deduced nothing."""
+    pages = [mixed(k) for k in range(10)]
+    rows = [(k, f"http://one.example/{k}", x) for k, x in enumerate(pages)] + [(90, "http://two.example/", pages[0])]
+    want = sorted([*enumerate(templates.extract(pages)), (90, templates.extract(pages[:1])[0])])
+    assert "staff" not in want[0][1] and "staff" in want[-1][1]
+    for options in ({}, {"group_pages": 2}, {"group_bytes": 500}):
+        out = templates.main_text(frame(rows, "page_id bigint, url string, html string").repartition(5), **options)
+        assert sorted((r["page_id"], r["text"]) for r in out.collect()) == want
