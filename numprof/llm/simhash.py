@@ -281,25 +281,36 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row of ``docs`` for each near-duplicate group, that with the
     smallest id; same columns.
 
-    Rows that repeat that id count once.  A row with a NULL id stays only if
-    no row of its group has an id, and then one of them stays.
+    Rows of a group that repeat that id count once; an id that stands on
+    several texts may stay for several groups.  A row with a NULL id stays
+    only if no row of its group has an id, and then one of them stays.
     """
     rows = written(grouped(docs, id_col, text_col, k, r, **options), "near-duplicates")
-    losers = written(rows.filter("id IS NOT NULL AND id <> first_id").select(F.col("id").alias(fresh(docs, "__id"))).distinct(), "losers")
-    kept = docs.filter(F.col(id_col).isNotNull()).join(losers, F.col(id_col) == losers[0], "left_anti")
-    twice = rows.filter("id = first_id").groupBy("id").count().filter("count > 1")
-    if not twice.isEmpty():
-        kept = kept.dropDuplicates([id_col])
-    if rows.filter("id IS NULL").isEmpty():
-        return kept
-    name = fresh(docs, "__root")
-    alone = rows.filter("first_id IS NULL").select(F.col("fp").alias("f"), F.col("root").alias(name)).distinct()
+    key, name, own, chosen_fp = (fresh(docs, x) for x in ("__id", "__root", "__fp", "__f"))
 
     @F.pandas_udf("bigint")
     def fp(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, k) for t in texts], np.uint64).view(np.int64))
 
-    nameless = docs.filter(F.col(id_col).isNull()).withColumn(fresh(docs, "__fp"), fp(F.col(text_col)))
-    nameless = nameless.join(alone, F.col(fresh(docs, "__fp")) == F.col("f")).dropDuplicates([name])
+    losers = written(rows.filter("id IS NOT NULL AND id <> first_id").select(F.col("id").alias(key)).distinct(), "losers")
+    named = docs.filter(F.col(id_col).isNotNull())
+    kept = named.join(losers, F.col(id_col) == losers[0], "left_anti")
+    repeated = rows.filter("id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("n"), (F.min("fp") < F.max("fp")).alias("several"))
+    repeated = written(repeated.filter("n > 1").select(F.col("id").alias(key), "several"), "repeated-ids")
+    if not repeated.isEmpty():
+        kept = kept.dropDuplicates([id_col])
+    several = repeated.filter("several").select(key)
+    if not several.isEmpty():
+        # These ids do not tell rows apart; the print does.
+        kept = kept.join(several, F.col(id_col) == several[0], "left_anti")
+        chosen = rows.filter("id = first_id").join(several, F.col("id") == several[0], "left_semi")
+        chosen = chosen.groupBy("id", "root").agg(F.min("fp").alias(chosen_fp)).withColumnsRenamed({"id": key, "root": name})
+        mixed = named.join(several, F.col(id_col) == several[0], "left_semi").withColumn(own, fp(F.col(text_col)))
+        mixed = mixed.join(written(chosen, "chosen"), (F.col(id_col) == F.col(key)) & (F.col(own) == F.col(chosen_fp))).dropDuplicates([name])
+        kept = kept.unionByName(mixed.select(*docs.columns))
+    if rows.filter("id IS NULL").isEmpty():
+        return kept
+    alone = rows.filter("first_id IS NULL").select(F.col("fp").alias(chosen_fp), F.col("root").alias(name)).distinct()
+    nameless = docs.filter(F.col(id_col).isNull()).withColumn(own, fp(F.col(text_col)))
+    nameless = nameless.join(alone, F.col(own) == F.col(chosen_fp)).dropDuplicates([name])
     return kept.unionByName(nameless.select(*docs.columns))
-

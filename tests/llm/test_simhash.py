@@ -131,3 +131,10 @@ def test_empty_table(spark, frame):
     docs = frame([], "doc_id int, text string")
     assert simhash.near_duplicates(docs).collect() == []
     assert simhash.deduplicate(docs).collect() == []
+
+
+def test_one_id_on_several_texts_keeps_a_row_of_every_group(spark, frame):
+    a, b, c = (f"text {x} with a number of words of its own {x * 9}" for x in "abc")
+    kept = lambda rows: sorted((r["doc_id"], r["text"]) for r in simhash.deduplicate(frame(rows, "doc_id int, text string, f int")).collect())
+    assert kept([(5, a, 0), (5, b, 0), (3, b.upper(), 0)]) == [(3, b.upper()), (5, a)]
+    assert kept([(1, a, 0), (1, b, 0), (1, b, 0), (2, a, 0), (2, b, 0), (2, c, 0), (9, c, 0)]) == [(1, a), (1, b), (2, c)]
