@@ -46,5 +46,16 @@ def training_row(id_col: str, modulus: int, held_out: int) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % modulus != held_out, F.lit(False))
 
 
+def one_label(labels: DataFrame) -> DataFrame:
+    """(l, y) with one row per ``l``: the label 0 or 1 of most of its rows, 1 in a tie."""
+    return labels.groupBy("l").agg((F.avg("y") >= 0.5).cast("double").alias("y"))
+
+
+def bounded(rows: DataFrame, wanted: int) -> DataFrame:
+    """About ``wanted`` of the rows, drawn by a hash of them, if there are more."""
+    n = rows.count()
+    return rows if n <= wanted else rows.filter(F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 30)) < int(wanted / n * (1 << 30)))
+
+
 def basename(path: str) -> str:
     return os.path.basename(path.rstrip("/"))

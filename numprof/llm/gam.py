@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import training_row, written
+from .common import bounded, one_label, training_row, written
 
 FEATURES = ("log_words", "word_length", "longest_word", "distinct_words", "equal_neighbours", "capitals", "exclamations", "bars",
             "symbols", "digits", "stops", "non_ascii", "words_per_line", "repeated_lines", "brackets", "at_or_slash")
@@ -178,13 +178,18 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model:
 def train(measured: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", fit_rows: int = FIT_ROWS,
           modulus: int = 5, held_out: int = 0) -> Model:
     """Fit on about ``fit_rows`` labelled rows that are not held out, drawn by
-    a hash of the id; rows without a label or an id are left out."""
+    a hash of the id; rows without a label or an id are left out.
+
+    An id has one label, that of most of its rows, and rows of it with equal
+    features count once; if the drawn ids have many rows, these are drawn too.
+    """
     known = labels.filter(F.col(label_col).isNotNull() & training_row(id_col, modulus, held_out))
-    known = known.select(F.col(id_col).alias("l"), F.col(label_col).cast("double").alias("y"))
+    known = one_label(known.select(F.col(id_col).alias("l"), F.col(label_col).cast("double").alias("y")))
     n = known.count()
     share = int(min(1.0, fit_rows / max(n, 1)) * (1 << 30))
     drawn = known.filter(F.pmod(F.xxhash64("l"), F.lit(1 << 30)) < share)
-    rows = measured.join(drawn, F.col("id") == F.col("l")).select("y", *FEATURES).orderBy("l").toPandas()
+    rows = measured.join(drawn, F.col("id") == F.col("l")).select("l", "y", *FEATURES).distinct()
+    rows = bounded(written(rows, "quality-sample"), fit_rows).orderBy("l", *FEATURES).select("y", *FEATURES).toPandas()
     return fit(rows[list(FEATURES)].to_numpy(float), rows["y"].to_numpy(float))
 
 

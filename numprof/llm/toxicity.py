@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import training_row
+from .common import bounded, one_label, training_row, written
 from .decontaminate import words_of
 
 # Identity terms by group, each with its neutral word first.
@@ -150,16 +150,18 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
     """Fit on about ``fit_rows`` labelled rows that are not held out, drawn by
     a hash of the id; rows without a label or an id are left out.
 
-    The drawn labels are bounded by ``fit_rows`` and so may be broadcast;
+    An id has one label, that of most of its rows, and every text of it
+    counts once; if the drawn ids have many texts, these are drawn too.
+    So the drawn labels are bounded by ``fit_rows`` and may be broadcast;
     words are counted by Spark, and the driver gets at most ``WORDS`` of
     them and the drawn documents as word numbers.
     """
     known = labels.filter(F.col(label_col).isNotNull() & training_row(id_col, modulus, held_out))
-    known = known.select(F.col(id_col).alias("l"), F.col(label_col).cast("double").alias("y"))
+    known = one_label(known.select(F.col(id_col).alias("l"), F.col(label_col).cast("double").alias("y")))
     share = int(min(1.0, fit_rows / max(known.count(), 1)) * (1 << 30))
     drawn = known.filter(F.pmod(F.xxhash64("l"), F.lit(1 << 30)) < share)
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(drawn), F.col("id") == F.col("l"))
-    sample = sample.select("l", "y", "text")
+    sample = bounded(written(sample.select("l", "y", "text").distinct(), "toxicity-sample"), fit_rows)
     counts = sample.mapInArrow(_document_words, "word binary, y double").groupBy("word").agg(
         F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")).filter(F.col("pos") + F.col("neg") >= MIN_DOCS)
     total = sample.agg(F.sum("y"), F.sum(1 - F.col("y"))).first()

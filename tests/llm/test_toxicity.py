@@ -75,3 +75,17 @@ def test_edges(spark, frame):
     assert len(out) == 6 and all(0 <= r["score"] <= 1 for r in out)
     assert [r["score"] for r in toxicity.toxicity_scores(docs, labels.limit(0)).collect()] == [pytest.approx(0.5)] * 6
     assert toxicity.toxicity_scores(docs.limit(0), labels).collect() == []
+
+
+def test_repeated_ids_do_not_widen_the_sample(spark, frame, monkeypatch):
+    """An id of a third of the labels and documents counts as one label, and
+    its texts within the bound."""
+    rows = [(7, f"text {k} idiot") for k in range(900)] + [(7, "same text")] * 300 + [(k, f"fine words {k}") for k in range(100, 400)]
+    docs = frame(rows, "doc_id int, text string")
+    labels = frame([(7, k % 3 and 1) for k in range(300)] + [(k, 0) for k in range(100, 400)], "doc_id int, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda words, rows, y, copies, swap: seen.append((len(rows), list(y))))
+    toxicity.train(docs, labels, fit_rows=10_000, modulus=10_000, held_out=9_999)
+    assert seen[-1][0] == 901 + 300 and sum(seen[-1][1]) == 901
+    toxicity.train(docs, labels, fit_rows=400, modulus=10_000, held_out=9_999)
+    assert 300 < seen[-1][0] < 500
