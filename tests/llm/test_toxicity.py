@@ -89,3 +89,19 @@ def test_repeated_ids_do_not_widen_the_sample(spark, frame, monkeypatch):
     assert seen[-1][0] == 901 + 300 and sum(seen[-1][1]) == 901
     toxicity.train(docs, labels, fit_rows=400, modulus=10_000, held_out=9_999)
     assert 300 < seen[-1][0] < 500
+
+
+def test_neutral_mentions_are_not_toxic():
+    plain, fair = fitted(0.0), fitted(toxicity.SWAP_PENALTY)
+    for group in toxicity.IDENTITY_TERMS.values():
+        for term in group:
+            assert fair.score(f"w1 w2 {term} w3 w4") < 0.3
+    for term in ("muslims", "jews"):
+        assert fair.score(f"w1 w2 {term} w3 w4") < 0.5 * plain.score(f"w1 w2 {term} w3 w4")
+
+
+def test_neutral_mentions_under_the_query_s_model(spark):
+    sf = "/root/testdata/sf0.1"
+    model = toxicity.train(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+    scores = {t: model.score(f"The {t} of the town met in the hall on Sunday") for g in toxicity.IDENTITY_TERMS.values() for t in g}
+    assert max(scores.values()) < 0.3
