@@ -7,7 +7,8 @@ looks the hash up, and compares the words themselves before it counts a hit.
 Documents are never shuffled.
 
 The broadcast is bounded: a benchmark of more than ``max_windows`` words is
-cut into blocks of whole items, with one scan of the documents for each.
+cut into blocks, with one scan of the documents for each; an item longer than
+a block is cut into pieces that overlap, so that none of its windows is lost.
 """
 
 from __future__ import annotations
@@ -173,21 +174,33 @@ def _slices(batch: pa.RecordBatch, text: str, limit: int = 1 << 23) -> Iterator[
         start = end
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, max_windows: int) -> Iterator[list[tuple[str | None, str | None]]]:
-    """The items in blocks of at most ``max_windows`` words, so of at most that
-    many windows, or of one longer item; the driver holds one block at a time."""
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, max_windows: int, n: int) -> Iterator[list[tuple[str | None, str | None]]]:
+    """The items in blocks of at most ``max_windows`` words (or one window),
+    so of at most that many windows; the driver holds one block at a time."""
     items = benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")).filter("t IS NOT NULL").distinct()
     block, room = [], max_windows
     for row in items.orderBy("i", "t").toLocalIterator():
-        size = len(row["t"]) // 2 + 1
-        if block and size > room:
-            yield block
-            block, room = [], max_windows
-        block.append((row["i"], row["t"]))
-        room -= size
+        for size, piece in _pieces(row["t"], max_windows, n):
+            if block and size > room:
+                yield block
+                block, room = [], max_windows
+            block.append((row["i"], piece))
+            room -= size
     yield block
 
 
+def _pieces(text: str, max_windows: int, n: int) -> Iterator[tuple[int, str]]:
+    """(words at most, text) of an item, in pieces that share n - 1 words if it is longer than a block."""
+    if len(text) // 2 + 1 <= max_windows:
+        yield len(text) // 2 + 1, text
+        return
+    words = words_of(text)
+    step = max(1, max_windows - n + 1)
+    for at in range(0, max(1, len(words) - n + 1) if len(words) > max_windows else 1, step):
+        part = words[at:at + step + n - 1] if len(words) > max_windows else words
+        yield len(part), b" ".join(part).decode()
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
          n: int = N, max_windows: int = MAX_WINDOWS, texts: str = "keep") -> tuple[DataFrame, str, str, str]:
     """``docs`` plus three columns, and their names: a struct of n_words and
@@ -205,7 +218,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
         return out.mapInArrow(_scan(WindowSet(block, n), schema.names, text_col, spans, items, count, last and texts == "cut"), schema)
 
-    blocks = _blocks(benchmark, item_col, item_text_col, max_windows)
+    blocks = _blocks(benchmark, item_col, item_text_col, max_windows, n)
     block = next(blocks)
     for following in blocks:
         out, block = written(step(block, False), "decontaminate"), following

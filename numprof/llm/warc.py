@@ -22,8 +22,9 @@ from .common import shared_folder, written
 CRLF = "\r\n"
 #: Payloads shorter than this many bytes are never revisits.
 MIN_BYTES = 100
-#: Records of one archive file; bounds what the reader holds at once.
-RECORDS_PER_FILE = 2000
+#: Records, and bytes of blocks, of one archive file (or one longer record);
+#: bounds what the reader holds at once.
+RECORDS_PER_FILE, FILE_BYTES = 2000, 128 << 20
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
@@ -63,9 +64,14 @@ def resolve(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     return out.select("page_id", "url", "payload", "bytes", "digest", original.alias("original"))
 
 
-def write_archives(resolved: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE, date: str = DATE) -> None:
+def write_archives(resolved: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE, date: str = DATE,
+                   file_bytes: int = FILE_BYTES) -> None:
     """One record per row of ``resolve``: a response with its payload, or a
-    revisit with the HTTP header alone."""
+    revisit with the HTTP header alone.
+
+    Records too large for ``records_per_file`` of them to fit ``file_bytes``
+    go, by size class, to files of their own with fewer records.
+    """
     c = F.col
     revisit = c("original").isNotNull()
     http = F.concat(F.lit(HTTP), c("bytes").cast("string"), F.lit(CRLF + CRLF))
@@ -84,7 +90,16 @@ def write_archives(resolved: DataFrame, path: str, records_per_file: int = RECOR
         _field("Content-Type", F.lit("application/http;msgtype=response")),
         _field("Content-Length", length),
         F.lit(CRLF), block)
-    resolved.select(record.alias("value")).write.option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", records_per_file).text(path)
+    largest = resolved.agg(F.max("bytes")).first()[0] or 0
+    above, records, mode = -1, records_per_file, "error"
+    while True:
+        limit = file_bytes // records
+        fits = (length > above) & (length <= limit) if records > 1 else length > above
+        rows = (resolved if mode == "error" and largest + 2 * len(HTTP) <= limit else resolved.filter(fits)).select(record.alias("value"))
+        rows.write.mode(mode).option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", records).text(path)
+        if records == 1 or largest + 2 * len(HTTP) <= limit:
+            return
+        above, records, mode = limit, max(1, records // 16), "append"
 
 
 def parse_archive(data: bytes) -> Iterator[dict]:

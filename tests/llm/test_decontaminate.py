@@ -79,3 +79,15 @@ def test_empty_tables(spark, frame):
     assert dc.contamination(docs.limit(0), bench).collect() == []
     assert dc.contamination(docs, bench.limit(0)).first()["n_hit"] == 0
     assert dc.decontaminate(docs, bench.limit(0)).count() == 1
+
+
+def test_a_long_item_is_cut_without_losing_a_window(spark, frame):
+    words = [f"w{k}" for k in range(200)]
+    bench = frame([("long", " ".join(words)), ("short", "just a few words")], "item_id string, text string")
+    blocks = list(dc._blocks(bench, "item_id", "text", 30, 10))
+    assert max(sum(len(dc.words_of(t)) for _, t in b) for b in blocks) <= 30
+    windows = {tuple(dc.words_of(t)[k:k + 10]) for b in blocks for i, t in b if i == "long" for k in range(len(dc.words_of(t)) - 9)}
+    assert windows == {tuple(w.encode() for w in words[k:k + 10]) for k in range(191)}
+    docs = frame([(1, " ".join(["x", *words[15:45], "y"])), (2, " ".join(words[3:12]))], "doc_id int, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["items"]) for r in dc.contamination(docs, bench, max_windows=60).collect()}
+    assert got == {1: (30, ["long"]), 2: (0, [])}

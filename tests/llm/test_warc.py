@@ -63,3 +63,16 @@ def test_damage_is_noticed(spark, frame, tmp_path):
 
 def test_empty_table(spark, frame):
     assert warc.archive(frame([], "page_id bigint, url string, html string")).collect() == []
+
+
+def test_archives_are_bounded_by_bytes(spark, frame, tmp_path):
+    """Large records go to files of fewer records; nothing is lost."""
+    sizes = [10, 200, 900, 3_000, 3_000, 9_000, 70_000, 70_000]
+    pages = frame([(k, f"http://a/{k}", f"{k}" * n) for k, n in enumerate(sizes * 5)], "page_id bigint, url string, html string").coalesce(1)
+    path = str(tmp_path / "w")
+    warc.write_archives(warc.resolve(pages), path, records_per_file=100, file_bytes=40_000)
+    files = [f for f in (tmp_path / "w").iterdir() if f.name.startswith("part-")]
+    assert all(f.stat().st_size < 60_000 or f.read_bytes().count(b"WARC/1.1") == 1 for f in files)
+    got = sorted((r["page_id"], len(r["payload"])) for r in warc.read_archives(spark, path).filter("record_type = 'response'").collect())
+    want = sorted((r["page_id"], r["bytes"]) for r in warc.resolve(pages).filter("original IS NULL").collect())
+    assert got == want and len(warc.read_archives(spark, path).collect()) == 40
