@@ -7,9 +7,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -20,13 +17,3 @@ def spark():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="numprof-test-ckpt-"))
     yield s
     s.stop()
-
-
-def values_df(spark, values, name="value"):
-    return spark.createDataFrame([(v,) for v in values], f"{name} double")
-
-
-def lines_file(tmp_path, lines, name="in.txt"):
-    p = tmp_path / name
-    p.write_text("\n".join(lines) + "\n")
-    return str(p)

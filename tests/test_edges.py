@@ -4,7 +4,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from conftest import lines_file, values_df
+from support import lines_file, values_df
 from numprof.functions.columns import band
 from numprof.operators.categories import category_stats
 from numprof.operators.jobs import analyze_flat, recommendations, results_long

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from support import SF01
 from numprof.operators.arrays import standardize_arrays, standardize_arrays_long, array_stats
 from numprof.operators.categories import category_stats
 from numprof.operators.matrix import array_rows_to_coo, matmul_coo, matmul_tiled

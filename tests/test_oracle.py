@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF01
+from support import SF01
 from tools.oracle_check import TABLES, digest
 
 SQL = E.oracle_sql()

@@ -4,7 +4,7 @@ from numprof.operators.arrays import standardize_arrays
 from numprof.plans import registry
 from numprof.plans.stats_join import attach_by_keys, table_size
 
-from conftest import SF01
+from support import SF01
 
 
 def _plan(df):

@@ -1,5 +1,5 @@
 
-from conftest import values_df
+from support import values_df
 from numprof.operators.profile import profile
 from numprof.sources.files import read_results
 from numprof.streaming.files import profile_files_stream
