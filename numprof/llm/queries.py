@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, gam, langid, mixing, rules, simhash, templates, token_planes, toxicity, warc
+from . import (
+    decontaminate, gam, hard_negatives, langid, merkle, mixing, rules, simhash, templates, tensor_minhash, token_planes, toxicity, warc,
+)
 from .common import shared_folder, table, training_row
 
 
@@ -161,6 +163,81 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN n USING (rid) LEFT JOIN its USING (rid)
 """
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, a seventh of the labels shifted."""
+    label = F.col("label").cast("bigint")
+    label = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+OP11_SQL = r"""
+WITH e AS (SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.rid AS arid, a.vec_id AS anchor_id, b.rid, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+      FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.rid <> b.rid),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY arid ORDER BY score DESC, vec_id NULLS LAST) <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.arid, p.rid ORDER BY s.score DESC, s.vec_id NULLS LAST)::INT AS rank
+      FROM p JOIN s ON s.arid = p.arid AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document; a fifth of them tampered with."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    m = merkle.manifest(table(spark, sf_dir, "documents"), changed=(tampered, "text", merkle.ascii_lower(F.col("text"))))
+    out = merkle.proofs(m).withColumnRenamed("id", "doc_id")
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def _field(col: str) -> str:
+    return f"coalesce(strlen({col}::VARCHAR)::VARCHAR || ':' || {col}::VARCHAR, '-')"
+
+
+OP12_SQL = rf"""
+WITH RECURSIVE bits(n, c, k) AS (
+  SELECT n, n::BIGINT, 0 FROM range(256) t(n) UNION ALL
+  SELECT n, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY n) AS t FROM bits WHERE k = 8),
+d AS (SELECT row_number() OVER () AS rid, doc_id, source, lang, n_chars, text FROM documents),
+x AS (SELECT d.*, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda z: ascii(z)::BIGINT)),
+                      lambda a, b: xor(t[(xor(a, b) % 256 + 1)::INT], a // 256)), 4294967295) % 5 = 0 AS tampered FROM d, crc),
+l AS (SELECT rid, doc_id, source, sha256({" || ".join(map(_field, merkle.FIELDS))}) AS leaf,
+             CASE WHEN tampered THEN sha256({" || ".join(map(_field, merkle.FIELDS[:-1]))} || {_field("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) END AS other
+      FROM x),
+s AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) AS n, count(*) OVER () AS trees FROM l GROUP BY source),
+p AS (SELECT l.*, tree, n, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS pos
+      FROM l JOIN s ON l.source IS NOT DISTINCT FROM s.source),
+up(tree, lvl, pos, n, h) AS (
+  SELECT tree, 0, pos, n, leaf FROM p UNION ALL
+  SELECT tree, lvl + 1, pos // 16, (max(n) + 15) // 16, sha256(string_agg(h, '' ORDER BY pos)) FROM up WHERE n > 1 GROUP BY tree, lvl, pos // 16),
+tops(lvl, pos, n, h) AS (
+  SELECT 0, up.tree, trees, h FROM up JOIN s USING (tree) WHERE up.n = 1 UNION ALL
+  SELECT lvl + 1, pos // 16, (max(n) + 15) // 16, sha256(string_agg(h, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY lvl, pos // 16),
+nodes AS (SELECT tree, lvl, pos, n, h FROM up UNION ALL SELECT -1, lvl, pos, n, h FROM tops),
+e AS (SELECT tree, lvl, pos, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lft,
+             coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rgt
+      FROM nodes WHERE n > 1 WINDOW w AS (PARTITION BY tree, lvl, pos // 16 ORDER BY pos)),
+walk(rid, tree, lvl, pos, sib, h) AS (
+  SELECT rid, tree, 0, pos, '', coalesce(other, leaf) FROM p UNION ALL
+  SELECT rid, tree, lvl + 1, pos // 16, sib || lft || rgt, sha256(lft || h || rgt) FROM walk JOIN e USING (tree, lvl, pos)),
+ends AS (SELECT rid, arg_max(tree, lvl) AS tree, arg_max(sib, lvl) AS sib, arg_max(h, lvl) AS h FROM walk GROUP BY rid),
+walk2(rid, tree, lvl, pos, sib, h) AS (
+  SELECT rid, -1, 0, tree, sib, h FROM ends UNION ALL
+  SELECT rid, -1, lvl + 1, pos // 16, sib || lft || rgt, sha256(lft || h || rgt) FROM walk2 JOIN e USING (tree, lvl, pos)),
+done AS (SELECT rid, sha256(arg_max(sib, lvl)) AS proof_sha256, arg_max(h, lvl) AS folded_root FROM walk2 GROUP BY rid)
+SELECT doc_id, leaf, up.h AS subroot, r.h AS root, proof_sha256, folded_root, folded_root = r.h AS verified
+FROM p JOIN done USING (rid) JOIN up ON up.tree = p.tree AND up.n = 1, (SELECT h FROM tops WHERE n = 1) r
+"""
+
+
+def op13_tensor_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document by 4-word shingles."""
+    return tensor_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_ppm_language": op2_ppm_language,
@@ -172,10 +249,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_decontamination": op10_decontamination,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_tensor_minhash": op13_tensor_minhash,
 }
 ORACLE_SQL: dict[str, str] = {
     "op3_warc_revisits": OP3_SQL,
     "op4_quality_rules": OP4_SQL,
     "op9_mixing": OP9_SQL,
     "op10_decontamination": OP10_SQL,
+    "op11_hard_negatives": OP11_SQL,
+    "op12_merkle_manifest": OP12_SQL,
 }

@@ -86,6 +86,6 @@ def test_empty_documents(spark, tmp_path):
 
 def test_registered(spark):
     assert os.path.basename(corpus_pipeline.__file__) == "corpus_pipeline.py"
-    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 14))
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
     assert rules.mask("v2") == 63 and simhash.MAX_BITS == 2
