@@ -6,6 +6,7 @@ right algorithm for sparse input.  ``matmul_tiled`` is the dense form: cells
 are grouped into square tiles of at most ``block``² entries, tiles meet by
 the inner tile index, each tile pair is multiplied with numpy inside the
 task, and the products are summed as strips of cells by a grouped aggregate.
+``matmul`` counts what either would do and takes the cheaper one.
 
 One rule for both: a cell whose value is NULL, or that is not there, takes
 part in no product; repeated cells add up; infinities and NaN follow IEEE
@@ -15,6 +16,8 @@ at least one matching inner index.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -154,6 +157,47 @@ def matmul_tiled(a: DataFrame, b: DataFrame, block: int = 128, small_right: bool
     return cells.select("row_id", col_id.alias("col_id"), "v")
 
 
+#: Multiply-adds of a tile product that take as long as one row of the join
+#: and its aggregate (``bench.py``: about 2e9 and 8e6 a second and core).
+ROW_COST = 256
+
+
+class ProductCost(NamedTuple):
+    """What the two forms of a product would do, and the cheaper one."""
+    join_rows: int
+    tile_ops: int
+    method: str
+
+
+def product_cost(a: DataFrame, b: DataFrame, block: int = 128) -> ProductCost:
+    """Measure a product: one small aggregate of each side (an action).
+
+    The join makes nnz(A[:,k]) * nnz(B[k,:]) rows for each inner index k; the
+    tiled form block³ multiply-adds for each pair of tiles that meet.  Counts
+    are taken per inner index, and of distinct tiles per inner tile, so a
+    matrix that is dense in a few places counts as what it is there.
+    """
+    tile = lambda c: F.expr(f"({c} - pmod({c}, {int(block)})) div {int(block)}")
+    sides = []
+    for m, inner, outer in ((a, "col_id", "row_id"), (b, "row_id", "col_id")):
+        cells = _present(m).select(F.col(inner).cast("bigint").alias("k"), tile(outer).alias("o"))
+        by_tile = cells.groupBy("k", "o").agg(F.count(F.lit(1)).alias("n"))
+        per_k = by_tile.groupBy("k").agg(F.sum("n").alias("n"))
+        per_tile = by_tile.select(tile("k").alias("k"), "o").distinct().groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        sides.append((per_k, per_tile))
+    total = lambda x, y: x.withColumnRenamed("n", "m").join(y.hint("merge"), "k").agg(F.sum(F.col("m").cast("double") * F.col("n"))).first()[0] or 0
+    rows, pairs = (total(sides[0][i], sides[1][i]) for i in (0, 1))
+    ops = int(pairs) * block ** 3
+    return ProductCost(int(rows), ops, "join" if rows * ROW_COST <= ops else "tiled")
+
+
+def matmul(a: DataFrame, b: DataFrame, block: int = 128) -> DataFrame:
+    """C = A·B by the form that is cheaper for these matrices (measures them,
+    see :func:`product_cost`): a dense product never takes the join, which
+    makes a row for every scalar product; a sparse one never fills tiles."""
+    return matmul_coo(a, b) if product_cost(a, b, block).method == "join" else matmul_tiled(a, b, block)
+
+
 def array_rows_to_coo(df: DataFrame, id_col: str, arr: str, transpose: bool = False) -> DataFrame:
     """Rows of arrays as a coordinate matrix: row = ``id_col``, column = position."""
     long = df.select(F.col(id_col).cast("long").alias("__id"), F.posexplode(arr).alias("__pos", "v"))

@@ -20,6 +20,7 @@ RDD_TIME_DIVISOR = 16             # supplier quantity total // 16 = RDD "time"
 RECORD_MULTIPLIER = 7             # supplier quantity total * 7 = record_count
 NO_DATA_LABEL = 8                 # embeddings with this label: request without data
 BAD_TYPE_LABEL = 9                # ... with this label: unsupported type
+NULL_DATA_LABEL = 4               # ... with this label: an explicit null as data
 NO_TYPE_LABEL = 6                 # ... with this label: type omitted (default)
 BAD_DATA_LABEL = 5                # ... with this label: an array that holds a text
 NO_JOB_LABEL = 7                  # ... with this label: job id omitted (default)
@@ -56,9 +57,11 @@ def requests_file(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "requests")
     req = requests_from_embeddings(spark, sf_dir, keep_label=True)
     texts = F.concat(F.slice(F.col("data").cast("array<string>"), 1, 1), F.array(F.lit("abc")))
-    good, bad = req.filter(F.col("label") != BAD_DATA_LABEL), req.filter(F.col("label") == BAD_DATA_LABEL)
+    good = req.filter(~F.col("label").isin(BAD_DATA_LABEL, NULL_DATA_LABEL))
+    bad, null = req.filter(F.col("label") == BAD_DATA_LABEL), req.filter(F.col("label") == NULL_DATA_LABEL)
     good.drop("label").write.mode("overwrite").json(path)
     bad.select("job_id", "type", texts.alias("data")).write.mode("append").json(path)
+    null.select("job_id", "type", F.lit(None).cast("string").alias("data")).write.mode("append").option("ignoreNullFields", "false").json(path)
     return path
 
 

@@ -21,16 +21,17 @@ from numprof.operators.categories import band_stats
 from numprof.operators.jobs import (
     analyze_flat, analyze_jobs, chart_series, nested_results, recommendations, results_long, speedup_report,
 )
-from numprof.operators.matrix import array_rows_to_coo, matmul_coo, matmul_tiled
+from numprof.operators.matrix import array_rows_to_coo, matmul, matmul_tiled
 from numprof.operators.profile import flavour_diff, profile
 from numprof.operators.results import job_results, receipts
 from numprof.operators.standardize import standardize
 from numprof.plans import fixtures as fx
 from numprof.plans.jobs import persisted, run_analysis, run_profile_job
 from numprof.plans.stats_join import materialize, scratch_path
+from numprof.sinks.compaction import compact_results
 from numprof.sinks.results import write_results
 from numprof.sources.files import (
-    read_numeric_csv, read_numeric_text, read_requests, read_results, uniform_values,
+    read_numeric_csv, read_numeric_text, read_requests, read_results, uniform_draws,
 )
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -280,22 +281,22 @@ def text_scan(spark, d):
 # --- arrays and matrices ---------------------------------------------------
 
 @register("array_requests", f"""
-SELECT CASE WHEN label IN ({fx.NO_DATA_LABEL}, {fx.BAD_TYPE_LABEL}, {fx.BAD_DATA_LABEL}) THEN 'error' ELSE 'success' END AS status,
+SELECT CASE WHEN label IN ({fx.NO_DATA_LABEL}, {fx.NULL_DATA_LABEL}, {fx.BAD_TYPE_LABEL}, {fx.BAD_DATA_LABEL}) THEN 'error' ELSE 'success' END AS status,
        CASE WHEN label = {fx.NO_JOB_LABEL} THEN 'unknown' ELSE CAST(vec_id AS VARCHAR) END AS job_id,
-       CASE WHEN label IN ({fx.NO_DATA_LABEL}, {fx.BAD_TYPE_LABEL}, {fx.BAD_DATA_LABEL}) THEN NULL
+       CASE WHEN label IN ({fx.NO_DATA_LABEL}, {fx.NULL_DATA_LABEL}, {fx.BAD_TYPE_LABEL}, {fx.BAD_DATA_LABEL}) THEN NULL
             ELSE CAST(len(embedding) AS INTEGER) END AS processed_count,
-       CASE WHEN label IN ({fx.NO_DATA_LABEL}, {fx.BAD_TYPE_LABEL}, {fx.BAD_DATA_LABEL}) THEN NULL
+       CASE WHEN label IN ({fx.NO_DATA_LABEL}, {fx.NULL_DATA_LABEL}, {fx.BAD_TYPE_LABEL}, {fx.BAD_DATA_LABEL}) THEN NULL
             ELSE 'results/engine=gpu_processed/run_id=latest/job=id-'
                  || CASE WHEN label = {fx.NO_JOB_LABEL} THEN 'unknown' ELSE CAST(vec_id AS VARCHAR) END
        END AS storage_path,
        CASE WHEN label = {fx.NO_DATA_LABEL} THEN 'No data provided'
-            WHEN label = {fx.BAD_DATA_LABEL} THEN 'Processing failed: data is not an array of numbers'
+            WHEN label IN ({fx.BAD_DATA_LABEL}, {fx.NULL_DATA_LABEL}) THEN 'Processing failed: data is not an array of numbers'
             WHEN label = {fx.BAD_TYPE_LABEL} THEN 'Processing failed: unsupported type {fx.BAD_TYPE}' END AS error,
-       CASE WHEN label = {fx.NO_DATA_LABEL} THEN 400 WHEN label IN ({fx.BAD_TYPE_LABEL}, {fx.BAD_DATA_LABEL}) THEN 500 ELSE 200 END AS http_status
+       CASE WHEN label = {fx.NO_DATA_LABEL} THEN 400 WHEN label IN ({fx.BAD_TYPE_LABEL}, {fx.BAD_DATA_LABEL}, {fx.NULL_DATA_LABEL}) THEN 500 ELSE 200 END AS http_status
 FROM embeddings
 """)
 def array_requests(spark, d):
-    """S3, M5, K4, K5: embeddings as JSON requests (some without data, with data that is no array of numbers, or with a bad type), receipts."""
+    """S3, M5, K4, K5: embeddings as JSON requests (some without data, with null data or data that is no array of numbers, or with a bad type), receipts."""
     return receipts(read_requests(spark, fx.requests_file(spark, d)), "results", per_job_files=True)
 
 
@@ -354,9 +355,23 @@ def _gram_inputs(spark, d):
 
 @register("matrix_multiply", _GRAM_SQL)
 def matrix_multiply(spark, d):
-    """Eᵀ·E over the whole embeddings table (inner dimension = vectors)."""
+    """M3: Eᵀ·E over the whole embeddings table (inner dimension = vectors),
+    dense, by the form that the measured density asks for."""
     a, b = _gram_inputs(spark, d)
-    return round_all(matmul_coo(a, b))
+    return round_all(matmul(a, b, block=32))
+
+
+@register("matrix_multiply_sparse", """
+WITH m AS (SELECT l_orderkey, l_partkey, sum(CAST(l_quantity AS DOUBLE)) AS q FROM lineitem GROUP BY 1, 2)
+SELECT x.l_partkey AS row_id, y.l_partkey AS col_id, round(sum(x.q * y.q), 6) AS v
+FROM m x JOIN m y ON x.l_orderkey = y.l_orderkey GROUP BY 1, 2
+""")
+def matrix_multiply_sparse(spark, d):
+    """M3: parts by parts over the orders that hold both (quantities), sparse,
+    by the form that the measured density asks for."""
+    li = table(spark, d, "lineitem").groupBy("l_orderkey", "l_partkey").agg(F.sum(F.col("l_quantity").cast("double")).alias("v"))
+    cells = li.select(F.col("l_orderkey").alias("row_id"), F.col("l_partkey").alias("col_id"), "v")
+    return round_all(matmul(cells.select(F.col("col_id").alias("row_id"), F.col("row_id").alias("col_id"), "v"), cells))
 
 
 @register("matrix_multiply_tiled", _GRAM_SQL)
@@ -540,18 +555,43 @@ def result_roundtrip(spark, d):
     return round_all(k1.select("*", no_size).unionByName(k2.select("*", no_size)).unionByName(k3))
 
 
-@register("results_two_batches", """
+_BATCHES_SQL = """
 WITH x AS (SELECT CAST(l_suppkey AS VARCHAR) AS job_id, sum(CAST(l_quantity AS BIGINT)) AS q, count(*) AS n FROM lineitem GROUP BY l_suppkey),
 e AS (SELECT unnest(['spark_rdd', 'spark_dataframe']) AS engine)
 SELECT job_id, engine, CASE WHEN CAST(job_id AS BIGINT) % 5 = 0 THEN q + 1 ELSE q END AS processing_time_ms,
        CASE WHEN CAST(job_id AS BIGINT) % 5 = 0 THEN n * 2 ELSE n END AS record_count, CAST(NULL AS INTEGER) AS result_size
 FROM x, e
 UNION ALL SELECT CAST(vec_id AS VARCHAR), 'gpu_processed', NULL, NULL, CAST(len(embedding) AS INTEGER) FROM embeddings
-""")
+"""
+
+
+@register("results_two_batches", _BATCHES_SQL)
 def results_two_batches(spark, d):
     """Two disjoint batches of jobs stored by every engine, the
     first one retried, then some jobs rewritten; nothing else is lost and
     the newest whole record of a job is read."""
+    return _sizes(read_results(spark, _two_batches(spark, d)))
+
+
+@register("results_compacted", _BATCHES_SQL)
+def results_compacted(spark, d):
+    """The same batches compacted to one run per engine, some jobs
+    rewritten with the values they have, and compacted again: the same records, from one run."""
+    root = _two_batches(spark, d)
+    compact_results(spark, root)
+    before = read_results(spark, root)
+    for engine in ("spark_rdd", "spark_dataframe"):
+        again = before.filter((F.col("engine") == engine) & (F.col("processing_time_ms") % 2 == 0)).select("job_id", "processing_time_ms", "record_count")
+        write_results(again, root, engine)
+    compact_results(spark, root)
+    return _sizes(read_results(spark, root))
+
+
+def _sizes(records: DataFrame) -> DataFrame:
+    return records.select("job_id", "engine", "processing_time_ms", "record_count", F.array_size("result").alias("result_size"))
+
+
+def _two_batches(spark, d) -> str:
     root = scratch_path(spark, "batches")
     totals = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("k")).agg(
         F.sum(F.col("l_quantity").cast("long")).alias("processing_time_ms"), F.count(F.lit(1)).alias("record_count"))
@@ -566,7 +606,7 @@ def results_two_batches(spark, d):
                                               (F.col("record_count") * 2).alias("record_count"))
     for engine in ("spark_rdd", "spark_dataframe"):
         write_results(again, root, engine, run_id="third")
-    return read_results(spark, root).select("job_id", "engine", "processing_time_ms", "record_count", F.array_size("result").alias("result_size"))
+    return root
 
 
 @register("array_nulls", """
@@ -642,20 +682,18 @@ def timed_comparison(spark, d):
 
 
 @register("uniform_input", """
-SELECT count(*) AS record_count, true AS in_range, true AS mean_fits, true AS deviation_fits, true AS same_again FROM lineitem
+WITH j AS (SELECT l_suppkey, count(*) AS n, max(l_orderkey) AS seed FROM lineitem GROUP BY l_suppkey),
+u AS (SELECT l_suppkey, unnest(range(n)) AS i, seed FROM j),
+v AS (SELECT l_suppkey, CAST('0x' || substr(md5(seed || '|' || i), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE * 200 - 100 AS value FROM u)
+SELECT CAST(l_suppkey AS BIGINT) AS l_suppkey, count(*) AS record_count, round(avg(value), 6) AS avg_value, round(max(value), 6) AS max_value,
+       round(min(value), 6) AS min_value, round(stddev_samp(value), 6) AS std_dev FROM v GROUP BY l_suppkey
 """)
 def uniform_input(spark, d):
-    """One uniform value in [-100, 100) per lineitem row (a generator: only
-    their number comes from the table); mean and deviation within six
-    standard errors, and a second draw with the same seed equal."""
-    rows = table(spark, d, "lineitem").select("l_orderkey")
-    p = profile(uniform_values(rows), "value")
-    again = profile(uniform_values(rows), "value").select(F.col("avg_value").alias("b")).scalar()
-    n = F.col("record_count")
-    return p.select("record_count", ((F.col("min_value") >= -100) & (F.col("max_value") < 100)).alias("in_range"),
-                    (F.abs("avg_value") < 6 * 57.735 / F.sqrt(n)).alias("mean_fits"),
-                    (F.abs(F.col("std_dev") - 57.735) < 6 * 57.735 / F.sqrt(n)).alias("deviation_fits"),
-                    (F.abs(F.col("avg_value") - again) < 1e-9).alias("same_again"))
+    """Per supplier as many uniform values in [-100, 100) as it has
+    lineitems, from the seed of its last order, profiled per supplier."""
+    jobs = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").cast("bigint").alias("l_suppkey")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("l_orderkey").alias("seed"))
+    return round_all(profile(uniform_draws(jobs, "l_suppkey", "n", "seed"), "value", keys=["l_suppkey"]))
 
 
 def queries() -> dict[str, Builder]:

@@ -6,8 +6,9 @@ engine and ``run_id``, so a retried run is idempotent and no other run's
 results are touched.  ``job_id`` stays in the rows; ``job`` is ``all`` for a
 batch (one file per job would mean millions of small files at scale) and one
 folder per job with ``per_job_files=True``.  Both kinds share the layout, so
-they may share a root.  The reader keeps the newest record of each job and
-engine.
+they may share a root.  A finished write appends a commit record
+(:mod:`numprof.sinks.runs`); the reader opens committed runs that no
+compaction has retired, and keeps the newest record of each job and engine.
 """
 
 from __future__ import annotations
@@ -16,10 +17,11 @@ import re
 import time
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from numprof.functions.fixed import ENGINES
+from numprof.sinks.runs import commit_run, run_path
 
 ALL_JOBS = "all"
 
@@ -38,7 +40,7 @@ def job_folder(job_id: Column) -> Column:
 
 def job_path(root: str, engine: str, run_id: str, job_id: Column | None = None) -> Column:
     """Folder of a run's results, or of one job's, as it is named on disk."""
-    base = f"{root.rstrip('/')}/engine={engine}/run_id={run_id}"
+    base = run_path(root, engine, run_id)
     if job_id is None:
         return F.lit(f"{base}/job={ALL_JOBS}")
     # The writer escapes the one special character that is left.
@@ -46,10 +48,11 @@ def job_path(root: str, engine: str, run_id: str, job_id: Column | None = None)
 
 
 def write_results(df: DataFrame, root: str, engine: str, per_job_files: bool = False, run_id: str | None = None) -> str:
-    """Write result rows of one engine as JSON below ``root`` (an action).
+    """Write result rows of one engine as JSON below ``root`` and commit the
+    run (an action).
 
     Returns the run id, a fresh one unless given; writing again with the same
-    id replaces what that run wrote.
+    id replaces what that run wrote.  Rows are counted while they are written.
     """
     if engine not in ENGINES:
         raise ValueError(f"engine must be one of {ENGINES}")
@@ -58,10 +61,12 @@ def write_results(df: DataFrame, root: str, engine: str, per_job_files: bool = F
         raise ValueError("run_id may hold letters, digits, '.', '_' and '-' only")
     out = df.withColumns({"written_at": F.lit(time.time_ns() // 1000).cast("long"), "engine": F.lit(engine), "run_id": F.lit(run_id),
                           "job": job_folder(F.col("job_id")) if per_job_files else F.lit(ALL_JOBS)})
-    (out.write.mode("overwrite")
+    rows = Observation()
+    (out.observe(rows, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("engine", "run_id", "job")
         .json(root))
+    commit_run(df.sparkSession, root, engine, run_id, rows.get["n"])
     return run_id
 
 

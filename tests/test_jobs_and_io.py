@@ -62,9 +62,7 @@ def test_results_reader_prunes_engine_partitions(spark, tmp_path):
     assert sorted((r["engine"], r["job_id"]) for r in both.collect()) == [
         ("spark_dataframe", "a"), ("spark_dataframe", "b"), ("spark_rdd", "a"), ("spark_rdd", "b")]
     only = read_results(spark, root, engines=["spark_rdd"])
-    plan = only._jdf.queryExecution().executedPlan().toString()
-    import re
-    assert re.search(r"PartitionFilters: \[isnotnull\(engine#\d+\), \(engine#\d+ = spark_rdd\)\]", plan)
+    assert only.inputFiles() and all("engine=spark_rdd" in f for f in only.inputFiles())
     got = {r["job_id"]: r for r in only.collect()}
     assert got["a"]["category_map"]["medium"]["count"] == 2 and got["a"]["category_list"] is None
 
@@ -136,7 +134,7 @@ def test_unusable_payload_is_a_processing_error(spark, tmp_path):
 """)
     df = receipts(read_requests(spark, str(src)), "out")
     got = {r["job_id"]: (r["status"], r["http_status"], r["processed_count"]) for r in df.collect()}
-    assert got == {"a": ("error", 500, None), "b": ("error", 500, None), "c": ("error", 400, None), "d": ("error", 400, None),
+    assert got == {"a": ("error", 500, None), "b": ("error", 500, None), "c": ("error", 400, None), "d": ("error", 500, None),
                    "e": ("success", 200, 3), "f": ("error", 500, None), "g": ("error", 500, None), "h": ("success", 200, 0)}
     assert "aggregate(" not in df._jdf.queryExecution().optimizedPlan().toString()
 
