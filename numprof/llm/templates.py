@@ -2,11 +2,12 @@
 
 Every page is cut into tokens: elements, told apart by the chain of elements
 around them, and texts (blocks), told apart by their element.  A token's
-occurrence vector says how often it stands on each page of its host; tokens
-with the same vector form a class.  A text is the template's if it stands on
-most of the pages that have its element, equally often on each or as often
-as the element does (in the element's own class).  What the slots between
-such tokens hold is the pages' own text.
+occurrence vector says how often it stands on each distinct page of its host;
+tokens with the same vector form a class.  A text is the template's if it
+stands on most of the pages that have its element, and either equally often on
+each or in a class that has elements.  What the slots between such tokens hold
+is the pages' own text; a constant heading between texts of a page's own is
+its own, too, and a page without any keeps what is not framed.
 
 Of that, frames (menus, adverts, comments and the like) are left out, which
 element and class names give away, unless one wraps nearly all the text that
@@ -14,7 +15,9 @@ varies between the pages.  ``article`` and ``main`` are taken alone where the
 other slots hold next to nothing.
 
 Vectors are kept as counts and a sum of hashes over the whole host, added up
-by Spark, so a host is never held or cut in pieces; pages meet the template
+by Spark, so a host is never held or cut in pieces.  Elements on fewer than a
+thousandth of a host's pages are folded into the nearest element around them
+that is not, which bounds what is known of a host; pages meet the template
 of their host in a join, and are shuffled, compressed, only if the templates
 are too many to be broadcast.
 """
@@ -23,7 +26,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,13 +37,17 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from numprof.plans.stats_join import attach_by_keys
+
+from .common import released, written
 
 #: Pages, and bytes of html, whose tokens a task adds up before it passes them on.
 GROUP_PAGES, GROUP_BYTES = 64, 64 << 20
 #: Pages that a text of the template stands on at least, and their share of
 #: the host's pages that have its element.
 MIN_SUPPORT, SUPPORT = 4, 0.8
+#: Share of a host's pages that an element of its template stands on at least.
+ELEMENT_SHARE = 0.001
 #: Varying text of the slots to prefer over that of all others, in multiples.
 CLEAR = 4
 
@@ -61,6 +68,10 @@ FRAME_WORDS = frozenset("ad ads advert adverts advertisement advertising banner
 COMMENT_WORDS = frozenset("comment comments disqus reply replies".split())
 #: First words of classes that say what an element has or lacks, not what it is.
 STATES = frozenset("no not has have with without is hide show".split())
+#: Last words of classes that only say that an element holds something.
+HOLDERS = frozenset("area bar block body box button buttons container content details form group holder icon icons inner item items left link links "
+                    "list main outer panel right row section slot text title top bottom wrap wrapper".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements whose text is not on the page.
 UNSEEN = frozenset("script style noscript template iframe object svg canvas head title textarea select audio video noembed noframes xmp".split())
 
@@ -121,9 +132,17 @@ class Contexts:
 
 
 def _frame_words(name: str) -> list[str]:
-    """The words of a class or id; none if it says what the element has or lacks."""
+    """The words of a class or id that name its element: the last, or all of
+    those before words that only say it holds something; none if it says what
+    the element has or lacks."""
     words = [w for w in re.split(r"[^a-z0-9]+", name) if w]
-    return [] if len(words) > 1 and words[0] in STATES else words
+    if len(words) > 1 and words[0] in STATES:
+        return []
+    while len(words) > 1 and (words[-1] in HOLDERS or words[-1].isdigit()):
+        words.pop()
+        if words[-1] not in HOLDERS:
+            return words
+    return words[-1:]
 
 
 def _label(tag: str, name: str) -> str:
@@ -330,57 +349,6 @@ def opened_frames(elements: list[tuple[int, int | None, str | None, int]], fixed
         opened.add(contexts.key[best])
 
 
-class Template:
-    """The template of one host's pages, held in memory.
-
-    ``root``: the contexts that every page has once, in page order;
-    ``nested``: the other valid classes by the root context they lie in;
-    ``mains``: the root's article and main elements.
-    """
-
-    def __init__(self, pages: list[list[tuple[int, str | None, bool]]], contexts: Contexts):
-        vectors: dict[int, dict[int, int]] = defaultdict(dict)
-        first: list[dict[int, int]] = []
-        for p, page in enumerate(pages):
-            seen: dict[int, int] = {}
-            for k, (context, text, _) in enumerate(page):
-                if text is None:
-                    vectors[context][p] = vectors[context].get(p, 0) + 1
-                    seen.setdefault(context, k)
-            first.append(seen)
-        classes: dict[tuple, list[int]] = defaultdict(list)
-        for context, counts in vectors.items():
-            classes[tuple(sorted(counts.items()))].append(context)
-        once = tuple((p, 1) for p in range(len(pages)))
-        self.root = self._ordered(classes.pop(once, []), first, range(len(pages)))
-        inside = set(self.root)
-        self.nested: dict[int, list[list[int]]] = defaultdict(list)
-        for vector, members in classes.items():
-            members = self._ordered(members, first, [p for p, _ in vector])
-            if members:
-                slot = contexts.parent[members[0]]
-                while slot > 0 and slot not in inside:
-                    slot = contexts.parent[slot]
-                self.nested[slot].append(members)
-        self.mains = {c for c in self.root if contexts.main[c] and not contexts.frame[c] and contexts.name[c] in MAIN}
-
-    @staticmethod
-    def _ordered(members: list[int], first: list[dict[int, int]], on: Iterator[int]) -> list[int]:
-        """The members in page order, less those that change places between pages."""
-        on = list(on)
-        if not on:
-            return []
-        order = sorted(members, key=lambda c: first[on[0]][c])
-        for p in on[1:]:
-            at, kept = -1, []
-            for c in order:
-                if first[p][c] > at:
-                    at = first[p][c]
-                    kept.append(c)
-            order = kept
-        return order
-
-
 def slots(page: list[tuple[int, str | None, bool]], contexts: Contexts, opened: set[int], fixed: set[int]) -> str:
     """Main text of a page, given its host's opened frames and template texts."""
     framed: dict[int, bool] = {}
@@ -392,30 +360,51 @@ def slots(page: list[tuple[int, str | None, bool]], contexts: Contexts, opened:
 
     found = pieces(page, wanted)
     own = [_text_key(contexts.key[c], b) not in fixed for c, b in found]
+    # A constant heading between a page's own texts heads what follows it.
+    last = max((k for k, o in enumerate(own) if o), default=-1)
+    first = own.index(True) if last >= 0 else 0
+    kept = [o or (first < k < last and _in_heading(contexts, c)) for k, ((c, _), o) in enumerate(zip(found, own))]
     inside = sum(len(b) for (c, b), o in zip(found, own) if o and contexts.main[c])
     outside = sum(len(b) for (c, b), o in zip(found, own) if o and not contexts.main[c])
     mains = sum(text is None and contexts.main[c] and not contexts.main[contexts.parent[c]] and wanted(c) for c, text, _ in page)
     # Several articles beside other text may be cards: one of them must outweigh it.
     if mains and CLEAR * mains * outside <= inside:
         return "\n".join(b for c, b in found if contexts.main[c])
-    return "\n".join(b for (_, b), o in zip(found, own) if o)
+    # A page of template texts alone keeps them: it has no slot that holds more.
+    return "\n".join(b for (_, b), k in zip(found, kept if last >= 0 else [True] * len(found)) if k)
+
+
+def _in_heading(contexts: Contexts, c: int) -> bool:
+    while c > 0:
+        if contexts.name[c] in HEADINGS:
+            return True
+        c = contexts.parent[c]
+    return False
 
 
 def extract(pages: list[str | None]) -> list[str]:
     """Main text of each of the pages, all of one host, held in memory."""
-    seen = Tokens()
-    cut = [seen.add("", k, p or "") for k, p in enumerate(pages)]
+    seen, done = Tokens(), {}
+    for k, p in enumerate(pages):
+        if (p or "") not in done:  # equal pages count once
+            done[p or ""] = seen.add("", k, p or "")
     rows = [dict(zip(TOKEN.names, r)) for r in seen.rows()]
     elements = {r["context"]: r for r in rows if not r["text"]}
-    fixed = [r for r in rows if r["text"] and _recurs(r, elements[r["context"]])]
+    classes = {_class(r) for r in elements.values()}
+    fixed = [r for r in rows if r["text"] and _recurs(r, elements[r["context"]], classes)]
     opened, texts = _host_template(list(elements.values()), fixed)
-    return [slots(page, seen.contexts, opened, texts) for page in cut]
+    return [slots(done[p or ""], seen.contexts, opened, texts) for p in pages]
+
+
+def _class(token: dict) -> tuple:
+    """The equivalence class of a token: equal for equal occurrence vectors."""
+    return token["pages"], token["total"], token["vector"]
 
 
-def _recurs(text: dict, element: dict) -> bool:
+def _recurs(text: dict, element: dict, classes: set[tuple]) -> bool:
     """Whether a text is the template's; ``main_text`` says the same in SQL."""
     return (text["pages"] >= max(MIN_SUPPORT, SUPPORT * element["pages"])
-            and (text["low"] == text["high"] or all(text[k] == element[k] for k in ("pages", "total", "vector"))))
+            and (text["low"] == text["high"] or _class(text) in classes))
 
 
 def _host_template(elements: list[dict], fixed: list[dict]) -> tuple[set[int], set[int]]:
@@ -472,6 +461,45 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
 
+def _distinct_pages(rows: DataFrame) -> DataFrame:
+    """(host, uid, html) of one row for each distinct html of a host.  Only
+    digests are grouped; rows meet those that repeat, html stays in place."""
+    tagged = rows.select("host", "html", F.xxhash64("html").alias("uid"), F.coalesce(F.octet_length("html"), F.lit(0)).alias("size"),
+                         F.monotonically_increasing_id().alias("tag"))
+    copies = tagged.groupBy("host", "uid", "size").agg(F.count(F.lit(1)).alias("n"), F.min("tag").alias("first"))
+    copies = written(copies.filter("n > 1").select("host", "uid", "size", "first"), "page-copies")
+    if copies.isEmpty():
+        return tagged.select("host", "uid", "html")
+    marked = attach_by_keys(tagged, copies, ["host", "uid", "size"])
+    return marked.filter(F.col("first").isNull() | (F.col("first") == F.col("tag"))).select("host", "uid", "html")
+
+
+def _folded(elements: DataFrame) -> DataFrame:
+    """The elements that stand on at least ``ELEMENT_SHARE`` of their host's
+    pages, with the text of others below them counted as theirs: at most
+    1 / ELEMENT_SHARE times as many a host as a page has.
+
+    The others look for their nearest kept element by pointer doubling.
+    """
+    c = F.col
+    most = elements.groupBy("host").agg(F.max("pages").alias("host_pages"))
+    sized = attach_by_keys(elements, written(most, "host-pages"), ["host"])
+    keep = c("pages") >= ELEMENT_SHARE * c("host_pages")
+    kept = sized.filter(keep | c("parent").isNull()).drop("host_pages")
+    loose = written(sized.filter(~keep & c("parent").isNotNull()).select("host", "context", c("parent").alias("up"), "chars"), "loose-elements")
+    if loose.isEmpty():
+        return kept
+    while True:
+        ends = loose.select(c("host").alias("h"), c("context").alias("at"), c("up").alias("further"))
+        step = loose.join(ends, (c("host") == c("h")) & (c("up") == c("at")), "left")
+        if step.filter("further IS NOT NULL").isEmpty():
+            break
+        loose = written(step.select("host", "context", F.coalesce("further", "up").alias("up"), "chars"), "loose-elements")
+    more = loose.groupBy("host", "up").agg(F.sum("chars").alias("more")).select(c("host").alias("h"), "up", "more")
+    joined = kept.join(more, (c("host") == c("h")) & (c("context") == c("up")), "left")
+    return joined.withColumn("chars", c("chars") + F.coalesce("more", F.lit(0))).select(*elements.columns)
+
+
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
               group_pages: int = GROUP_PAGES, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """Per row of ``pages``: id, url, ``text`` (blocks joined by line breaks)
@@ -479,27 +507,29 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     A NULL or empty html has an empty text; pages with a NULL url, or one
     without a host, form a host of their own; repeated rows give repeated
-    results; an empty table gives an empty result; other columns are ignored.
+    results, and count once in the template; an empty table gives an empty result; other columns are ignored.
     ``group_pages`` and ``group_bytes`` set the load of a step, not the result.
     """
     c = F.col
     host = F.regexp_extract(F.lower(F.coalesce(c(url_col), F.lit(""))), r"^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
     rows = pages.select(c(id_col).alias("page_id"), c(url_col).alias("url"), host.alias("host"), c(html_col).alias("html"))
-    found = rows.select("host", F.xxhash64("page_id", "url", "html").alias("uid"), "html").mapInArrow(
-        _tokens(group_pages, group_bytes),
+    found = _distinct_pages(rows).mapInArrow(
+        released(_tokens(group_pages, group_bytes)),
         "host string, context bigint, text bigint, parent bigint, label string, pages bigint, total bigint, low bigint, high bigint, vector bigint, chars bigint")
     found = found.groupBy("host", "context", "text", "parent", "label").agg(
         *[f(n).alias(n) for f, n in ((F.sum, "pages"), (F.sum, "total"), (F.min, "low"), (F.max, "high"), (F.sum, "vector"), (F.sum, "chars"))])
     found = written(found.filter((c("text") == 0) | (c("pages") >= MIN_SUPPORT)), "page-tokens")
-    elements = found.filter("text = 0")
-    own = elements.select(*[c(n).alias("e_" + n) for n in ("host", "context", "pages", "total", "vector")])
+    elements = _folded(found.filter("text = 0"))
+    own = elements.select(*[c(n).alias("e_" + n) for n in ("host", "context", "pages")])
     fixed = found.filter("text <> 0").join(own, (c("host") == c("e_host")) & (c("context") == c("e_context")))
-    same = (c("pages") == c("e_pages")) & (c("total") == c("e_total")) & (c("vector") == c("e_vector"))
-    fixed = fixed.filter((c("pages") >= SUPPORT * c("e_pages")) & ((c("low") == c("high")) | same)).select(*found.columns)
-    hosts = elements.unionByName(fixed).select("host", "context", "text", "parent", "label", "chars").groupBy("host").applyInArrow(
+    vector = ["host", "pages", "total", "vector"]
+    classes = written(elements.select(*vector).distinct().withColumn("classed", F.lit(True)), "element-classes")
+    fixed = fixed.filter(c("pages") >= SUPPORT * c("e_pages")).join(classes, vector, "left")
+    fixed = fixed.filter((c("low") == c("high")) | c("classed")).select(*found.columns)
+    hosts = elements.select(*found.columns).unionByName(fixed).select("host", "context", "text", "parent", "label", "chars").groupBy("host").applyInArrow(
         _hosts, "h string, opened binary, fixed binary")
     hosts = written(hosts, "host-templates")
     ids = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in ("page_id", "url"))
-    packed = rows.mapInArrow(_packed, f"{ids}, host string, html binary").join(hosts, c("host") == c("h"), "left")
-    out = packed.select("page_id", "url", "html", "opened", "fixed").mapInArrow(_extracted, f"{ids}, text string")
+    packed = rows.mapInArrow(released(_packed), f"{ids}, host string, html binary").join(hosts, c("host") == c("h"), "left")
+    out = packed.select("page_id", "url", "html", "opened", "fixed").mapInArrow(released(_extracted), f"{ids}, text string")
     return out.select(c("page_id").alias(id_col), c("url").alias(url_col), "text", F.length("text").cast("bigint").alias("n_chars"))

@@ -46,24 +46,6 @@ def test_text_shared_by_all_pages_stays_inside_the_article():
     assert templates.extract([page("<p>same words</p>")] * 9) == ["same words"] * 9
 
 
-def test_classes_and_nesting():
-    contexts = templates.Contexts()
-    cut = [templates.tokens(page("<h1>x</h1>" + "<p>y</p>" * (k + 1)), contexts) for k in range(4)]
-    t = templates.Template(cut, contexts)
-    names = [contexts.name[c] for c in t.root]
-    assert names[:3] == ["html", "head", "title"] and "article" in names and "h1" in names and names[-1] == "footer"
-    article = next(c for c in t.root if contexts.name[c] == "article")
-    assert [[contexts.name[c] for c in m] for m in t.nested[article]] == [["p"]]
-    assert t.mains == {article}
-
-
-def test_tokens_that_change_places_leave_the_class():
-    contexts = templates.Contexts()
-    cut = [templates.tokens(h, contexts) for h in ("<i>a</i><b>b</b><u>c</u>", "<b>b</b><i>a</i><u>c</u>")]
-    names = [contexts.name[c] for c in templates.Template(cut, contexts).root]
-    assert names in (["i", "u"], ["b", "u"])
-
-
 @pytest.mark.parametrize("text", ["<" * 20000, "<!--" * 5000, "<script>" * 3000, "<p>" * 20000 + "x", "<div>" * 5000 + "x" + "</div>" * 5000,
                                   "&" * 20000, "<b" * 5000, "</x>" * 9000, "<a b='" * 2000])
 def test_hostile_markup_stays_fast(text):
@@ -163,3 +145,60 @@ def test_template_is_that_of_the_whole_host(spark, frame):
     for options in ({}, {"group_pages": 2}, {"group_bytes": 500}):
         out = templates.main_text(frame(rows, "page_id bigint, url string, html string").repartition(5), **options)
         assert sorted((r["page_id"], r["text"]) for r in out.collect()) == want
+
+
+RECIPE = "<h1>Cake {k}</h1><p>It is cake number {k} of the house.</p><h2>Ingredients</h2><p>{k} eggs and {k} apples</p>"
+
+
+@pytest.mark.parametrize("others", [0, 1, 9])
+def test_equal_pages_do_not_empty_each_other(spark, frame, others):
+    pages = [mixed(0)] * 5 + [mixed(k) for k in range(1, others + 1)]
+    want = templates.extract(pages)
+    assert want[:5] == [want[0]] * 5 and want[0].endswith("Headline 0\nStory 0 tells at length of the 0 things that happened on day 0 of the year.")
+    assert ("staff" in want[0]) == (others < 3)  # a host of under 4 distinct pages deduces no texts
+    rows = [(k, f"http://one.example/{k}", x) for k, x in enumerate(pages)]
+    out = templates.main_text(frame(rows, "page_id bigint, url string, html string").repartition(3))
+    assert [r["text"] for r in out.orderBy("page_id").collect()] == want
+
+
+def test_a_constant_heading_between_own_texts_stays():
+    pages = [f'<body><header>Site</header><div class="content">{RECIPE.format(k=k)}</div><div><h3>About us</h3><p>We bake.</p></div></body>' for k in range(2, 9)]
+    assert templates.extract(pages) == [f"Cake {k}\nIt is cake number {k} of the house.\nIngredients\n{k} eggs and {k} apples" for k in range(2, 9)]
+
+
+def test_a_page_of_template_texts_alone_is_not_empty():
+    same = "<body><div><p>Closed for the day</p></div></body>"
+    pages = [same.replace("</body>", f"<div class=x><b>{k}</b></div></body>") for k in range(6)] + [same]
+    assert templates.extract(pages)[-1] == "Closed for the day"
+
+
+@pytest.mark.parametrize("name,frame_", [("social-history", False), ("legal-analysis", False), ("notice-of-death", False), ("social-links", True), ("comment-list", True),
+                                         ("cookie-notice", True), ("site-footer", True), ("ad-slot-2", True), ("no-comments", False), ("related", True)])
+@pytest.mark.parametrize("copies", [1, 6])
+def test_compound_names_are_read_by_what_they_name(name, frame_, copies):
+    pages = [page(f'<p>Before {k}</p><div class="{name}"><p>Inner words {k}</p></div><p>After {k}</p>') for k in range(copies)]
+    want = [f"Before {k}\n" + ("" if frame_ else f"Inner words {k}\n") + f"After {k}" for k in range(copies)]
+    assert templates.extract(pages) == want
+
+
+def test_generated_ids_do_not_grow_a_host(spark, frame, monkeypatch):
+    """Elements of one page each are folded into those around them; what a
+    task gets of a host does not grow with its pages."""
+    monkeypatch.setattr(templates, "ELEMENT_SHARE", 0.2)
+    letters = ["".join(chr(97 + int(d)) for d in f"{k:03d}") for k in range(60)]
+    pages = [mixed(k).replace("<div><h1>", f'<div id="{x}"><span class="q{x}"><h1>') for k, x in enumerate(letters)]
+    rows = [(k, f"http://one.example/{k}", x) for k, x in enumerate(pages)]
+    df = frame(rows, "page_id bigint, url string, html string")
+    sizes = []
+    fold = templates._folded
+    monkeypatch.setattr(templates, "_folded", lambda e: (sizes.append((e.count(), fold(e).count(), e.agg({"chars": "sum"}).first()[0], fold(e).agg({"chars": "sum"}).first()[0])), fold(e))[1])
+    out = {r["page_id"]: r["text"] for r in templates.main_text(df).collect()}
+    before, after, chars, chars_after = sizes[0]
+    assert before > 200 and after < 20 and chars == chars_after
+    assert out == {k: f"Headline {k}\nStory {k} tells at length of the {k} things that happened on day {k} of the year." for k in range(60)}
+
+
+def test_clashing_columns_and_empty_url(spark, frame):
+    rows = [(1, None, "<p>a</p>", "h", 1), (2, "", "<p>b</p>", "h", 1), (2, "", "<p>b</p>", "h", 1), (3, None, None, "h", 1)]
+    out = templates.main_text(frame(rows, "page_id int, url string, html string, host string, uid int"))
+    assert sorted((r["page_id"], r["text"], r["n_chars"]) for r in out.collect()) == [(1, "a", 1), (2, "b", 1), (2, "b", 1), (3, "", 0)]
