@@ -6,9 +6,11 @@ hashes only the positions where a whole window of benchmark words stands,
 looks the hash up, and compares the words themselves before it counts a hit.
 Documents are never shuffled.
 
-The broadcast is bounded: a benchmark of more than ``max_windows`` words is
-cut into blocks, with one scan of the documents for each; an item longer than
-a block is cut into pieces that overlap, so that none of its windows is lost.
+Each broadcast is bounded: a benchmark of more than ``max_windows`` words is
+cut into blocks of their own, and an item longer than a block into pieces that
+overlap, so that none of its windows is lost.  The documents are scanned once:
+a task takes a run of them, holds it against one block after the other, each
+loaded and dropped again, and passes the run on.
 """
 
 from __future__ import annotations
@@ -24,13 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, written
+from .common import fresh, released
 
 #: Words are runs of ASCII letters and digits and of all characters from U+0080 up.
 WORD_RE = regex.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 N = 10
-#: Windows one scan step carries: at most about 200 MB in a task.
-MAX_WINDOWS = 1_000_000
+#: Words of a block, so windows at most: about 60 MB in a task.
+MAX_WINDOWS = 1 << 18
+#: Bytes of text that a task holds against all blocks at once, if there are several.
+RUN_BYTES = 32 << 20
 #: Words that one vectorised step looks at.
 STEP_WORDS = 1 << 19
 
@@ -48,27 +52,26 @@ class WindowSet:
 
     def __init__(self, items: list[tuple[str | None, str | None]], n: int = N):
         self.vocab: dict[bytes, int] = {}
-        at: dict[tuple[int, ...], set[str]] = {}
-        for item, text in items:
-            ids = [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words_of(text)]
-            k = min(n, len(ids))
-            for i in range(len(ids) - k + 1 if k else 0):
-                found = at.setdefault(tuple(ids[i:i + k]), set())
-                if item is not None:
-                    found.add(item)
+        self.items = sorted({i for i, _ in items if i is not None})
+        number = {i: k for k, i in enumerate(self.items)}
+        texts = [(number.get(i, -1), [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words_of(t)]) for i, t in items]
         self.by_length = {}
-        for k in sorted({len(w) for w in at}):
-            windows = [w for w in at if len(w) == k]
-            table = np.array(windows, np.int64)
+        for k in sorted({min(n, len(ids)) for _, ids in texts} - {0}):
+            fits = [(i, np.array(ids, np.int32)) for i, ids in texts if min(n, len(ids)) == k]
+            table = np.concatenate([np.lib.stride_tricks.sliding_window_view(ids, k) for _, ids in fits])
+            owner = np.concatenate([np.full(len(ids) - k + 1, i, np.int32) for i, ids in fits])
             for seed in range(100):  # another multiplier if two windows share a hash
                 powers = _powers(k, seed)
                 hashes = _hash(table, powers)
-                if len(np.unique(hashes)) == len(hashes):
+                order = np.lexsort((owner, hashes))
+                same = hashes[order[1:]] == hashes[order[:-1]]
+                if (table[order[1:]][same] == table[order[:-1]][same]).all():
                     break
             else:
                 raise RuntimeError("no collision-free multiplier found")
-            order = np.argsort(hashes)
-            self.by_length[k] = (powers, hashes[order], table[order], [frozenset(at[windows[i]]) for i in order])
+            first = np.flatnonzero(np.concatenate(([True], ~same)))
+            # Items of window j: owner[ends[j]:ends[j + 1]], -1 for a NULL id.
+            self.by_length[k] = (powers, hashes[order[first]], table[order[first]], owner[order], np.append(first, len(order)))
 
 
 def _powers(k: int, seed: int) -> np.ndarray:
@@ -88,11 +91,11 @@ def find(windows: WindowSet, docs: list[list[bytes]]) -> list[tuple[list[tuple[i
         ids += map(windows.vocab.get, words, repeat(0))
         ids.append(0)  # no window reaches into the next document
         starts.append(len(ids))
-    a = np.array(ids, np.int64)
+    a = np.array(ids, np.int32)
     starts = np.array(starts)
     known = np.concatenate(([0], np.cumsum(a == 0)))
     hits: dict[int, tuple[list[tuple[int, int]], set[str]]] = {}
-    for k, (powers, hashes, table, items) in windows.by_length.items():
+    for k, (powers, hashes, table, owner, ends) in windows.by_length.items():
         if len(a) < k:
             continue
         at = np.flatnonzero(known[k:] == known[:-k])
@@ -108,7 +111,7 @@ def find(windows: WindowSet, docs: list[list[bytes]]) -> list[tuple[list[tuple[i
             for d, p, w in zip(doc.tolist(), (part[good] - starts[doc]).tolist(), j[good].tolist()):
                 spans, found = hits.setdefault(d, ([], set()))
                 spans.append((p, p + k))
-                found |= items[w]
+                found.update(windows.items[i] for i in owner[ends[w]:ends[w + 1]].tolist() if i >= 0)
     return [(merged(hits[d][0]), hits[d][1]) if d in hits else ([], set()) for d in range(len(docs))]
 
 
@@ -135,35 +138,47 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
-def _scan(windows: WindowSet, names: list[str], text: str, spans: str, items: str, count: str, cut: bool):
-    """A mapInArrow step that adds a block's hits to ``spans`` and ``items``
-    and gives the columns ``names``; ``cut``: with the spans cut out."""
+def _scan(blocks: list, names: list[str], text: str, spans: str, items: str, count: str, cut: bool):
+    """A mapInArrow step that adds the hits of all ``blocks`` (broadcasts of
+    window sets) to ``spans`` and ``items`` and gives the columns ``names``;
+    ``cut``: with the spans cut out."""
+
+    def scanned(run: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, sizes = [[([], set())] * b.num_rows for b in run], {}
+        for block in blocks:
+            for k, batch in enumerate(run):
+                docs = [words_of(t) for t in batch.column(text).to_pylist()]
+                sizes[k] = list(map(len, docs))
+                new = find(block.value, docs)
+                found[k] = [(merged(s + t) if s and t else s or t, i | j) for (s, i), (t, j) in zip(found[k], new)]
+            if len(blocks) > 1:
+                block.__dict__.pop("_value", None)  # one block at a time; the next run loads it again
+        for k, (batch, hits) in enumerate(zip(run, found)):
+            texts = batch.column(text).to_pylist() if cut else []
+            counts = [{"n_words": n, "n_hit": sum(e - b for b, e in s)} for n, (s, _) in zip(sizes[k], hits)]
+            arrays = {spans: pa.array([[x for span in s for x in span] for s, _ in hits], pa.list_(pa.int32())),
+                      items: pa.array([sorted(i) for _, i in hits], pa.list_(pa.string())),
+                      count: pa.array(counts, pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64())]))}
+            if cut:
+                arrays[text] = pa.array([without_spans(t, s) if s else t for t, (s, _) in zip(texts, hits)], pa.string())
+            yield pa.RecordBatch.from_arrays([arrays[n] if n in arrays else batch.column(n) for n in names], names=names)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run, held = [], 0
         for whole in batches:
             for batch in _slices(whole, text):
-                texts = batch.column(text).to_pylist()
-                docs = [words_of(t) for t in texts]
-                old_s, old_i = batch.column(spans).to_pylist(), batch.column(items).to_pylist()
-                new_s, new_i, hit = [], [], []
-                for k, (s, i) in enumerate(find(windows, docs)):
-                    s = merged(s + list(zip(old_s[k][::2], old_s[k][1::2]))) if old_s[k] else s
-                    if cut and s:
-                        texts[k] = without_spans(texts[k], s)
-                    new_s.append([x for span in s for x in span])
-                    new_i.append(sorted(i | set(old_i[k])))
-                    hit.append(sum(e - b for b, e in s))
-                counts = [{"n_words": len(d), "n_hit": h} for d, h in zip(docs, hit)]
-                arrays = {spans: pa.array(new_s, pa.list_(pa.int32())), items: pa.array(new_i, pa.list_(pa.string())),
-                          count: pa.array(counts, pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64())]))}
-                if cut:
-                    arrays[text] = pa.array(texts, pa.string())
-                yield pa.RecordBatch.from_arrays([arrays[n] if n in arrays else batch.column(n) for n in names], names=names)
-
-    return step
-
-
-def _slices(batch: pa.RecordBatch, text: str, limit: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+                run.append(batch)
+                held += batch.nbytes
+                if len(blocks) < 2 or held >= RUN_BYTES:
+                    yield from scanned(run)
+                    run, held = [], 0
+        if run:
+            yield from scanned(run)
+
+    return released(step)
+
+
+def _slices(batch: pa.RecordBatch, text: str, limit: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """Runs of rows with about ``limit`` bytes of text, or one longer text."""
     sizes = np.cumsum(pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
@@ -209,20 +224,15 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
     ``texts``: ``keep``, ``drop`` the column, or ``cut`` the spans out.
     """
     count, spans, items = (fresh(docs, f"__{x}") for x in ("count", "spans", "items"))
-    empty = {count: F.struct(F.lit(0).cast("bigint").alias("n_words"), F.lit(0).cast("bigint").alias("n_hit")),
-             spans: F.array().cast("array<int>"), items: F.array().cast("array<string>")}
-    out = docs.withColumns(empty)
-
-    def step(block: list, last: bool) -> DataFrame:
-        fields = [f for f in out.schema if not (last and texts == "drop" and f.name == text_col)]
-        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
-        return out.mapInArrow(_scan(WindowSet(block, n), schema.names, text_col, spans, items, count, last and texts == "cut"), schema)
-
-    blocks = _blocks(benchmark, item_col, item_text_col, max_windows, n)
-    block = next(blocks)
-    for following in blocks:
-        out, block = written(step(block, False), "decontaminate"), following
-    return step(block, True), count, spans, items
+    fields = [f for f in docs.schema if not (texts == "drop" and f.name == text_col)]
+    added = T._parse_datatype_string(f"`{count}` struct<n_words:bigint,n_hit:bigint>, `{spans}` array<int>, `{items}` array<string>")
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in [*fields, *added]])
+    sc = docs.sparkSession.sparkContext
+    blocks = []
+    for block in _blocks(benchmark, item_col, item_text_col, max_windows, n):
+        blocks.append(sc.broadcast(WindowSet(block, n)))
+        blocks[-1].__dict__.pop("_value", None)  # the driver holds one block at a time
+    return docs.mapInArrow(_scan(blocks, schema.names, text_col, spans, items, count, texts == "cut"), schema), count, spans, items
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -244,7 +254,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", remove: str = "documents", **options) -> DataFrame:
     """``docs`` without contaminated documents (``remove="documents"``), or
-    with the hit spans cut out of their texts (``"spans"``); same columns."""
+    with the hit spans cut out of their texts (``"spans"``); same columns.
+
+    NULL and empty texts have no hits and stay; repeated rows are decided
+    alike; an empty benchmark leaves all rows as they are.
+    """
     if remove not in ("documents", "spans"):
         raise ValueError("remove: documents or spans")
     out, count, _, _ = scan(docs, benchmark, text_col, texts="cut" if remove == "spans" else "keep", **options)

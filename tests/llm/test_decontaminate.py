@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+from numprof.llm import decontaminate
 from numprof.llm import decontaminate as dc
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -91,3 +92,24 @@ def test_a_long_item_is_cut_without_losing_a_window(spark, frame):
     docs = frame([(1, " ".join(["x", *words[15:45], "y"])), (2, " ".join(words[3:12]))], "doc_id int, text string")
     got = {r["doc_id"]: (r["n_hit"], r["items"]) for r in dc.contamination(docs, bench, max_windows=60).collect()}
     assert got == {1: (30, ["long"]), 2: (0, [])}
+
+
+def test_a_full_block_is_bounded_in_bytes():
+    import pickle
+    n = decontaminate.MAX_WINDOWS
+    windows = decontaminate.WindowSet([("one", " ".join(f"word{k:07d}" for k in range(n)))])
+    assert len(windows.by_length[10][1]) == n - 9 and len(pickle.dumps(windows)) < 64 << 20
+    docs = [decontaminate.words_of(" ".join(f"word{k:07d}" for k in range(a, a + 12))) for a in (0, 5000, n - 12)]
+    assert decontaminate.find(windows, docs) == [([(0, 12)], {"one"})] * 3
+
+
+def test_many_blocks_scan_the_documents_once(spark, frame):
+    items = [(f"i{k}", " ".join(f"w{k}x{j}" for j in range(14))) for k in range(30)] + [("long", " ".join(f"z{j}" for j in range(90)))]
+    rows = [(k, f"start {items[k % 31][1]} end", "x") for k in range(62)] + [(99, None, "x")]
+    docs, bench = frame(rows, "doc_id bigint, text string, spans string"), frame(items, "item_id string, text string")
+    key = lambda df: sorted(map(str, df.collect()))
+    one = decontaminate.contamination(docs, bench)
+    many = decontaminate.contamination(docs, bench, max_windows=40)
+    assert key(many) == key(one) and many.filter("contaminated").count() == 62
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Exchange" not in plan
