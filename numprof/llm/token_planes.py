@@ -29,17 +29,20 @@ import pyarrow.fs as pafs
 import regex
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from .common import released, written
 
 MAGIC = b"IDPLANE1"
 BLOCK = 1 << 16
 LEVEL = 3
 #: Bytes of text for one file, and for one tokenising step within a task.
-FILE_BYTES, STEP_BYTES = 32 << 20, 8 << 20
+FILE_BYTES, STEP_BYTES = 32 << 20, 4 << 20
+#: Files whose ids are added up together.
+FILE_GROUP = 1024
 #: Pieces a process remembers; beyond that it starts anew.
-KNOWN_PIECES = 1 << 18
+KNOWN_PIECES = 1 << 17
 
 
 # --- tokenising
@@ -232,12 +235,16 @@ class PlaneWriter:
 class PlaneReader:
     """Random access to the ids of one file."""
 
-    def __init__(self, data: bytes | memoryview):
-        self.data = memoryview(data)
-        if bytes(self.data[:8]) != MAGIC or bytes(self.data[-8:]) != MAGIC:
+    def __init__(self, source: bytes | pa.NativeFile):
+        """``source``: the bytes of a file, or a file open for random access, of
+        which the footer and then only the chunks asked for are read."""
+        self.file = pa.BufferReader(source) if isinstance(source, (bytes, memoryview)) else source
+        end = self.file.size()
+        tail = self.file.read_at(16, end - 16) if end >= 24 else b""
+        if tail[8:] != MAGIC or self.file.read_at(8, 0) != MAGIC:
             raise ValueError("not a token file, or a cut one")
-        size, = struct.unpack("<q", self.data[-16:-8])
-        footer, tables = self.data[-16 - size:-16], []
+        size, = struct.unpack("<q", tail[:8])
+        footer, tables = memoryview(self.file.read_at(size, end - 16 - size)), []
         while len(footer):
             n, = struct.unpack("<q", footer[:8])
             tables.append(pa.ipc.open_stream(pa.py_buffer(footer[8:8 + n])).read_all())
@@ -249,10 +256,10 @@ class PlaneReader:
         self.zstd = zstandard.ZstdDecompressor()
 
     def chunk(self, k: int) -> np.ndarray:
-        c, planes = self.chunks[k], []
-        at = c["offset"]
+        c, planes, at = self.chunks[k], [], 0
+        raw = memoryview(self.file.read_at(sum(c["planes"]), c["offset"]))
         for n in c["planes"]:
-            planes.append(self.zstd.decompress(self.data[at:at + n]))
+            planes.append(self.zstd.decompress(raw[at:at + n]))
             at += n
         ids = from_planes(planes, c["n_ids"], self.width, self.kind)
         if zlib.crc32(ids.astype("<u4").tobytes()) != c["crc32"]:
@@ -312,44 +319,47 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
             writer.close()
             yield pa.RecordBatch.from_pydict({"part": [task.partitionId()], "file": [name], "docs": [writer.n_docs], "ids": [writer.n_ids]})
 
-    files = sorted(parts.mapInArrow(write, "part bigint, file string, docs bigint, ids bigint").collect())
-    before, rows = 0, []
-    for f in files:
-        rows.append((f["file"], f["docs"], f["ids"], before, id_type.simpleString()))
-        before += f["ids"]
-    schema = "file string, docs bigint, ids bigint, ids_before bigint, id_type string"
-    spark.createDataFrame(rows or [(None, 0, 0, 0, id_type.simpleString())], schema).coalesce(1).write.parquet(f"{path}/_manifest")
+    # Committed tasks only: one short row per file, which the driver never holds.
+    files = written(parts.mapInArrow(released(write), "part bigint, file string, docs bigint, ids bigint"), "token-files")
+    files = files.withColumn("group", F.expr(f"part div {FILE_GROUP}"))
+    groups = files.groupBy("group").agg(F.sum("ids").alias("n"))
+    earlier = (Window.unboundedPreceding, -1)
+    groups = groups.select(F.col("group").alias("g"), F.coalesce(F.sum("n").over(Window.orderBy("group").rowsBetween(*earlier)), F.lit(0)).alias("group_before"))
+    own = F.coalesce(F.sum("ids").over(Window.partitionBy("group").orderBy("part").rowsBetween(*earlier)), F.lit(0))
+    listed = files.withColumn("own", own).join(groups, F.col("group") == F.col("g"))
+    listed = listed.select("part", "file", "docs", "ids", (F.col("group_before") + F.col("own")).alias("ids_before"))
+    empty = spark.createDataFrame([(None, None, 0, 0, 0)], "part bigint, file string, docs bigint, ids bigint, ids_before bigint")
+    listed.unionByName(empty).withColumn("id_type", F.lit(id_type.simpleString())).write.parquet(f"{path}/_manifest")
 
 
 def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     """Per written document: doc_id, ``start`` (ids of all documents before
     it), ``n_tokens``, ``ids_crc32`` of its ids as little-endian 32-bit
-    integers, and the ``ids``."""
+    integers, and the ``ids``.
+
+    Tasks get rows of the manifest, one file each, and open the files
+    themselves: footer first, then chunk by chunk.  An empty text has its end
+    id alone; repeated rows are documents of their own, side by side; NULL ids
+    come first; files of an empty table give no rows.
+    """
     manifest = spark.read.parquet(f"{path}/_manifest")
     id_type = manifest.select("id_type").first()[0]
-    listed = manifest.filter("file IS NOT NULL").select("file", "ids_before")
-    schema = f"file string, doc_id {id_type}, at bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<bigint>" * with_ids
+    listed = manifest.filter("file IS NOT NULL").select("part", "file", "ids_before")
+    schema = f"doc_id {id_type}, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids array<bigint>" * with_ids
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, folder = pafs.FileSystem.from_uri(path)
         for batch in batches:
-            for name, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                r = PlaneReader(data.as_buffer())
-                yield from _documents(r, name, with_ids)
-
-    if listed.isEmpty():
-        return spark.createDataFrame([], T.StructType([T.StructField("doc_id", _parsed(id_type))])).selectExpr(
-            "doc_id", "0L start", "0L n_tokens", "0L ids_crc32", *["cast(array() as array<bigint>) ids"] * with_ids)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.ids").load(path)
-    files = files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content").join(listed.select("file"), F.col("name") == F.col("file"), "left_semi")
-    rows = files.mapInArrow(read, schema).join(listed.withColumnRenamed("file", "f"), F.col("file") == F.col("f"))
-    return rows.select("doc_id", (F.col("ids_before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * with_ids)
-
+            for name, before in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                with fs.open_input_file(f"{folder}/{name}") as file:
+                    yield from _documents(PlaneReader(file), before, with_ids)
 
-def _parsed(id_type: str) -> T.DataType:
-    return T._parse_datatype_string(id_type)
+    n = listed.count()
+    # Only the manifest is dealt out, file by file.
+    return listed.repartitionByRange(max(1, n), "part").mapInArrow(released(read), schema)
 
 
-def _documents(r: PlaneReader, name: str, with_ids: bool, group: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def _documents(r: PlaneReader, before: int, with_ids: bool, group: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The documents of a file, about ``group`` ids at a time."""
     n = r.docs["n_tokens"].to_numpy()
     start = np.cumsum(n) - n
@@ -359,9 +369,9 @@ def _documents(r: PlaneReader, name: str, with_ids: bool, group: int = 1 << 20)
         to = max(k + 1, int(np.searchsorted(start + n, start[k] + group, "right")))
         ids = r.ids(int(start[k]), int(start[to - 1] + n[to - 1] - start[k])).astype("<u4")
         raw, cut = memoryview(ids.tobytes()), ((start[k:to] - start[k]) * 4).tolist() + [4 * len(ids)]
-        columns = [pa.array([name] * (to - k)), doc_ids.slice(k, to - k), pa.array(start[k:to]), pa.array(n[k:to]),
+        columns = [doc_ids.slice(k, to - k), pa.array(start[k:to] + before), pa.array(n[k:to]),
                    pa.array([zlib.crc32(raw[a:b]) for a, b in zip(cut, cut[1:])], pa.int64())]
-        names = ["file", "doc_id", "at", "n_tokens", "ids_crc32"]
+        names = ["doc_id", "start", "n_tokens", "ids_crc32"]
         if with_ids:
             columns.append(pa.ListArray.from_arrays(pa.array(np.array(cut) // 4, pa.int32()), pa.array(ids.astype(np.int64))))
             names.append("ids")
