@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, written
+from .common import fresh, released, written
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -69,7 +69,7 @@ def _prints(k: int):
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE_WORDS) -> DataFrame:
     """(id, fp): one row per row of ``docs``; fp is the print as a signed long."""
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return d.mapInArrow(_prints(k), f"id {d.schema['id'].dataType.simpleString()}, fp bigint")
+    return d.mapInArrow(released(_prints(k)), f"id {d.schema['id'].dataType.simpleString()}, fp bigint")
 
 
 # --- vantage-point trees over arrays of unsigned 64-bit prints

@@ -9,11 +9,13 @@
    make no keys.  Buckets with the same members count once.
 3. Links are confirmed on the full sets.  First, in a few tables, every member
    of a bucket meets the bucket's least member, and what links is joined to
-   components.  Then every bucket that still holds several components is
-   searched: all members outside of its largest component meet all members, in
-   tiles of bounded size, and a tile returns a spanning forest of its links.
-4. Components of the links of both steps are the result: those of all pairs
-   that share a table and pass the check.
+   components.  Buckets that still hold several components overlap in
+   clusters.  A cluster that fits into a tile is searched at once, so each set
+   travels once; of a larger one every bucket is searched on its own: all
+   members outside of its largest component meet all members, in tiles of
+   bounded size.  A tile returns a spanning forest of its links.
+4. Components of the links of both steps are the result: they connect all
+   pairs that share a table and pass the check.
 
 A pair at similarity s shares a table with probability
 (1 - (1 - s**ROWS)**HALVES)**2: 0.99991 at 0.8, 0.999997 at 0.85.
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 from numprof.plans.stats_join import attach_by_keys
 
-from .common import written
+from .common import released, written
 from .simhash import components
 
 SHINGLE_WORDS = 4
@@ -130,6 +132,8 @@ def tile_links(c: list[int], sets: list[bytes], probe: list[bool], root: list[in
     names, group = np.unique(np.array(root), return_inverse=True)
     group = group.reshape(-1)
     links = []
+    if all(probe):  # the largest component meets all others through them
+        probe = group != np.bincount(group).argmax()
     marks = np.zeros(number.max(initial=-1) + 1, bool)
     count = np.bincount(group)
     # Members of small components first: what stays outside of the largest is looked at in any case.
@@ -189,7 +193,7 @@ def _with_sets(rows: DataFrame, docs: DataFrame, classes: DataFrame, k: int) ->
     """The full sets (c, set) of the classes in ``rows``, from the texts."""
     wanted = written(rows.select("c").distinct().join(classes.select("c", "cls", "id"), "c"), "candidates")
     joined = attach_by_keys(docs, wanted.withColumnRenamed("id", "wanted_id").select(F.col("wanted_id").alias("id"), "c", "cls"), ["id"], how="inner")
-    sets = written(joined.select("c", "cls", "text").mapInArrow(_sets(k), "c bigint, set binary"), "sets")
+    sets = written(joined.select("c", "cls", "text").mapInArrow(released(_sets(k)), "c bigint, set binary"), "sets")
     if sets.count() > wanted.count():  # repeated rows
         sets = written(sets.dropDuplicates(["c"]), "sets")
     return sets
@@ -215,7 +219,23 @@ def _search(rows: DataFrame, tile: list[str], sets: DataFrame, threshold: int) -
 
 
 def _rest_links(members: DataFrame, sets: DataFrame, n: DataFrame, threshold: int) -> DataFrame:
-    """Links between the components (``root``) that a bucket still holds."""
+    """Links between the components (``root``) that buckets still hold."""
+    hubs = members.groupBy("key").agg(F.min("c").alias("hub"))
+    clusters = components(members.join(hubs, "key").select(F.col("c").alias("u"), F.col("hub").alias("v")))
+    clusters = clusters.select(F.col("node").alias("c"), F.col("root").alias("cluster")).distinct()
+    each = written(members.select("c", "root").distinct().join(clusters, "c").join(n, "c"), "clusters")
+    sizes = each.groupBy("cluster").agg((F.sum("n") * 8 <= TILE_BYTES).alias("small"))
+    sized = written(attach_by_keys(each, written(sizes, "cluster-sizes"), ["cluster"]), "sized-clusters")
+    small = sized.filter("small").select("cluster", "c", F.lit(True).alias("probe"), "root")
+    found = _search(small, ["cluster"], sets, threshold)
+    large = sized.filter("NOT small").select("c")
+    if large.isEmpty():
+        return found
+    return found.unionByName(_bucket_links(members.join(large, "c", "left_semi"), sets, n, threshold))
+
+
+def _bucket_links(members: DataFrame, sets: DataFrame, n: DataFrame, threshold: int) -> DataFrame:
+    """Links between the components of each bucket, bucket by bucket."""
     counts = members.join(n, "c").groupBy("key", "root").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
     per_key = counts.groupBy("key").agg(F.max(F.struct("k", "root", "n")).alias("most"), F.sum("n").alias("n"))
     tiles = lambda total: F.greatest(F.lit(1), F.ceil(total * 8 / TILE_BYTES)).cast("int")
@@ -245,8 +265,8 @@ def links(docs: DataFrame, classes: DataFrame, k: int = SHINGLE_WORDS, threshold
     roots = components(linked)
     named = members.join(roots, F.col("c") == F.col("node"), "left").select("key", "c", F.coalesce("root", "c").alias("root"))
     named = written(named, "named")
-    # Buckets of one component are done; of those with the same members and components one is searched.
-    open_keys = named.groupBy("key").agg((F.min("root") < F.max("root")).alias("open"), *_digest("c"))
+    # Buckets of one component are done.
+    open_keys = named.groupBy("key").agg((F.min("root") < F.max("root")).alias("open"))
     open_keys = written(open_keys.filter("open").select("key"), "open-buckets")
     rest = written(named.join(open_keys, "key", "left_semi"), "open-members")
     return linked.unionByName(written(_rest_links(rest, sets, n, threshold), "rest-links"))
@@ -265,7 +285,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = d.schema["id"].dataType.simpleString()
-    sketches = written(d.mapInArrow(_sketches(k, rows, m), f"id {id_type}, n bigint, cls binary, halves array<bigint>"), "sketches")
+    sketches = written(d.mapInArrow(released(_sketches(k, rows, m)), f"id {id_type}, n bigint, cls binary, halves array<bigint>"), "sketches")
     classes = _classes(sketches)
     roots = components(links(d, classes, k, threshold, m))
     named = classes.join(roots, F.col("c") == F.col("node"), "left").select("cls", "id", F.coalesce("root", "c").alias("root"))
