@@ -12,12 +12,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from urllib.parse import unquote_plus
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_folder, written
+from .common import released, shared_folder, written
 
 CRLF = "\r\n"
 #: Payloads shorter than this many bytes are never revisits.
@@ -29,7 +30,7 @@ DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
 
-READ_SCHEMA = ("record_id string, record_type string, page_id bigint, url string, refers_to_id string, "
+READ_SCHEMA = ("record_id string, record_type string, page_id string, url string, refers_to_id string, "
                "payload_digest string, payload_bytes bigint, payload binary")
 
 
@@ -83,7 +84,7 @@ def write_archives(resolved: DataFrame, path: str, records_per_file: int = RECOR
         _field("WARC-Record-ID", F.concat(F.lit("<"), _record_id(c("page_id"), c("digest")), F.lit(">"))),
         _field("WARC-Date", F.lit(date)),
         _field("WARC-Target-URI", c("url")),
-        _field("WARC-Page-ID", c("page_id")),
+        _field("WARC-Page-ID", F.url_encode(c("page_id").cast("string"))),
         _field("WARC-Payload-Digest", F.concat(F.lit("sha256:"), c("digest"))),
         _field("WARC-Profile", F.when(revisit, F.lit(PROFILE))),
         _field("WARC-Refers-To", F.when(revisit, F.concat(F.lit("<"), _record_id(c("original"), c("digest")), F.lit(">")))),
@@ -119,15 +120,15 @@ def parse_archive(data: bytes) -> Iterator[dict]:
         revisit = head["warc-type"] == "revisit"
         payload = b"" if revisit else view[body:at]
         yield {"record_id": head["warc-record-id"][1:-1], "record_type": head["warc-type"],
-               "page_id": int(head["warc-page-id"]) if "warc-page-id" in head else None, "url": head.get("warc-target-uri"),
+               "page_id": unquote_plus(head["warc-page-id"]) if "warc-page-id" in head else None, "url": head.get("warc-target-uri"),
                "refers_to_id": head["warc-refers-to"][1:-1] if revisit else None,
                "payload_digest": head["warc-payload-digest"].removeprefix("sha256:") if revisit else hashlib.sha256(payload).hexdigest(),
                "payload_bytes": None if revisit else len(payload), "payload": payload}
         at += 4
 
 
-def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """The records of all archives below ``path``.
+def read_archives(spark: SparkSession, path: str, payloads: bool = True, id_type: str = "bigint") -> DataFrame:
+    """The records of all archives below ``path``, page ids as ``id_type``.
 
     Digest and length of a response are computed from the bytes read; a
     revisit's digest is its header's, and its length NULL until resolved.
@@ -135,7 +136,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     schema = READ_SCHEMA if payloads else READ_SCHEMA.rsplit(",", 1)[0]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrow = pa.schema([("record_id", pa.string()), ("record_type", pa.string()), ("page_id", pa.int64()), ("url", pa.string()),
+        arrow = pa.schema([("record_id", pa.string()), ("record_type", pa.string()), ("page_id", pa.string()), ("url", pa.string()),
                            ("refers_to_id", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64())]
                           + [("payload", pa.binary())] * payloads)
         for batch in batches:
@@ -150,7 +151,8 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
                 if rows:
                     yield pa.RecordBatch.from_pylist([{k: x[k] for k in arrow.names} for x in rows], arrow)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(cut, schema)
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(released(cut), schema).withColumn(
+        "page_id", F.col("page_id").cast(id_type))
 
 
 def resolved_records(records: DataFrame) -> DataFrame:
@@ -169,7 +171,7 @@ def resolved_records(records: DataFrame) -> DataFrame:
         F.raise_error(F.concat(F.lit("no response for revisit "), F.col("record_id"))).cast("bigint"))
     cols = ["page_id", "url", "payload_digest", "record_type"]
     return met.select(*cols, checked.alias("payload_bytes"), F.col("o_page").alias("refers_to")).unionByName(
-        records.filter("record_type = 'response'").select(*cols, "payload_bytes", F.lit(None).cast("bigint").alias("refers_to")))
+        records.filter("record_type = 'response'").select(*cols, "payload_bytes", F.lit(None).cast(records.schema["page_id"].dataType).alias("refers_to")))
 
 
 def archive(pages: DataFrame, path: str | None = None, **options) -> DataFrame:
@@ -177,9 +179,12 @@ def archive(pages: DataFrame, path: str | None = None, **options) -> DataFrame:
 
     An empty table writes no record and gives no row; a NULL html is an
     empty payload; a NULL url writes no target header; other columns of
-    ``pages`` are ignored.
+    ``pages`` are ignored; ids may be of any type that a text stands for, and
+    come back as that type.
     """
     path = path or shared_folder(pages.sparkSession, "warc")
-    write_archives(resolve(pages, **options), path)
-    records = written(read_archives(pages.sparkSession, path, payloads=False), "warc-records")
+    resolved = resolve(pages, **options)
+    write_archives(resolved, path)
+    id_type = resolved.schema["page_id"].dataType.simpleString()
+    records = written(read_archives(pages.sparkSession, path, payloads=False, id_type=id_type), "warc-records")
     return resolved_records(records)

@@ -76,3 +76,11 @@ def test_archives_are_bounded_by_bytes(spark, frame, tmp_path):
     got = sorted((r["page_id"], len(r["payload"])) for r in warc.read_archives(spark, path).filter("record_type = 'response'").collect())
     want = sorted((r["page_id"], r["bytes"]) for r in warc.resolve(pages).filter("original IS NULL").collect())
     assert got == want and len(warc.read_archives(spark, path).collect()) == 40
+
+
+def test_text_ids(spark, frame):
+    rows = [("b é", "http://a/1", "x" * 200), ("a+\r\n%", "http://a/2", "x" * 200), ("", "http://a/3", "short"), (None, None, None), ("007", None, "y" * 100)]
+    got = warc.archive(frame(rows, "page_id string, url string, html string"))
+    assert got.schema["page_id"].dataType.simpleString() == got.schema["refers_to"].dataType.simpleString() == "string"
+    assert sorted(((r["page_id"], r["record_type"], r["refers_to"]) for r in got.collect()), key=str) == sorted([
+        ("b é", "revisit", "a+\r\n%"), ("a+\r\n%", "response", None), ("", "response", None), (None, "response", None), ("007", "response", None)], key=str)
