@@ -147,6 +147,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     The per-source plan is joined to the rows where they lie if it is small
     enough to broadcast; only a plan beyond that makes the rows shuffle.
+    NULL and empty texts have size 0 and are taken as often as others of their
+    source; a NULL source is one of its own; repeated rows are taken alike; an
+    empty table gives an empty mix.
     """
     size, h, source = n_words(F.col(text_col)), sampling_hash(F.col(id_col), F.col(text_col), seed), F.col(source_col)
     rows = written(docs.select(source.alias("source"), size.alias("size"), h.alias("h")), "mix-rows")

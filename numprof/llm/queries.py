@@ -85,7 +85,11 @@ def op6_template_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_digests(docs: DataFrame) -> DataFrame:
-    """Write the token files of ``docs`` and read them back as digests."""
+    """Write the token files of ``docs`` and read them back as digests.
+
+    A NULL or empty text has its end id alone; repeated rows follow each
+    other; NULL ids come first; an empty table gives no rows.
+    """
     import public_tokenizers
 
     path = shared_folder(docs.sparkSession, "tokens")

@@ -136,6 +136,10 @@ def ablations(ledger: DataFrame, policy: str | tuple[str, ...] = "v2") -> DataFr
 
 def quality_filter(df: DataFrame, text_col: str = "text", policy: str | tuple[str, ...] = "v2") -> DataFrame:
     """The rows of ``df`` that a policy keeps, with the columns of ``df``
-    (any extra column, whatever its name, passes through unchanged)."""
+    (any extra column, whatever its name, passes through unchanged).
+
+    NULL and empty texts have no words, fail the base rules and go; repeated
+    rows are decided alike; an empty table gives an empty result.
+    """
     d, m = _measured(df, text_col)
     return d.filter(_failures(m).bitwiseAND(F.lit(mask(policy) | mask("base"))) == 0).drop(m)
