@@ -45,6 +45,8 @@ def test_only_matrix_joins_shuffle_unaggregated_rows(spark):
             continue
         lines = _plan(build(spark, SF01)).splitlines()
         for i, line in enumerate(lines):
+            if "__block" in line:  # uniform_input: one row per 4,096 draws, before they are drawn
+                continue
             if re.search(r"Exchange (hashpartitioning|SinglePartition|rangepartitioning)", line):
                 assert re.search("partial_|, Partial$", lines[i + 1]), (name, line, lines[i + 1])
 
