@@ -5,6 +5,8 @@
 2. A vantage-point tree over a bounded sample of the fingerprints cuts the
    Hamming space into shards.  A fingerprint lives in one shard and visits
    the others that its ball can reach, by the triangle bounds of the tree.
+   Shards that are still too large are cut again, each by a tree of its own
+   sample, until none is; guests of a shard are dealt out to several tasks.
 3. Each shard searches a vantage-point tree of its own for exact pairs and
    returns, instead of pairs, one link from each fingerprint to the smallest
    one it is connected with there.
@@ -29,11 +31,15 @@ from .common import fresh, released, written
 SHINGLE_WORDS = 3
 MAX_BITS = 2
 SEED = 42
-#: Distinct fingerprints that a shard should hold.
-SHARD_ROWS = 8192
-#: Fingerprints of the sample that the shard tree is built from, per shard
-#: and at most; the tree is the only thing sent to every task.
+#: Distinct fingerprints that a shard should hold; one with over SHARD_SLACK
+#: times as many is cut again.  Guests beyond GUEST_RATIO times as many go to
+#: further tasks, each with the residents.
+SHARD_ROWS, SHARD_SLACK, GUEST_RATIO = 8192, 4, 64
+#: Fingerprints of the sample that a shard tree is built from, per shard and
+#: at most; the first tree is the only thing sent to every task.
 SAMPLE_PER_SHARD, MAX_SAMPLE = 64, 1 << 20
+#: Rows of a large shard that a task cuts at once.
+CUT_ROWS = 1 << 17
 #: Residents of a leaf within a shard, compared with its visitors directly.
 LEAF_ROWS = 128
 #: Hashes whose bits are counted at once.
@@ -117,14 +123,15 @@ def shard_tree(sample: np.ndarray, leaf: int, seed: int = SEED) -> list[tuple]:
     return nodes
 
 
-def route(nodes: list[tuple], prints: np.ndarray, r: int) -> Iterator[tuple[int, np.ndarray, bool]]:
+def route(nodes: list[tuple], prints: np.ndarray, r: int, home: bool = True) -> Iterator[tuple[int, np.ndarray, bool]]:
     """Yields (shard, indices of prints, whether they live there or visit).
 
     Of a pair within r bits that a node separates, the outer print visits the
     inner side; a visitor goes down every side that its ball touches.  So one
-    of the two always meets the other in the other's home shard.
+    of the two always meets the other in the other's home shard.  Without
+    ``home`` all prints come as visitors.
     """
-    todo = [(0 if nodes else -1, np.arange(len(prints)), True)]
+    todo = [(0 if nodes else -1, np.arange(len(prints)), home)]
     while todo:
         node, at, home = todo.pop()
         if not len(at):
@@ -179,17 +186,66 @@ def _roots(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray
     return root
 
 
-def _shards(nodes: list[tuple], r: int):
+def _placed(prints: np.ndarray, nodes: list[tuple], r: int, shard: str = "", home: bool = True) -> Iterator[pa.RecordBatch]:
+    """(shard, fp, home) of ``prints`` that live in ``shard``, or visit it,
+    placed in the shards that ``nodes`` cut it into."""
+    for part, at, lives in route(nodes, prints, r, home):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([f"{shard}{part}."] * len(at), pa.string()), pa.array(prints[at].view(np.int64)), pa.array(np.full(len(at), lives))],
+            names=["shard", "fp", "home"])
+
+
+def _first_cut(nodes: list[tuple], r: int):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = batch.column(0).to_numpy().view(np.uint64)
-            for shard, at, home in route(nodes, prints, r):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), shard, np.int32)), pa.array(prints[at].view(np.int64)), pa.array(np.full(len(at), home))],
-                    names=["shard", "fp", "home"])
+            yield from _placed(batch.column(0).to_numpy().view(np.uint64), nodes, r)
     return step
 
 
+#: Columns of the nodes of a tree.
+_TREE = ("point", "radius", "inside", "outside")
+
+
+def _trees(leaf: int):
+    def build(sample: pa.Table) -> pa.Table:
+        nodes = shard_tree(np.sort(sample["fp"].to_numpy()).view(np.uint64), leaf)
+        point, *rest = zip(*nodes) if nodes else ((),) * 4
+        columns = [np.array(point, np.uint64).view(np.int64), *(np.array(x, np.int64) for x in rest)]
+        lists = [pa.array([c.tolist()], pa.list_(pa.int64())) for c in columns]
+        return pa.table([pa.array([sample["shard"][0].as_py()]), *lists], names=["t", *_TREE])
+    return build
+
+
+def _next_cut(r: int):
+    def cut(rows: pa.Table, trees: pa.Table) -> pa.Table:
+        if not rows.num_rows:
+            return pa.table([pa.array([], t) for t in (pa.string(), pa.int64(), pa.bool_())], names=["shard", "fp", "home"])
+        shard, tree = rows["shard"][0].as_py(), [np.array(trees[name][0].as_py(), np.int64) for name in _TREE]
+        nodes = list(zip(tree[0].view(np.uint64), *(x.tolist() for x in tree[1:])))
+        prints, home = rows["fp"].to_numpy().view(np.uint64), rows["home"].to_numpy()
+        found = [b for lives in (True, False) for b in _placed(prints[home == lives], nodes, r, shard, lives)]
+        return pa.Table.from_batches(found)
+    return cut
+
+
+def _cut_again(placed: DataFrame, large: DataFrame, level: int, r: int, shard_rows: int) -> DataFrame:
+    """``placed`` with the shards of ``large(s, homes, guests)`` cut by trees of their
+    own samples.  A group is the sample of one shard, or its tree and
+    about CUT_ROWS of its rows."""
+    rows = placed.join(large, F.col("shard") == F.col("s"))
+    wanted = F.least(F.lit(MAX_SAMPLE), SAMPLE_PER_SHARD * F.ceil(F.col("homes") / shard_rows))
+    drawn = F.pmod(F.xxhash64("fp", F.lit(level)), F.lit(1 << 30)) < wanted / F.col("homes") * (1 << 30)
+    trees = rows.filter(F.col("home") & drawn).select("shard", "fp").groupBy("shard").applyInArrow(
+        _trees(SAMPLE_PER_SHARD), "t string, " + ", ".join(f"{x} array<bigint>" for x in _TREE))
+    trees = written(trees.filter(F.size("point") > 0), "shard-trees")
+    parts = F.ceil((F.col("homes") + F.col("guests")) / CUT_ROWS)
+    dealt = trees.join(large, F.col("t") == F.col("s")).select("t", *_TREE, F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("part"))
+    rows = rows.join(trees.select("t"), F.col("shard") == F.col("t"), "left_semi")
+    rows = rows.select("shard", F.pmod(F.xxhash64("fp", F.lit(-level)), parts).alias("part"), "fp", "home")
+    cut = rows.groupBy("shard", "part").cogroup(dealt.groupBy("t", "part")).applyInArrow(_next_cut(r), "shard string, fp bigint, home boolean")
+    return placed.join(trees.select("t"), F.col("shard") == F.col("t"), "left_anti").unionByName(cut)
+
+
 def _links(r: int):
     def search(shard: pd.DataFrame) -> pd.DataFrame:
         shard = shard.sort_values(["fp", "home"], ignore_index=True)
@@ -203,18 +259,45 @@ def _links(r: int):
     return search
 
 
+def shards(prints: DataFrame, n: int, r: int = MAX_BITS, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """(shard, part, fp, home): every two of the n distinct ``prints`` within
+    ``r`` bits are both in one (shard, part), where one of them lives.
+
+    A part holds at most SHARD_SLACK x ``shard_rows`` residents, unless no
+    point cuts them apart, and about GUEST_RATIO x ``shard_rows`` guests.
+    """
+    wanted = min(MAX_SAMPLE, SAMPLE_PER_SHARD * -(-n // shard_rows)) if n > shard_rows else 0
+    if not wanted:
+        return prints.select(F.lit("").alias("shard"), F.lit(0).alias("part"), "fp", F.lit(True).alias("home"))
+    # The hash orders the prints, so the sample is the same in every run.
+    share = int(min(1.0, wanted / n) * (1 << 30))
+    drawn = prints.filter(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < share).orderBy("fp").toPandas()
+    nodes = shard_tree(drawn["fp"].to_numpy().view(np.uint64), SAMPLE_PER_SHARD)
+    placed = written(prints.select("fp").mapInArrow(_first_cut(nodes, r), "shard string, fp bigint, home boolean"), "shards")
+    level, before = 0, None
+    while True:
+        level += 1
+        sizes = placed.groupBy(F.col("shard").alias("s")).agg(F.count_if("home").alias("homes"), F.count_if(~F.col("home")).alias("guests"))
+        large = written(sizes.filter((F.col("homes") > SHARD_SLACK * shard_rows) | (F.col("guests") > GUEST_RATIO * shard_rows)), "large-shards")
+        cuttable = large.filter(F.col("homes") > SHARD_SLACK * shard_rows)
+        state = cuttable.agg(F.count(F.lit(1)), F.sum("homes"), F.max("s")).first()
+        if not state[0] or state == before:
+            break
+        before = state
+        placed = written(_cut_again(placed, cuttable, level, r, shard_rows), "shards")
+    if large.isEmpty():
+        return placed.withColumn("part", F.lit(0))
+    # Too many guests: each part has all residents and a share of the guests.
+    parts = F.coalesce(F.ceil(F.col("guests") / (GUEST_RATIO * shard_rows)), F.lit(1))
+    own = F.when(F.col("home"), F.sequence(F.lit(0).cast("bigint"), F.greatest(parts, F.lit(1)) - 1)).otherwise(
+        F.array(F.pmod(F.xxhash64("fp", F.lit(0)), F.greatest(parts, F.lit(1)))))
+    return placed.join(large, F.col("shard") == F.col("s"), "left").select("shard", F.explode(own).alias("part"), "fp", "home")
+
+
 def near_links(prints: DataFrame, n: int, r: int = MAX_BITS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(u, v) with u > v: links that connect the same prints as all pairs
     within ``r`` bits do.  ``prints`` has n rows of distinct ``fp``."""
-    wanted = min(MAX_SAMPLE, SAMPLE_PER_SHARD * -(-n // shard_rows)) if n > shard_rows else 0
-    nodes: list[tuple] = []
-    if wanted:
-        # The hash orders the prints, so the sample is the same in every run.
-        share = int(min(1.0, wanted / n) * (1 << 30))
-        drawn = prints.filter(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < share).orderBy("fp").toPandas()
-        nodes = shard_tree(drawn["fp"].to_numpy().view(np.uint64), SAMPLE_PER_SHARD)
-    placed = prints.select("fp").mapInArrow(_shards(nodes, r), "shard int, fp bigint, home boolean")
-    return placed.groupBy("shard").applyInPandas(_links(r), "u bigint, v bigint")
+    return shards(prints, n, r, shard_rows).groupBy("shard", "part").applyInPandas(_links(r), "u bigint, v bigint")
 
 
 def components(links: DataFrame) -> DataFrame:

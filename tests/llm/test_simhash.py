@@ -88,6 +88,31 @@ def test_components_match_all_pairs(spark, monkeypatch, seed, shard_rows, leaf):
     assert [got.get(i, i) for i in ids] == want
 
 
+@pytest.mark.parametrize("seed", [1, 4])
+def test_large_shards_are_cut_again(spark, monkeypatch, seed):
+    """A first tree of a few shards only: groups stay bounded, links whole."""
+    for name, value in {"MAX_SAMPLE": 32, "SAMPLE_PER_SHARD": 8, "SHARD_SLACK": 2, "GUEST_RATIO": 3, "CUT_ROWS": 60}.items():
+        monkeypatch.setattr(simhash, name, value)
+    prints = family(seed, 600)
+    df = spark.createDataFrame([(int(x),) for x in prints.view(np.int64)], "fp bigint")
+    placed = simhash.shards(df, len(prints), shard_rows=10).toPandas()
+    assert placed[placed["part"] == 0].groupby("fp")["home"].sum().max() == 1 and placed[placed["home"]]["fp"].nunique() == len(prints)
+    sizes = placed.groupby(["shard", "part"])["home"].agg(["sum", "count"])
+    assert placed["shard"].str.count(r"\.").max() > 1 and (placed["part"] > 0).any()
+    assert sizes["sum"].max() <= 20 and (sizes["count"] - sizes["sum"]).max() <= 60
+    at = {}
+    for shard, part, fp, home in placed.itertuples(index=False):
+        at.setdefault(fp, {})[shard, part] = home
+    ids = prints.view(np.int64)
+    near = np.argwhere(np.triu(np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 2, 1))
+    for i, j in near.tolist():
+        a, b = at[int(ids[i])], at[int(ids[j])]
+        assert any(a[g] or b[g] for g in a.keys() & b.keys())
+    links = simhash.near_links(df, len(prints), shard_rows=10)
+    got = {r["node"]: r["root"] for r in simhash.components(links).collect()}
+    assert [got.get(int(i), int(i)) for i in ids] == brute_components([int(i) for i in ids], [int(p) for p in prints])
+
+
 def test_every_pair_meets_in_one_home_shard():
     prints = family(5, 900)
     rng = np.random.default_rng(0)
