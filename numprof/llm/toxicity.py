@@ -37,8 +37,10 @@ IDENTITY_TERMS = {
 
 #: Labelled documents the model is fitted on, on average at most.
 FIT_ROWS = 20_000
-#: Words of the model, and the fewest sampled documents a word must be in.
-WORDS, MIN_DOCS = 4096, 4
+#: Words of the model, the fewest sampled documents a word must be in, and the
+#: standard errors by which its rates in both classes must differ: with few
+#: labels, words below that fit the sample and nothing else.
+WORDS, MIN_DOCS, MIN_ERRORS = 4096, 4, 2.0
 #: Weight of the squared score change under swaps, and of squared weights
 #: (of the sum over documents, so a larger sample is bound less).
 SWAP_PENALTY, L2 = 5.0, 0.3
@@ -169,7 +171,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
     # Difference of the rates in both classes, in standard errors.
     pos, neg = F.col("pos") / n_pos, F.col("neg") / n_neg
     z = F.abs(pos - neg) / F.sqrt((F.col("pos") + 1) / n_pos ** 2 + (F.col("neg") + 1) / n_neg ** 2)
-    words = sorted(bytes(r["word"]) for r in counts.orderBy(z.desc(), "word").limit(WORDS).select("word").collect())
+    telling = counts.select("word", z.alias("z")).filter(F.col("z") >= MIN_ERRORS)
+    words = sorted(bytes(r["word"]) for r in telling.orderBy(F.desc("z"), "word").limit(WORDS).select("word").collect())
     words = sorted({*words, *_PLACE})
     rows = sorted(tuple(r) for r in sample.mapInArrow(_document_rows(words), "l string, y double, words array<int>, copies array<array<int>>").collect())
     copies = [(k, c) for k, r in enumerate(rows) for c in r[3]]
