@@ -8,7 +8,8 @@ number of distinct bytes seen, times its probability in the next shorter
 context, scaled to the bytes not yet ruled out.  The probabilities of every
 context add up to one, so code lengths are exact; statistics are frozen, so
 they are worked out once, for every context of any language, into a table
-that scoring reads with array operations.
+that scoring reads with array operations.  Languages whose tables would be
+too large together get a table in blocks, read one after the other.
 
 Bytes are lower-cased (ASCII) and mapped to classes: the most frequent bytes
 of the training texts have one each, all others share class 0.
@@ -16,7 +17,7 @@ of the training texts have one each, all others share class 0.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import released, written
+
 ORDER = 3
 #: Byte classes; windows of ORDER + 1 classes are the model's only input.
 CLASSES = 64
@@ -31,6 +34,10 @@ CLASSES = 64
 TRAIN_DOCS = 4000
 #: Bytes counted or scored by one array step; longer texts take several.
 STEP_BYTES = 1 << 19
+#: Bytes of a block's table, unless one language needs more (68 MB at most).
+TABLE_BYTES = 1 << 27
+#: Bytes of rows that a task holds while it reads one block after the other.
+RUN_BYTES = 1 << 25
 UNKNOWN = "und"
 
 _LOWER = bytes(b | 32 if 65 <= b <= 90 else b for b in range(256))
@@ -87,19 +94,20 @@ class Model:
         costs = np.concatenate([costs, np.zeros((1, costs.shape[1]), costs.dtype)])
         np.add.at(total, owners, np.add.reduceat(costs, cuts, axis=0, dtype=np.float64)[::2])
 
-    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        """(language, score) per text; score is the posterior of the best
-        language under equal priors, per text."""
-        known = [bool(t) and any(map(str.isalpha, t)) for t in texts]
-        bits = self.lengths([t.encode() if k else b"" for t, k in zip(texts, known)])
-        out = []
-        for k, row in zip(known, bits):
-            if not k or not self.languages:
-                out.append((UNKNOWN, 0.0))
-                continue
-            best = int(row.argmin())
-            out.append((self.languages[best], float(1 / np.exp2(np.maximum(row[best] - row, -1000)).sum())))
-        return out
+
+def _decisions(texts: list[str | None], lengths: Callable[[list[bytes]], np.ndarray], languages: list[str]) -> list[tuple[str, float]]:
+    """(language, score) per text; score is the posterior of the best
+    language under equal priors, per text."""
+    known = [bool(t) and any(map(str.isalpha, t)) for t in texts]
+    bits = lengths([t.encode() if k else b"" for t, k in zip(texts, known)])
+    out = []
+    for k, row in zip(known, bits):
+        if not k or not languages:
+            out.append((UNKNOWN, 0.0))
+            continue
+        best = int(row.argmin())
+        out.append((languages[best], float(1 / np.exp2(np.maximum(row[best] - row, -1000)).sum())))
+    return out
 
 
 def fit(languages: list[str], classes: np.ndarray, lang: np.ndarray, window: np.ndarray, count: np.ndarray) -> Model:
@@ -172,46 +180,89 @@ def _window_counts(classes: np.ndarray):
     return step
 
 
+def _blocks(contexts: dict[str, int]) -> list[list[str]]:
+    """Languages in blocks whose tables stay within TABLE_BYTES even if no two
+    languages share a context; a language's own table always does."""
+    out, held = [], 0
+    for lang in sorted(contexts):
+        grown = held + contexts[lang]
+        if out and grown * (len(out[-1]) + 1) * CLASSES * 4 <= TABLE_BYTES:
+            out[-1].append(lang)
+            held = grown
+        else:
+            out.append([lang])
+            held = contexts[lang]
+    return out
+
+
 def train(docs: DataFrame, labelled: Column, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
-          train_docs: int = TRAIN_DOCS) -> Model:
+          train_docs: int = TRAIN_DOCS) -> list[Model]:
     """Fit on about ``train_docs`` rows of each language, drawn by a hash of
     the id (and the text, so that a repeated id is not drawn as one).
 
     Windows are counted by the tasks and summed by Spark; the driver gets
-    the distinct windows of the bounded sample.
+    the distinct windows of one block of languages at a time.  Code lengths
+    of a language do not depend on the others of its block, so the models
+    of all blocks score as one.
     """
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
                        F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(1 << 30)).alias("h"), labelled.alias("use"))
-    rows = rows.filter("use AND lang IS NOT NULL AND text IS NOT NULL AND text <> ''")
-    sizes = {r["lang"]: r["n"] for r in docs.select(F.col(lang_col).alias("lang"), labelled.alias("use"))
-             .filter("use AND lang IS NOT NULL").groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    languages = sorted(sizes)
-    if not languages:
-        return Model([], np.zeros(256, np.uint8), np.zeros(CLASSES ** ORDER, np.int32), np.zeros((CLASSES, 0), np.float32))
-    share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, int(min(1.0, train_docs / sizes[lang]) * (1 << 30)))])
-    sample = rows.filter(F.col("h") < share[F.col("lang")]).select("lang", "text")
+    rows = rows.filter("use AND lang IS NOT NULL")
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not sizes:
+        return []
+    share = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, int(min(1.0, train_docs / n) * (1 << 30)))])
+    sample = rows.filter((F.col("text") != "") & (F.col("h") < share[F.col("lang")])).select("lang", "text")
     frequent = sample.mapInArrow(_byte_counts, "byte int, n bigint").groupBy("byte").agg(F.sum("n").alias("n")).filter("n > 0")
     top = [r["byte"] for r in frequent.orderBy(F.desc("n"), "byte").limit(CLASSES - 1).collect()]
     classes = np.zeros(256, np.uint8)
     classes[top] = np.arange(1, len(top) + 1)
-    counts = sample.mapInArrow(_window_counts(classes), "lang string, w int, n bigint").groupBy("lang", "w").agg(F.sum("n").alias("n")).toPandas()
-    index = {lang: k for k, lang in enumerate(languages)}
-    return fit(languages, classes, counts["lang"].map(index).to_numpy(np.int64), counts["w"].to_numpy(np.int64), counts["n"].to_numpy(np.float64))
-
-
-def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    counts = sample.mapInArrow(_window_counts(classes), "lang string, w int, n bigint").groupBy("lang", "w").agg(F.sum("n").alias("n"))
+    counts = written(counts, "windows")
+    # Contexts of every depth, that of none and that of unseen ones.
+    depths = [F.count_distinct(F.floor(F.col("w") / CLASSES) % CLASSES ** d) for d in range(1, ORDER + 1)]
+    contexts = dict.fromkeys(sizes, 2) | {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(sum(depths, F.lit(2)).alias("n")).collect()}
+    models = []
+    for languages in _blocks(contexts):
+        own = counts.filter(F.col("lang").isin(languages)).toPandas()
+        index = {lang: k for k, lang in enumerate(languages)}
+        models.append(fit(languages, classes, own["lang"].map(index).to_numpy(np.int64), own["w"].to_numpy(np.int64), own["n"].to_numpy(np.float64)))
+    return models
+
+
+def predict(docs: DataFrame, models: list[Model], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: id, ``lang_pred``, ``score``.
 
-    ``und`` with score 0 for a NULL text or one without a letter; a model
-    without languages says ``und`` of every text; repeated rows give
-    repeated results; other columns of ``docs`` are ignored.
+    ``und`` with score 0 for a NULL text or one without a letter; without
+    languages every text is ``und``; repeated rows give repeated results; an
+    empty table gives an empty result; other columns of ``docs`` are ignored.
     """
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    languages = [lang for m in models for lang in m.languages]
+    blocks = [docs.sparkSession.sparkContext.broadcast(m) for m in models]
+
+    def lengths(texts: list[bytes]) -> np.ndarray:
+        found = [np.zeros((len(texts), 0))]
+        for block in blocks:
+            found.append(block.value.lengths(texts))
+            if len(blocks) > 1:
+                block.__dict__.pop("_value", None)  # one block at a time; the next run loads it again
+        return np.concatenate(found, axis=1)
+
+    def decided(run: list[pa.RecordBatch]) -> pa.RecordBatch:
+        found = _decisions([t for b in run for t in b.column(1).to_pylist()], lengths, languages)
+        return pa.RecordBatch.from_arrays([pa.concat_arrays([b.column(0) for b in run]), pa.array([f[0] for f in found], pa.string()),
+                                           pa.array([f[1] for f in found], pa.float64())], names=["id", "lang_pred", "score"])
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run, held = [], 0
         for batch in batches:
-            found = model.predict(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                                             names=["id", "lang_pred", "score"])
-
-    return d.mapInArrow(step, f"id {d.schema['id'].dataType.simpleString()}, lang_pred string, score double").withColumnRenamed("id", id_col)
+            run.append(batch)
+            held += batch.nbytes
+            if len(blocks) < 2 or held >= RUN_BYTES:
+                yield decided(run)
+                run, held = [], 0
+        if run:
+            yield decided(run)
+
+    return d.mapInArrow(released(step), f"id {d.schema['id'].dataType.simpleString()}, lang_pred string, score double").withColumnRenamed("id", id_col)

@@ -47,7 +47,8 @@ def brute_lengths(rows, classes, text):
 @pytest.fixture(scope="module")
 def model(spark):
     docs = spark.createDataFrame([(i, t, x) for i, (x, t) in enumerate(TRAIN)], "doc_id int, text string, lang string")
-    return langid.train(docs, F.lit(True))
+    (model,) = langid.train(docs, F.lit(True))
+    return model
 
 
 @pytest.mark.parametrize("text", ["the dog", "die katze über", "ß日本", "a", "le chien and the hund " * 5, "\n\n"])
@@ -68,13 +69,29 @@ def test_lengths_do_not_depend_on_batches_or_pieces(model, monkeypatch):
 def test_edges(spark, frame, model):
     docs = frame([(1, "the cat", "x"), (2, None, "x"), (3, "", "x"), (4, "123 !? ²", "x"), (None, "der hund", "x"), (1, "the cat", "x"), (5, "é", "x")],
                  "doc_id int, text string, lang_pred string")
-    got = langid.predict(docs, model).collect()
+    got = langid.predict(docs, [model]).collect()
     assert [r["lang_pred"] for r in got][:6] == ["en", "und", "und", "und", "de", "en"]
     assert got[6]["lang_pred"] != "und" and all(0 <= r["score"] <= 1 for r in got)
     none = langid.train(docs.limit(0).withColumn("lang", F.lit("en")), F.lit(True))
     assert [r["lang_pred"] for r in langid.predict(docs, none).collect()] == ["und"] * 7
 
 
+def test_blocks_of_languages_score_as_one(spark, frame, monkeypatch):
+    rows = [(k, t, f"{x}{n}") for n in range(3) for k, (x, t) in enumerate(TRAIN)] + [(9, None, "none")]
+    docs = frame(rows, "doc_id int, text string, lang string")
+    run = lambda models: [tuple(r) for r in langid.predict(docs, models).collect()]
+    whole = langid.train(docs, F.lit(True))
+    assert len(whole) == 1 and "none" in whole[0].languages
+    held = lambda m: m.cost.nbytes
+    monkeypatch.setattr(langid, "TABLE_BYTES", held(whole[0]) // 4)
+    parts = langid.train(docs, F.lit(True))
+    assert len(parts) > 2 and [x for m in parts for x in m.languages] == whole[0].languages
+    assert all(len(m.languages) == 1 or held(m) <= langid.TABLE_BYTES for m in parts)
+    want, got = run(whole), run(parts)
+    assert [w[:2] for w in want] == [g[:2] for g in got]
+    assert [w[2] for w in want] == pytest.approx([g[2] for g in got], rel=1e-4)
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     docs = queries.table(spark, sf, "documents").select("doc_id", "lang")
