@@ -43,12 +43,17 @@ FROM f
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rule ledger of every document under the current policy version."""
-    out = rules.apply_policy(rules.rule_ledger(table(spark, sf_dir, "documents")))
+    """Stored rule ledger of every document under the current policy version."""
+    out = rules.apply_policy(rules.stored_ledger(table(spark, sf_dir, "documents")))
     return out.select("doc_id", *rules.BASE, "base_failed", "kept", "fail_bits")
 
 
-OP4_SQL = r"""
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of each policy version rejects, from the stored ledger of all documents."""
+    return rules.ablation_report(rules.stored_ledger(table(spark, sf_dir, "documents")))
+
+
+OP4_LEDGER = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT rid, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
              list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls FROM d),
@@ -69,10 +74,25 @@ f AS (SELECT *, (n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_word
              + 8 * (word_chars < 2 * n_words OR word_chars > 15 * n_words)::BIGINT
              + 16 * (2 * n_dup_lines > n_lines)::BIGINT
              + 32 * (100 * n_capitals > 40 * word_chars)::BIGINT AS fail_bits FROM m)
+"""
+
+OP4_SQL = OP4_LEDGER + r"""
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (fail_bits & 3) != 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM f
 """
 
+ABLATIONS_SQL = OP4_LEDGER + r""",
+p(policy, rule, bit, whole) AS (VALUES
+  ('base', 'few_words', 1, 3), ('base', 'repeated_words', 2, 3),
+  ('v1', 'few_words', 1, 15), ('v1', 'repeated_words', 2, 15), ('v1', 'symbols', 4, 15), ('v1', 'word_length', 8, 15),
+  ('v2', 'few_words', 1, 63), ('v2', 'repeated_words', 2, 63), ('v2', 'symbols', 4, 63), ('v2', 'word_length', 8, 63),
+  ('v2', 'repeated_lines', 16, 63), ('v2', 'capitals', 32, 63))
+SELECT policy, rule, count(*) FILTER ((fail_bits & bit) != 0) AS failing, count(*) FILTER ((fail_bits & whole) = bit) AS only_this,
+       count(*) FILTER ((fail_bits & (whole - bit)) = 0) AS kept_without
+FROM f, p GROUP BY policy, rule
+"""
+
+
 def op5_gam_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, learned from the labels not held out."""
     out = gam.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -256,10 +276,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_hard_negatives": op11_hard_negatives,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_tensor_minhash": op13_tensor_minhash,
+    "quality_ablations": quality_ablations,
 }
 ORACLE_SQL: dict[str, str] = {
     "op3_warc_revisits": OP3_SQL,
     "op4_quality_rules": OP4_SQL,
+    "quality_ablations": ABLATIONS_SQL,
     "op9_mixing": OP9_SQL,
     "op10_decontamination": OP10_SQL,
     "op11_hard_negatives": OP11_SQL,

@@ -8,10 +8,12 @@ again.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, fresh
+from .common import WORD, fresh, written
 
 #: Rule -> bit of the ledger.  Bits are never reused for another rule.
 RULES = {
@@ -106,6 +108,13 @@ def rule_ledger(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return d.select(F.col("id").alias(id_col), F.col(f"{m}.*"), _failures(m).alias("fail_bits"))
 
 
+def stored_ledger(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The ledger of ``df``, written below the shared folder and read back:
+    policies and ablations of it no longer read a text.  Nulls, empties and
+    repeats as in ``rule_ledger``."""
+    return written(rule_ledger(df, id_col, text_col), "rule-ledger")
+
+
 def apply_policy(ledger: DataFrame, policy: str | tuple[str, ...] = "v2") -> DataFrame:
     """The ledger plus ``base_failed`` and ``kept`` under a policy version."""
     bits = F.col("fail_bits")
@@ -134,6 +143,13 @@ def ablations(ledger: DataFrame, policy: str | tuple[str, ...] = "v2") -> DataFr
         count(rest == 0).alias("kept_without"))
 
 
+def ablation_report(ledger: DataFrame, policies: tuple[str, ...] = tuple(POLICIES)) -> DataFrame:
+    """``ablations`` of several policy versions, each row under its ``policy``;
+    an empty ledger gives no rows."""
+    reports = [ablations(ledger, p).select(F.lit(p).alias("policy"), "*") for p in policies]
+    return functools.reduce(DataFrame.unionByName, reports)
+
+
 def quality_filter(df: DataFrame, text_col: str = "text", policy: str | tuple[str, ...] = "v2") -> DataFrame:
     """The rows of ``df`` that a policy keeps, with the columns of ``df``
     (any extra column, whatever its name, passes through unchanged).

@@ -73,6 +73,17 @@ def test_policies_and_ablations(spark, frame):
     assert [r["kept"] for r in rules.apply_policy(ledger, "base").orderBy("doc_id").collect()] == [b & 3 == 0 for b in bits]
 
 
+def test_stored_ledger_serves_policies_and_ablations(spark, frame):
+    docs = frame([(k, t, "x") for k, t in enumerate(TEXTS)] + [(None, "one", "x"), (3, "one", "x")], "doc_id int, text string, policy string")
+    stored = rules.stored_ledger(docs)
+    assert "parquet" in stored.inputFiles()[0] and sorted(map(tuple, stored.collect()), key=str) == sorted(map(tuple, rules.rule_ledger(docs).collect()), key=str)
+    report = rules.ablation_report(stored)
+    assert "split(" not in report._jdf.queryExecution().executedPlan().toString()
+    got = {(r["policy"], r["rule"]): tuple(r)[2:] for r in report.collect()}
+    assert got == {(p, r["rule"]): tuple(r)[1:] for p in rules.POLICIES for r in rules.ablations(stored, p).collect()}
+    assert rules.ablation_report(rules.stored_ledger(docs.limit(0))).collect() == []
+
+
 def test_plan_is_native_and_keeps_its_projections(spark, frame):
     plan = rules.rule_ledger(frame(list(enumerate(TEXTS[:4])), "doc_id int, text string"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
