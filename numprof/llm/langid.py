@@ -4,15 +4,17 @@ Each language has a tree of byte contexts of up to ``ORDER`` bytes with the
 counts of the bytes that follow.  The code length of a byte is read from the
 longest context that the language has seen: a byte seen there has
 probability n / (N + D), any other takes the escape D / (N + D), D being the
-number of distinct bytes seen, times its probability in the next shorter
+number of distinct bytes (symbols, see below) seen, times its probability in the next shorter
 context, scaled to the bytes not yet ruled out.  The probabilities of every
 context add up to one, so code lengths are exact; statistics are frozen, so
 they are worked out once, for every context of any language, into a table
 that scoring reads with array operations.  Languages whose tables would be
 too large together get a table in blocks, read one after the other.
 
-Bytes are lower-cased (ASCII) and mapped to classes: the most frequent bytes
-of the training texts have one each, all others share class 0.
+Bytes are lower-cased (ASCII) and written in an alphabet of ``CLASSES``
+symbols: the most frequent bytes of the training texts have a symbol each,
+any other byte is two symbols, its high and its low half.  So every one of
+the 256 byte values keeps its own code, in contexts too.
 """
 
 from __future__ import annotations
@@ -28,12 +30,14 @@ from pyspark.sql import functions as F
 from .common import released, written
 
 ORDER = 3
-#: Byte classes; windows of ORDER + 1 classes are the model's only input.
+#: Symbols; windows of ORDER + 1 symbols are the model's only input.
 CLASSES = 64
+#: The first symbols are halves of bytes, the others whole bytes.
+HALVES = 16
 #: Labelled texts drawn for each language, on average at most.
 TRAIN_DOCS = 4000
-#: Bytes counted or scored by one array step; longer texts take several.
-STEP_BYTES = 1 << 19
+#: Symbols counted or scored by one array step; longer texts take several.
+STEP_SYMBOLS = 1 << 19
 #: Bytes of a block's table, unless one language needs more (68 MB at most).
 TABLE_BYTES = 1 << 27
 #: Bytes of rows that a task holds while it reads one block after the other.
@@ -44,48 +48,66 @@ _LOWER = bytes(b | 32 if 65 <= b <= 90 else b for b in range(256))
 _PAD = b"\n" * ORDER
 
 
-def _windows(data: bytes, classes: np.ndarray, order: int = ORDER) -> np.ndarray:
-    """For each byte of ``data`` after the first ``order``, the number whose
-    base-CLASSES digits are its context and, last, the byte itself."""
-    c = classes[np.frombuffer(data, np.uint8)].astype(np.int32)
+def alphabet(frequent: list[int]) -> np.ndarray:
+    """The symbols of every byte, two columns: those of ``frequent`` (at most
+    CLASSES - HALVES bytes) have one and -1, the others their two halves."""
+    code = np.stack([np.arange(256) >> 4, np.arange(256) & 15], axis=1).astype(np.int8)
+    code[frequent, 0] = HALVES + np.arange(len(frequent))
+    code[frequent, 1] = -1
+    return code
+
+
+def _symbols(data: bytes, code: np.ndarray) -> np.ndarray:
+    """The symbols of ``data``, in order."""
+    both = code[np.frombuffer(data, np.uint8)].reshape(-1)
+    return both[both >= 0]
+
+
+def _windows(symbols: np.ndarray, order: int = ORDER) -> np.ndarray:
+    """For each symbol after the first ``order``, the number whose
+    base-CLASSES digits are its context and, last, the symbol itself."""
+    c = symbols.astype(np.int32)
     w = c[order:].copy()
     for k in range(1, order + 1):
         w += c[order - k:len(c) - k] * CLASSES ** k
     return w
 
 
-def _pieces(text: bytes) -> Iterator[bytes]:
-    """A text in pieces of at most STEP_BYTES, each behind its context."""
-    text = _PAD + text.translate(_LOWER)
-    for at in range(ORDER, len(text), STEP_BYTES):
-        yield text[at - ORDER:at + STEP_BYTES]
+def _pieces(text: bytes, code: np.ndarray) -> Iterator[np.ndarray]:
+    """The symbols of a text in pieces of at most STEP_SYMBOLS, each behind the
+    ORDER symbols before it."""
+    context = _symbols(_PAD, code)[-ORDER:]
+    for at in range(0, len(text), STEP_SYMBOLS // 2):
+        piece = np.concatenate([context, _symbols(text[at:at + STEP_SYMBOLS // 2].translate(_LOWER), code)])
+        context = piece[-ORDER:]
+        yield piece
 
 
 class Model:
-    """Frozen statistics: ``cost[block * CLASSES + class, language]`` in bits,
-    and ``block`` of every context of ORDER classes."""
+    """Frozen statistics: ``cost[block * CLASSES + symbol, language]`` in bits,
+    ``block`` of every context of ORDER symbols, and the ``code`` of bytes."""
 
-    def __init__(self, languages: list[str], classes: np.ndarray, block: np.ndarray, cost: np.ndarray):
-        self.languages, self.classes, self.block, self.cost = languages, classes, block, cost
+    def __init__(self, languages: list[str], code: np.ndarray, block: np.ndarray, cost: np.ndarray):
+        self.languages, self.code, self.block, self.cost = languages, code, block, cost
 
     def lengths(self, texts: list[bytes]) -> np.ndarray:
         """Code length in bits of each text under each language."""
         total = np.zeros((len(texts), len(self.languages)))
         pending, owners, size = [], [], 0
         for k, text in enumerate(texts):
-            for piece in _pieces(text):
+            for piece in _pieces(text, self.code):
                 pending.append(piece)
                 owners.append(k)
                 size += len(piece)
-                if size >= STEP_BYTES:
+                if size >= STEP_SYMBOLS:
                     self._add(total, pending, owners)
                     pending, owners, size = [], [], 0
         if pending:
             self._add(total, pending, owners)
         return total
 
-    def _add(self, total: np.ndarray, pieces: list[bytes], owners: list[int]) -> None:
-        w = _windows(b"".join(pieces), self.classes)
+    def _add(self, total: np.ndarray, pieces: list[np.ndarray], owners: list[int]) -> None:
+        w = _windows(np.concatenate(pieces))
         costs = self.cost[self.block[w // CLASSES] * CLASSES + w % CLASSES]
         ends = np.cumsum([len(p) for p in pieces])
         starts = ends - [len(p) for p in pieces]
@@ -110,15 +132,14 @@ def _decisions(texts: list[str | None], lengths: Callable[[list[bytes]], np.ndar
     return out
 
 
-def fit(languages: list[str], classes: np.ndarray, lang: np.ndarray, window: np.ndarray, count: np.ndarray) -> Model:
+def fit(languages: list[str], code: np.ndarray, lang: np.ndarray, window: np.ndarray, count: np.ndarray) -> Model:
     """The model of counts (language index, window, count)."""
     n_lang = len(languages)
-    n_in_class = np.bincount(classes, minlength=CLASSES).astype(float)
-    # Probability of a class with no context at all: every byte equally likely.
-    prob = np.repeat((n_in_class / 256).astype(np.float32)[None, :, None], n_lang, axis=2)  # (block, class, language)
+    # Below the context of no symbol, every symbol is equally likely.
+    prob = np.full((1, CLASSES, n_lang), 1 / CLASSES, np.float32)  # (block, symbol, language)
     block_of = np.zeros(1, np.int64)  # block of every context of this depth; unseen contexts share the shorter one's
     for depth in range(ORDER + 1):
-        # Contexts are the last ``depth`` digits before the byte's own.
+        # Contexts are the last ``depth`` digits before the symbol's own.
         ctx = (window // CLASSES) % CLASSES ** depth
         order = np.argsort(ctx, kind="stable")
         seen, first = np.unique(ctx[order], return_index=True)
@@ -135,10 +156,8 @@ def fit(languages: list[str], classes: np.ndarray, lang: np.ndarray, window: np.
         block_of = np.tile(block_of, CLASSES) if depth else np.zeros(1, np.int64)
         block_of[seen] = len(prob) + np.arange(len(seen))
         prob = np.concatenate([prob, found])
-    # A shared class costs as much again as telling its bytes apart.
-    prob /= np.maximum(n_in_class, 1).astype(np.float32)[None, :, None]
     cost = -np.log2(np.maximum(prob, np.float32(1e-37)))
-    return Model(languages, classes, block_of.astype(np.int32), cost.reshape(-1, n_lang))
+    return Model(languages, code, block_of.astype(np.int32), cost.reshape(-1, n_lang))
 
 
 def _distribution(counts: np.ndarray, below: np.ndarray) -> np.ndarray:
@@ -160,7 +179,7 @@ def _byte_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"byte": pa.array(range(256), pa.int32()), "n": total})
 
 
-def _window_counts(classes: np.ndarray):
+def _window_counts(code: np.ndarray):
     def counted(found: dict[str, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         for lang, parts in found.items():
             w, n = np.unique(np.concatenate(parts), return_counts=True)
@@ -170,10 +189,10 @@ def _window_counts(classes: np.ndarray):
         found, size = {}, 0
         for batch in batches:
             for lang, t in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                for piece in _pieces(t.encode()):
-                    found.setdefault(lang, []).append(_windows(piece, classes))
+                for piece in _pieces(t.encode(), code):
+                    found.setdefault(lang, []).append(_windows(piece))
                     size += len(piece)
-                    if size >= 8 * STEP_BYTES:
+                    if size >= 8 * STEP_SYMBOLS:
                         yield from counted(found)
                         found, size = {}, 0
         yield from counted(found)
@@ -214,10 +233,8 @@ def train(docs: DataFrame, labelled: Column, text_col: str = "text", lang_col: s
     share = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, int(min(1.0, train_docs / n) * (1 << 30)))])
     sample = rows.filter((F.col("text") != "") & (F.col("h") < share[F.col("lang")])).select("lang", "text")
     frequent = sample.mapInArrow(_byte_counts, "byte int, n bigint").groupBy("byte").agg(F.sum("n").alias("n")).filter("n > 0")
-    top = [r["byte"] for r in frequent.orderBy(F.desc("n"), "byte").limit(CLASSES - 1).collect()]
-    classes = np.zeros(256, np.uint8)
-    classes[top] = np.arange(1, len(top) + 1)
-    counts = sample.mapInArrow(_window_counts(classes), "lang string, w int, n bigint").groupBy("lang", "w").agg(F.sum("n").alias("n"))
+    code = alphabet([r["byte"] for r in frequent.orderBy(F.desc("n"), "byte").limit(CLASSES - HALVES).collect()])
+    counts = sample.mapInArrow(_window_counts(code), "lang string, w int, n bigint").groupBy("lang", "w").agg(F.sum("n").alias("n"))
     counts = written(counts, "windows")
     # Contexts of every depth, that of none and that of unseen ones.
     depths = [F.count_distinct(F.floor(F.col("w") / CLASSES) % CLASSES ** d) for d in range(1, ORDER + 1)]
@@ -226,7 +243,7 @@ def train(docs: DataFrame, labelled: Column, text_col: str = "text", lang_col: s
     for languages in _blocks(contexts):
         own = counts.filter(F.col("lang").isin(languages)).toPandas()
         index = {lang: k for k, lang in enumerate(languages)}
-        models.append(fit(languages, classes, own["lang"].map(index).to_numpy(np.int64), own["w"].to_numpy(np.int64), own["n"].to_numpy(np.float64)))
+        models.append(fit(languages, code, own["lang"].map(index).to_numpy(np.int64), own["w"].to_numpy(np.int64), own["n"].to_numpy(np.float64)))
     return models
 
 

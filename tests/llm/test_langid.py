@@ -11,14 +11,17 @@ TRAIN = [("en", "the cat and the dog went to the house"), ("en", "THE end of the
          ("de", "über das ende"), ("fr", "le chat et le chien à la maison")]
 
 
-def brute_lengths(rows, classes, text):
-    """Bits of ``text`` per language, byte by byte from context dictionaries."""
+def brute_lengths(rows, code, text):
+    """Bits of ``text`` per language, symbol by symbol from context dictionaries."""
     out = {}
-    members = np.bincount(classes, minlength=langid.CLASSES)
-    code = lambda t: [int(classes[b]) for b in langid._PAD + t.encode().translate(langid._LOWER)]
+
+    def spell(t):
+        return [int(x) for b in t.encode().lower() for x in code[b] if x >= 0]
+
+    coded = lambda t: spell("\n" * langid.ORDER)[-langid.ORDER:] + spell(t)
     for lang in sorted({r[0] for r in rows}):
         counts = {}
-        for c in [code(t) for x, t in rows if x == lang]:
+        for c in [coded(t) for x, t in rows if x == lang]:
             for i in range(langid.ORDER, len(c)):
                 for d in range(langid.ORDER + 1):
                     at = counts.setdefault(tuple(c[i - d:i]), {})
@@ -26,7 +29,7 @@ def brute_lengths(rows, classes, text):
 
         def dist(ctx):
             if ctx is None:
-                return {s: members[s] / 256 for s in range(langid.CLASSES)}
+                return {s: 1 / langid.CLASSES for s in range(langid.CLASSES)}
             below = dist(ctx[1:] if ctx else None)
             seen = counts.get(ctx)
             if not seen:
@@ -35,11 +38,11 @@ def brute_lengths(rows, classes, text):
             n, d = sum(seen.values()), len(seen) if rest > 0 else 0
             return {s: seen[s] / (n + d) if s in seen else d / (n + d) * below[s] / rest if rest > 0 else 0 for s in below}
 
-        c, bits = code(text), 0.0
+        c, bits = coded(text), 0.0
         for i in range(langid.ORDER, len(c)):
             p = dist(tuple(c[i - langid.ORDER:i]))
             assert abs(sum(p.values()) - 1) < 1e-9
-            bits -= np.log2(p[c[i]] / members[c[i]])
+            bits -= np.log2(p[c[i]])
         out[lang] = bits
     return out
 
@@ -53,7 +56,7 @@ def model(spark):
 
 @pytest.mark.parametrize("text", ["the dog", "die katze über", "ß日本", "a", "le chien and the hund " * 5, "\n\n"])
 def test_code_lengths_match_brute_force(model, text):
-    want = brute_lengths(TRAIN, model.classes, text)
+    want = brute_lengths(TRAIN, model.code, text)
     got = dict(zip(model.languages, model.lengths([text.encode()])[0]))
     assert got == pytest.approx(want, rel=1e-5)
 
@@ -62,7 +65,7 @@ def test_lengths_do_not_depend_on_batches_or_pieces(model, monkeypatch):
     texts = [b"the cat", b"", b"der hund und " * 40, "à la maison".encode(), b"x"]
     want = model.lengths(texts)
     assert np.allclose(want, np.concatenate([model.lengths([t]) for t in texts]), rtol=1e-6)
-    monkeypatch.setattr(langid, "STEP_BYTES", 16)
+    monkeypatch.setattr(langid, "STEP_SYMBOLS", 16)
     assert np.allclose(want, model.lengths(texts), rtol=1e-6)
 
 
@@ -92,6 +95,39 @@ def test_blocks_of_languages_score_as_one(spark, frame, monkeypatch):
     assert [w[2] for w in want] == pytest.approx([g[2] for g in got], rel=1e-4)
 
 
+def test_every_byte_has_a_code_of_its_own():
+    code = langid.alphabet([10, 32, 200, 101])
+    spelled = {b: tuple(langid._symbols(bytes([b]), code)) for b in range(256)}
+    assert len(set(spelled.values())) == 256 and [len(spelled[b]) for b in (10, 200, 11)] == [1, 1, 2]
+    text = bytes(range(256)) * 2
+    assert list(langid._symbols(text, code)) == [x for b in text for x in spelled[b]]
+    assert list(langid._symbols(b"", code)) == []
+
+
+def test_many_scripts(spark):
+    """Two languages in each of 16 scripts, that differ in how often they use
+    its letters only: over 90 byte values, half of them without a symbol."""
+    scripts = [0x61, 0x3B1, 0x430, 0x561, 0x5D0, 0x627, 0x905, 0xB85, 0xE01, 0x10D0, 0x1200, 0x13A0, 0x1780, 0x3041, 0x4E00, 0xAC00]
+    rng = np.random.default_rng(11)
+    rows = []
+    for start in scripts:
+        for half in range(2):
+            weight = np.where(np.arange(20) // 10 == half, 3.0, 1.0)
+            for _ in range(60):
+                letters = rng.choice(20, size=(25, 6), p=weight / weight.sum())
+                rows.append((len(rows), " ".join("".join(chr(start + int(x)) for x in w) for w in letters), f"{start:x}-{half}"))
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    models = langid.train(docs, F.col("doc_id") % 3 != 1)
+    assert len({b for r in rows for b in r[1].encode()}) > 90
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(docs, models).collect()}
+    held = [r for r in rows if r[0] % 3 == 1]
+    right = [got[r[0]] == r[2] for r in held]
+    by_script = {start: [ok for ok, r in zip(right, held) if r[2].startswith(f"{start:x}-")] for start in scripts}
+    print({f"{s:x}": sum(v) / len(v) for s, v in by_script.items()}, sum(right) / len(right))
+    assert sum(right) / len(right) > 0.98
+    assert all(sum(v) / len(v) > 0.9 for v in by_script.values())
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     docs = queries.table(spark, sf, "documents").select("doc_id", "lang")
