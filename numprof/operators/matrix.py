@@ -24,6 +24,15 @@ from pyspark.sql import functions as F
 #: Cells of one strip: the columns that the sum of the tiled form works on.
 STRIP = 32
 
+#: Rows of a join that one task makes, on average: up to 120 bytes each in its aggregate.
+TASK_ROWS = 1 << 20
+
+#: Cells that one task of a grouped matrix holds, on average: it may group them several times.
+TASK_CELLS = 1 << 18
+
+#: Partitions of one shuffle, at most (beyond, a task gets more rows).
+MOST_TASKS = 100_000
+
 
 def _present(m: DataFrame) -> DataFrame:
     return m.filter(F.col("row_id").isNotNull() & F.col("col_id").isNotNull() & F.col("v").isNotNull())
@@ -36,15 +45,69 @@ def _right_side(df: DataFrame, small_right: bool) -> DataFrame:
     return F.broadcast(df) if small_right else df.hint("merge")
 
 
-def matmul_coo(a: DataFrame, b: DataFrame, small_right: bool = False) -> DataFrame:
-    """C = A·B with C[r, c] = sum_k A[r, k]·B[k, c] (rectangular allowed)."""
-    a, b = _present(a), _present(b)
-    left = a.select(F.col("row_id").alias("__r"), F.col("col_id").alias("__k"), F.col("v").alias("__a"))
-    right = _right_side(b.select(F.col("row_id").alias("__k2"), F.col("col_id").alias("__c"),
-                                 F.col("v").alias("__b")), small_right)
-    return (left.join(right, left["__k"] == right["__k2"])
-            .groupBy(F.col("__r").alias("row_id"), F.col("__c").alias("col_id"))
-            .agg(F.sum(F.col("__a") * F.col("__b")).alias("v")))
+def tasks_for(df: DataFrame, rows: int, per_task: int) -> int:
+    """Partitions for ``rows`` rows: ``per_task`` in each, at least one per core."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return min(max(cores, -(-int(rows) // per_task)), max(cores, MOST_TASKS))
+
+
+def _per_inner(a: DataFrame, b: DataFrame) -> DataFrame:
+    """``(k, m, n, rows)``: how many rows of ``a`` and of ``b`` have each ``k``, and
+    m * n; both in one aggregate, so that no task sorts and joins what it has grouped."""
+    ones = a.selectExpr("k", "1 AS m", "0 AS n").union(b.selectExpr("k", "0 AS m", "1 AS n"))
+    counts = ones.groupBy("k").agg(F.sum("m").alias("m"), F.sum("n").alias("n"))
+    return counts.select("*", (F.col("m").cast("double") * F.col("n")).alias("rows"))
+
+
+def _join_rows(a: DataFrame, b: DataFrame) -> DataFrame:
+    """One row: rows that a join by ``k`` makes, and indices too heavy for one task."""
+    return _per_inner(a, b).agg(F.coalesce(F.sum("rows"), F.lit(0.0)).alias("rows"), F.count_if(F.col("rows") > TASK_ROWS).alias("hot"))
+
+
+def _deal(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a column ``deal``, so that no inner index and deal makes
+    many more than ``TASK_ROWS`` rows: of a heavy index, the side with more
+    cells is dealt out by its cells and the other one copied to each deal.
+
+    At most one index per ``TASK_ROWS`` rows of the join is heavy, so their
+    list is small whatever the matrices.
+    """
+    heavy = _per_inner(a, b).filter(F.col("rows") > TASK_ROWS).select(
+        F.col("k").alias("hk"), (F.col("m") >= F.col("n")).alias("deal_a"),
+        F.least(F.ceil(F.col("rows") / TASK_ROWS), F.greatest("m", "n")).cast("int").alias("deals"))
+
+    def side(m, dealt):
+        m = m.join(F.broadcast(heavy), F.col("k") == F.col("hk"), "left")
+        one = F.array(F.pmod(F.xxhash64("o", "v"), F.col("deals")).cast("int"))
+        deals = F.when(F.col("hk").isNull(), F.array(F.lit(0))).when(dealt, one).otherwise(F.sequence(F.lit(0), F.col("deals") - 1))
+        return m.select("k", "o", "v", F.explode(deals).alias("deal"))
+
+    return side(a, F.col("deal_a")), side(b, ~F.col("deal_a"))
+
+
+def matmul_coo(a: DataFrame, b: DataFrame, small_right: bool = False, cost: "ProductCost | None" = None) -> DataFrame:
+    """C = A·B with C[r, c] = sum_k A[r, k]·B[k, c] (rectangular allowed).
+
+    The join goes to as many tasks as its rows ask for (``TASK_ROWS`` in
+    each), not as its input does: the aggregate of a task holds an entry for
+    nearly every row that the join makes there.  An inner index that alone
+    makes more is dealt out to several.  The rows are counted first, unless
+    ``cost`` has them.
+    """
+    # the same columns in the same order: of a matrix times its transpose, one shuffle serves both sides
+    left = _present(a).select(F.col("col_id").alias("k"), F.col("row_id").alias("o"), "v")
+    right = _present(b).select(F.col("row_id").alias("k"), F.col("col_id").alias("o"), "v")
+    on = ["k"]
+    if not small_right:
+        rows, hot = (cost.join_rows, cost.hot) if cost else _join_rows(left, right).first()
+        if hot:
+            left, right = _deal(left, right)
+            on.append("deal")
+        tasks = tasks_for(a, rows, TASK_ROWS)
+        left, right = left.repartition(tasks, *on), right.repartition(tasks, *on)
+    right = _right_side(right.select(*on, F.col("o").alias("col_id"), F.col("v").alias("__b")), small_right)
+    return (left.select(*on, F.col("o").alias("row_id"), F.col("v").alias("__a")).join(right, on)
+            .groupBy("row_id", "col_id").agg(F.sum(F.col("__a") * F.col("__b")).alias("v")))
 
 
 def _tiles(m: DataFrame, row_tile: str, col_tile: str, block: int) -> DataFrame:
@@ -163,14 +226,16 @@ ROW_COST = 256
 
 
 class ProductCost(NamedTuple):
-    """What the two forms of a product would do, and the cheaper one."""
+    """What the two forms of a product would do, and the cheaper one; ``hot``
+    inner indices make more rows of the join than one task should."""
     join_rows: int
     tile_ops: int
     method: str
+    hot: int = 0
 
 
 def product_cost(a: DataFrame, b: DataFrame, block: int = 128) -> ProductCost:
-    """Measure a product: one small aggregate of each side (an action).
+    """Measure a product: small aggregates of each side (one action).
 
     The join makes nnz(A[:,k]) * nnz(B[k,:]) rows for each inner index k; the
     tiled form block³ multiply-adds for each pair of tiles that meet.  Counts
@@ -178,24 +243,20 @@ def product_cost(a: DataFrame, b: DataFrame, block: int = 128) -> ProductCost:
     matrix that is dense in a few places counts as what it is there.
     """
     tile = lambda c: F.expr(f"({c} - pmod({c}, {int(block)})) div {int(block)}")
-    sides = []
-    for m, inner, outer in ((a, "col_id", "row_id"), (b, "row_id", "col_id")):
-        cells = _present(m).select(F.col(inner).cast("bigint").alias("k"), tile(outer).alias("o"))
-        by_tile = cells.groupBy("k", "o").agg(F.count(F.lit(1)).alias("n"))
-        per_k = by_tile.groupBy("k").agg(F.sum("n").alias("n"))
-        per_tile = by_tile.select(tile("k").alias("k"), "o").distinct().groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-        sides.append((per_k, per_tile))
-    total = lambda x, y: x.withColumnRenamed("n", "m").join(y.hint("merge"), "k").agg(F.sum(F.col("m").cast("double") * F.col("n"))).first()[0] or 0
-    rows, pairs = (total(sides[0][i], sides[1][i]) for i in (0, 1))
+    cells = [_present(m).select(F.col(inner).cast("bigint").alias("k"), tile(outer).alias("o"))
+             for m, inner, outer in ((a, "col_id", "row_id"), (b, "row_id", "col_id"))]
+    tiles = [m.select(tile("k").alias("k"), "o").distinct() for m in cells]
+    rows, hot, pairs, _ = _join_rows(*cells).crossJoin(_join_rows(*tiles).toDF("pairs", "hot_tiles")).first()
     ops = int(pairs) * block ** 3
-    return ProductCost(int(rows), ops, "join" if rows * ROW_COST <= ops else "tiled")
+    return ProductCost(int(rows), ops, "join" if rows * ROW_COST <= ops else "tiled", hot)
 
 
 def matmul(a: DataFrame, b: DataFrame, block: int = 128) -> DataFrame:
     """C = A·B by the form that is cheaper for these matrices (measures them,
     see :func:`product_cost`): a dense product never takes the join, which
     makes a row for every scalar product; a sparse one never fills tiles."""
-    return matmul_coo(a, b) if product_cost(a, b, block).method == "join" else matmul_tiled(a, b, block)
+    cost = product_cost(a, b, block)
+    return matmul_coo(a, b, cost=cost) if cost.method == "join" else matmul_tiled(a, b, block)
 
 
 def array_rows_to_coo(df: DataFrame, id_col: str, arr: str, transpose: bool = False) -> DataFrame:

@@ -21,7 +21,7 @@ from numprof.operators.categories import band_stats
 from numprof.operators.jobs import (
     analyze_flat, analyze_jobs, chart_series, nested_results, recommendations, results_long, speedup_report,
 )
-from numprof.operators.matrix import array_rows_to_coo, matmul, matmul_tiled
+from numprof.operators.matrix import TASK_CELLS, array_rows_to_coo, matmul, matmul_tiled, tasks_for
 from numprof.operators.profile import flavour_diff, profile
 from numprof.operators.results import job_results, receipts
 from numprof.operators.standardize import standardize
@@ -369,7 +369,11 @@ FROM m x JOIN m y ON x.l_orderkey = y.l_orderkey GROUP BY 1, 2
 def matrix_multiply_sparse(spark, d):
     """M3: parts by parts over the orders that hold both (quantities), sparse,
     by the form that the measured density asks for."""
-    li = table(spark, d, "lineitem").groupBy("l_orderkey", "l_partkey").agg(F.sum(F.col("l_quantity").cast("double")).alias("v"))
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", F.col("l_quantity").cast("double").alias("q"))
+    # By order and into bounded tasks: few lines share order and part, so a scan task could add up
+    # next to none of its rows but would hold them all; counting by order then needs no other shuffle.
+    li = (rows.repartition(tasks_for(rows, rows.count(), TASK_CELLS), "l_orderkey")
+          .groupBy("l_orderkey", "l_partkey").agg(F.sum("q").alias("v")))
     cells = li.select(F.col("l_orderkey").alias("row_id"), F.col("l_partkey").alias("col_id"), "v")
     return round_all(matmul(cells.select(F.col("col_id").alias("row_id"), F.col("row_id").alias("col_id"), "v"), cells))
 
