@@ -10,8 +10,9 @@
 3. Each shard searches a vantage-point tree of its own for exact pairs and
    returns, instead of pairs, one link from each fingerprint to the smallest
    one it is connected with there.
-4. Connected components of these links: alternating large-star and
-   small-star rounds, each written to the shared folder.
+4. Connected components of these links: each task replaces its links by
+   stars, then large-star and small-star steps alternate over what the tasks
+   have left, each written to the shared folder.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from numprof.plans.stats_join import attach_by_keys
+
 from .common import fresh, released, written
 
 SHINGLE_WORDS = 3
@@ -42,6 +45,8 @@ SAMPLE_PER_SHARD, MAX_SAMPLE = 64, 1 << 20
 CUT_ROWS = 1 << 17
 #: Residents of a leaf within a shard, compared with its visitors directly.
 LEAF_ROWS = 128
+#: Links that a task turns into stars at once.
+LINK_ROWS = 1 << 20
 #: Hashes whose bits are counted at once.
 STEP_HASHES = 1 << 16
 
@@ -300,34 +305,56 @@ def near_links(prints: DataFrame, n: int, r: int = MAX_BITS, shard_rows: int = S
     return shards(prints, n, r, shard_rows).groupBy("shard", "part").applyInPandas(_links(r), "u bigint, v bigint")
 
 
+def _hung(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The links (u, v) as stars: each node, but for the least of its
+    component among these links, with that least node."""
+    names, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    at = at.reshape(-1)
+    root = _roots(len(names), iter([(at[:len(u)], at[len(u):])]))
+    linked = root != np.arange(len(names))
+    return names[linked], names[root[linked]]
+
+
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stars of the links of a task, of about LINK_ROWS links at a time."""
+    us, vs, held = [], [], 0
+    for batch in batches:
+        us.append(batch.column(0).to_numpy())
+        vs.append(batch.column(1).to_numpy())
+        held += batch.num_rows
+        if held > LINK_ROWS:
+            u, v = _hung(np.concatenate(us), np.concatenate(vs))
+            us, vs, held = [u], [v], len(u)
+            if held > LINK_ROWS // 2:
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+                us, vs, held = [], [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _hung(np.concatenate(us), np.concatenate(vs))], names=["u", "v"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each node's component, for all nodes
-    of ``links(u, v)``, in rounds until the links no longer change.
+    of ``links(u, v)``, in rounds until all links are stars.
 
-    A round reads a node's neighbours only through their minimum, which is
-    combined before the shuffle; joins back to the links are split by Spark
-    where one node has many.
+    Before a shuffle each task replaces its links by stars, so a node brings
+    one smaller neighbour for each task at most.  A round hangs every node and
+    its smaller neighbours onto the least of them, and lifts links that end in
+    a node which hangs itself; that join is split by Spark where many links
+    end in one node.
     """
-    def least(pairs: DataFrame) -> DataFrame:
-        return pairs.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("x"), F.least("u", "m").alias("m"))
-
-    edges = written(links.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
-    state = None
+    edges = links.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     while True:
-        digest = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if digest == state or digest[0] == 0:
+        near = edges.select("u", "v").mapInArrow(released(_contracted), "u bigint, v bigint").groupBy("u").agg(F.collect_set("v").alias("vs"))
+        # Small star: the node's own link comes first.
+        hung = near.select(F.array_min("vs").alias("v"), F.posexplode(F.concat(F.array("u"), F.filter("vs", lambda v: v > F.array_min("vs")))).alias("i", "u"))
+        hung = written(hung.select("u", "v", (F.col("i") == 0).alias("own")), "stars")
+        # Large star, along the own link of each smaller node.
+        up = hung.filter("own").select(F.col("u").alias("v"), F.col("v").alias("up"))
+        edges = attach_by_keys(hung, up, ["v"])
+        edges = written(edges.select("u", F.coalesce("up", "v").alias("v"), (F.col("own") & F.col("up").isNull()).alias("done")), "links")
+        if edges.filter("NOT done").isEmpty():
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        state = digest
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        mins = written(least(both), "least")
-        # Large star: every larger neighbour hangs onto the least one.
-        large = both.filter("v > u").join(mins, F.col("u") == F.col("x")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = written(large.filter("u <> v").distinct(), "large")
-        # Small star: every node and its smaller neighbours hang onto the least.
-        mins = written(least(large), "least")
-        small = large.join(mins, F.col("u") == F.col("x")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = written(small.unionByName(mins.select(F.col("x").alias("u"), F.col("m").alias("v"))).filter("u <> v").distinct(), "links")
 
 
 def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE_WORDS, r: int = MAX_BITS,

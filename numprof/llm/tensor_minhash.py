@@ -220,9 +220,10 @@ def _search(rows: DataFrame, tile: list[str], sets: DataFrame, threshold: int) -
 
 def _rest_links(members: DataFrame, sets: DataFrame, n: DataFrame, threshold: int) -> DataFrame:
     """Links between the components (``root``) that buckets still hold."""
-    hubs = members.groupBy("key").agg(F.min("c").alias("hub"))
-    clusters = components(members.join(hubs, "key").select(F.col("c").alias("u"), F.col("hub").alias("v")))
-    clusters = clusters.select(F.col("node").alias("c"), F.col("root").alias("cluster")).distinct()
+    # Buckets are nodes of their own, below all classes; keys that meet there would only make a cluster larger.
+    bucket = F.col("key").bitwiseOR(F.lit(-1 << 63))
+    clusters = components(members.select(F.col("c").alias("u"), bucket.alias("v")))
+    clusters = clusters.filter("node >= 0").select(F.col("node").alias("c"), F.col("root").alias("cluster"))
     each = written(members.select("c", "root").distinct().join(clusters, "c").join(n, "c"), "clusters")
     sizes = each.groupBy("cluster").agg((F.sum("n") * 8 <= TILE_BYTES).alias("small"))
     sized = written(attach_by_keys(each, written(sizes, "cluster-sizes"), ["cluster"]), "sized-clusters")

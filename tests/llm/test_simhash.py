@@ -1,5 +1,7 @@
 """SimHash near-duplicates against all pairs, compared directly."""
 
+import random
+
 import numpy as np
 import pytest
 import xxhash
@@ -163,3 +165,52 @@ def test_one_id_on_several_texts_keeps_a_row_of_every_group(spark, frame):
     kept = lambda rows: sorted((r["doc_id"], r["text"]) for r in simhash.deduplicate(frame(rows, "doc_id int, text string, f int")).collect())
     assert kept([(5, a, 0), (5, b, 0), (3, b.upper(), 0)]) == [(3, b.upper()), (5, a)]
     assert kept([(1, a, 0), (1, b, 0), (1, b, 0), (2, a, 0), (2, b, 0), (2, c, 0), (9, c, 0)]) == [(1, a), (1, b), (2, c)]
+
+
+def dealt(spark, monkeypatch, links, step=7):
+    """Components of links that stand on several tasks, and the tables written for them."""
+    names = []
+    monkeypatch.setattr(simhash, "written", lambda df, name, write=simhash.written: names.append(name) or write(df, name))
+    keys = ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in zip(keys, ("false", "9", "128m")):
+            spark.conf.set(k, v)
+        df = spark.createDataFrame(links, "u bigint, v bigint").repartition(step)
+        return {r["node"]: r["root"] for r in simhash.components(df).collect()}, names
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def least_nodes(links):
+    root = {x: x for link in links for x in link}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for u, v in links:
+        a, b = sorted((find(u), find(v)))
+        root[b] = a
+    return {x: find(x) for x in root}
+
+
+@pytest.mark.parametrize("link_rows", [simhash.LINK_ROWS, 20])
+def test_components_of_links_on_several_tasks(spark, monkeypatch, link_rows):
+    """A large, dense component ends after few tables (13 before tasks made stars of their links)."""
+    monkeypatch.setattr(simhash, "LINK_ROWS", link_rows)
+    rng = random.Random(11)
+    order = rng.sample(range(-500, 500), 1000)
+    chain = list(zip(order[:300], order[1:301]))
+    dense = [(rng.choice(order[400:600]), rng.choice(order[400:600])) for _ in range(1500)]
+    hub = [(order[700], x) for x in order[701:950]]
+    links = chain + dense + hub + [(5, 5)]
+    got, names = dealt(spark, monkeypatch, links)
+    want = least_nodes([(u, v) for u, v in links if u != v])
+    assert got == want
+    if link_rows > 20:
+        names = dealt(spark, monkeypatch, dense)[1]
+        assert len(names) <= 5, names
